@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boilerplate, encoding, lookalikes
+from . import boilerplate, encoding, lookalikes, scan_noise
 from .base import table
 
 
@@ -24,6 +24,22 @@ def p2_clean_pages(spark: SparkSession, d: str) -> DataFrame:
     return boilerplate.clean(pages, boilerplate.excess_keys(pages), _bigrams(spark, d))
 
 
+def _p3(spark: SparkSession, d: str) -> tuple:
+    pages = table(spark, d, "page_quality")
+    titles = table(spark, d, "lesson_segments").select("publication_id", F.col("expected_title").alias("title"), F.col("page_start").alias("first"), F.col("page_end").alias("last"))
+    bigrams, words, compounds = scan_noise.count_words(pages)
+    vectors = scan_noise.learn_vectors(pages, words)
+    return pages, boilerplate.excess_keys(pages), titles, (words, compounds, vectors), bigrams
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return scan_noise.found(*_p3(spark, d))
+
+
+def p3_repaired_pages(spark: SparkSession, d: str) -> DataFrame:
+    return scan_noise.repaired(*_p3(spark, d))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return encoding.affected(table(spark, d, "page_quality")).select("page_id")
 
@@ -46,4 +62,4 @@ def p6_normalized(spark: SparkSession, d: str) -> DataFrame:
     return _p6(spark, d, True)
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_clean_pages, p5_found, p5_restored, p6_found, p6_normalized)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_clean_pages, p3_found, p3_repaired_pages, p5_found, p5_restored, p6_found, p6_normalized)}
