@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boilerplate, encoding, lookalikes, scan_noise
+from . import boilerplate, canonical_names, encoding, lookalikes, scan_noise
 from .base import table
 
 
@@ -14,6 +14,18 @@ def _bigrams(spark: SparkSession, d: str) -> dict[str, int]:
     return lookalikes.bigram_counts(texts)
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return canonical_names.found(table(spark, d, "biblical_readings"), table(spark, d, "bible_books"))
+
+
+def p1_resolved(spark: SparkSession, d: str) -> DataFrame:
+    return canonical_names.resolved(table(spark, d, "biblical_readings"), table(spark, d, "bible_books"))
+
+
+def p1_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    return canonical_names.unmatched(table(spark, d, "biblical_readings"), table(spark, d, "bible_books"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "page_quality")
     return boilerplate.found(pages, boilerplate.excess_keys(pages), _bigrams(spark, d))
@@ -62,4 +74,4 @@ def p6_normalized(spark: SparkSession, d: str) -> DataFrame:
     return _p6(spark, d, True)
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_clean_pages, p3_found, p3_repaired_pages, p5_found, p5_restored, p6_found, p6_normalized)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_resolved, p1_unmatched, p2_found, p2_clean_pages, p3_found, p3_repaired_pages, p5_found, p5_restored, p6_found, p6_normalized)}
