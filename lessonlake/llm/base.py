@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -22,11 +25,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """checkpoint() in the cluster's shared folder; a temporary one only where spark.checkpoint.dir is unset."""
+    """Cuts lineage: the rows as a Parquet table in the cluster's shared folder (spark.checkpoint.dir).
+
+    Any executor can read it again, it is compressed, and its size is known to the planner. A temporary
+    folder is used only where the setting is absent, as in tests.
+    """
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lessonlake-"))
-    return df.checkpoint()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = _LOCAL.get("dir") or _LOCAL.setdefault("dir", tempfile.mkdtemp(prefix="lessonlake-"))
+    path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_LOCAL: dict[str, str] = {}
+
+
+@atexit.register
+def _remove() -> None:
+    if "dir" in _LOCAL:
+        shutil.rmtree(_LOCAL["dir"], ignore_errors=True)
 
 
 def map_rows(df: DataFrame, schema: str, fn: Callable[..., Iterator[tuple]], finish: Callable[[], Iterator[tuple]] | None = None) -> DataFrame:

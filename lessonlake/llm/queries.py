@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boilerplate, canonical_names, encoding, lookalikes, scan_noise
+from . import boilerplate, canonical_names, encoding, lookalikes, page_kinds, scan_noise, shared_spans
 from .base import table
 
 
@@ -52,6 +52,15 @@ def p3_repaired_pages(spark: SparkSession, d: str) -> DataFrame:
     return scan_noise.repaired(*_p3(spark, d))
 
 
+def p4_page_kinds(spark: SparkSession, d: str) -> DataFrame:
+    pages = table(spark, d, "page_quality")
+    return page_kinds.classify(pages, page_kinds.fit(pages, table(spark, d, "page_labels")))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return p4_page_kinds(spark, d).where("page_kind <> 'prose'").select("page_id")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return encoding.affected(table(spark, d, "page_quality")).select("page_id")
 
@@ -74,4 +83,12 @@ def p6_normalized(spark: SparkSession, d: str) -> DataFrame:
     return _p6(spark, d, True)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_resolved, p1_unmatched, p2_found, p2_clean_pages, p3_found, p3_repaired_pages, p5_found, p5_restored, p6_found, p6_normalized)}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return shared_spans.found(table(spark, d, "documents"))
+
+
+def p9_coverage(spark: SparkSession, d: str) -> DataFrame:
+    return shared_spans.coverage(table(spark, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_resolved, p1_unmatched, p2_found, p2_clean_pages, p3_found, p3_repaired_pages, p4_found, p4_page_kinds, p5_found, p5_restored, p6_found, p6_normalized, p9_found, p9_coverage)}
