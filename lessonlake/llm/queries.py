@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boilerplate, canonical_names, encoding, lookalikes, page_kinds, scan_noise, shared_spans
-from .base import table
+from . import boilerplate, canonical_names, encoding, lookalikes, mixing, packing, page_kinds, scan_noise, shared_spans
+from .base import cut, table
+from .tokens import token_counts
 
 
 def _bigrams(spark: SparkSession, d: str) -> dict[str, int]:
@@ -83,6 +84,26 @@ def p6_normalized(spark: SparkSession, d: str) -> DataFrame:
     return _p6(spark, d, True)
 
 
+def p7_packed(spark: SparkSession, d: str) -> DataFrame:
+    capacities = [(r["capacity_id"], r["capacity_tokens"]) for r in table(spark, d, "pack_capacity").collect()]
+    return packing.pack(cut(token_counts(table(spark, d, "documents"))), capacities)
+
+
+def p7_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fill(p7_packed(spark, d), table(spark, d, "pack_capacity"))
+
+
+def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
+    sizes = cut(token_counts(table(spark, d, "documents"), keep=("source",)))
+    return mixing.mix(sizes, table(spark, d, "source_weights"))
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    sizes = cut(token_counts(table(spark, d, "documents"), keep=("source",)))
+    weights = table(spark, d, "source_weights")
+    return mixing.shares(cut(mixing.mix(sizes, weights)), sizes, weights)
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return shared_spans.found(table(spark, d, "documents"))
 
@@ -91,4 +112,4 @@ def p9_coverage(spark: SparkSession, d: str) -> DataFrame:
     return shared_spans.coverage(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_resolved, p1_unmatched, p2_found, p2_clean_pages, p3_found, p3_repaired_pages, p4_found, p4_page_kinds, p5_found, p5_restored, p6_found, p6_normalized, p9_found, p9_coverage)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_resolved, p1_unmatched, p2_found, p2_clean_pages, p3_found, p3_repaired_pages, p4_found, p4_page_kinds, p5_found, p5_restored, p6_found, p6_normalized, p7_packed, p7_fill, p8_mixture, p8_shares, p9_found, p9_coverage)}
