@@ -1,6 +1,471 @@
-"""All queries by name with their SQL."""
+"""All core queries by name; each takes (spark, directory of tables) and runs over its whole tables."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..operators import audits, documents, indexes, quality, references, sections, segments, structure
+from .oracles import ORACLES
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def query(f):
+    QUERIES[f.__name__] = f
+    return f
+
+
+def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def pages(spark, d) -> DataFrame:
+    return table(spark, d, "page_quality").select("page_id", "publication_id", "page_number", "source", "text", "ocr_confidence")
+
+
+def gated(spark, d) -> DataFrame:
+    return quality.gate(pages(spark, d))
+
+
+# ---- the page gate
+
+
+@query
+def page_metrics(spark, d):
+    return quality.metrics(pages(spark, d)).select("page_id", "words", "n_chars", "n_valid", "n_lines", "n_long", "n_replacement", "n_malformed")
+
+
+@query
+def page_quality_gate(spark, d):
+    return gated(spark, d).select("page_id", F.array_join("gate_issues", ",").alias("issues"), F.col("gate_status").alias("status"), F.col("gate_score").alias("score"), "ocr_needed", "selected_source")
+
+
+@query
+def stale_figures(spark, d):
+    """Stored figures that are missing or not those of the text."""
+    stored = table(spark, d, "page_quality").select("page_id", F.col("word_count").cast("bigint").alias("stored_words"), F.col("malformed_scripture_count").cast("bigint").alias("stored_malformed"))
+    m = quality.metrics(pages(spark, d)).select("page_id", F.col("words").cast("bigint").alias("words"), F.col("n_malformed").cast("bigint").alias("n_malformed"))
+    return m.join(stored, "page_id").where(~F.col("words").eqNullSafe(F.col("stored_words")) | ~F.col("n_malformed").eqNullSafe(F.col("stored_malformed")))
+
+
+@query
+def page_log(spark, d):
+    return quality.page_log(gated(spark, d))
+
+
+@query
+def repeated_edge_lines(spark, d):
+    return quality.repeated_edges(pages(spark, d))
+
+
+@query
+def gate_with_edges(spark, d):
+    return quality.gate_with_edges(gated(spark, d)).select("page_id", F.array_join("gate_issues", ",").alias("issues"), F.col("gate_status").alias("status"), F.col("gate_score").alias("score"))
+
+
+@query
+def best_source_selection(spark, d):
+    g = gated(spark, d)
+    best = [g.where(c).groupBy("publication_id", "page_number").agg(F.max("page_id").alias("page_id")) for c in (~quality.is_ocr(), quality.is_ocr())]
+    a, b = (g.join(x.select("page_id"), "page_id", "left_semi") for x in best)
+    return quality.best_source(a, b)
+
+
+@query
+def issue_counts(spark, d):
+    return quality.issue_counts(gated(spark, d))
+
+
+@query
+def status_counts(spark, d):
+    return quality.status_counts(table(spark, d, "page_quality"), "status")
+
+
+@query
+def waived_pages(spark, d):
+    x = table(spark, d, "page_quality").select("page_id", "publication_id", "page_number", F.explode("issues").alias("issue"))
+    return quality.waived(x, table(spark, d, "waivers"))
+
+
+@query
+def unwaived_zero_text(spark, d):
+    x = gated(spark, d).select("page_id", "publication_id", "page_number", F.explode("gate_issues").alias("issue")).where("issue = 'zero_text'")
+    return quality.unwaived(x, table(spark, d, "waivers"))
+
+
+@query
+def publication_quality_report(spark, d):
+    return quality.publication_report(gated(spark, d), table(spark, d, "waivers"))
+
+
+@query
+def extraction_summary(spark, d):
+    return quality.extraction_summary(gated(spark, d))
+
+
+# ---- text
+
+
+@query
+def fold_text(spark, d):
+    x = table(spark, d, "lesson_segments").where("expected_title is not null")
+    t = F.col("expected_title")
+    return x.select("segment_id", T.fold(t).alias("folded"), T.fold_label(t).alias("label"), T.fold_slug(t).alias("slug"))
+
+
+@query
+def tidy_text(spark, d):
+    return table(spark, d, "page_quality").where("text is not null").select("page_id", F.md5(T.tidy(F.col("text"))).alias("digest"), F.length(T.tidy(F.col("text"))).alias("n_chars"))
+
+
+def _page_lines(spark, d) -> DataFrame:
+    return structure.lines_of_pages(structure.latest_pages(pages(spark, d)))
+
+
+@query
+def structural_line_flags(spark, d):
+    x = _page_lines(spark, d)
+    return x.select("publication_id", "line_number", T.is_structural(F.col("line")).alias("structural"), T.is_citation_only(T.strip(F.col("line"))).alias("citation_only"), T.is_section_label(F.col("line")).alias("label"))
+
+
+@query
+def reflow_paragraphs(spark, d):
+    """Paragraphs of every page, with the page as the unit."""
+    lines = structure.lines_of_texts(pages(spark, d).where("text is not null"), "page_id")
+    return structure.reflow(lines).select(F.col("publication_id").alias("page_id"), "paragraph", "first_line", "text")
+
+
+@query
+def rename_proposals(spark, d):
+    x = table(spark, d, "page_quality").where("page_number <= 5").groupBy("publication_id").agg(F.max_by("text", F.struct("page_number", "page_id")).alias("text"))
+    return audits.rename_proposals(x.select(F.col("publication_id").alias("stem"), F.concat_ws("\n", "publication_id", "text").alias("reference_text")))
+
+
+@query
+def classify_publications(spark, d):
+    return sections.profile_metadata(table(spark, d, "page_quality"))
+
+
+@query
+def normalized_by_family(spark, d):
+    return audits.normalized_by_family(structure.latest_pages(pages(spark, d)))
+
+
+# ---- structure; the source lines of lessons are composed from segments and readings
+
+
+def lessons(spark, d) -> DataFrame:
+    """One delivery of each lesson (the last), with its last reading."""
+    s = table(spark, d, "lesson_segments").groupBy("publication_id", "lesson_number").agg(F.max_by(F.struct("expected_title", "page_start", "lesson_date", "segment_id"), "segment_id").alias("x")).select("publication_id", "lesson_number", "x.*")
+    r = table(spark, d, "biblical_readings").groupBy("publication_id", "lesson_number").agg(F.max_by("reference_display", "reading_id").alias("reference_display"))
+    return s.join(r, ["publication_id", "lesson_number"], "left")
+
+
+def source_lines(spark, d) -> DataFrame:
+    """A publication's text: a contents page, then each lesson's page."""
+    x = lessons(spark, d)
+    title = F.coalesce("expected_title", F.lit("Sin título"))
+    n = F.col("lesson_number").cast("string")
+    entry = F.array(F.col("lesson_date"), F.concat(n, F.lit(". "), title), F.concat(F.lit("..... "), F.coalesce(F.col("page_start").cast("string"), F.lit("7"))))
+    body = F.array(
+        F.concat(F.lit("===== PDF_PAGE "), (F.col("lesson_number") * 4).cast("string"), F.lit(" =====")),
+        F.concat(F.lit("LECCIÓN "), n),
+        title,
+        F.concat(F.lit("Lectura Bíblica: "), F.col("reference_display")),
+        F.lit("Bosquejo de la lección"),
+        F.concat(F.lit("I. "), title),
+        F.lit("A. primer punto"),
+        F.concat(F.lit("("), F.col("reference_display"), F.lit(")")),
+        F.lit("sigue el punto"),
+        F.lit("12"),
+        F.lit("Notas para el maestro: lea con la clase"),
+        F.lit("el pasaje de hoy."),
+        F.concat(F.lit("¿"), title, F.lit("?")),
+        F.lit("Maestro"),
+        F.lit("repase la lección anterior"),
+        F.lit("y ore."),
+        F.lit("Resumen y aplicación práctica: viva"),
+        F.lit("lo aprendido."),
+        F.lit("Lecturas diarias"),
+    )
+    head = x.select("publication_id").distinct().select("publication_id", F.lit(0).alias("block"), F.lit(0).alias("lesson_number"), F.posexplode(F.array(F.lit("===== PDF_PAGE 1 ====="), F.lit("CONTENIDO"))).alias("pos", "line"))
+    rows = head
+    for block, lines in ((1, entry), (2, body)):
+        rows = rows.unionByName(x.select("publication_id", F.lit(block).alias("block"), "lesson_number", F.posexplode(lines).alias("pos", "line")).where("line is not null"))
+    from pyspark.sql import Window
+
+    order = Window.partitionBy("publication_id").orderBy("block", "lesson_number", "pos")
+    return rows.select("publication_id", F.row_number().over(order).alias("line_number"), "line")
+
+
+def _structure(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    lines = source_lines(spark, d)
+    return lines, structure.markers(lines), structure.contents_index(structure.contents_rows(lines, structure.contents_candidates(lines)))
+
+
+@query
+def active_page(spark, d):
+    x = structure.with_active_page(_page_lines(spark, d))
+    return x.groupBy("publication_id", "active_page").agg(F.min("line_number").alias("first_line"), F.count("*").alias("n_lines"))
+
+
+@query
+def structure_markers(spark, d):
+    return structure.markers(_page_lines(spark, d))
+
+
+@query
+def contents_candidates(spark, d):
+    return structure.contents_candidates(source_lines(spark, d))
+
+
+@query
+def contents_entries(spark, d):
+    return _structure(spark, d)[2]
+
+
+@query
+def lesson_segments(spark, d):
+    lines, marks, contents = _structure(spark, d)
+    return segments.segments(contents, marks, lines)
+
+
+@query
+def header_fallback_segments(spark, d):
+    return segments.from_headers(structure.markers(_page_lines(spark, d))).select("publication_id", "lesson_number", "start_line", "marker")
+
+
+@query
+def duplicate_headers(spark, d):
+    return segments.observed_headers(structure.markers(_page_lines(spark, d))).where("n > 1")
+
+
+@query
+def segment_validation(spark, d):
+    """The seven checks, with the headers observed on the real pages against the composed contents."""
+    lines, marks, contents = _structure(spark, d)
+    seen = structure.markers(_page_lines(spark, d))
+    return segments.messages(table(spark, d, "page_quality"), contents, segments.segments(contents, marks, lines), seen)
+
+
+@query
+def segment_status(spark, d):
+    return segments.validation_status(table(spark, d, "page_quality"), segment_validation(spark, d))
+
+
+# ---- sections
+
+
+def _sections(spark, d):
+    lines, marks, contents = _structure(spark, d)
+    body = sections.segment_lines(lines, segments.from_headers(marks).withColumn("end_line", F.col("start_line") + 17))
+    return body, sections.labels(body)
+
+
+@query
+def section_labels(spark, d):
+    return _sections(spark, d)[1]
+
+
+@query
+def biblical_reading(spark, d):
+    return sections.readings(*_sections(spark, d))
+
+
+@query
+def section_blocks(spark, d):
+    return sections.blocks(*_sections(spark, d)).select(*sections.KEY, "line_number", "text")
+
+
+@query
+def outline_blocks(spark, d):
+    return sections.outlines(*_sections(spark, d)).select(*sections.KEY, "line_number", "text")
+
+
+@query
+def merged_prose(spark, d):
+    return sections.merge_prose(sections.blocks(*_sections(spark, d)))
+
+
+@query
+def section_traces(spark, d):
+    body, found = _sections(spark, d)
+    return sections.traces(sections.blocks(body, found).unionByName(sections.outlines(body, found)))
+
+
+# ---- references
+
+
+@query
+def parsed_references(spark, d):
+    return references.parse(table(spark, d, "biblical_readings"), ["reading_id"])
+
+
+@query
+def unresolved_references(spark, d):
+    return references.unresolved(table(spark, d, "biblical_readings"), ["reading_id"])
+
+
+@query
+def verse_ranges(spark, d):
+    x = references.parts(table(spark, d, "biblical_readings"), ["reading_id"]).where("verses <> ''")
+    return x.select("reading_id", "part_no", F.posexplode(references.verse_ranges(F.col("verses"))).alias("pos", "r")).select("reading_id", "part_no", "pos", "r.verse_start", "r.verse_end")
+
+
+# ---- documents
+
+
+def drafts(spark, d) -> DataFrame:
+    """Drafts of all lessons: readings as delivered, items of every other lesson from the composed sections."""
+    s = lessons(spark, d)
+    seg = s.select("publication_id", "lesson_number", (F.col("lesson_number") * 10).cast("int").alias("start_line"), F.lit("Contenido").alias("marker"), F.lit(None).cast("int").alias("end_line"), F.lit(None).cast("int").alias("page_end"), "page_start", "expected_title", F.col("page_start").alias("expected_page_start"), "lesson_date")
+    last = table(spark, d, "biblical_readings").groupBy("publication_id", "lesson_number").agg(F.max_by(F.struct("reference_display", "canonical_references"), "reading_id").alias("x")).select("publication_id", "lesson_number", "x.*")
+    t = F.coalesce("expected_title", F.lit(""))
+    rows = F.array(
+        F.struct(F.lit("lesson_outline").alias("section"), F.array(F.concat(F.lit("I. "), t), F.lit("A. punto"), F.lit(" "), F.lit("(Juan 3:16)")).alias("items")),
+        F.struct(F.lit("teacher_notes").alias("section"), F.when(F.col("lesson_number") % 2 == 0, F.array(t, F.concat(F.lit("¿"), t, F.lit("?")))).alias("items")),
+        F.struct(F.lit("summary_application").alias("section"), F.when(F.col("lesson_number") % 3 == 0, F.array(F.lit("Resumen final"))).alias("items")),
+    )
+    items = s.select("publication_id", "lesson_number", F.explode(rows).alias("r")).select("publication_id", "lesson_number", "r.*").where("items is not null")
+    return documents.draft_lessons(seg, last, items)
+
+
+@query
+def draft_lessons(spark, d):
+    r = "lesson_sections.biblical_reading"
+    return drafts(spark, d).select(
+        "publication_id", "lesson_number", "lesson_id", "year", "title", F.col("page_range.start").alias("page_start"), F.col("page_range.end").alias("page_end"), F.col(f"{r}.reference_display").alias("reference_display"),
+        F.size(f"{r}.canonical_references").alias("n_references"), F.array_join("lesson_sections.teacher_notes.items", "|").alias("teacher_notes"), F.col("processing_audit.review_status").alias("review_status"),
+    )
+
+
+KEY = ["publication_id", "lesson_number"]
+
+
+def damaged(spark, d) -> DataFrame:
+    """Drafts with fields taken away by lesson number, to exercise the checks."""
+    x, n = drafts(spark, d), F.col("lesson_number")
+    x = x.withColumn("title", F.when(n % 7 == 0, F.lit(" ")).otherwise(F.col("title")))
+    x = x.withColumn("language", F.when(n % 11 == 0, F.lit(None).cast("string")).otherwise(F.col("language")))
+    x = x.withColumn("source_trace", F.col("source_trace").withField("source_pdf", F.when(n % 5 == 0, F.lit("")).otherwise(F.col("source_trace.source_pdf"))))
+    policy = F.col("lesson_sections.biblical_reading.replacement_policy").withField("provider", F.when(n % 6 == 0, F.lit("other")).otherwise(F.lit("api.bible")))
+    return x.withColumn("lesson_sections", F.col("lesson_sections").withField("biblical_reading.replacement_policy", policy))
+
+
+@query
+def missing_fields(spark, d):
+    return documents.missing_fields(damaged(spark, d), KEY).select(*KEY, "rule", "path")
+
+
+@query
+def reading_policy_errors(spark, d):
+    return documents.reading_errors(damaged(spark, d), KEY)
+
+
+@query
+def placeholder_leaves(spark, d):
+    return documents.placeholders(drafts(spark, d), KEY)
+
+
+@query
+def first_error(spark, d):
+    return documents.first_error(damaged(spark, d), KEY)
+
+
+@query
+def draft_paths(spark, d):
+    return documents.draft_paths(drafts(spark, d))
+
+
+# ---- indexes
+
+
+@query
+def index_items(spark, d):
+    return indexes.item_table(drafts(spark, d))
+
+
+@query
+def index_header(spark, d):
+    return indexes.header(drafts(spark, d), "compact_lessons", scope="provisional_unreviewed")
+
+
+@query
+def lessons_index(spark, d):
+    return indexes.lessons_index(drafts(spark, d))
+
+
+@query
+def compact_index(spark, d):
+    return indexes.compact_index(drafts(spark, d))
+
+
+@query
+def section_outline_index(spark, d):
+    return indexes.section_outline_index(drafts(spark, d))
+
+
+@query
+def translation_alignment_index(spark, d):
+    return indexes.translation_index(drafts(spark, d))
+
+
+@query
+def scripture_index(spark, d):
+    return indexes.scripture_index(drafts(spark, d))
+
+
+@query
+def family_counts(spark, d):
+    return indexes.family_counts(drafts(spark, d))
+
+
+# ---- audits
+
+
+@query
+def listing_sync(spark, d):
+    p = table(spark, d, "part")
+    local = p.where("p_partkey % 7 <> 0").select(F.concat(F.lit("f"), F.col("p_partkey").cast("string"), F.lit(".pdf")).alias("name"), F.col("p_size").cast("bigint").alias("size"))
+    remote = p.where("p_partkey % 11 <> 0").select(F.col("p_partkey").alias("position"), F.concat(F.lit("f"), F.col("p_partkey").cast("string"), F.lit(".pdf")).alias("Name"), F.lit(None).cast("string").alias("Path"), (F.col("p_size") + F.when(F.col("p_partkey") % 13 == 0, 1).otherwise(0)).cast("bigint").alias("Size"), (F.col("p_partkey") % 17 == 0).alias("IsDir"))
+    return audits.listing_sync(local, audits.remote_listing(remote))
+
+
+@query
+def missing_sections(spark, d):
+    body, found = _sections(spark, d)
+    seg = lessons(spark, d).select("publication_id", "lesson_number", "page_start", F.lit(None).cast("int").alias("page_end"))
+    return audits.missing_sections(found.where("lesson_number % 4 <> 0 or section = 'biblical_reading'"), seg)
+
+
+@query
+def missing_totals(spark, d):
+    return audits.missing_totals(missing_sections(spark, d))
+
+
+@query
+def profile_completeness(spark, d):
+    return audits.profile_completeness(drafts(spark, d), treat_placeholder_missing=True)
+
+
+@query
+def review_statuses(spark, d):
+    return audits.review_statuses(drafts(spark, d))
+
+
+@query
+def id_consistency(spark, d):
+    """Stored lesson ids of readings against the ids composed from their numbers."""
+    x = table(spark, d, "biblical_readings").select("reading_id", "lesson_id", F.format_string("-C1-%03d", "lesson_number").alias("tail"))
+    return audits.id_mismatches(x, "tail", "lesson_id", contains=True)
+
+
+@query
+def pipeline_summary(spark, d):
+    x = drafts(spark, d)
+    views = {"lessons": x, "section_outline": indexes.section_outline_index(x), "items": indexes.item_table(x), "scripture": indexes.scripture_index(x)}
+    return audits.index_cardinality(views)
