@@ -169,10 +169,12 @@ def is_placeholder(c: Column) -> Column:
 
 def placeholders(lessons: DataFrame, key: list[str]) -> DataFrame:
     """(key, path, value) of every string that only holds a place, anywhere in the document."""
-    leaves = []
-    for path, kind in string_leaves(lessons.schema):
+
+    def leaf(path: str, kind: str) -> Column:
         values = F.col(path) if kind == "many" else F.array(F.col(path))
-        leaves.append(F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v, p=path: F.struct(F.lit(p).alias("path"), v.alias("value"))))
+        return F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v: F.struct(F.lit(path).alias("path"), v.alias("value")))
+
+    leaves = [leaf(path, kind) for path, kind in string_leaves(lessons.schema)]
     flat = lessons.select(*key, F.explode(F.concat(*leaves)).alias("leaf")).select(*key, "leaf.*")
     return flat.where(F.col("value").isNotNull() & is_placeholder(F.col("value")))
 
