@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from ..dictionaries import CITED_BOOKS, CONTENTS_LABELS, PUNCTUATION, SECTION_LABELS, STANDALONE
 
 #: Everything str.strip() takes off.
-SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0               　"
+SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 #: What ends a line besides \n.
-LINE_END = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
+LINE_END = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 WORD = "[\\p{L}\\p{N}]+(?:['\\-][\\p{L}\\p{N}]+)?"
 
 

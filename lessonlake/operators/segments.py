@@ -32,7 +32,7 @@ def from_contents(contents: DataFrame, markers: DataFrame, lines: DataFrame) ->
         "lesson_number",
         F.coalesce("start_at", F.lit(0)).alias("start_line"),
         F.lit("Contenido").alias("marker"),
-        F.coalesce(F.greatest(F.lit(0), F.col("next_at") - 1), "total_lines").alias("end_line"),
+        F.when(F.col("next_at").isNotNull(), F.greatest(F.lit(0), F.col("next_at") - 1)).otherwise(F.col("total_lines")).alias("end_line"),
         "page_start",
         "page_end",
         F.col("title").alias("expected_title"),

@@ -7,13 +7,14 @@ of a whole publication through one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..dictionaries import MARKER_LABELS
 from ..functions import text as T
 
-ORDER = Window.partitionBy("publication_id").orderBy("line_number")
+def order() -> WindowSpec:
+    return Window.partitionBy("publication_id").orderBy("line_number")
 
 
 def latest_pages(pages: DataFrame) -> DataFrame:
@@ -41,7 +42,7 @@ def marker_page() -> Column:
 
 def with_active_page(lines: DataFrame) -> DataFrame:
     """Adds the page a line stands on: that of the last page marker up to it."""
-    return lines.withColumn("active_page", F.last(marker_page(), True).over(ORDER.rowsBetween(Window.unboundedPreceding, 0)))
+    return lines.withColumn("active_page", F.last(marker_page(), True).over(order().rowsBetween(Window.unboundedPreceding, 0)))
 
 
 LESSON_HEADER = "(?iu)^\\s*LECCI[OÓ]N\\s+(\\d+)(?![\\p{L}\\p{N}_])"
@@ -50,7 +51,7 @@ LESSON_HEADER = "(?iu)^\\s*LECCI[OÓ]N\\s+(\\d+)(?![\\p{L}\\p{N}_])"
 def markers(lines: DataFrame) -> DataFrame:
     """(publication_id, line_number, marker_type, text): page markers where the page changes, lesson headers, labels."""
     paged = with_active_page(lines)
-    before = F.lag("active_page").over(ORDER)
+    before = F.lag("active_page").over(order())
     kind = (
         F.when(F.col("active_page").isNotNull() & (before.isNull() | (F.col("active_page") != before)), "page_marker")
         .when(F.col("line").rlike(LESSON_HEADER), "lesson_header")
@@ -128,8 +129,8 @@ def reflow(lines: DataFrame) -> DataFrame:
     s = T.strip(F.col("line"))
     stands = T.is_structural(F.col("line"))
     x = lines.withColumn("s", s).withColumn("stands", stands)
-    breaks = F.when(F.col("stands") | F.coalesce(F.lag("stands").over(ORDER), F.lit(True)), 1).otherwise(0)
-    x = x.withColumn("b", breaks).withColumn("paragraph", F.sum("b").over(ORDER.rowsBetween(Window.unboundedPreceding, 0)))
+    breaks = F.when(F.col("stands") | F.coalesce(F.lag("stands").over(order()), F.lit(True)), 1).otherwise(0)
+    x = x.withColumn("b", breaks).withColumn("paragraph", F.sum("b").over(order().rowsBetween(Window.unboundedPreceding, 0)))
     return (
         x.groupBy("publication_id", "paragraph")
         .agg(F.min("line_number").alias("first_line"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_number", "s"))), lambda r: r["s"]), " ").alias("text"))

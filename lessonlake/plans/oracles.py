@@ -237,7 +237,7 @@ pg as (select publication_id, regexp_extract(text, 'PDF_PAGE\\s+(\\d+)', 1)::int
 tt as (select a.publication_id, a.total_lines, b.total_pages from (select publication_id, max(line_number) total_lines from src group by 1) a left join (select publication_id, max(page) total_pages from pg group by 1) b on a.publication_id = b.publication_id),
 sg0 as (select co.*, lead(page_start) over (partition by publication_id order by line_number) nxt from co),
 sg1 as (select sg0.*, tt.total_lines, case when nxt is not null then greatest(page_start, nxt - 1) else tt.total_pages end page_end from sg0 left join tt on sg0.publication_id = tt.publication_id),
-sg as (select x.publication_id, lesson_number, coalesce(a.line_number, 0) start_line, 'Contenido' marker, coalesce(greatest(0, b.line_number - 1), total_lines) end_line, page_start, page_end, title expected_title, page_start expected_page_start, lesson_date
+sg as (select x.publication_id, lesson_number, coalesce(a.line_number, 0) start_line, 'Contenido' marker, case when b.line_number is not null then greatest(0, b.line_number - 1) else total_lines end end_line, page_start, page_end, title expected_title, page_start expected_page_start, lesson_date
  from sg1 x left join pg a on a.publication_id = x.publication_id and a.page = x.page_start left join pg b on b.publication_id = x.publication_id and b.page = x.page_end + 1
  union all select publication_id, regexp_extract(text, '(\\d+)', 1)::int, line_number, text, null, null, null, null, null, null from mk where marker_type = 'lesson_header' and publication_id not in (select publication_id from co))
 """
