@@ -1,9 +1,9 @@
 """Problem 2: lines repeated across one source's documents.
 
-Line keys (case, blanks and numbers folded) are counted per source in two passes with map-side
-aggregation: row counts of all keys, then exact distinct page numbers inside and outside the source for
-keys that occur three times or more. A log-likelihood ratio compares the rate within the source with the
-rate elsewhere; Benjamini-Hochberg over all tested keys sets its threshold from a histogram. Keys that are
+Line keys (case, blanks and numbers folded, encoding and look-alikes repaired) are counted per source by hash
+with map-side aggregation; page numbers are told apart in a second pass for keys that may be in excess. A log-likelihood ratio compares the rate of each key on more than `share` of
+its source's pages with its rate elsewhere; Benjamini-Hochberg over all tested keys, ranked from a histogram
+of those, sets its threshold. Keys that are
 in significant excess and on more than `share` of the source's pages are removed: each page is joined with
 its source's keys (at most lines-per-page / share of them), lines that equal a key after restoring
 encoding and look-alikes, or differ from it by a few characters, are dropped and the rest reassembled.
@@ -29,10 +29,9 @@ MANY_BLANKS = re.compile(r"[ \t\r   ]+")
 DIGITS = re.compile(r"[0-9]+")
 
 
-def line_keys(text: Column) -> Column:
-    """Distinct folded lines of a text: lower case, blanks collapsed, runs of digits as #; only lines with a letter."""
-    t = F.regexp_replace(F.regexp_replace(F.translate(F.lower(text), "0123456789\t\r", "##########  "), "  +", " "), "##+", "#")
-    return F.array_distinct(F.filter(F.transform(F.split(t, "\n"), F.trim), lambda x: x.rlike("\\p{L}")))
+def page_keys(text: str, model: LookalikeModel) -> list[str]:
+    """The folded lines of a text: readable, lower case, blanks collapsed, runs of digits as #."""
+    return [" ".join(x.split()) for x in DIGITS.sub("#", readable(text, model).lower()).split("\n")]
 
 
 def fold_line(line: str) -> str:
@@ -49,44 +48,42 @@ def _g2(k1: Column, n1: Column, k2: Column, n2: Column) -> Column:
     return F.when((k1 / n1 > k2 / F.greatest(n2, F.lit(1))) & (p < 1), 2 * (ll(k1, n1, p) + F.when(n2 > 0, ll(k2, n2, p)).otherwise(0.0))).when(p >= 1, 1e6).otherwise(0.0)
 
 
-def excess_keys(pages: DataFrame, source: str = "publication_id", number: str = "page_number", text: str = "text", share: float = 0.08, fdr: float = 0.01) -> DataFrame:
+def excess_keys(pages: DataFrame, bigrams: dict[str, int], source: str = "publication_id", number: str = "page_number", text: str = "text", share: float = 0.08, fdr: float = 0.01) -> DataFrame:
     """(source, key, pages, share, g2) of the line keys in significant excess within their source."""
-    lines = pages.where(F.col(source).isNotNull() & F.col(text).isNotNull()).select(source, number, F.explode(line_keys(F.col(text))).alias("key")).withColumn("h", F.xxhash64("key"))
-    sizes = pages.groupBy(source).agg(F.count_distinct(number).alias("n1"))
-    counts = lines.groupBy(source, "h").agg(F.count("*").alias("c"))
-    tested = counts.agg(F.count("*").alias("m"), F.lit(1).alias("one"))
-    often = counts.where("c >= 3").select("h").distinct()
-    each = (
-        lines.join(often, "h", "left_semi")
-        .groupBy(source, "h", number)
-        .agg(F.max("key").alias("key"))
-        .groupBy(source, "h")
-        .agg(F.max("key").alias("key"), F.count("*").alias("k1"))
-    )
-    each = cut(each)
-    total = each.groupBy("h").agg(F.sum("k1").alias("k"))
+    model = LookalikeModel(bigrams)
+
+    def fn(sources, texts, numbers):
+        for s, t, n in zip(sources, texts, numbers, strict=True):
+            for key in set(page_keys(t, model)):
+                if len(key) > 1 and key.lower() != key.upper():
+                    yield s, key, n
+
+    filled = pages.where(F.col(source).isNotNull() & F.col(text).isNotNull())
+    lines = map_rows(filled.select(source, text, F.col(number).cast("bigint")), f"{source} string, key string, number bigint", fn).withColumn("h", F.xxhash64("key"))
+    counts = cut(lines.groupBy(source, "h").agg(F.count("*").alias("c")))  # hashes only: small rows, combined before the shuffle
+    sizes = pages.where(F.col(source).isNotNull()).groupBy(source).agg(F.count_distinct(number).alias("n1"))
+    often = cut(counts.where("c >= 3").join(sizes, source).where(F.col("c") > share * F.col("n1")).select(source, "h", "n1"))
+    names = often.select("h").distinct()
+    total = counts.join(names, "h", "left_semi").groupBy("h").agg(F.sum("c").alias("k"))
+    tested = counts.agg(F.count("*").alias("m"))
     pages_all = sizes.agg(F.sum("n1").alias("n"))
-    scored = (
-        each.join(total, "h")
-        .join(sizes, source)
-        .crossJoin(F.broadcast(pages_all))  # one row
-        .withColumn("g2", _g2(F.col("k1"), F.col("n1"), F.col("k") - F.col("k1"), F.col("n") - F.col("n1")))
-        .select(source, "key", F.col("k1").alias("pages"), (F.col("k1") / F.col("n1")).alias("share"), "g2")
-    )
-    scored = cut(scored)
-    m = tested.first()["m"]
-    bins = scored.groupBy(F.least(F.floor(F.col("g2") * 4), F.lit(4000)).alias("bin")).count().collect()  # at most 4,001 rows
+    # a page extracted twice counts once: the lines with such a key again, with their page numbers
+    again = lines.join(names, "h", "left_semi").groupBy(source, "h", "number").agg(F.max("key").alias("key")).groupBy(source, "h").agg(F.max("key").alias("key"), F.count("*").alias("k1"))
+    exact = often.join(again, [source, "h"]).join(total, "h").crossJoin(F.broadcast(tested)).crossJoin(F.broadcast(pages_all))  # one row each
+    k, k1 = F.greatest("k", "k1"), F.col("k1")
+    scored = cut(exact.withColumn("g2", _g2(k1, F.col("n1"), k - k1, F.col("n") - F.col("n1"))).select(source, "key", k1.alias("pages"), (k1 / F.col("n1")).alias("share"), "g2", "m"))
+    bins = scored.groupBy(F.least(F.floor(F.col("g2") * 4), F.lit(4000)).alias("bin")).agg(F.count("*").alias("n"), F.max("m").alias("m")).collect()  # at most 4,001 rows
     threshold, rank = 1e9, 0
     for b in sorted(bins, key=lambda r: -r["bin"]):
-        rank += b["count"]
-        if math.erfc(math.sqrt(max(0.0, b["bin"] / 4) / 2)) <= fdr * rank / max(1, m):
+        rank += b["n"]
+        if math.erfc(math.sqrt(max(0.0, b["bin"] / 4) / 2)) <= fdr * rank / max(1, b["m"]):
             threshold = b["bin"] / 4
-    return scored.where((F.col("share") > share) & (F.col("g2") >= threshold))
+    return scored.where((F.col("share") > share) & (F.col("g2") >= threshold)).drop("m")
 
 
 def within(a: str, b: str, most: int) -> bool:
     """Is the edit distance of a and b at most `most`? Cells off the band are skipped."""
-    if abs(len(a) - len(b)) > most:
+    if abs(len(a) - len(b)) > most or most < len(a) and len(set(a) - set(b)) > most:
         return False
     while a and b and a[0] == b[0]:
         a, b = a[1:], b[1:]
@@ -111,28 +108,44 @@ def within(a: str, b: str, most: int) -> bool:
     return row[len(b)] <= most
 
 
+# Words too common to tell a line by.
+COMMON = frozenset("# · — - © | / a al con de del el en la las los no para por su un una y".split())
+
+
 class Matcher:
     """Finds damaged copies of one source's keys: shared words first, then edit distance up to a quarter of the key."""
 
     def __init__(self, keys: list[str]):
         self.exact = set(keys)
         self.words: dict[str, list[int]] = {}
-        self.keys = [(k, max(2, len(k) // 4), len(set(k.split()))) for k in keys]
+        self.keys = [(k, len(k) // 4 if len(k) > 11 else 1, len(set(k.split()) - COMMON)) for k in keys]
         for i, k in enumerate(keys):
-            for w in set(k.split()):
+            for w in set(k.split()) - COMMON:
                 self.words.setdefault(w, []).append(i)
-        self.memo: dict[str, bool] = {}
+        self.telling = frozenset(self.words)
+        # damage may leave no word of a short key whole: lines of its length are compared outright
+        self.short = [(k, len(k) // 4 if len(k) > 11 else 1) for k, _, n in self.keys if n <= 3]
+        self.reach = max((len(k) + m for k, m in self.short), default=0)
+        self.least = min((len(k) - m for k, m, _ in self.keys), default=1)
+        self.most = max((len(k) + m for k, m, _ in self.keys), default=0)
 
     def hit(self, key: str) -> bool:
         if key in self.exact:
             return True
+        if not self.least <= len(key) <= self.most:
+            return False
+        if len(key) <= self.reach and any(abs(len(k) - len(key)) <= m and within(k, key, m) for k, m in self.short):
+            return True
+        words = key.split()
+        if self.telling.isdisjoint(words):
+            return False
         shared: dict[int, int] = {}
-        for w in set(key.split()):
+        for w in set(words):
             for i in self.words.get(w, ()):
                 shared[i] = shared.get(i, 0) + 1
         for i, n in shared.items():
-            k, most, words = self.keys[i]
-            if n * 4 >= words and abs(len(k) - len(key)) <= most and within(k, key, most):
+            k, most, size = self.keys[i]
+            if n * 4 >= size and abs(len(k) - len(key)) <= most and within(k, key, most):
                 return True
         return False
 
@@ -144,22 +157,22 @@ def readable(text: str, model: LookalikeModel) -> str:
 
 def repeated_lines(text: str, matcher: Matcher, model: LookalikeModel) -> list[int]:
     """The numbers (from 1) of the lines that are copies of a key."""
-    folded = DIGITS.sub("#", readable(text, model).lower()).split("\n")
-    out = []
-    for i, line in enumerate(folded, 1):
-        key = " ".join(line.split())
-        if key and matcher.hit(key) and any(map(str.isalpha, key)):
-            out.append(i)
-    return out
+    hit = matcher.hit
+    return [i for i, key in enumerate(page_keys(text, model), 1) if key and hit(key) and key.lower() != key.upper()]
+
 
+def with_keys(pages: DataFrame, keys: DataFrame, source: str = "publication_id", number: str = "page_number", bucket: int = 16) -> DataFrame:
+    """Each page with the array of its source's keys, for a map over whole pages.
 
-def with_keys(pages: DataFrame, keys: DataFrame, source: str = "publication_id") -> DataFrame:
-    """Each page with the array of its source's keys, for a map over whole pages."""
+    The join is on (source, page number / bucket), so a hot source is spread over its buckets.
+    """
+    at = F.floor(F.col(number) / bucket).alias("bucket")
     by = keys.groupBy(source).agg(F.sort_array(F.collect_list("key")).alias("keys"))
-    return pages.join(by, source, "left")
+    places = pages.where(F.col(source).isNotNull()).select(source, at).distinct().join(by, source)
+    return pages.withColumn("bucket", at).join(places, [source, "bucket"], "left").drop("bucket")
 
 
-def mark(pages: DataFrame, keys: DataFrame, bigrams: dict[str, int], rows, schema: str, key: str = "page_id", source: str = "publication_id", text: str = "text") -> DataFrame:
+def mark(pages: DataFrame, keys: DataFrame, bigrams: dict[str, int], rows, schema: str, key: str = "page_id", source: str = "publication_id", number: str = "page_number", text: str = "text") -> DataFrame:
     """Maps rows(key, text, line numbers of repeated lines) over all pages."""
     model = LookalikeModel(bigrams)
     known: dict[tuple[str, ...], Matcher] = {}
@@ -177,7 +190,7 @@ def mark(pages: DataFrame, keys: DataFrame, bigrams: dict[str, int], rows, schem
                 m = known[at] = Matcher(ks)
             yield from rows(k, t, repeated_lines(t, m, model))
 
-    return map_rows(with_keys(pages.select(key, source, text), keys, source).select(key, text, "keys"), schema, fn)
+    return map_rows(with_keys(pages.select(key, source, number, text), keys, source, number).select(key, text, "keys"), schema, fn)
 
 
 def found(pages: DataFrame, keys: DataFrame, bigrams: dict[str, int]) -> DataFrame:

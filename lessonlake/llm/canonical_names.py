@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from .chars import LOOKALIKE
 
-WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "     　"
-PLAIN = "".join(chr(c) for c in range(0x21, 0x7F)) + "      "
+BLANKS = "\xa0\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + BLANKS
+PLAIN = "".join(chr(c) for c in range(0x21, 0x7F)) + " " * len(BLANKS)
 ACCENTS, BARE = "áàâäãéèêëíìîïóòôöõúùûüñç", "aaaaaeeeeiiiiooooouuuunc"
 IGNORABLE = "[­͏​-‏‪-‮⁠-⁤﻿̀-ͯ]"
 

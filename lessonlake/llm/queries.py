@@ -29,12 +29,14 @@ def p1_unmatched(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "page_quality")
-    return boilerplate.found(pages, boilerplate.excess_keys(pages), _bigrams(spark, d))
+    bigrams = _bigrams(spark, d)
+    return boilerplate.found(pages, boilerplate.excess_keys(pages, bigrams), bigrams)
 
 
 def p2_clean_pages(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "page_quality")
-    return boilerplate.clean(pages, boilerplate.excess_keys(pages), _bigrams(spark, d))
+    bigrams = _bigrams(spark, d)
+    return boilerplate.clean(pages, boilerplate.excess_keys(pages, bigrams), bigrams)
 
 
 def _p3(spark: SparkSession, d: str) -> tuple:
@@ -42,7 +44,7 @@ def _p3(spark: SparkSession, d: str) -> tuple:
     titles = table(spark, d, "lesson_segments").select("publication_id", F.col("expected_title").alias("title"), F.col("page_start").alias("first"), F.col("page_end").alias("last"))
     bigrams, words, compounds = scan_noise.count_words(pages)
     vectors = scan_noise.learn_vectors(pages, words)
-    return pages, boilerplate.excess_keys(pages), titles, (words, compounds, vectors), bigrams
+    return pages, boilerplate.excess_keys(pages, bigrams), titles, (words, compounds, vectors), bigrams
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
