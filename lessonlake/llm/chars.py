@@ -100,7 +100,7 @@ def search_run(run: str, gain: float = 0.8, most: int = 400) -> tuple[str, tuple
     little for every step. Returns the text and the operations; the run itself and () if nothing is
     cheaper by `gain`. `most` bounds the states of one run; a run has few, since each decoding shortens it.
     """
-    start = text_cost(run)
+    start = text_cost(run) + 3.0 * (run[0] == "&")  # an escape is no text
     best, best_cost, best_path = run, start, ()
     queue, seen, n = [(start, 0, run, ())], {hash(run)}, 0
     while queue and n < most:

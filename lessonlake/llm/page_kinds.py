@@ -19,6 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from .base import map_rows
 
 KINDS = ("prose", "list", "table", "junk")
@@ -232,3 +233,32 @@ def classify(pages: DataFrame, model: Model, key: str = "page_id") -> DataFrame:
             yield i, n, *s, page_kind(s, n)
 
     return map_rows(pages.select(key, "text"), "page_id bigint, n_lines int, prose_share double, list_share double, table_share double, junk_share double, page_kind string", fn)
+
+
+# Common words of the corpus' languages.
+COMMON_WORDS = "a al como con cuando de del desde e el en entre es esta este la las lo los más no o otra otro para pero por que se según si sin sobre su sus un una y the of and to in is that for it as with do da os um uma não com".split()
+
+
+def statistics(pages: DataFrame, key: str = "page_id", text: str = "text") -> DataFrame:
+    """Plain figures of each text, right whatever is stored: counts, and ratios that are 0 for a text without the thing counted.
+
+    A null text counts as an empty one.
+    """
+    t = T.strip(F.coalesce(text, F.lit("")))
+    x = pages.select(key, t.alias("t")).withColumn("words", F.regexp_extract_all(F.lower("t"), F.lit(f"({T.WORD})"), 1)).withColumn("ls", T.filled_lines(F.col("t")))
+    n_words, n_lines = F.size("words"), F.size("ls")
+
+    def ratio(a, b):
+        return F.when(b > 0, a / b).otherwise(0.0)
+
+    return x.select(
+        key,
+        n_words.alias("word_count"),
+        ratio(F.aggregate("words", F.lit(0), lambda a, w: a + F.length(w)), n_words).alias("mean_word_length"),
+        ratio(F.length(F.regexp_replace("t", f"[\\p{{L}}\\p{{N}}{T.SPACE}]+", "")), F.length("t")).alias("symbol_ratio"),
+        ratio(F.size(F.filter("ls", lambda v: v.rlike("[.!?…:;,]$"))), n_lines).alias("punctuated_lines"),
+        ratio(F.size(F.filter("words", lambda w: w.isin(*COMMON_WORDS))), n_words).alias("common_words"),
+        T.valid_ratio(F.col("t")).alias("valid_char_ratio"),
+        ratio(F.size(F.filter("ls", lambda v: F.length(v) > 160)), n_lines).alias("long_line_ratio"),
+        T.malformed_citations(F.col("t")).alias("malformed_scripture_count"),
+    )

@@ -60,6 +60,10 @@ def p4_page_kinds(spark: SparkSession, d: str) -> DataFrame:
     return page_kinds.classify(pages, page_kinds.fit(pages, table(spark, d, "page_labels")))
 
 
+def p4_figures(spark: SparkSession, d: str) -> DataFrame:
+    return page_kinds.statistics(table(spark, d, "page_quality"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return p4_page_kinds(spark, d).where("page_kind <> 'prose'").select("page_id")
 
@@ -114,4 +118,4 @@ def p9_coverage(spark: SparkSession, d: str) -> DataFrame:
     return shared_spans.coverage(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_resolved, p1_unmatched, p2_found, p2_clean_pages, p3_found, p3_repaired_pages, p4_found, p4_page_kinds, p5_found, p5_restored, p6_found, p6_normalized, p7_packed, p7_fill, p8_mixture, p8_shares, p9_found, p9_coverage)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_resolved, p1_unmatched, p2_found, p2_clean_pages, p3_found, p3_repaired_pages, p4_found, p4_page_kinds, p4_figures, p5_found, p5_restored, p6_found, p6_normalized, p7_packed, p7_fill, p8_mixture, p8_shares, p9_found, p9_coverage)}
