@@ -65,7 +65,7 @@ def json_documents(spark: SparkSession, path: str, schema: str, tolerant: bool =
 
 def yaml_documents(spark: SparkSession, folder: str, schema: str, tolerant: bool = False) -> DataFrame:
     """One row per YAML mapping (path, document). Empty files give null fields; other roots fail or, if tolerant, too."""
-    raw = spark.read.option("pathGlobFilter", "*.y*ml").option("recursiveFileLookup", "true")
+    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.y*ml").option("recursiveFileLookup", "true")  # a text reader gives no row for an empty file
 
     def parse(batches: Iterator) -> Iterator:
         import yaml
@@ -82,7 +82,7 @@ def yaml_documents(spark: SparkSession, folder: str, schema: str, tolerant: bool
             yield pdf.assign(value=out)
 
     def read():
-        x = raw.text(folder, wholetext=True).withColumn("path", F.input_file_name()).mapInPandas(parse, "value string, path string")
+        x = raw.load(folder).select(F.decode("content", "UTF-8").alias("value"), "path").mapInPandas(parse, "value string, path string")
         return x.select("path", F.from_json("value", schema).alias("document"))
 
     return _or_empty(read, spark, f"path string, document struct<{','.join(f'{f.name}:{f.dataType.simpleString()}' for f in spark.createDataFrame([], schema).schema)}>")
@@ -98,7 +98,7 @@ def logged_pages(logs: DataFrame) -> DataFrame:
     """The pages of processing logs, one row each, keyed by the PDF's stem."""
     stem = F.regexp_extract("source_pdf", "([^/]+?)(?:\\.[^./]*)?$", 1)
     p = logs.select(stem.alias("publication_id"), F.explode("pages").alias("p")).select("publication_id", "p.*")
-    return p.select("publication_id", F.col("pdf_page").alias("page_number"), F.coalesce("word_count", F.lit(0)).alias("words"), F.col("quality_status").alias("gate_status"), F.coalesce("quality_issues", F.array().cast("array<string>")).alias("gate_issues"), F.when("ocr_applied", "ocr").otherwise("embedded").alias("source"))
+    return p.select("publication_id", F.col("pdf_page").alias("page_number"), F.coalesce("word_count", F.lit(0)).alias("words"), F.col("quality_status").alias("gate_status"), F.coalesce("quality_issues", F.array().cast("array<string>")).alias("gate_issues"), F.when(F.col("ocr_applied"), "ocr").otherwise("embedded").alias("source"))
 
 
 def section_metadata(documents: DataFrame) -> DataFrame:
