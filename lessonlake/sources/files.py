@@ -64,8 +64,9 @@ def json_documents(spark: SparkSession, path: str, schema: str, tolerant: bool =
 
 
 def yaml_documents(spark: SparkSession, folder: str, schema: str, tolerant: bool = False) -> DataFrame:
-    """One row per YAML mapping (path, document). Empty files give null fields; other roots fail or, if tolerant, too."""
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.y*ml").option("recursiveFileLookup", "true")  # a text reader gives no row for an empty file
+    """One row per YAML mapping (path, document). Files without a value give null fields; other roots fail or, if
+    tolerant, do too. Spark lists no file of zero bytes, so those give no row: join with the expected files."""
+    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.y*ml").option("recursiveFileLookup", "true")
 
     def parse(batches: Iterator) -> Iterator:
         import yaml

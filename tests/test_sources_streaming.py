@@ -42,7 +42,7 @@ def test_yaml_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("a/x.yaml", "Título", ["uno", "dos"])], "path string, title string, items array<string>")
     sinks.write_yaml(df, str(tmp_path))
     assert yaml.safe_load((tmp_path / "a/x.yaml").read_text()) == {"title": "Título", "items": ["uno", "dos"]}
-    (tmp_path / "b.yaml").write_text("")
+    (tmp_path / "b.yaml").write_text("# nothing\n")
     got = {r["title"] for r in files.yaml_documents(spark, str(tmp_path), "title string, items array<string>").select("document.*").collect()}
     assert got == {"Título", None}
 
