@@ -32,6 +32,8 @@ ORDINALS = {
     "2": "2 2da 2a 2do 2o 2nd ii segunda segundo second",
     "3": "3 3ra 3a 3er 3ro 3o 3rd iii tercera tercer tercero third",
 }
+# Letter groups that print is misread as, with the letter meant.
+GLYPHS = (("ii", "u"), ("ri", "n"), ("rn", "m"), ("lvl", "m"), ("cl", "d"), ("vv", "w"))
 # Words that may stand after a name and before a chapter.
 AFTER = ("cap", "caps", "capitulo", "capitulos")
 
@@ -86,7 +88,7 @@ def repairs(typed: DataFrame, vocabulary: DataFrame) -> DataFrame:
     n = F.greatest(F.length("token"), F.length("word"))
     initial = F.substring("token", 1, 1) == F.substring("word", 1, 1)
     short = F.least(F.length("token"), F.length("word"))
-    allowed = F.when(n <= 3, F.when(initial & (short == 3), 1).otherwise(0)).when(n <= 5, 1).when(n <= 8, F.when(initial, 2).otherwise(1)).otherwise(F.when(initial, 3).otherwise(2))
+    allowed = F.when(n <= 3, F.when(initial & (short == 3), 1).otherwise(0)).when(n <= 5, 1).when(n <= 6, F.when(initial, 2).otherwise(1)).otherwise(F.when(initial, 3).when(n <= 8, 1).otherwise(2))
     letters = F.col("token").rlike("[a-z]") & F.col("word").rlike("^[a-z]{3,}$")
     edited = near.where((dist == 0) | letters & (dist <= allowed)).select("token", "word", (1 - dist / (n + F.lit(0.0)) * 0.9).alias("sim"))
     starts = vocabulary.where(F.length("word") > 3).select("word", F.explode(F.sequence(F.lit(2), F.length("word") - 1)).alias("n")).select("word", F.substring(F.col("word"), F.lit(1), F.col("n")).alias("token"), F.when(F.col("n") > 2, 0.85).otherwise(0.5).alias("sim"))
@@ -95,6 +97,9 @@ def repairs(typed: DataFrame, vocabulary: DataFrame) -> DataFrame:
     bones = bones.select("word", F.substring(F.col("bone"), F.lit(1), F.col("n")).alias("token"), (F.lit(0.6) + F.col("n") * 0.02).alias("sim")).unionByName(
         bones.where("n > 2").select("word", F.concat(F.substring("bone", 1, 1), F.substring(F.col("bone"), F.col("n"), F.lit(1))).alias("token"), F.lit(0.55).alias("sim"))
     )
+    swaps = F.array(*[F.replace("token", F.lit(a), F.lit(b)) for a, b in GLYPHS])
+    glyphs = typed.select("token", F.explode(F.array_distinct(swaps)).alias("word")).where("word <> token").join(vocabulary.select("word"), "word").select("token", "word", F.lit(0.9).alias("sim"))
+    edited = edited.unionByName(glyphs)
     other = typed.join(starts.unionByName(bones), "token").select("token", "word", "sim")
     return edited.unionByName(other).groupBy("token", "word").agg(F.max("sim").alias("sim"))
 
