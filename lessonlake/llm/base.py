@@ -79,3 +79,18 @@ def map_rows(df: DataFrame, schema: str, fn: Callable[..., Iterator[tuple]], fin
                 yield pack(rows)
 
     return df.mapInArrow(run, fields)
+
+
+def map_columns(df: DataFrame, schema: str, fn: Callable[..., list[list]]) -> DataFrame:
+    """mapInArrow where fn gets a batch's columns as lists and returns whole result columns (lists or Arrow arrays)."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    fields = df.sparkSession.createDataFrame([], schema).schema
+    arrow = to_arrow_schema(fields)
+
+    def run(batches):
+        for batch in batches:
+            columns = fn(*(c.to_pylist() for c in batch.columns))
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+    return df.mapInArrow(run, fields)

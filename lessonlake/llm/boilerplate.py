@@ -1,7 +1,7 @@
 """Problem 2: lines repeated across one source's documents.
 
 Line keys (case, blanks and numbers folded, encoding and look-alikes repaired) are counted per source by hash
-with map-side aggregation; page numbers are told apart in a second pass for keys that may be in excess. A log-likelihood ratio compares the rate of each key on more than `share` of
+with map-side aggregation. A log-likelihood ratio compares the rate of each key on more than `share` of
 its source's pages with its rate elsewhere; Benjamini-Hochberg over all tested keys, ranked from a histogram
 of those, sets its threshold. Keys that are
 in significant excess and on more than `share` of the source's pages are removed: each page is joined with
@@ -16,26 +16,38 @@ group. Null texts have no lines. Lines without a letter are never removed.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import cut, map_rows
+from .base import cut, map_columns, map_rows
 from .chars import UNUSUAL, LookalikeModel, repair_encoding
 
-MANY_BLANKS = re.compile(r"[ \t\r   ]+")
-DIGITS = re.compile(r"[0-9]+")
+def fold_numbers(text: str) -> str:
+    """Every run of ASCII digits as one #."""
+    for d in "0123456789":
+        if d in text:
+            text = text.replace(d, "#")
+    while "##" in text:
+        text = text.replace("##", "#")
+    return text
 
 
-def page_keys(text: str, model: LookalikeModel) -> list[str]:
-    """The folded lines of a text: readable, lower case, blanks collapsed, runs of digits as #."""
-    return [" ".join(x.split()) for x in DIGITS.sub("#", readable(text, model).lower()).split("\n")]
+def folded_lines(text: str) -> list[str]:
+    """The lines of a readable lower-case text as keys: blanks collapsed, runs of digits as #."""
+    text = fold_numbers(text)
+    if "  " in text or "\t" in text or "\r" in text:
+        return [" ".join(x.split()) for x in text.split("\n")]
+    return list(map(str.strip, text.split("\n")))
 
 
-def fold_line(line: str) -> str:
-    return DIGITS.sub("#", MANY_BLANKS.sub(" ", line).strip().lower())
+def page_keys(text: str, model: LookalikeModel) -> list[str]:
+    """The folded lines of a text, encoding and look-alikes repaired."""
+    return folded_lines(readable(text, model).lower())
 
 
 def _g2(k1: Column, n1: Column, k2: Column, n2: Column) -> Column:
@@ -48,66 +60,130 @@ def _g2(k1: Column, n1: Column, k2: Column, n2: Column) -> Column:
     return F.when((k1 / n1 > k2 / F.greatest(n2, F.lit(1))) & (p < 1), 2 * (ll(k1, n1, p) + F.when(n2 > 0, ll(k2, n2, p)).otherwise(0.0))).when(p >= 1, 1e6).otherwise(0.0)
 
 
+#: Bits of the filter that spares most lines a join; a power of two, so its 2 MB do not grow with the data.
+FILTER = 1 << 24
+
+
+def key_hash(key: str) -> int:
+    """Spark's xxhash64 of a string, without its sign."""
+    return xxhash.xxh64_intdigest(key, 42)
+
+
+def filter_bits(names: DataFrame) -> bytes:
+    """A bitmap of FILTER bits with those of all hashes h set; at most FILTER / 32,768 rows of 4 KB reach the driver."""
+    at = F.col("h").bitwiseAND(F.lit(FILTER - 1))
+    rows = names.select(at.alias("at")).groupBy(F.shiftright("at", 15).alias("part")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position((at & 32767) + 1))").alias("bits")).collect()
+    out = bytearray(FILTER // 8)
+    for r in rows:
+        out[r["part"] * 4096 : (r["part"] + 1) * 4096] = r["bits"]
+    return bytes(out)
+
+
 def excess_keys(pages: DataFrame, bigrams: dict[str, int], source: str = "publication_id", number: str = "page_number", text: str = "text", share: float = 0.08, fdr: float = 0.01) -> DataFrame:
-    """(source, key, pages, share, g2) of the line keys in significant excess within their source."""
+    """(source, key, copies, share, g2) of the line keys in significant excess within their source; share is of its page numbers."""
     model = LookalikeModel(bigrams)
 
-    def fn(sources, texts, numbers):
-        for s, t, n in zip(sources, texts, numbers, strict=True):
-            for key in set(page_keys(t, model)):
-                if len(key) > 1 and key.lower() != key.upper():
-                    yield s, key, n
-
-    filled = pages.where(F.col(source).isNotNull() & F.col(text).isNotNull())
-    lines = map_rows(filled.select(source, text, F.col(number).cast("bigint")), f"{source} string, key string, number bigint", fn).withColumn("h", F.xxhash64("key"))
-    counts = cut(lines.groupBy(source, "h").agg(F.count("*").alias("c")))  # hashes only: small rows, combined before the shuffle
-    sizes = pages.where(F.col(source).isNotNull()).groupBy(source).agg(F.count_distinct(number).alias("n1"))
-    often = cut(counts.where("c >= 3").join(sizes, source).where(F.col("c") > share * F.col("n1")).select(source, "h", "n1"))
-    names = often.select("h").distinct()
-    total = counts.join(names, "h", "left_semi").groupBy("h").agg(F.sum("c").alias("k"))
+    def keys_of(text):
+        return [k for k in set(page_keys(text, model)) if len(k) > 1 and k.lower() != k.upper()]
+
+    def count(sources, texts, numbers):
+        hashes, ends = [], [0]
+        for t in texts:
+            hashes += map(key_hash, keys_of(t))
+            ends.append(len(hashes))
+        values = pa.array(np.array(hashes, dtype=np.uint64).view(np.int64))
+        return [sources, numbers, pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), values)]
+
+    filled = pages.where(F.col(source).isNotNull() & F.col(text).isNotNull()).select(source, text, F.coalesce(F.col(number).cast("bigint"), F.lit(-1)).alias("number"))
+    lines = map_columns(filled, f"{source} string, number bigint, hs array<bigint>", count).select(source, "number", F.explode("hs").alias("h"))
+    # hashes only: small rows, combined before the shuffle
+    counts = cut(lines.groupBy(source, "h").agg(F.count("*").alias("c"), F.max("number").alias("number")))
+    sizes = pages.where(F.col(source).isNotNull()).groupBy(source).agg(F.count_distinct(number).alias("n1"), F.count("*").alias("rows"))
+    often = cut(counts.where("c >= 3").join(sizes, source).where(F.col("c") > share * F.col("n1")))
+    total = counts.join(often.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.sum("c").alias("k"))
     tested = counts.agg(F.count("*").alias("m"))
-    pages_all = sizes.agg(F.sum("n1").alias("n"))
-    # a page extracted twice counts once: the lines with such a key again, with their page numbers
-    again = lines.join(names, "h", "left_semi").groupBy(source, "h", "number").agg(F.max("key").alias("key")).groupBy(source, "h").agg(F.max("key").alias("key"), F.count("*").alias("k1"))
-    exact = often.join(again, [source, "h"]).join(total, "h").crossJoin(F.broadcast(tested)).crossJoin(F.broadcast(pages_all))  # one row each
-    k, k1 = F.greatest("k", "k1"), F.col("k1")
-    scored = cut(exact.withColumn("g2", _g2(k1, F.col("n1"), k - k1, F.col("n") - F.col("n1"))).select(source, "key", k1.alias("pages"), (k1 / F.col("n1")).alias("share"), "g2", "m"))
+    rows_all = sizes.agg(F.sum("rows").alias("n"))
+
+    def lines_at(places: DataFrame) -> DataFrame:
+        """(source, number, key, h) of all lines of the given (source, number) places; others cost a look at a bit each."""
+        bits = filter_bits(places.select(F.xxhash64(F.concat_ws("\n", source, F.col("number").cast("string"))).alias("h")))
+
+        def named(sources, texts, numbers):
+            for s, t, n in zip(sources, texts, numbers, strict=True):
+                at = key_hash(f"{s}\n{n}") % FILTER
+                if bits[at >> 3] >> (at & 7) & 1:
+                    for k in keys_of(t):
+                        yield s, n, k
+
+        return map_rows(filled, f"{source} string, number bigint, key string", named).withColumn("h", F.xxhash64("key"))
+
+    # the key itself, from one page that has it
+    names = lines_at(often.select(source, "number")).join(often.select(source, "h", "number"), [source, "h", "number"]).groupBy(source, "h").agg(F.max("key").alias("key"))
+    exact = often.drop("number").join(names, [source, "h"]).join(total, "h").crossJoin(F.broadcast(tested)).crossJoin(F.broadcast(rows_all))  # one row each
+    k, c = F.greatest("k", "c"), F.col("c")
+    scored = cut(exact.withColumn("g2", _g2(c, F.col("rows"), k - c, F.col("n") - F.col("rows"))).select(source, "key", "h", "n1", "rows", "c", (c / F.col("n1")).alias("share"), "g2", "m"))
+    # a page extracted twice counts once: where that could decide, page numbers are told apart
+    unsure = scored.where(F.col("c") - (F.col("rows") - F.col("n1")) <= share * F.col("n1")).select(source, "h")
+    if not unsure.isEmpty():
+        apart = lines.join(unsure, [source, "h"], "left_semi").groupBy(source, "h", "number").count().groupBy(source, "h").agg(F.count("*").alias("apart"))
+        scored = cut(scored.join(apart, [source, "h"], "left").withColumn("share", F.coalesce(F.col("apart") / F.col("n1"), "share")).drop("apart"))
     bins = scored.groupBy(F.least(F.floor(F.col("g2") * 4), F.lit(4000)).alias("bin")).agg(F.count("*").alias("n"), F.max("m").alias("m")).collect()  # at most 4,001 rows
     threshold, rank = 1e9, 0
     for b in sorted(bins, key=lambda r: -r["bin"]):
         rank += b["n"]
         if math.erfc(math.sqrt(max(0.0, b["bin"] / 4) / 2)) <= fdr * rank / max(1, b["m"]):
             threshold = b["bin"] / 4
-    return scored.where((F.col("share") > share) & (F.col("g2") >= threshold)).drop("m")
+    return scored.where((F.col("share") > share) & (F.col("g2") >= threshold)).select(source, "key", F.col("c").alias("copies"), "share", "g2")
 
 
 def within(a: str, b: str, most: int) -> bool:
     """Is the edit distance of a and b at most `most`? Cells off the band are skipped."""
-    if abs(len(a) - len(b)) > most or most < len(a) and len(set(a) - set(b)) > most:
+    if abs(len(a) - len(b)) > most:
         return False
-    while a and b and a[0] == b[0]:
-        a, b = a[1:], b[1:]
-    while a and b and a[-1] == b[-1]:
-        a, b = a[:-1], b[:-1]
+    i, n = 0, min(len(a), len(b))
+    while i < n and a[i] == b[i]:
+        i += 1
+    a, b = a[i:], b[i:]
+    j, n = 0, min(len(a), len(b))
+    while j < n and a[-1 - j] == b[-1 - j]:
+        j += 1
+    a, b = a[: len(a) - j], b[: len(b) - j]
     if not a or not b:
         return len(a) + len(b) <= most
-    row = list(range(len(b) + 1))
+    far = most + 1
+    row = [j if j <= most else far for j in range(len(b) + 1)]
     for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
-        lo, hi = max(1, i - most), min(len(b), i + most)
-        if lo > 1:
-            row[lo - 1] = most + 1
-        best = row[0] if lo == 1 else most + 1
+        lo, hi = i - most if i > most else 1, i + most if i + most < len(b) else len(b)
+        last = row[lo - 1]
+        row[lo - 1] = left = i if lo == 1 and i <= most else far
+        best = left
         for j in range(lo, hi + 1):
-            cost = last if x == b[j - 1] else 1 + min(last, row[j] if j < i + most else most + 1, row[j - 1])
-            last, row[j] = row[j], cost
+            up = row[j]
+            if x == b[j - 1]:
+                cost = last
+            else:
+                cost = last if last < left else left
+                if up < cost:
+                    cost = up
+                cost += 1
+            last = up
+            row[j] = left = cost
             if cost < best:
                 best = cost
+        if hi < len(b):
+            row[hi + 1] = far
         if best > most:
             return False
     return row[len(b)] <= most
 
 
+def pieces(key: str, most: int) -> list[str]:
+    """most + 1 parts of a key: a text with at most `most` edits holds one of them whole."""
+    n = most + 1
+    cuts = [len(key) * i // n for i in range(n + 1)]
+    return [key[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
 # Words too common to tell a line by.
 COMMON = frozenset("# · — - © | / a al con de del el en la las los no para por su un una y".split())
 
@@ -124,19 +200,26 @@ class Matcher:
                 self.words.setdefault(w, []).append(i)
         self.telling = frozenset(self.words)
         # damage may leave no word of a short key whole: lines of its length are compared outright
-        self.short = [(k, len(k) // 4 if len(k) > 11 else 1) for k, _, n in self.keys if n <= 3]
-        self.reach = max((len(k) + m for k, m in self.short), default=0)
+        self.short = [(k, m, pieces(k, m)) for k, m, n in self.keys if n <= 3]
+        self.reach = max((len(k) + m for k, m, _ in self.short), default=0)
         self.least = min((len(k) - m for k, m, _ in self.keys), default=1)
         self.most = max((len(k) + m for k, m, _ in self.keys), default=0)
 
     def hit(self, key: str) -> bool:
-        if key in self.exact:
-            return True
+        return key in self.exact or self.near(key, key.split())
+
+    def near(self, key: str, words: list[str]) -> bool:
+        """Is a key that is no exact copy a damaged one? words: those of its line."""
         if not self.least <= len(key) <= self.most:
             return False
-        if len(key) <= self.reach and any(abs(len(k) - len(key)) <= m and within(k, key, m) for k, m in self.short):
-            return True
-        words = key.split()
+        if len(key) <= self.reach:
+            for k, m, parts in self.short:
+                if -m <= len(k) - len(key) <= m:
+                    for part in parts:
+                        if part in key:
+                            if within(k, key, m):
+                                return True
+                            break
         if self.telling.isdisjoint(words):
             return False
         shared: dict[int, int] = {}
