@@ -192,10 +192,13 @@ HYPHENS = re.compile("[‐‑‒−﹣－]")
 KEPT = set("ªº²³¹½¼¾…´¨¯¸µ™ⁿ⅓⅔⅛") | {chr(c) for c in range(0x2070, 0x209D)} | {chr(c) for c in range(0x2150, 0x2190)} | {"″", "‴", "№"}
 COMPAT = re.compile("[ſĲĳĿŀŉǄ-ǌʰ-ʸ․-…₨℀-⅏Ⅰ-ⅿ①-⓿㈀-㏿ﬀ-ﬆ︰-﹯！-～￠-￮\U0001d400-\U0001d7ff]")
 OTHER_SCRIPT = re.compile("[ıɑɡͰ-ϿЀ-ԯԱ-֏ἀ-῿]")
-TOKEN = re.compile(r"[^\W\d_]+(?:[̀-ͯ]+[^\W\d_]*)*")
 LATIN_MARK = re.compile("[A-Za-zÀ-ɏ][̀-ͯ]+")
 
 
+def _in_word(c: str) -> bool:
+    return c.isalpha() or "\u0300" <= c <= "\u036f"
+
+
 def script(c: str) -> str:
     o = ord(c)
     if o < 0x250 or 0x1E00 <= o < 0x1F00 or o in (0x251, 0x261):
@@ -262,18 +265,23 @@ class LookalikeModel:
         text, k = LATIN_MARK.subn(lambda m: unicodedata.normalize("NFC", m.group()), text)
         n += k
         if OTHER_SCRIPT.search(text):
-            changed = 0
-
-            def word(m: re.Match) -> str:
-                nonlocal changed
-                w = m.group()
-                if w.isascii() or not OTHER_SCRIPT.search(w):
-                    return w
-                out = self.decode(w)
-                changed += sum(a != b for a, b in zip(w, out, strict=False))
-                return out
-
-            text = TOKEN.sub(word, text)
+            out, end, changed = [], 0, 0
+            for m in OTHER_SCRIPT.finditer(text):
+                i = m.start()
+                if i < end:
+                    continue
+                a, b = i, i + 1
+                while a > end and _in_word(text[a - 1]):
+                    a -= 1
+                while b < len(text) and _in_word(text[b]):
+                    b += 1
+                word = text[a:b]
+                said = self.decode(word)
+                changed += sum(x != y for x, y in zip(word, said, strict=False))
+                out += text[end:a], said
+                end = b
+            out.append(text[end:])
+            text = "".join(out)
             n += changed
         return text, n
 
