@@ -101,12 +101,13 @@ def replacement_chars(c: Column) -> Column:
 
 CITED = "|".join(b.replace("_", " ") for b in CITED_BOOKS)
 _WS = f"[{SPACE}]"
-MALFORMED = f"(?iu)(?<![\\p{{L}}\\p{{N}}_])(?:[1-3]{_WS}*)?(?:{CITED}){_WS}+\\d{{1,3}}{_WS}*(?:[;.{SPACE}]|:[lIoO]){_WS}*[lIoO0-9]{{1,3}}(?:{_WS}*-{_WS}*[lIoO0-9]{{1,3}})?(?![\\p{{L}}\\p{{N}}_])"
+# A word (with its number, if any), a chapter, a wrong separator or none, and a verse that may hold letters.
+LIKE_CITATION = f"(?iu)(?<![\\p{{L}}\\p{{N}}_])(?:[1-3]{_WS}*+)?((?:Song of )?\\p{{L}}++){_WS}++\\d{{1,3}}{_WS}*(?:[;.{SPACE}]|:[lIoO]){_WS}*[lIoO0-9]{{1,3}}(?:{_WS}*-{_WS}*[lIoO0-9]{{1,3}})?(?![\\p{{L}}\\p{{N}}_])"
 
 
 def malformed_citations(c: Column) -> Column:
-    """Citations with a wrong separator or letters for digits."""
-    return F.regexp_count(c, F.lit(MALFORMED))
+    """Citations with a wrong separator or letters for digits: found by their shape first, then by the book's name."""
+    return F.size(F.filter(F.regexp_extract_all(c, F.lit(LIKE_CITATION), 1), lambda w: w.rlike(f"(?iu)^(?:{CITED})$")))
 
 
 def edge_lines(c: Column, n: int = 3) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import audits, documents, indexes, quality, references, sections, segments, structure
+from ..sources.shared import materialize
 from .oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -203,8 +204,8 @@ def source_lines(spark, d) -> DataFrame:
 
 
 def _structure(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
-    lines = source_lines(spark, d)
-    return lines, structure.markers(lines), structure.contents_index(structure.contents_rows(lines, structure.contents_candidates(lines)))
+    lines = materialize(source_lines(spark, d))  # the rest reads it several times
+    return lines, materialize(structure.markers(lines)), materialize(structure.contents_index(structure.contents_rows(lines, structure.contents_candidates(lines))))
 
 
 @query
@@ -248,22 +249,23 @@ def duplicate_headers(spark, d):
 def segment_validation(spark, d):
     """The seven checks, with the headers observed on the real pages against the composed contents."""
     lines, marks, contents = _structure(spark, d)
-    seen = structure.markers(_page_lines(spark, d))
-    return segments.messages(table(spark, d, "page_quality"), contents, segments.segments(contents, marks, lines), seen)
+    seen = materialize(structure.markers(_page_lines(spark, d)))
+    return segments.messages(table(spark, d, "page_quality"), contents, materialize(segments.segments(contents, marks, lines)), seen)
 
 
 @query
 def segment_status(spark, d):
-    return segments.validation_status(table(spark, d, "page_quality"), segment_validation(spark, d))
+    return segments.validation_status(table(spark, d, "page_quality"), materialize(segment_validation(spark, d)))
 
 
 # ---- sections
 
 
 def _sections(spark, d):
-    lines, marks, contents = _structure(spark, d)
-    body = sections.segment_lines(lines, segments.from_headers(marks).withColumn("end_line", F.col("start_line") + 17))
-    return body, sections.labels(body)
+    lines = materialize(source_lines(spark, d))
+    marks = structure.markers(lines)
+    body = materialize(sections.segment_lines(lines, segments.from_headers(marks).withColumn("end_line", F.col("start_line") + 17)))
+    return body, materialize(sections.labels(body))
 
 
 @query
@@ -331,7 +333,7 @@ def drafts(spark, d) -> DataFrame:
         F.struct(F.lit("summary_application").alias("section"), F.when(F.col("lesson_number") % 3 == 0, F.array(F.lit("Resumen final"))).alias("items")),
     )
     items = s.select("publication_id", "lesson_number", F.explode(rows).alias("r")).select("publication_id", "lesson_number", "r.*").where("items is not null")
-    return documents.draft_lessons(seg, last, items)
+    return materialize(documents.draft_lessons(seg, last, items))
 
 
 @query
