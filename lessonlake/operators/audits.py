@@ -53,8 +53,7 @@ def rename_proposals(files: DataFrame, default_slug: str = "expositor-guia-maest
 
 def missing_sections(present: DataFrame, segments: DataFrame) -> DataFrame:
     """Required sections without content, with the lesson's pages and whether the lack is critical."""
-    required = segments.sparkSession.createDataFrame([(s,) for s in REQUIRED_SECTIONS], "section string")
-    gone = sections.missing(present, segments, required)
+    gone = sections.missing(present, segments, REQUIRED_SECTIONS)
     pages = segments.groupBy("publication_id", "lesson_number").agg(F.min("page_start").alias("page_start"), F.max("page_end").alias("page_end"))
     return gone.join(pages, ["publication_id", "lesson_number"], "left").withColumn("critical", F.col("section").isin(*CRITICAL_SECTIONS))
 

@@ -129,7 +129,7 @@ def traces(section_lines: DataFrame) -> DataFrame:
     )
 
 
-def missing(present: DataFrame, lessons: DataFrame, required: DataFrame) -> DataFrame:
-    """Required sections a lesson lacks. required: section."""
-    need = lessons.select("publication_id", "lesson_number").distinct().crossJoin(F.broadcast(required))  # a fixed list of names
+def missing(present: DataFrame, lessons: DataFrame, required: tuple[str, ...]) -> DataFrame:
+    """Required sections a lesson lacks."""
+    need = lessons.select("publication_id", "lesson_number").distinct().withColumn("section", F.explode(F.array(*map(F.lit, required))))
     return need.join(present.select("publication_id", "lesson_number", "section").distinct(), ["publication_id", "lesson_number", "section"], "left_anti")
