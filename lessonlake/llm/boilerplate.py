@@ -84,7 +84,7 @@ def excess_keys(pages: DataFrame, bigrams: dict[str, int], source: str = "public
     model = LookalikeModel(bigrams)
 
     def keys_of(text):
-        return [k for k in set(page_keys(text, model)) if len(k) > 1 and k.lower() != k.upper()]
+        return [k for k in set(page_keys(text, model)) if len(k) > 1 and k.islower()]
 
     def count(sources, texts, numbers):
         hashes, ends = [], [0]
@@ -92,14 +92,15 @@ def excess_keys(pages: DataFrame, bigrams: dict[str, int], source: str = "public
             hashes += map(key_hash, keys_of(t))
             ends.append(len(hashes))
         values = pa.array(np.array(hashes, dtype=np.uint64).view(np.int64))
+        sources = pa.array(np.array(list(map(key_hash, sources)), dtype=np.uint64).view(np.int64))
         return [sources, numbers, pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), values)]
 
     filled = pages.where(F.col(source).isNotNull() & F.col(text).isNotNull()).select(source, text, F.coalesce(F.col(number).cast("bigint"), F.lit(-1)).alias("number"))
-    lines = map_columns(filled, f"{source} string, number bigint, hs array<bigint>", count).select(source, "number", F.explode("hs").alias("h"))
-    # hashes only: small rows, combined before the shuffle
-    counts = cut(lines.groupBy(source, "h").agg(F.count("*").alias("c"), F.max("number").alias("number")))
-    sizes = pages.where(F.col(source).isNotNull()).groupBy(source).agg(F.count_distinct(number).alias("n1"), F.count("*").alias("rows"))
-    often = cut(counts.where("c >= 3").join(sizes, source).where(F.col("c") > share * F.col("n1")))
+    lines = map_columns(filled, "s bigint, number bigint, hs array<bigint>", count).select("s", "number", F.explode("hs").alias("h"))
+    # hashes only, the source's too: small rows, combined before the shuffle
+    counts = cut(lines.groupBy("s", "h").agg(F.count("*").alias("c"), F.max("number").alias("number")))
+    sizes = pages.where(F.col(source).isNotNull()).groupBy(source).agg(F.count_distinct(number).alias("n1"), F.count("*").alias("rows")).withColumn("s", F.xxhash64(source))
+    often = cut(counts.where("c >= 3").join(sizes, "s").where(F.col("c") > share * F.col("n1")))
     total = counts.join(often.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.sum("c").alias("k"))
     tested = counts.agg(F.count("*").alias("m"))
     rows_all = sizes.agg(F.sum("rows").alias("n"))
@@ -119,14 +120,14 @@ def excess_keys(pages: DataFrame, bigrams: dict[str, int], source: str = "public
 
     # the key itself, from one page that has it
     names = lines_at(often.select(source, "number")).join(often.select(source, "h", "number"), [source, "h", "number"]).groupBy(source, "h").agg(F.max("key").alias("key"))
-    exact = often.drop("number").join(names, [source, "h"]).join(total, "h").crossJoin(F.broadcast(tested)).crossJoin(F.broadcast(rows_all))  # one row each
+    exact = often.drop("number", "s").join(names, [source, "h"]).join(total, "h").crossJoin(F.broadcast(tested)).crossJoin(F.broadcast(rows_all))  # one row each
     k, c = F.greatest("k", "c"), F.col("c")
     scored = cut(exact.withColumn("g2", _g2(c, F.col("rows"), k - c, F.col("n") - F.col("rows"))).select(source, "key", "h", "n1", "rows", "c", (c / F.col("n1")).alias("share"), "g2", "m"))
     # a page extracted twice counts once: where that could decide, page numbers are told apart
     unsure = scored.where(F.col("c") - (F.col("rows") - F.col("n1")) <= share * F.col("n1")).select(source, "h")
     if not unsure.isEmpty():
-        apart = lines.join(unsure, [source, "h"], "left_semi").groupBy(source, "h", "number").count().groupBy(source, "h").agg(F.count("*").alias("apart"))
-        scored = cut(scored.join(apart, [source, "h"], "left").withColumn("share", F.coalesce(F.col("apart") / F.col("n1"), "share")).drop("apart"))
+        apart = lines.join(unsure.select(F.xxhash64(source).alias("s"), "h"), ["s", "h"], "left_semi").groupBy("s", "h", "number").count().groupBy("s", "h").agg(F.count("*").alias("apart"))
+        scored = cut(scored.withColumn("s", F.xxhash64(source)).join(apart, ["s", "h"], "left").drop("s").withColumn("share", F.coalesce(F.col("apart") / F.col("n1"), "share")).drop("apart"))
     bins = scored.groupBy(F.least(F.floor(F.col("g2") * 4), F.lit(4000)).alias("bin")).agg(F.count("*").alias("n"), F.max("m").alias("m")).collect()  # at most 4,001 rows
     threshold, rank = 1e9, 0
     for b in sorted(bins, key=lambda r: -r["bin"]):
@@ -241,7 +242,7 @@ def readable(text: str, model: LookalikeModel) -> str:
 def repeated_lines(text: str, matcher: Matcher, model: LookalikeModel) -> list[int]:
     """The numbers (from 1) of the lines that are copies of a key."""
     hit = matcher.hit
-    return [i for i, key in enumerate(page_keys(text, model), 1) if key and hit(key) and key.lower() != key.upper()]
+    return [i for i, key in enumerate(page_keys(text, model), 1) if key and hit(key) and key.islower()]
 
 
 def with_keys(pages: DataFrame, keys: DataFrame, source: str = "publication_id", number: str = "page_number", bucket: int = 16) -> DataFrame:
