@@ -102,8 +102,8 @@ def excess_keys(pages: DataFrame, bigrams: dict[str, int], source: str = "public
     sizes = pages.where(F.col(source).isNotNull()).groupBy(source).agg(F.count_distinct(number).alias("n1"), F.count("*").alias("rows")).withColumn("s", F.xxhash64(source))
     often = cut(counts.where("c >= 3").join(sizes, "s").where(F.col("c") > share * F.col("n1")))
     total = counts.join(often.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.sum("c").alias("k"))
-    tested = counts.agg(F.count("*").alias("m"))
-    rows_all = sizes.agg(F.sum("rows").alias("n"))
+    tested = counts.count()
+    rows_all = pages.where(F.col(source).isNotNull()).count()
 
     def lines_at(places: DataFrame) -> DataFrame:
         """(source, number, key, h) of all lines of the given (source, number) places; others cost a look at a bit each."""
@@ -120,19 +120,19 @@ def excess_keys(pages: DataFrame, bigrams: dict[str, int], source: str = "public
 
     # the key itself, from one page that has it
     names = lines_at(often.select(source, "number")).join(often.select(source, "h", "number"), [source, "h", "number"]).groupBy(source, "h").agg(F.max("key").alias("key"))
-    exact = often.drop("number", "s").join(names, [source, "h"]).join(total, "h").crossJoin(F.broadcast(tested)).crossJoin(F.broadcast(rows_all))  # one row each
+    exact = often.drop("number", "s").join(names, [source, "h"]).join(total, "h")
     k, c = F.greatest("k", "c"), F.col("c")
-    scored = cut(exact.withColumn("g2", _g2(c, F.col("rows"), k - c, F.col("n") - F.col("rows"))).select(source, "key", "h", "n1", "rows", "c", (c / F.col("n1")).alias("share"), "g2", "m"))
+    scored = cut(exact.withColumn("g2", _g2(c, F.col("rows"), k - c, F.lit(rows_all) - F.col("rows"))).select(source, "key", "h", "n1", "rows", "c", (c / F.col("n1")).alias("share"), "g2"))
     # a page extracted twice counts once: where that could decide, page numbers are told apart
     unsure = scored.where(F.col("c") - (F.col("rows") - F.col("n1")) <= share * F.col("n1")).select(source, "h")
     if not unsure.isEmpty():
         apart = lines.join(unsure.select(F.xxhash64(source).alias("s"), "h"), ["s", "h"], "left_semi").groupBy("s", "h", "number").count().groupBy("s", "h").agg(F.count("*").alias("apart"))
         scored = cut(scored.withColumn("s", F.xxhash64(source)).join(apart, ["s", "h"], "left").drop("s").withColumn("share", F.coalesce(F.col("apart") / F.col("n1"), "share")).drop("apart"))
-    bins = scored.groupBy(F.least(F.floor(F.col("g2") * 4), F.lit(4000)).alias("bin")).agg(F.count("*").alias("n"), F.max("m").alias("m")).collect()  # at most 4,001 rows
+    bins = scored.groupBy(F.least(F.floor(F.col("g2") * 4), F.lit(4000)).alias("bin")).agg(F.count("*").alias("n")).collect()  # at most 4,001 rows
     threshold, rank = 1e9, 0
     for b in sorted(bins, key=lambda r: -r["bin"]):
         rank += b["n"]
-        if math.erfc(math.sqrt(max(0.0, b["bin"] / 4) / 2)) <= fdr * rank / max(1, b["m"]):
+        if math.erfc(math.sqrt(max(0.0, b["bin"] / 4) / 2)) <= fdr * rank / max(1, tested):
             threshold = b["bin"] / 4
     return scored.where((F.col("share") > share) & (F.col("g2") >= threshold)).select(source, "key", F.col("c").alias("copies"), "share", "g2")
 

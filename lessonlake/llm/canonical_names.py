@@ -108,8 +108,8 @@ def match(typed: DataFrame, entries: DataFrame, entry_id: str, names: list[str])
     """(typed, entry id or 0, score) for each distinct typed name; entries may have several names each."""
     variants = entries.select(F.col(entry_id).alias("id"), F.posexplode(F.array(*names)).alias("at", "name")).where("name is not null").groupBy("id", "name").agg((F.min("at") == 0).alias("main")).select("id", "name", "main", F.array_distinct(tokens(F.col("name"))).alias("words"))
     words = variants.select("id", "name", "main", F.explode("words").alias("word"), F.size("words").alias("size"))
-    size = entries.select(F.count_distinct(entry_id).alias("entries"))
-    vocabulary = words.groupBy("word").agg(F.count_distinct("id").alias("df"), F.max("main").alias("main")).crossJoin(size).select("word", "main", F.log(1 + F.col("entries") / F.col("df")).alias("w"))  # size has one row
+    size = entries.select(F.count_distinct(entry_id)).first()[0]
+    vocabulary = words.groupBy("word").agg(F.count_distinct("id").alias("df"), F.max("main").alias("main")).select("word", "main", F.log(1 + size / F.col("df")).alias("w"))
     names_ = typed.select("typed").where("typed is not null").distinct()
     said = names_.select("typed", F.array_distinct(F.filter(tokens(F.col("typed")), lambda t: ~t.isin(*AFTER))).alias("said"))
     letters = F.filter("said", lambda t: t.rlike("[a-z@]"))

@@ -89,5 +89,5 @@ def shares(mixture: DataFrame, sizes: DataFrame, weights: DataFrame) -> DataFram
     used = mixture.groupBy("source").agg(F.sum("n_tokens").alias("used_tokens"), F.count("*").alias("used_texts"), F.max("repeat_no").alias("most_uses"))
     have = sizes.where("n_tokens > 0").groupBy("source").agg(F.sum("n_tokens").alias("available_tokens"))
     out = weights.join(used, "source", "left").join(have, "source", "left").fillna(0, ["used_tokens", "used_texts", "most_uses", "available_tokens"])
-    all_ = mixture.agg(F.sum("n_tokens").alias("total"))
-    return out.crossJoin(all_).select("source", "target_weight", F.when(F.col("total") > 0, F.col("used_tokens") / F.col("total")).otherwise(0.0).alias("reached_share"), "used_tokens", "available_tokens", "used_texts", "most_uses", "max_repeats")
+    total = mixture.agg(F.sum("n_tokens")).first()[0] or 0
+    return out.select("source", "target_weight", (F.col("used_tokens") / max(1, total)).alias("reached_share"), "used_tokens", "available_tokens", "used_texts", "most_uses", "max_repeats")
