@@ -48,10 +48,15 @@ def _remove() -> None:
         shutil.rmtree(_LOCAL["dir"], ignore_errors=True)
 
 
-def map_rows(df: DataFrame, schema: str, fn: Callable[..., Iterator[tuple]], finish: Callable[[], Iterator[tuple]] | None = None) -> DataFrame:
-    """mapInArrow with Python tuples: fn gets a batch's columns as lists and yields result rows.
+#: Rows that a map holds as Python objects at once.
+SLICE = 1000
 
-    One Arrow batch is in memory at a time; results leave in pieces of 10,000 rows.
+
+def map_rows(df: DataFrame, schema: str, fn: Callable[..., Iterator[tuple]]) -> DataFrame:
+    """mapInArrow with Python tuples: fn gets the columns of up to `SLICE` rows as lists and yields result rows.
+
+    One Arrow batch and one slice of it as Python objects are in memory at a time; results leave in pieces of
+    10,000 rows.
     """
     spark = df.sparkSession
     fields = spark.createDataFrame([], schema).schema
@@ -66,15 +71,12 @@ def map_rows(df: DataFrame, schema: str, fn: Callable[..., Iterator[tuple]], fin
     def run(batches):
         for batch in batches:
             rows = []
-            for row in fn(*(c.to_pylist() for c in batch.columns)):
-                rows.append(row)
-                if len(rows) >= 10_000:
-                    yield pack(rows)
-                    rows = []
-            if rows:
-                yield pack(rows)
-        if finish:
-            rows = list(finish())
+            for at in range(0, batch.num_rows, SLICE):
+                for row in fn(*(c.to_pylist() for c in batch.slice(at, SLICE).columns)):
+                    rows.append(row)
+                    if len(rows) >= 10_000:
+                        yield pack(rows)
+                        rows = []
             if rows:
                 yield pack(rows)
 

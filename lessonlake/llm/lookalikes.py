@@ -16,7 +16,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import map_rows
+from .base import map_columns, map_rows
 from .chars import LookalikeModel, repair_encoding, word_bigrams
 
 STRIP = " .,;:()[]¿?¡!“”«»\"'…|*•–—-_·©"
@@ -33,9 +33,9 @@ def bigram_counts(texts: DataFrame, text: str = "text", most: int = 60_000) -> d
         pairs: dict[str, int] = {}
         for w, n in words.items():
             word_bigrams(w.strip(STRIP), n, pairs)
-        yield from pairs.items()
+        return [list(pairs), list(pairs.values())]
 
-    counted = map_rows(texts.where(F.col(text).isNotNull()).select(text), "pair string, n bigint", fn)
+    counted = map_columns(texts.where(F.col(text).isNotNull()).select(text), "pair string, n bigint", fn)
     rows = counted.groupBy("pair").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "pair").limit(most).collect()
     return {r["pair"]: r["n"] for r in rows}
 
