@@ -1,12 +1,13 @@
 """Problem 3: noise in text from scanned pages.
 
 One pass counts words and hyphenated compounds over all texts, a second counts skip-gram pairs of the
-frequent words; only frequent words (at least `RATE` of all words, so at most 1 / RATE of them) and the
-pair counts of the `CONTEXTS` most frequent reach the driver, where skip-gram vectors with negative
-sampling are learned on those counts. A word that is not frequent is linked to frequent words through
-plausible glyph edits by walking a trie of the vocabulary; a frequent word that is one edit from a word 20
-times as frequent counts as damaged too. Of several neighbours the one whose vector fits the words around
-wins. Then furniture goes (repeated lines of problem 2, running titles, page numbers at the edges), cut
+frequent words; only frequent words (at least `RATE` of all words, so at most 1 / RATE of them) and their
+pair counts with the `CONTEXTS` most frequent reach the driver, where skip-gram vectors with negative
+sampling are learned on those counts for every frequent word. A word that is not frequent is linked to
+frequent words through plausible glyph edits by walking a trie of the vocabulary; a frequent word that is
+one edit from a word 20 times as frequent counts as damaged too. At each place such a word stands, a
+neighbour is weighed by its count and by how much likelier its vector makes the words around; the best one
+is meant if it outweighs the word itself, else the word stays. Then furniture goes (repeated lines of problem 2, running titles, page numbers at the edges), cut
 words are joined and paragraphs reflowed.
 
 Defined results: a null text gives a null text and no lines; an empty one itself; line numbers count blank
@@ -31,8 +32,12 @@ from .chars import LookalikeModel, repair_encoding, word_bigrams
 
 #: A word is frequent from this share of all words (and five times) on.
 RATE = 2e-6
-#: Words that get vectors: the most frequent.
+#: Words that are contexts of the vectors: the most frequent. Every frequent word gets a vector.
 CONTEXTS = 2000
+#: Words on each side that are context, and negative samples per pair.
+WINDOW, NEGATIVE = 2, 5
+#: Chance pairs added to those of each word that is no context, so that few pairs say little.
+CHANCE = 20
 #: A frequent word is a damaged form only of a word this many times as frequent.
 RATIO = 20
 
@@ -67,11 +72,20 @@ def skeleton(text: str) -> str:
 SKELETON = str.maketrans("@0j|1!65cqybfñíáéóúnt#", "aoiiiibsegvhtniaeount#") | {ord("l"): "i", ord("#"): "#"}
 
 
+class Vectors(dict):
+    """Unit vectors by word, and the fitted skip-gram vectors: `inner` of every word, `outer` of the contexts."""
+
+    def __init__(self, unit: dict[str, np.ndarray] | None = None, inner: dict[str, np.ndarray] | None = None, outer: dict[str, np.ndarray] | None = None):
+        super().__init__(unit or {})
+        self.inner, self.outer = inner or {}, outer or {}
+
+
 class Vocabulary:
     """Frequent words with counts, compounds, vectors; decodes damaged words through glyph edits."""
 
     def __init__(self, counts: dict[str, int], compounds: dict[str, int], vectors: dict[str, np.ndarray] | None = None):
-        self.counts, self.compounds, self.vectors, self.memo = counts, compounds, vectors or {}, {}
+        self.counts, self.compounds, self.memo, self.told = counts, compounds, {}, {}
+        self.inner, self.outer = getattr(vectors, "inner", {}), getattr(vectors, "outer", {})
         self.trie: dict = {}
         for w in counts:
             node = self.trie
@@ -121,17 +135,27 @@ class Vocabulary:
                 self.memo[word] = got
         return got
 
-    def choose(self, candidates: list[str], around: list[str]) -> str:
-        """The candidate that fits its context and is frequent."""
-        if len(candidates) == 1:
-            return candidates[0]
-        near = [self.vectors[w] for w in around if w in self.vectors]
-        at = sum(near) / len(near) if near else None
+    def context(self, word: str, around: list[str]) -> float:
+        """Log of how much likelier the words around are if `word` is meant; 0 where the vectors tell nothing."""
+        out, told = 0.0, self.told
+        for u in around:
+            if u not in self.outer:
+                continue
+            got = told.get((word, u))
+            if got is None:
+                got = max(-3.0, min(3.0, float(self.inner[word] @ self.outer[u]) + math.log(NEGATIVE))) if word in self.inner else 0.0
+                if len(told) < 1_000_000:
+                    told[word, u] = got
+            out += got
+        return out
 
-        def fit(w):
-            return math.log(self.counts[w]) + (4 * float(at @ self.vectors[w]) if at is not None and w in self.vectors else 0)
+    def meant(self, word: str, around: list[str]) -> str | None:
+        """The candidate meant at this place, by its count and the words around; None if the word itself is.
 
-        return max(candidates, key=lambda w: (fit(w), w))
+        What holds a digit or sign is no word, so there the words around only choose among the candidates.
+        """
+        score, best = max(((math.log(self.counts[v]) + self.context(v, around), v) for v in self.candidates(word)), default=(0.0, None))
+        return best if best and (not word.isalpha() or score >= math.log(self.counts.get(word, 1))) else None
 
     def known(self, word: str) -> bool:
         return word in self.words or word.isdigit()
@@ -169,12 +193,15 @@ def count_words(texts: DataFrame, text: str = "text") -> tuple[dict[str, int], d
     return pairs, out["w"], out["c"]
 
 
-def learn_vectors(texts: DataFrame, counts: dict[str, int], text: str = "text", dims: int = 24, window: int = 2, negative: int = 5, steps: int = 120) -> dict[str, np.ndarray]:
-    """Skip-gram vectors with negative sampling, fitted on the pair counts of all texts."""
-    top = sorted(counts, key=lambda w: (-counts[w], w))[:CONTEXTS]
-    ids, size = {w: i for i, w in enumerate(top)}, len(top)
+def learn_vectors(texts: DataFrame, counts: dict[str, int], text: str = "text", dims: int = 24, window: int = WINDOW, negative: int = NEGATIVE, steps: int = 120) -> Vectors:
+    """Skip-gram vectors with negative sampling of all frequent words, fitted on the pair counts of all texts.
+
+    The most frequent words are fitted together; each other word then to their context vectors, which are kept.
+    """
+    top = sorted(counts, key=lambda w: (-counts[w], w))
+    ids, size = {w: i for i, w in enumerate(top)}, min(CONTEXTS, len(top))
     if size < 2:
-        return {}
+        return Vectors()
 
     class Ids(dict):
         """Of a token with its marks: the id of the word in it, -1 if it has none or several."""
@@ -201,19 +228,26 @@ def learn_vectors(texts: DataFrame, counts: dict[str, int], text: str = "text",
         keys = []
         for d in range(1, window + 1):
             x, y = a[:-d], a[d:]
-            keep = (x >= 0) & (y >= 0)
-            keys.append(x[keep] * size + y[keep])
-        n = np.bincount(np.concatenate(keys), minlength=1)  # at most CONTEXTS ** 2 counters
+            keep = (x >= 0) & (y >= 0) & ((x < size) | (y < size))
+            x, y = x[keep], y[keep]
+            keys.append(np.where(y < size, x * size + y, y * size + x))  # the context is below size
+        keys = np.concatenate(keys)
+        if len(ids) * size > 16_000_000:  # too many counters for a batch
+            found, n = np.unique(keys, return_counts=True)
+            return [pa.array(found), pa.array(n)]
+        n = np.bincount(keys, minlength=1)
         found = np.flatnonzero(n)
         return [pa.array(found), pa.array(n[found])]
 
     rows = map_columns(texts.where(F.col(text).isNotNull()).select(text), "pair bigint, n bigint", fn).groupBy("pair").agg(F.sum("n").alias("n")).where("n >= 2").toPandas()
+    own, other, n = rows.pair.to_numpy() // size, rows.pair.to_numpy() % size, rows.n.to_numpy()
+    del rows
     m = np.zeros((size, size), dtype=np.float32)
-    m[rows.pair.to_numpy() // size, rows.pair.to_numpy() % size] = rows.n.to_numpy()
+    m[own[own < size], other[own < size]] = n[own < size]
     m += m.T
     total = m.sum()
     if not total:
-        return {}
+        return Vectors()
     share = m.sum(axis=1) / total
     expected = negative * total * share[:, None] * share[None, :]
     most = (m + expected).max()
@@ -237,8 +271,28 @@ def learn_vectors(texts: DataFrame, counts: dict[str, int], text: str = "text",
             b *= 0.99
             b += 0.01 * grad * grad
             p += 0.05 * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-9)
+    del m, expected, both, g
+    w = np.concatenate([w, *(_fit_to(c, share, own, other, n, lo, min(lo + 500, len(top)), negative, steps) for lo in range(size, len(top), 500))])
     v = w / (np.linalg.norm(w, axis=1, keepdims=True) + 1e-9)
-    return {word: v[i] for word, i in ids.items()}
+    return Vectors({word: v[i] for word, i in ids.items()}, {word: w[i] for word, i in ids.items()}, {word: c[i] for word, i in ids.items() if i < size})
+
+
+def _fit_to(c: np.ndarray, share: np.ndarray, own: np.ndarray, other: np.ndarray, n: np.ndarray, lo: int, hi: int, negative: int, steps: int) -> np.ndarray:
+    """Vectors of the words lo to hi, which are no contexts, fitted to the context vectors c."""
+    m = np.repeat((CHANCE * share)[None, :], hi - lo, axis=0).astype(np.float32)
+    here = (own >= lo) & (own < hi)
+    m[own[here] - lo, other[here]] += n[here]
+    size = m.sum(axis=1, keepdims=True)
+    m /= size
+    both = m + np.float32(negative) * share[None, :].astype(np.float32)
+    w = np.zeros((hi - lo, c.shape[1]), dtype=np.float32)
+    a, b = np.zeros_like(w), np.zeros_like(w)
+    for step in range(1, steps + 1):
+        grad = (m - both / (1 + np.exp(-np.clip(w @ c.T, -30, 30)))) @ c
+        a = 0.9 * a + 0.1 * grad
+        b = 0.99 * b + 0.01 * grad * grad
+        w += 0.05 * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-9)
+    return w
 
 
 class Tokens(dict):
@@ -337,29 +391,38 @@ class Page:
                         skip.add((i, m.start(1)))
                         skip.add((i, m.start(3)))
                         whole = m.group(1) + m.group(3)
-                        if not v.known(whole) and v.candidates(whole):
-                            self.fixes.setdefault(i, []).append((m.start(1), m.end(3), v.choose(v.candidates(whole), [])))
+                        w = None if v.known(whole) else v.meant(whole, self._around(i, m.start(1), m.end(3)))
+                        if w:
+                            self.fixes.setdefault(i, []).append((m.start(1), m.end(3), w))
         strange = self.tokens.__getitem__
         for i in self.own:
             if not any(map(strange, self.said[i])):
                 continue
             low = self.low[i]
             tokens = list(WORD.finditer(low))
-            hits = [m for m in tokens if (i, m.start()) not in skip and m.group() not in v.words and v.candidates(m.group())]
+            hits = []
+            for k, m in enumerate(tokens):
+                if (i, m.start()) not in skip and m.group() not in v.words and v.candidates(m.group()):
+                    w = v.meant(m.group(), [x.group() for x in tokens[max(0, k - WINDOW) : k] + tokens[k + 1 : k + 1 + WINDOW]])
+                    if w:
+                        hits.append((m, w))
             odd = list(MIXED.finditer(self.lines[i]))
             if not hits and not odd:
                 continue
             good = sum(v.known(m.group()) or (i, m.start()) in skip for m in tokens) + len(hits)
             if good * 2 < len(tokens) or len(self.lines[i]) > 3 * sum(m.end() - m.start() for m in tokens) + 60 and len(tokens) < 3:
                 continue
-            for m in hits:
-                around = [x.group() for x in tokens if x is not m and abs(x.start() - m.start()) < 30]
-                self.fixes.setdefault(i, []).append((m.start(), m.end(), v.choose(v.candidates(m.group()), around)))
+            for m, w in hits:
+                self.fixes.setdefault(i, []).append((m.start(), m.end(), w))
             for m in odd:
                 before, after = self.lines[i][: m.start()][-1:], self.lines[i][m.end() :][:1]
                 if before in ":.-" and before or after == ":" or after == "-":
                     self.fixes.setdefault(i, []).append((m.start(), m.end(), m.group().translate(AS_DIGIT)))
 
+    def _around(self, i: int, start: int, end: int) -> list[str]:
+        """The words of line i next to a part of it."""
+        return WORD.findall(self.low[i][:start])[-WINDOW:] + WORD.findall(self.low[i][end:])[:WINDOW]
+
     def _is_cut(self, a: str, b: str, mark: str) -> bool:
         v = self.v
         if a.isdigit() or b.isdigit():
@@ -380,19 +443,18 @@ class Page:
         v = self.v
         if i in self.joins:
             whole = a + b
-            found = [] if v.known(whole) else v.candidates(whole)
-            if not found:
+            w = None if v.known(whole) else v.meant(whole, self._around(i, m.start(1), len(self.low[i])) + self._around(j, 0, n.end(1)))
+            if not w:
                 return
-            w = v.choose(found, [])
             if not w.startswith(a):
                 self.fixes.setdefault(i, []).append((m.start(1), m.end(1), w[: len(a)]))
             if not w.endswith(b):
                 self.fixes.setdefault(j, []).append((n.start(1), n.end(1), w[max(0, len(w) - len(b)) :]))
         else:
             for k, x in ((i, m), (j, n)):
-                found = v.candidates(x.group(1))
-                if found:
-                    self.fixes.setdefault(k, []).append((x.start(1), x.end(1), v.choose(found, [])))
+                w = v.meant(x.group(1), self._around(k, x.start(1), x.end(1)))
+                if w:
+                    self.fixes.setdefault(k, []).append((x.start(1), x.end(1), w))
 
     def found(self) -> Iterator[tuple[int, str]]:
         for i in sorted(self.furniture):

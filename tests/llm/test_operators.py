@@ -167,6 +167,34 @@ def test_vectors_learn_context(spark):
     assert v["una"] @ v["otra"] > v["una"] @ v["pastor"]
 
 
+def trades():
+    """Pages of two trades that share no words; the rare word `fela` stands once in each."""
+    a, b = "la modista corta {} blanca y cose mangas", "un barco zarpa hacia {} puerto con muchos marineros"
+    rows = [(i, "p", i, (a.format("tela") + "\n" + b.format("otro") + "\n") * 4) for i in range(1, 80)]
+    return rows + [(500, "p", 500, a.format("fela")), (501, "p", 501, b.format("fela"))]
+
+
+@pytest.mark.parametrize("contexts", [2000, 16])
+def test_context_decides_which_words_are_misread(spark, monkeypatch, contexts):
+    monkeypatch.setattr(scan_noise, "CONTEXTS", contexts)
+    df = spark.createDataFrame(trades(), "page_id bigint, publication_id string, page_number int, text string")
+    b, w, c = scan_noise.count_words(df)
+    vectors = scan_noise.learn_vectors(df, w)
+
+    def glyphs(v):
+        return {r["page_id"] for r in scan_noise.found(df, boilerplate.excess_keys(df.limit(0), b), None, (w, c, v), b).collect() if r["kind"] == "glyph"}
+
+    assert glyphs({}) == {500, 501}  # without vectors only counts decide
+    assert glyphs(vectors) == {500}  # `fela` is `tela` at the dressmaker's, a name at sea
+
+
+def test_all_frequent_words_get_vectors(spark, monkeypatch):
+    monkeypatch.setattr(scan_noise, "CONTEXTS", 8)
+    _, w, _ = scan_noise.count_words(df := spark.createDataFrame([(r[3],) for r in trades()], "text string"))
+    v = scan_noise.learn_vectors(df, w)
+    assert set(v) == set(w) and len(v.outer) == 8 < len(w)
+
+
 # ---- 4
 
 
