@@ -8,8 +8,8 @@ each hit is extended left and right to a maximal factor, and the parse goes on a
 `SPAN` characters or more are the shared spans.
 
 Exact copies are one class: only one representative is sampled and parsed, and copies rejoin by their class.
-A block in more than `HOT` classes is not paired directly. Its occurrences are told apart by the hashes of
-the SPAN-character windows around the block; only classes with an equal window are paired (`found`) or
+A block in more than `HOT` classes is not paired directly. All its occurrences in each text are told apart by
+the hashes of the SPAN-character windows around the block; only classes with an equal window are paired (`found`) or
 linked to the window's first class (`coverage`, which never lists pairs of a group). So no link is lost and
 no group is expanded that does not share a whole span.
 
@@ -182,14 +182,14 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", pairs: bool
             at = winnow(h, SPAN - BLOCK + 1)
             seen = set()
             for value, p in zip(_signed(h[at]), at.tolist(), strict=True):
-                if value not in seen:  # one occurrence of a block per text leads to the same pairs
+                if value not in seen:  # for counts and direct pairs; `_hot_links` takes all occurrences
                     seen.add(value)
-                    yield value, k, p
+                    yield value, k
 
     # every text is sampled and copies are dropped by their hash afterwards, so no text is joined or moved
-    blocks = map_rows(docs.where(F.length(text) >= SPAN).select(key, text), f"h bigint, {key} {kind}, at int", sample)
+    blocks = map_rows(docs.where(F.length(text) >= SPAN).select(key, text), f"h bigint, {key} {kind}", sample)
     several = member.where(F.col(key) != F.col("class_id")).select(key)
-    blocks = cut(blocks.join(several, key, "left_anti").select("h", F.col(key).alias("id"), "at"))
+    blocks = cut(blocks.join(several, key, "left_anti").select("h", F.col(key).alias("id")))
     counts = blocks.groupBy("h").agg(F.count("*").alias("c"), F.min("id").alias("low"), F.max("id").alias("high"))
     shared = cut(counts.where("c > 1"))
     two = shared.where("c = 2").select(F.col("low").alias("a"), F.col("high").alias("b"))
@@ -199,24 +199,28 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", pairs: bool
     out = two.unionByName(few)
     many = shared.where(F.col("c") > hot).select("h")
     if not many.isEmpty():
-        places = blocks.join(many, "h", "left_semi").groupBy("id").agg(F.sort_array(F.collect_list("at")).alias("places"))
-        out = out.unionByName(_hot_links(docs, places, key, text, kind, pairs))
+        held = blocks.join(many, "h", "left_semi").groupBy("id").agg(F.collect_list("h").alias("held"))
+        out = out.unionByName(_hot_links(docs, held, key, text, kind, pairs))
     return member, cut(out.distinct())
 
 
-def _hot_links(docs: DataFrame, places: DataFrame, key: str, text: str, kind: str, pairs: bool) -> DataFrame:
-    """Pairs of classes that share a whole window around a block of many classes, at the given places."""
+def _hot_links(docs: DataFrame, held: DataFrame, key: str, text: str, kind: str, pairs: bool) -> DataFrame:
+    """Pairs of classes that share a whole window around any occurrence of a block of many classes.
+
+    held: id and the hashes of such blocks in its text.
+    """
 
     def sample(ids, texts, lists) -> Iterator[tuple]:
-        for k, t, at in zip(ids, texts, lists, strict=True):
+        for k, t, hashes in zip(ids, texts, lists, strict=True):
             w = window_hashes(t, SPAN)
             keep = np.zeros(len(w), dtype=bool)
-            for p in at:
+            blocks = window_hashes(t, BLOCK)
+            for p in np.flatnonzero(np.isin(blocks, np.array(hashes, dtype=np.int64).view(np.uint64))).tolist():
                 keep[max(0, p - (SPAN - BLOCK)) : p + 1] = True
             for x in _signed(np.unique(w[keep])):
                 yield x, k
 
-    windows = map_rows(docs.select(F.col(key).alias("id"), text).join(places, "id"), f"w bigint, id {kind}", sample)
+    windows = map_rows(docs.select(F.col(key).alias("id"), text).join(held, "id"), f"w bigint, id {kind}", sample)
     windows = cut(windows)
     # windows held by the same set of classes lead to the same pairs: keep one of each set
     sets = windows.groupBy("w").agg(F.count("*").alias("c"), F.min("id").alias("low"), F.max("id").alias("high"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s")).where("c > 1")

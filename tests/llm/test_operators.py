@@ -371,6 +371,23 @@ def test_coverage_equals_brute_force(spark, hot):
         assert out[k]["shared_chars"] == (sum(mark) if t is not None else 0), k
 
 
+def test_refrain_repeated_in_one_text(spark):
+    lost = []
+    for seed in range(4):
+        rng = random.Random(seed)
+        make = lambda n: "".join(rng.choice(string.ascii_lowercase) for _ in range(n))
+        refrain = make(150)
+        docs = [make(90) + refrain + make(90) for _ in range(20)]
+        for _ in range(10):  # the pair shares 200 characters around the second refrain only
+            span = make(25) + refrain + make(25)
+            docs += [make(60) + refrain + make(80) + span + make(70), make(40) + span + make(40)]
+        rows = list(enumerate(docs, 1))
+        got = {(r["doc_id_a"], r["doc_id_b"]) for r in shared_spans.found(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+        assert len(brute(rows)) >= 10
+        lost += brute(rows) ^ got
+    assert not lost
+
+
 def test_winnowing_leaves_no_gap():
     rng = random.Random(9)
     for text in ["".join(rng.choice("abc") for _ in range(3000)), "ab" * 900, "x" * 1000, "".join(rng.choice("ab") for _ in range(150))]:
