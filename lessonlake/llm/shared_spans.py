@@ -9,8 +9,7 @@ each hit is extended left and right to a maximal factor, and the parse goes on a
 
 Exact copies are one class: only one representative is sampled and parsed, and copies rejoin by their class.
 A block in more than `HOT` classes is not paired directly. All its occurrences in each text are told apart by
-the hashes of the SPAN-character windows around the block; only classes with an equal window are paired (`found`) or
-linked to the window's first class (`coverage`, which never lists pairs of a group). So no link is lost and
+the hashes of the SPAN-character windows around the block; only classes with an equal window are paired. So no link is lost and
 no group is expanded that does not share a whole span.
 
 Lengths are code points. Null texts and texts shorter than `SPAN` share nothing; ties and repeated rows are
@@ -170,9 +169,8 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int
     return sized.join(first, ["h1", "h2", "n"]).select(key, "class_id")
 
 
-def links(docs: DataFrame, key: str = "doc_id", text: str = "text", pairs: bool = True, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """(membership, candidate pairs of class ids a < b) such that every pair of classes that shares a span
-    (or, with pairs=False, enough of them to cover every shared span) is among them."""
+def links(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+    """(membership, candidate pairs of class ids a < b) such that every pair of classes that shares a span is among them."""
     member = cut(classes(docs, key, text))
     kind = docs.schema[key].dataType.simpleString()
 
@@ -200,11 +198,11 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", pairs: bool
     many = shared.where(F.col("c") > hot).select("h")
     if not many.isEmpty():
         held = blocks.join(many, "h", "left_semi").groupBy("id").agg(F.collect_list("h").alias("held"))
-        out = out.unionByName(_hot_links(docs, held, key, text, kind, pairs))
+        out = out.unionByName(_hot_links(docs, held, key, text, kind))
     return member, cut(out.distinct())
 
 
-def _hot_links(docs: DataFrame, held: DataFrame, key: str, text: str, kind: str, pairs: bool) -> DataFrame:
+def _hot_links(docs: DataFrame, held: DataFrame, key: str, text: str, kind: str) -> DataFrame:
     """Pairs of classes that share a whole window around any occurrence of a block of many classes.
 
     held: id and the hashes of such blocks in its text.
@@ -224,11 +222,9 @@ def _hot_links(docs: DataFrame, held: DataFrame, key: str, text: str, kind: str,
     windows = cut(windows)
     # windows held by the same set of classes lead to the same pairs: keep one of each set
     sets = windows.groupBy("w").agg(F.count("*").alias("c"), F.min("id").alias("low"), F.max("id").alias("high"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s")).where("c > 1")
-    one = sets.groupBy("c", "low", "high", "s").agg(F.min("w").alias("w")).select("w", "low", "high")
+    one = sets.groupBy("c", "low", "high", "s").agg(F.min("w").alias("w")).select("w")
     own = windows.join(one, "w")
-    if not pairs:
-        return own.where("id > low").select(F.col("low").alias("a"), F.col("id").alias("b"))
-    left, right = own.select("w", F.col("id").alias("a")), windows.join(one.select("w"), "w", "left_semi").select("w", F.col("id").alias("b"))
+    left, right = own.select("w", F.col("id").alias("a")), windows.join(one, "w", "left_semi").select("w", F.col("id").alias("b"))
     return left.join(right, "w").where("a < b").select("a", "b")
 
 
@@ -249,7 +245,7 @@ def factors(docs: DataFrame, candidates: DataFrame, key: str = "doc_id", text: s
 
 def found(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
     """(a, b): every pair of rows with a common span, smaller key first. Copies are pairs too."""
-    member, candidates = links(docs, key, text, True, hot)
+    member, candidates = links(docs, key, text, hot)
     true = factors(docs, candidates, key, text).select("a", "b").distinct()
     left, right = member.select(F.col("class_id").alias("a"), F.col(key).alias("x")), member.select(F.col("class_id").alias("b"), F.col(key).alias("y"))
     apart = true.join(left, "a").join(right, "b").select("x", "y")
@@ -261,16 +257,17 @@ def found(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = H
 
 def coverage(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
     """(key, class_id, n_copies, n_chars, shared_chars, shared_ratio, n_links) for every row: how much of it
-    stands in another row too. Exact copies are wholly shared; pairs of a group are not listed."""
-    member, candidates = links(docs, key, text, False, hot)
+    stands in another row too, and with how many other rows it shares a span. Exact copies are wholly shared."""
+    member, candidates = links(docs, key, text, hot)
     f = factors(docs, candidates, key, text)
     spans = f.select(F.col("b").alias("id"), F.col("a").alias("other"), F.col("start_b").alias("s"), (F.col("start_b") + F.col("length")).alias("e")).unionByName(
         f.select(F.col("a").alias("id"), F.col("b").alias("other"), F.col("start_a").alias("s"), (F.col("start_a") + F.col("length")).alias("e"))
     )
-    per = spans.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("s", "e"))).alias("x"), F.count_distinct("other").alias("n_links"))
+    sizes = member.groupBy("class_id").agg(F.count("*").alias("n_copies"))
+    partners = spans.groupBy("id", "other").agg(F.collect_set(F.struct("s", "e")).alias("x")).join(sizes.select(F.col("class_id").alias("other"), "n_copies"), "other")
+    per = partners.groupBy("id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("x")))).alias("x"), F.sum("n_copies").alias("n_links"))
     union = F.aggregate("x", F.struct(F.lit(0).alias("n"), F.lit(0).alias("to")), lambda acc, x: F.struct((acc["n"] + F.greatest(F.lit(0), x["e"] - F.greatest(x["s"], acc["to"]))).alias("n"), F.greatest(acc["to"], x["e"]).alias("to")), lambda acc: acc["n"])
     per = per.select(F.col("id").alias("class_id"), union.alias("covered"), "n_links")
-    sizes = member.groupBy("class_id").agg(F.count("*").alias("n_copies"))
     base = docs.select(key, F.length(text).alias("n_chars")).join(member, key, "left").join(sizes, "class_id", "left").join(per, "class_id", "left")
     shared = F.when(F.col("n_copies") > 1, F.col("n_chars")).otherwise(F.coalesce("covered", F.lit(0)))
-    return base.select(key, F.coalesce("class_id", key).alias("class_id"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"), "n_chars", shared.alias("shared_chars"), F.when(F.col("n_chars") > 0, shared / F.col("n_chars")).otherwise(0.0).alias("shared_ratio"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return base.select(key, F.coalesce("class_id", key).alias("class_id"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"), "n_chars", shared.alias("shared_chars"), F.when(F.col("n_chars") > 0, shared / F.col("n_chars")).otherwise(0.0).alias("shared_ratio"), (F.coalesce("n_links", F.lit(0)) + F.coalesce("n_copies", F.lit(1)) - 1).alias("n_links"))

@@ -371,6 +371,17 @@ def test_coverage_equals_brute_force(spark, hot):
         assert out[k]["shared_chars"] == (sum(mark) if t is not None else 0), k
 
 
+@pytest.mark.parametrize("hot", [2, 16])
+def test_links_equal_brute_force(spark, hot):
+    rows = shared_documents(8)
+    want = dict.fromkeys((k for k, _ in rows), 0)
+    for pair in brute(rows):
+        for k in pair:
+            want[k] += 1
+    got = {r["doc_id"]: r["n_links"] for r in shared_spans.coverage(spark.createDataFrame(rows, "doc_id bigint, text string"), hot=hot).collect()}
+    assert got == want
+
+
 def test_refrain_repeated_in_one_text(spark):
     lost = []
     for seed in range(4):
