@@ -114,8 +114,16 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return shared_spans.found(table(spark, d, "documents"))
 
 
+def p9_class_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return shared_spans.class_pairs(table(spark, d, "documents"))
+
+
+def p9_spans(spark: SparkSession, d: str) -> DataFrame:
+    return shared_spans.spans(table(spark, d, "documents"))
+
+
 def p9_coverage(spark: SparkSession, d: str) -> DataFrame:
     return shared_spans.coverage(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_resolved, p1_unmatched, p2_found, p2_clean_pages, p3_found, p3_repaired_pages, p4_found, p4_page_kinds, p4_figures, p5_found, p5_restored, p6_found, p6_normalized, p7_packed, p7_fill, p8_mixture, p8_shares, p9_found, p9_coverage)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_resolved, p1_unmatched, p2_found, p2_clean_pages, p3_found, p3_repaired_pages, p4_found, p4_page_kinds, p4_figures, p5_found, p5_restored, p6_found, p6_normalized, p7_packed, p7_fill, p8_mixture, p8_shares, p9_found, p9_class_pairs, p9_spans, p9_coverage)}

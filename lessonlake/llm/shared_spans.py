@@ -2,15 +2,15 @@
 
 Each text is sampled by winnowing: of every `SPAN - BLOCK + 1` neighbouring block hashes the smallest is
 kept, so any span of `SPAN` characters that two texts share contains a block both keep. Block hashes kept by
-more than one class of texts are the index. A text is then parsed against every reference text it shares an
-indexed block with, as in relative Lempel-Ziv: the reference's aligned blocks are looked up along the text,
-each hit is extended left and right to a maximal factor, and the parse goes on at its boundary; factors of
-`SPAN` characters or more are the shared spans.
+more than one class of texts are the index; it tells which reference texts a text is parsed against. The parse
+is greedy relative Lempel-Ziv: the text is cut into the longest factors that the reference's indexed blocks
+lead to, the factors are checked at their boundaries, where a longer span may have been cut in two, and those
+of `SPAN` characters or more are the shared spans.
 
 Exact copies are one class: only one representative is sampled and parsed, and copies rejoin by their class.
 A block in more than `HOT` classes is not paired directly. All its occurrences in each text are told apart by
-the hashes of the SPAN-character windows around the block; only classes with an equal window are paired. So no link is lost and
-no group is expanded that does not share a whole span.
+the hashes of the SPAN-character windows around the block; only classes with an equal window are paired. So no
+link is lost, whatever `HOT` is, and no group is expanded that does not share a whole span.
 
 Lengths are code points. Null texts and texts shorter than `SPAN` share nothing; ties and repeated rows are
 copies of each other.
@@ -101,35 +101,84 @@ def winnow(hashes: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero(at)
 
 
-def parse(text: str, reference: str, least: int = SPAN, block: int = BLOCK, memo: dict | None = None) -> list[tuple[int, int, int]]:
+class Reference:
+    """A text as the reference of a parse: its blocks with all their positions."""
+
+    def __init__(self, text: str, block: int = BLOCK):
+        self.text, self.block, self.hashes = text, block, window_hashes(text, block)
+        self.order = np.argsort(self.hashes, kind="stable")
+        self.keys = self.hashes[self.order]
+
+    def places(self, text: str, i: int, a: int, b: int) -> list[int]:
+        """Where the block of text at i, whose hash has the ranks a to b, stands; of periodic stretches only the places that can win.
+
+        In a stretch of places at equal distance both sides of a match grow or shrink step by step, so the longest
+        match, and the furthest one to either side, is at an end or where one text's stretch ends with the other's.
+        """
+        at = self.order[a:b].tolist()
+        if len(at) < 8:
+            return at
+        out, k = [], 0
+        while k < len(at):
+            d, m = (at[k + 1] - at[k] if k + 1 < len(at) else 0), k + 1
+            while m + 1 < len(at) and at[m + 1] - at[m] == d:
+                m += 1
+            if d > self.block or m - k < 4:
+                out.append(at[k])
+                k += 1
+                continue
+            right = d + _common(text, text, i, i + d, 1)
+            left = _common(text, text, i, i + d, -1)
+            end = at[m] + d + _common(self.text, self.text, at[m], at[m] + d, 1)
+            start = at[k] - _common(self.text, self.text, at[k], at[k] + d, -1)
+            steps = {k, m}
+            for x in (end - right, start + left):
+                q = k + (x - at[k]) // d
+                steps |= {min(max(q, k), m), min(max(q + 1, k), m)}
+            out += [at[j] for j in sorted(steps)]
+            k = m + 1
+        return out
+
+
+def parse(text: str, reference: str | Reference, least: int = SPAN, block: int = BLOCK, own: np.ndarray | None = None) -> list[tuple[int, int, int]]:
     """The factors (start, reference start, length) of `least` or more code points of text against a reference.
 
-    The reference is indexed by its aligned blocks; a factor of 2 * block - 1 or more covers one whole.
+    Greedy relative Lempel-Ziv: at each position that is not yet parsed the longest factor that starts there is
+    taken and the parse goes on behind it; a character whose block the reference lacks is a literal. At both
+    boundaries of a factor all places of the block that starts or ends there are extended to both sides. A span of
+    2 * block - 1 characters or more that crosses a boundary has `block` of them on one side of it, so it is met
+    there; one that crosses none lies in a factor. So every character of every such span is in some factor given.
     """
-    if len(text) < least or len(reference) < least:
+    if isinstance(reference, str):
+        reference = Reference(reference, block)
+    if len(text) < least or len(reference.text) < least:
         return []
-    ref = window_hashes(reference, block)
-    starts = np.arange(0, len(ref), block)
-    index = ref[starts]
-    order = np.argsort(index, kind="stable")
-    keys = index[order]
-    own = window_hashes(text, block)
-    hits = np.flatnonzero(np.isin(own, keys))
-    out: list[tuple[int, int, int]] = []
-    done: dict[int, int] = {}  # by diagonal: how far it has been parsed
-    for i in hits.tolist():
-        a, b = np.searchsorted(keys, own[i], "left"), np.searchsorted(keys, own[i], "right")
-        for r in starts[order[a:b]].tolist():
-            if done.get(i - r, -1) > i:
-                continue
-            if text[i : i + block] != reference[r : r + block]:
+    own = window_hashes(text, block) if own is None else own
+    low, high = np.searchsorted(reference.keys, own, "left"), np.searchsorted(reference.keys, own, "right")
+    hits = np.flatnonzero(high > low)
+    out: set[tuple[int, int, int]] = set()
+
+    def extend(i: int) -> int:
+        """Extends all places of the block at i; the length of the longest factor that starts there."""
+        most = 0
+        for r in reference.places(text, i, low[i], high[i]):
+            if text[i : i + block] != reference.text[r : r + block]:
                 continue
-            lo = _common(text, reference, i, r, -1)
-            hi = block + _common(text, reference, i + block, r + block, 1)
-            done[i - r] = i + hi
-            if lo + hi >= least:
-                out.append((i - lo, r - lo, lo + hi))
-    return out
+            right = block + _common(text, reference.text, i + block, r + block, 1)
+            left = _common(text, reference.text, i, r, -1)
+            if left + right >= least:
+                out.add((i - left, r - left, left + right))
+            most = max(most, right)
+        return most
+
+    i = 0
+    while (k := int(np.searchsorted(hits, i))) < len(hits):
+        i = int(hits[k])
+        n = extend(i)
+        if n > block and high[i + n - block] > low[i + n - block]:
+            extend(i + n - block)
+        i += max(n, 1)
+    return sorted(out)
 
 
 def _common(a: str, b: str, i: int, j: int, way: int) -> int:
@@ -228,25 +277,41 @@ def _hot_links(docs: DataFrame, held: DataFrame, key: str, text: str, kind: str)
     return left.join(right, "w").where("a < b").select("a", "b")
 
 
-def factors(docs: DataFrame, candidates: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(a, b, start_b, start_a, length): the parse of text b against reference a for each candidate pair."""
+def factors(docs: DataFrame, candidates: DataFrame, key: str = "doc_id", text: str = "text", both: bool = True) -> DataFrame:
+    """(id, other, start, other_start, length): the parse of each text of a candidate pair against the other one.
+
+    With both=False only b is parsed against a, which tells whether they share a span.
+    """
     ids = candidates.select(F.col("a").alias(key)).unionByName(candidates.select(F.col("b").alias(key))).distinct()
     texts = docs.select(key, text).join(ids, key, "left_semi")
-    both = candidates.join(texts.select(F.col(key).alias("a"), F.col(text).alias("ta")), "a").join(texts.select(F.col(key).alias("b"), F.col(text).alias("tb")), "b")
+    pairs = candidates.join(texts.select(F.col(key).alias("a"), F.col(text).alias("ta")), "a").join(texts.select(F.col(key).alias("b"), F.col(text).alias("tb")), "b")
     kind = docs.schema[key].dataType.simpleString()
 
     def run(a, b, ta, tb) -> Iterator[tuple]:
+        kept: dict = {}
+
+        def reference(k, t) -> Reference:
+            if k not in kept:
+                if len(kept) > 64:
+                    kept.clear()
+                kept[k] = Reference(t)
+            return kept[k]
+
         for x, y, s, t in zip(a, b, ta, tb, strict=True):
-            for start, ref, n in parse(t, s):
-                yield x, y, start, ref, n
+            p, q = reference(x, s), reference(y, t)
+            for start, ref, n in parse(t, p, own=q.hashes):
+                yield y, x, start, ref, n
+            if both:
+                for start, ref, n in parse(s, q, own=p.hashes):
+                    yield x, y, start, ref, n
 
-    return map_rows(both.select("a", "b", "ta", "tb"), f"a {kind}, b {kind}, start_b int, start_a int, length int", run)
+    return map_rows(pairs.select("a", "b", "ta", "tb"), f"id {kind}, other {kind}, start int, other_start int, length int", run)
 
 
 def found(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
     """(a, b): every pair of rows with a common span, smaller key first. Copies are pairs too."""
     member, candidates = links(docs, key, text, hot)
-    true = factors(docs, candidates, key, text).select("a", "b").distinct()
+    true = factors(docs, candidates, key, text, both=False).select(F.col("other").alias("a"), F.col("id").alias("b")).distinct()
     left, right = member.select(F.col("class_id").alias("a"), F.col(key).alias("x")), member.select(F.col("class_id").alias("b"), F.col(key).alias("y"))
     apart = true.join(left, "a").join(right, "b").select("x", "y")
     copied = member.groupBy("class_id").agg(F.count("*").alias("c")).where("c > 1").select("class_id")
@@ -255,19 +320,52 @@ def found(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = H
     return both.select(F.least("x", "y").alias(f"{key}_a"), F.greatest("x", "y").alias(f"{key}_b"))
 
 
+def class_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
+    """(class_a, class_b, longest_span): pairs of representatives with a common span; copies are not expanded (see `classes`)."""
+    _, candidates = links(docs, key, text, hot)
+    f = factors(docs, candidates, key, text, both=False)
+    return f.groupBy(F.col("other").alias("class_a"), F.col("id").alias("class_b")).agg(F.max("length").alias("longest_span"))
+
+
+def _merged(f: DataFrame) -> DataFrame:
+    """(class_id, spans): the disjoint stretches (s, e) of each representative that its factors cover, in order.
+
+    Equal factors against many others are one before any list is made.
+    """
+    each = f.select("id", F.col("start").alias("s"), (F.col("start") + F.col("length")).alias("e")).groupBy("id", "s").agg(F.max("e").alias("e"))
+    lists = each.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("x"))
+    span = "array<struct<s:int,e:int>>"
+
+    def add(acc, x):
+        touches = (F.size(acc) > 0) & (x["s"] <= F.try_element_at(acc, F.lit(-1))["e"])
+        grown = F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(F.try_element_at(acc, F.lit(-1))["s"].alias("s"), F.greatest(F.try_element_at(acc, F.lit(-1))["e"], x["e"]).alias("e"))))
+        return F.when(touches, grown).otherwise(F.concat(acc, F.array(F.struct(x["s"].alias("s"), x["e"].alias("e")))))
+
+    return lists.select(F.col("id").alias("class_id"), F.aggregate("x", F.array().cast(span), add).alias("spans"))
+
+
+def spans(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
+    """(key, span_no, start_char, n_chars): the disjoint stretches of each row that stand in another row too, from character 0 on.
+
+    A row that has an exact copy is one span from end to end. Rows that share nothing have no span.
+    """
+    member, candidates = links(docs, key, text, hot)
+    merged = _merged(factors(docs, candidates, key, text))
+    sizes = member.groupBy("class_id").agg(F.count("*").alias("n_copies"))
+    rows = member.join(sizes, "class_id").join(docs.select(key, F.length(text).alias("n")), key).join(merged, "class_id", "left")
+    whole = F.array(F.struct(F.lit(0).alias("s"), F.col("n").alias("e")))
+    out = rows.select(key, F.posexplode(F.when(F.col("n_copies") > 1, whole).otherwise(F.col("spans"))).alias("at", "x"))
+    return out.select(key, (F.col("at") + 1).alias("span_no"), F.col("x.s").alias("start_char"), (F.col("x.e") - F.col("x.s")).alias("n_chars"))
+
+
 def coverage(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
     """(key, class_id, n_copies, n_chars, shared_chars, shared_ratio, n_links) for every row: how much of it
     stands in another row too, and with how many other rows it shares a span. Exact copies are wholly shared."""
     member, candidates = links(docs, key, text, hot)
-    f = factors(docs, candidates, key, text)
-    spans = f.select(F.col("b").alias("id"), F.col("a").alias("other"), F.col("start_b").alias("s"), (F.col("start_b") + F.col("length")).alias("e")).unionByName(
-        f.select(F.col("a").alias("id"), F.col("b").alias("other"), F.col("start_a").alias("s"), (F.col("start_a") + F.col("length")).alias("e"))
-    )
+    f = cut(factors(docs, candidates, key, text))
     sizes = member.groupBy("class_id").agg(F.count("*").alias("n_copies"))
-    partners = spans.groupBy("id", "other").agg(F.collect_set(F.struct("s", "e")).alias("x")).join(sizes.select(F.col("class_id").alias("other"), "n_copies"), "other")
-    per = partners.groupBy("id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("x")))).alias("x"), F.sum("n_copies").alias("n_links"))
-    union = F.aggregate("x", F.struct(F.lit(0).alias("n"), F.lit(0).alias("to")), lambda acc, x: F.struct((acc["n"] + F.greatest(F.lit(0), x["e"] - F.greatest(x["s"], acc["to"]))).alias("n"), F.greatest(acc["to"], x["e"]).alias("to")), lambda acc: acc["n"])
-    per = per.select(F.col("id").alias("class_id"), union.alias("covered"), "n_links")
-    base = docs.select(key, F.length(text).alias("n_chars")).join(member, key, "left").join(sizes, "class_id", "left").join(per, "class_id", "left")
+    linked = f.select(F.col("id").alias("class_id"), "other").distinct().join(sizes.select(F.col("class_id").alias("other"), "n_copies"), "other").groupBy("class_id").agg(F.sum("n_copies").alias("n_links"))
+    covered = _merged(f).select("class_id", F.aggregate("spans", F.lit(0), lambda n, x: n + x["e"] - x["s"]).alias("covered"))
+    base = docs.select(key, F.length(text).alias("n_chars")).join(member, key, "left").join(sizes, "class_id", "left").join(covered, "class_id", "left").join(linked, "class_id", "left")
     shared = F.when(F.col("n_copies") > 1, F.col("n_chars")).otherwise(F.coalesce("covered", F.lit(0)))
     return base.select(key, F.coalesce("class_id", key).alias("class_id"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"), "n_chars", shared.alias("shared_chars"), F.when(F.col("n_chars") > 0, shared / F.col("n_chars")).otherwise(0.0).alias("shared_ratio"), (F.coalesce("n_links", F.lit(0)) + F.coalesce("n_copies", F.lit(1)) - 1).alias("n_links"))

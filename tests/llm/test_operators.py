@@ -399,6 +399,44 @@ def test_refrain_repeated_in_one_text(spark):
     assert not lost
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_greedy_parse_covers_every_span(seed):
+    rng = random.Random(seed)
+    make = lambda n, letters="abc": "".join(rng.choice(letters) for _ in range(n))
+    parts = [make(rng.randint(5, 60)) for _ in range(4)] + ["ab" * rng.randint(5, 60), "x" * rng.randint(5, 90), "abcab" * 12]
+    for _ in range(30):
+        text, ref = ("".join(rng.choice(parts) for _ in range(rng.randint(1, 14))) for _ in range(2))
+        have = {ref[i : i + 20] for i in range(len(ref) - 19)}
+        want, got = bytearray(len(text)), bytearray(len(text))
+        for i in range(len(text) - 19):
+            if text[i : i + 20] in have:
+                want[i : i + 20] = b"\1" * 20
+        for i, r, n in shared_spans.parse(text, ref, least=20, block=10):
+            assert n >= 20 and text[i : i + n] == ref[r : r + n] and (not i or not r or text[i - 1] != ref[r - 1]) and text[i + n : i + n + 1] != ref[r + n : r + n + 1] or not text[i + n :] or not ref[r + n :]
+            got[i : i + n] = b"\1" * n
+        assert want == got, (text, ref)
+
+
+def test_parse_of_long_periodic_texts():
+    began = __import__("time").time()
+    a, b = "x" * 300_000, "y" + "x" * 200_000 + "z" + "ab" * 100_000
+    assert shared_spans.parse(a, b) and shared_spans.parse(b, a) and __import__("time").time() - began < 20
+
+
+def test_spans_are_the_covered_stretches(spark):
+    rows = shared_documents(9)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    covered = {r["doc_id"]: r["shared_chars"] for r in shared_spans.coverage(df).collect()}
+    sums, texts = {}, dict(rows)
+    for r in shared_spans.spans(df).collect():
+        piece = texts[r["doc_id"]][r["start_char"] : r["start_char"] + r["n_chars"]]
+        assert len(piece) == r["n_chars"] >= 200
+        assert any(piece[:200] in t for k, t in rows if t and k != r["doc_id"])
+        sums[r["doc_id"]] = sums.get(r["doc_id"], 0) + r["n_chars"]
+    assert sums == {k: n for k, n in covered.items() if n}
+    assert shared_spans.class_pairs(df).count() > 0
+
+
 def test_winnowing_leaves_no_gap():
     rng = random.Random(9)
     for text in ["".join(rng.choice("abc") for _ in range(3000)), "ab" * 900, "x" * 1000, "".join(rng.choice("ab") for _ in range(150))]:
@@ -410,7 +448,7 @@ def test_winnowing_leaves_no_gap():
 
 def test_spans_of_empty_tables(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
-    assert shared_spans.found(df).count() == shared_spans.coverage(df).count() == 0
+    assert shared_spans.found(df).count() == shared_spans.coverage(df).count() == shared_spans.spans(df).count() == 0
 
 
 def test_restored_text_reaches_other_steps():
