@@ -101,13 +101,25 @@ def winnow(hashes: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero(at)
 
 
+#: Hash values apart in the table that tells which blocks two texts may share.
+TABLE = 1 << 17
+
+
+def _maybe(hashes: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Positions of the hashes that others may hold too; a table of their low bits drops most of the rest."""
+    table = np.zeros(TABLE, dtype=bool)
+    table[(others & np.uint64(TABLE - 1)).astype(np.int64)] = True
+    return np.flatnonzero(table[(hashes & np.uint64(TABLE - 1)).astype(np.int64)])
+
+
 class Reference:
-    """A text as the reference of a parse: its blocks with all their positions."""
+    """A text as the reference of a parse: the blocks another text may share, with all their positions."""
 
-    def __init__(self, text: str, block: int = BLOCK):
-        self.text, self.block, self.hashes = text, block, window_hashes(text, block)
-        self.order = np.argsort(self.hashes, kind="stable")
-        self.keys = self.hashes[self.order]
+    def __init__(self, text: str, hashes: np.ndarray, own: np.ndarray, block: int = BLOCK):
+        self.text, self.block = text, block
+        at = _maybe(hashes, own)
+        self.order = at[np.argsort(hashes[at], kind="stable")]
+        self.keys = hashes[self.order]
 
     def places(self, text: str, i: int, a: int, b: int) -> list[int]:
         """Where the block of text at i, whose hash has the ranks a to b, stands; of periodic stretches only the places that can win.
@@ -140,32 +152,35 @@ class Reference:
         return out
 
 
-def parse(text: str, reference: str | Reference, least: int = SPAN, block: int = BLOCK, own: np.ndarray | None = None) -> list[tuple[int, int, int]]:
+def parse(text: str, other: str, least: int = SPAN, block: int = BLOCK, hashes: tuple[np.ndarray, np.ndarray] | None = None) -> list[tuple[int, int, int]]:
     """The factors (start, reference start, length) of `least` or more code points of text against a reference.
 
+    hashes: the block hashes of both texts, where known.
+
     Greedy relative Lempel-Ziv: at each position that is not yet parsed the longest factor that starts there is
     taken and the parse goes on behind it; a character whose block the reference lacks is a literal. At both
     boundaries of a factor all places of the block that starts or ends there are extended to both sides. A span of
     2 * block - 1 characters or more that crosses a boundary has `block` of them on one side of it, so it is met
     there; one that crosses none lies in a factor. So every character of every such span is in some factor given.
     """
-    if isinstance(reference, str):
-        reference = Reference(reference, block)
-    if len(text) < least or len(reference.text) < least:
+    if len(text) < least or len(other) < least:
         return []
-    own = window_hashes(text, block) if own is None else own
-    low, high = np.searchsorted(reference.keys, own, "left"), np.searchsorted(reference.keys, own, "right")
-    hits = np.flatnonzero(high > low)
+    own, theirs = hashes or (window_hashes(text, block), window_hashes(other, block))
+    reference = Reference(other, theirs, own, block)
+    at = _maybe(own, reference.keys)
+    low, high = np.searchsorted(reference.keys, own[at], "left"), np.searchsorted(reference.keys, own[at], "right")
+    real = high > low
+    hits, low, high = at[real], low[real], high[real]
     out: set[tuple[int, int, int]] = set()
 
-    def extend(i: int) -> int:
-        """Extends all places of the block at i; the length of the longest factor that starts there."""
-        most = 0
-        for r in reference.places(text, i, low[i], high[i]):
-            if text[i : i + block] != reference.text[r : r + block]:
+    def extend(k: int) -> int:
+        """Extends all places of the k-th block that the reference has; the length of the longest factor that starts there."""
+        i, most = int(hits[k]), 0
+        for r in reference.places(text, i, low[k], high[k]):
+            if text[i : i + block] != other[r : r + block]:
                 continue
-            right = block + _common(text, reference.text, i + block, r + block, 1)
-            left = _common(text, reference.text, i, r, -1)
+            right = block + _common(text, other, i + block, r + block, 1)
+            left = _common(text, other, i, r, -1)
             if left + right >= least:
                 out.add((i - left, r - left, left + right))
             most = max(most, right)
@@ -174,9 +189,10 @@ def parse(text: str, reference: str | Reference, least: int = SPAN, block: int =
     i = 0
     while (k := int(np.searchsorted(hits, i))) < len(hits):
         i = int(hits[k])
-        n = extend(i)
-        if n > block and high[i + n - block] > low[i + n - block]:
-            extend(i + n - block)
+        n = extend(k)
+        last = int(np.searchsorted(hits, i + n - block))
+        if n > block and hits[last] == i + n - block:
+            extend(last)
         i += max(n, 1)
     return sorted(out)
 
@@ -290,19 +306,19 @@ def factors(docs: DataFrame, candidates: DataFrame, key: str = "doc_id", text: s
     def run(a, b, ta, tb) -> Iterator[tuple]:
         kept: dict = {}
 
-        def reference(k, t) -> Reference:
+        def hashed(k, t) -> np.ndarray:
             if k not in kept:
                 if len(kept) > 64:
                     kept.clear()
-                kept[k] = Reference(t)
+                kept[k] = window_hashes(t, BLOCK)
             return kept[k]
 
         for x, y, s, t in zip(a, b, ta, tb, strict=True):
-            p, q = reference(x, s), reference(y, t)
-            for start, ref, n in parse(t, p, own=q.hashes):
+            p, q = hashed(x, s), hashed(y, t)
+            for start, ref, n in parse(t, s, hashes=(q, p)):
                 yield y, x, start, ref, n
             if both:
-                for start, ref, n in parse(s, q, own=p.hashes):
+                for start, ref, n in parse(s, t, hashes=(p, q)):
                     yield x, y, start, ref, n
 
     return map_rows(pairs.select("a", "b", "ta", "tb"), f"id {kind}, other {kind}, start int, other_start int, length int", run)
