@@ -1,16 +1,18 @@
 """Problem 2: lines repeated across one source's documents.
 
 Line keys (case, blanks and numbers folded, encoding and look-alikes repaired) are counted per source by hash
-with map-side aggregation. A log-likelihood ratio compares the rate of each key on more than `share` of
-its source's pages with its rate elsewhere; Benjamini-Hochberg over all tested keys, ranked from a histogram
-of those, sets its threshold. Keys that are
-in significant excess and on more than `share` of the source's pages are removed: each page is joined with
-its source's keys (at most lines-per-page / share of them), lines that equal a key after restoring
-encoding and look-alikes, or differ from it by a few characters, are dropped and the rest reassembled.
+with map-side aggregation. Every key that stands on two or more pages of a source is tested: a log-likelihood
+ratio compares its rate there with its rate elsewhere, and Benjamini-Hochberg over all tested keys, ranked from
+a histogram, sets the threshold. (A key seen once is no repetition and is not tested.) Significant keys are
+removed where they are also on more than `share` of the source's page numbers, two at least. A line is resolved
+to the key it is a copy of: an equal one, or one that differs by a few characters, after restoring encoding and
+look-alikes; each page meets its source's keys (at most lines-per-page / share of them) in a join. `clean` takes
+the resolved lines out by an anti-join on page and position and reassembles what is left by position.
 
 Hot sources: the first aggregation combines before the shuffle and is keyed by line, not source; the page
-join is a broadcast or sort-merge join that adaptive execution splits when skewed. Null sources form no
-group. Null texts have no lines. Lines without a letter are never removed.
+join is on (source, page bucket), so a hot source is spread over its buckets. Null sources form no
+group. Pages without a number count as one more page of their source. Null texts have no lines. Lines without a
+letter are never removed. In `clean` the lines of pages without a page_id stay, and rows with one page_id are one page.
 """
 
 from __future__ import annotations
@@ -99,11 +101,14 @@ def excess_keys(pages: DataFrame, bigrams: dict[str, int], source: str = "public
     lines = map_columns(filled, "s bigint, number bigint, hs array<bigint>", count).select("s", "number", F.explode("hs").alias("h"))
     # hashes only, the source's too: small rows, combined before the shuffle
     counts = cut(lines.groupBy("s", "h").agg(F.count("*").alias("c"), F.max("number").alias("number")))
-    sizes = pages.where(F.col(source).isNotNull()).groupBy(source).agg(F.count_distinct(number).alias("n1"), F.count("*").alias("rows")).withColumn("s", F.xxhash64(source))
-    often = cut(counts.where("c >= 3").join(sizes, "s").where(F.col("c") > share * F.col("n1")))
-    total = counts.join(often.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.sum("c").alias("k"))
-    tested = counts.count()
+    sizes = pages.where(F.col(source).isNotNull()).groupBy(source).agg(F.count_distinct(F.coalesce(F.col(number).cast("bigint"), F.lit(-1))).alias("n1"), F.count("*").alias("rows")).withColumn("s", F.xxhash64(source))
+    again = counts.where("c > 1")
+    total = counts.join(again.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.sum("c").alias("k"))
     rows_all = pages.where(F.col(source).isNotNull()).count()
+    c = F.col("c")
+    tested = cut(again.join(sizes, "s").join(total, "h").withColumn("g2", _g2(c, F.col("rows"), F.col("k") - c, F.lit(rows_all) - F.col("rows"))))
+    threshold = excess_threshold(tested, fdr)
+    often = cut(tested.where((F.col("g2") >= threshold) & (c > share * F.col("n1"))))
 
     def lines_at(places: DataFrame) -> DataFrame:
         """(source, number, key, h) of all lines of the given (source, number) places; others cost a look at a bit each."""
@@ -120,21 +125,24 @@ def excess_keys(pages: DataFrame, bigrams: dict[str, int], source: str = "public
 
     # the key itself, from one page that has it
     names = lines_at(often.select(source, "number")).join(often.select(source, "h", "number"), [source, "h", "number"]).groupBy(source, "h").agg(F.max("key").alias("key"))
-    exact = often.drop("number", "s").join(names, [source, "h"]).join(total, "h")
-    k, c = F.greatest("k", "c"), F.col("c")
-    scored = cut(exact.withColumn("g2", _g2(c, F.col("rows"), k - c, F.lit(rows_all) - F.col("rows"))).select(source, "key", "h", "n1", "rows", "c", (c / F.col("n1")).alias("share"), "g2"))
+    scored = cut(often.drop("number", "s").join(names, [source, "h"]).select(source, "key", "h", "n1", "rows", "c", (c / F.col("n1")).alias("share"), "g2"))
     # a page extracted twice counts once: where that could decide, page numbers are told apart
-    unsure = scored.where(F.col("c") - (F.col("rows") - F.col("n1")) <= share * F.col("n1")).select(source, "h")
+    unsure = scored.where(c - (F.col("rows") - F.col("n1")) <= F.greatest(share * F.col("n1"), F.lit(1.0))).select(source, "h")
     if not unsure.isEmpty():
         apart = lines.join(unsure.select(F.xxhash64(source).alias("s"), "h"), ["s", "h"], "left_semi").groupBy("s", "h", "number").count().groupBy("s", "h").agg(F.count("*").alias("apart"))
         scored = cut(scored.withColumn("s", F.xxhash64(source)).join(apart, ["s", "h"], "left").drop("s").withColumn("share", F.coalesce(F.col("apart") / F.col("n1"), "share")).drop("apart"))
-    bins = scored.groupBy(F.least(F.floor(F.col("g2") * 4), F.lit(4000)).alias("bin")).agg(F.count("*").alias("n")).collect()  # at most 4,001 rows
-    threshold, rank = 1e9, 0
+    return scored.where((F.col("share") > share) & (F.col("share") * F.col("n1") > 1.5)).select(source, "key", c.alias("copies"), "share", "g2")
+
+
+def excess_threshold(tested: DataFrame, fdr: float) -> float:
+    """The g2 from which keys are in significant excess: Benjamini-Hochberg over all rows of `tested`, in steps of 1/4."""
+    bins = tested.groupBy(F.least(F.floor(F.col("g2") * 4), F.lit(4000)).alias("bin")).agg(F.count("*").alias("n")).collect()  # at most 4,001 rows
+    threshold, rank, size = 1e9, 0, sum(b["n"] for b in bins)
     for b in sorted(bins, key=lambda r: -r["bin"]):
         rank += b["n"]
-        if math.erfc(math.sqrt(max(0.0, b["bin"] / 4) / 2)) <= fdr * rank / max(1, tested):
+        if math.erfc(math.sqrt(max(0.0, b["bin"] / 4) / 2)) <= fdr * rank / size:
             threshold = b["bin"] / 4
-    return scored.where((F.col("share") > share) & (F.col("g2") >= threshold)).select(source, "key", F.col("c").alias("copies"), "share", "g2")
+    return threshold
 
 
 def within(a: str, b: str, most: int) -> bool:
@@ -193,7 +201,7 @@ class Matcher:
     """Finds damaged copies of one source's keys: shared words first, then edit distance up to a quarter of the key."""
 
     def __init__(self, keys: list[str]):
-        self.exact = set(keys)
+        self.exact = frozenset(keys)
         self.words: dict[str, list[int]] = {}
         self.keys = [(k, len(k) // 4 if len(k) > 11 else 1, len(set(k.split()) - COMMON)) for k in keys]
         for i, k in enumerate(keys):
@@ -206,23 +214,24 @@ class Matcher:
         self.least = min((len(k) - m for k, m, _ in self.keys), default=1)
         self.most = max((len(k) + m for k, m, _ in self.keys), default=0)
 
-    def hit(self, key: str) -> bool:
-        return key in self.exact or self.near(key, key.split())
+    def resolve(self, key: str) -> str | None:
+        """The key that a line is a copy of, if any."""
+        return key if key in self.exact else self.near(key, key.split())
 
-    def near(self, key: str, words: list[str]) -> bool:
-        """Is a key that is no exact copy a damaged one? words: those of its line."""
+    def near(self, key: str, words: list[str]) -> str | None:
+        """The key of which a line that equals none is a damaged copy. words: those of the line."""
         if not self.least <= len(key) <= self.most:
-            return False
+            return None
         if len(key) <= self.reach:
             for k, m, parts in self.short:
                 if -m <= len(k) - len(key) <= m:
                     for part in parts:
                         if part in key:
                             if within(k, key, m):
-                                return True
+                                return k
                             break
         if self.telling.isdisjoint(words):
-            return False
+            return None
         shared: dict[int, int] = {}
         for w in set(words):
             for i in self.words.get(w, ()):
@@ -230,8 +239,8 @@ class Matcher:
         for i, n in shared.items():
             k, most, size = self.keys[i]
             if n * 4 >= size and abs(len(k) - len(key)) <= most and within(k, key, most):
-                return True
-        return False
+                return k
+        return None
 
 
 def readable(text: str, model: LookalikeModel) -> str:
@@ -239,10 +248,16 @@ def readable(text: str, model: LookalikeModel) -> str:
     return model.normalize(repair_encoding(text)[0])[0] if UNUSUAL.search(text) else text
 
 
-def repeated_lines(text: str, matcher: Matcher, model: LookalikeModel) -> list[int]:
-    """The numbers (from 1) of the lines that are copies of a key."""
-    hit = matcher.hit
-    return [i for i, key in enumerate(page_keys(text, model), 1) if key and hit(key) and key.islower()]
+def repeated_lines(text: str, matcher: Matcher, model: LookalikeModel) -> list[tuple[int, str]]:
+    """(line number from 1, key) of the lines that are copies of a key."""
+    resolve = matcher.resolve
+    hits = ((i, key, resolve(key)) for i, key in enumerate(page_keys(text, model), 1) if key)
+    return [(i, k) for i, key, k in hits if k is not None and key.islower()]
+
+
+def page_bucket(number: str, bucket: int) -> Column:
+    """The bucket of a page; pages without a number have one of their own."""
+    return F.coalesce(F.floor(F.col(number) / bucket), F.lit(-(2**40)))
 
 
 def with_keys(pages: DataFrame, keys: DataFrame, source: str = "publication_id", number: str = "page_number", bucket: int = 16) -> DataFrame:
@@ -250,45 +265,45 @@ def with_keys(pages: DataFrame, keys: DataFrame, source: str = "publication_id",
 
     The join is on (source, page number / bucket), so a hot source is spread over its buckets.
     """
-    at = F.floor(F.col(number) / bucket).alias("bucket")
+    at = page_bucket(number, bucket).alias("bucket")
     by = keys.groupBy(source).agg(F.sort_array(F.collect_list("key")).alias("keys"))
     places = pages.where(F.col(source).isNotNull()).select(source, at).distinct().join(by, source)
     return pages.withColumn("bucket", at).join(places, [source, "bucket"], "left").drop("bucket")
 
 
-def mark(pages: DataFrame, keys: DataFrame, bigrams: dict[str, int], rows, schema: str, key: str = "page_id", source: str = "publication_id", number: str = "page_number", text: str = "text") -> DataFrame:
-    """Maps rows(key, text, line numbers of repeated lines) over all pages."""
+def copies(pages: DataFrame, keys: DataFrame, bigrams: dict[str, int], key: str = "page_id", source: str = "publication_id", number: str = "page_number", text: str = "text") -> DataFrame:
+    """(page_id, line_no, key): every line that is a copy of one of its source's keys, resolved to it."""
     model = LookalikeModel(bigrams)
     known: dict[tuple[str, ...], Matcher] = {}
 
     def fn(ids, texts, lists) -> Iterator[tuple]:
         for k, t, ks in zip(ids, texts, lists, strict=True):
-            if t is None or not ks:
-                yield from rows(k, t, [])
-                continue
             at = tuple(ks)
             m = known.get(at)
             if m is None:
                 if len(known) > 500:
                     known.clear()
                 m = known[at] = Matcher(ks)
-            yield from rows(k, t, repeated_lines(t, m, model))
+            for n, said in repeated_lines(t, m, model):
+                yield k, n, said
 
-    return map_rows(with_keys(pages.select(key, source, number, text), keys, source, number).select(key, text, "keys"), schema, fn)
+    some = with_keys(pages.select(key, source, number, text), keys, source, number).where(F.col(text).isNotNull() & F.col("keys").isNotNull())
+    return map_rows(some.select(key, text, "keys"), f"{key} {pages.schema[key].dataType.simpleString()}, line_no int, key string", fn)
 
 
 def found(pages: DataFrame, keys: DataFrame, bigrams: dict[str, int]) -> DataFrame:
-    def rows(k, t, lines):
-        return ((k, n) for n in lines)
-
-    return mark(pages, keys, bigrams, rows, "page_id bigint, line_no int")
+    return copies(pages, keys, bigrams).select("page_id", "line_no")
 
 
 def clean(pages: DataFrame, keys: DataFrame, bigrams: dict[str, int]) -> DataFrame:
-    """(page_id, clean_text, lines_removed): each page reassembled in order without its repeated lines."""
+    """(page_id, clean_text, lines_removed): each page reassembled by position without its repeated lines.
 
-    def rows(k, t, lines):
-        drop = set(lines)
-        yield k, t if not drop else "\n".join(x for i, x in enumerate(t.split("\n"), 1) if i not in drop), len(drop)
-
-    return mark(pages, keys, bigrams, rows, "page_id bigint, clean_text string, lines_removed int")
+    Pages without such a line pass as they are; only the others are taken apart.
+    """
+    gone = cut(copies(pages, keys, bigrams).select("page_id", "line_no"))
+    touched = gone.groupBy("page_id").agg(F.count("*").cast("int").alias("lines_removed"))
+    whole = pages.join(touched, "page_id", "left_anti").select("page_id", F.col("text").alias("clean_text"), F.lit(0).alias("lines_removed"))
+    lines = pages.join(touched, "page_id").where("text is not null").select("page_id", F.posexplode(F.split("text", "\n")).alias("at", "line")).select("page_id", (F.col("at") + 1).alias("line_no"), "line")
+    kept = lines.join(gone, ["page_id", "line_no"], "left_anti").groupBy("page_id").agg(F.array_sort(F.collect_set(F.struct("line_no", "line"))).alias("x"))
+    joined = F.array_join(F.transform(F.coalesce("x", F.array().cast("array<struct<line_no:int,line:string>>")), lambda r: r["line"]), "\n")
+    return whole.unionByName(touched.join(kept, "page_id", "left").select("page_id", joined.alias("clean_text"), "lines_removed"))

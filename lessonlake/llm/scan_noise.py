@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import map_columns, map_rows
-from .boilerplate import Matcher, fold_numbers, folded_lines, readable
+from .boilerplate import Matcher, fold_numbers, folded_lines, page_bucket, readable
 from .chars import LookalikeModel, repair_encoding, word_bigrams
 
 #: A word is frequent from this share of all words (and five times) on.
@@ -522,14 +522,20 @@ def with_context(pages: DataFrame, keys: DataFrame, titles: DataFrame | None, bu
     The join is on (publication, page_number / bucket), so a hot publication is spread over its buckets and
     each joined list is short. titles: publication_id, title, first, last (page numbers).
     """
-    at = F.floor(F.col("page_number") / bucket).alias("bucket")
+    at = page_bucket("page_number", bucket).alias("bucket")
     places = pages.where("publication_id is not null").select("publication_id", at).distinct()
     near = keys.groupBy("publication_id").agg(F.sort_array(F.collect_list("key")).alias("keys"))
     side = places.join(near, "publication_id", "left")
     if titles is not None:
+        ends = pages.groupBy("publication_id").agg(F.max("page_number").alias("end"))
+        last = F.greatest(F.coalesce("last", F.col("first") + bucket), "first")  # no page lies behind a publication's end
         spread = (
             titles.where("title is not null and first is not null")
-            .select("publication_id", "title", F.explode(F.sequence(F.floor((F.col("first") - 2) / bucket), F.floor(F.least(F.greatest(F.coalesce("last", F.col("first") + bucket), "first"), F.col("first") + 400) / bucket))).alias("bucket"))
+            .join(ends, "publication_id")
+            .withColumn("low", F.floor((F.col("first") - 2) / bucket))
+            .withColumn("high", F.floor(F.least(last, "end") / bucket))
+            .where("low <= high")
+            .select("publication_id", "title", F.explode(F.sequence("low", "high")).alias("bucket"))
             .groupBy("publication_id", "bucket")
             .agg(F.sort_array(F.collect_set("title")).alias("titles"))
         )

@@ -106,6 +106,39 @@ def test_duplicate_extractions_count_once(spark):
     assert boilerplate.excess_keys(df.limit(0), {}).count() == 0
 
 
+def keyed(spark, rows):
+    return spark.createDataFrame(rows, "page_id bigint, publication_id string, page_number int, text string")
+
+
+def test_two_pages_of_a_small_source_are_enough(spark):
+    rows = [(i, "big", i, f"texto {chr(97 + i % 26)}{chr(97 + i // 26)} propio") for i in range(400)]
+    rows += [(1000 + i, "small", i, ("Cuaderno de la colección Ciprés\n" if i < 2 else "") + f"otro {chr(97 + i)} propio") for i in range(20)]
+    df = keyed(spark, rows)
+    keys = boilerplate.excess_keys(df, {})
+    assert [(r["publication_id"], r["key"], r["copies"]) for r in keys.collect()] == [("small", "cuaderno de la colección ciprés", 2)]
+    assert {(r["page_id"], r["line_no"]) for r in boilerplate.found(df, keys, {}).collect()} == {(1000, 1), (1001, 1)}
+
+
+def test_excess_decides_and_share_is_a_floor(spark):
+    # a heading as common in every source is in excess in none, though it stands on a fifth of the pages
+    rows = [(s * 100 + i, f"s{s}", i, ("Lectura de hoy\n" if i % 5 == 0 else "") + ("Cuaderno Ciprés\n" if s == 3 and i % 5 == 1 else "") + f"texto {chr(97 + i % 26)}{chr(97 + i // 26)} {chr(97 + s)} propio") for s in range(8) for i in range(100)]
+    df = keyed(spark, rows)
+    assert [(r["publication_id"], r["key"]) for r in boilerplate.excess_keys(df, {}).collect()] == [("s3", "cuaderno ciprés")]
+    assert {r["key"] for r in boilerplate.excess_keys(df, {}, fdr=1.0).collect()} == {"cuaderno ciprés", "lectura de hoy"}
+    assert boilerplate.excess_keys(df, {}, share=0.25).count() == 0
+
+
+def test_pages_without_number_or_text(spark):
+    rows = [(i, "a", i if i % 4 else None, f"Cuaderno Ciprés\ntexto {chr(97 + i)} propio\n\nfin {chr(97 + i)}") for i in range(12)] + [(100, "a", None, None), (101, None, 3, "Cuaderno Ciprés")]
+    rows += [(200 + i, "b", i, f"otro {chr(97 + i % 26)}{chr(97 + i // 26)}") for i in range(200)]
+    df = keyed(spark, rows)
+    keys = boilerplate.excess_keys(df, {})
+    assert {(r["page_id"], r["line_no"]) for r in boilerplate.found(df, keys, {}).collect()} == {(i, 1) for i in range(12)}
+    out = {r["page_id"]: (r["clean_text"], r["lines_removed"]) for r in boilerplate.clean(df, keys, {}).collect()}
+    assert len(out) == len(rows) and out[0] == ("texto a propio\n\nfin a", 1) and out[100] == (None, 0) and out[101] == ("Cuaderno Ciprés", 0)
+    assert boilerplate.excess_keys(df.withColumn("page_number", __import__("pyspark.sql.functions", fromlist=["lit"]).lit(None).cast("int")), {}).count() == 0
+
+
 @pytest.mark.parametrize(("a", "b", "d"), [("abc", "abc", 0), ("abc", "axc", 1), ("", "ab", 2), ("kitten", "sitting", 3), ("abcdef", "bcdefg", 2)])
 def test_edit_distance_bound(a, b, d):
     assert boilerplate.within(a, b, d) and (d == 0 or not boilerplate.within(a, b, d - 1))
