@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .base import cut, map_columns, map_rows
-from .chars import UNUSUAL, LookalikeModel, repair_encoding
+from .chars import SIGN_IN_WORD, UNUSUAL, LookalikeModel, repair_encoding
 
 def fold_numbers(text: str) -> str:
     """Every run of ASCII digits as one #."""
@@ -245,7 +245,7 @@ class Matcher:
 
 def readable(text: str, model: LookalikeModel) -> str:
     """The text with encoding and look-alikes repaired; its lines stay where they are."""
-    return model.normalize(repair_encoding(text)[0])[0] if UNUSUAL.search(text) else text
+    return model.normalize(repair_encoding(text, model)[0])[0] if UNUSUAL.search(text) or SIGN_IN_WORD.search(text) else text
 
 
 def repeated_lines(text: str, matcher: Matcher, model: LookalikeModel) -> list[tuple[int, str]]:

@@ -15,7 +15,6 @@ import unicodedata
 # Characters that ordinary Spanish, Portuguese or English print uses besides ASCII.
 ORDINARY = "áéíóúüñÁÉÍÓÚÜÑ¿¡«»“”‘’—–…·ºª°§©²³¹½¼¾¬•¤±"
 UNUSUAL = re.compile(f"[^\x00-\x7f{ORDINARY}]")
-NON_ASCII = re.compile("[^\x00-\x7f]+|&(?:#[0-9]{2,6}|#x[0-9A-Fa-f]{2,5}|[A-Za-z]{2,8}[0-9]?);")
 
 # The single-byte encodings searched.
 ENCODINGS = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1251")
@@ -72,20 +71,27 @@ def _bytes(text: str, encoding: str) -> bytes | None:
     return bytes(out)
 
 
-def _steps(text: str):
-    """The texts one operation away: encode with one encoding and decode as UTF-8, or unescape."""
+def _steps(text: str, reread: bool):
+    """The texts one operation away: unescape, or encode with one encoding and decode as UTF-8 or, if `reread`, with another one."""
     if "&" in text:
         plain = html.unescape(text)
         if plain != text:
-            yield plain, "unescape"
+            yield plain, "unescape", reread
     for encoding in ENCODINGS:
         raw = _bytes(text, encoding)
         if raw is None:
             continue
         try:
-            yield raw.decode("utf-8"), f"{encoding}>utf-8"
+            yield raw.decode("utf-8"), f"{encoding}>utf-8", reread
         except UnicodeDecodeError:
             pass
+        if reread:
+            for other in ENCODINGS:
+                if other != encoding:
+                    try:
+                        yield raw.decode(other), f"{encoding}>{other}", False
+                    except UnicodeDecodeError:
+                        pass
 
 
 def _final(text: str) -> bool:
@@ -93,20 +99,27 @@ def _final(text: str) -> bool:
     return not any(0x400 <= ord(c) < 0x530 for c in text)
 
 
-def search_run(run: str, gain: float = 0.8, most: int = 400) -> tuple[str, tuple[str, ...]]:
+#: What a run costs at least that no operation makes plausible: a lost byte, as U+FFFD, a C1 control or a `?` behind a lead byte.
+LOST_COST = 5.0
+LEADS = "ÃÂâÎÏ×"
+GONE = re.compile(f"(?<=[{LEADS}])\\?+")
+
+
+def search_run(run: str, gain: float = 0.8) -> tuple[str, tuple[str, ...], float]:
     """Best-first search from one run of non-ASCII characters to the cheapest text that can be reached.
 
     States are texts, visited states are kept by hash, the queue is ordered by plausibility cost plus a
-    little for every step. Returns the text and the operations; the run itself and () if nothing is
-    cheaper by `gain`. `most` bounds the states of one run; a run has few, since each decoding shortens it.
+    little for every step. Edges decode as UTF-8 or unescape; both shorten a text, so the search ends by itself. (Between
+    single-byte encodings the bytes give no evidence; `reread` searches those edges with the word as context.)
+    Returns the text, the operations and the cost; the run itself, () and its cost if nothing is cheaper by `gain`.
+    A run that stays at `LOST_COST` or more is lost.
     """
-    start = text_cost(run) + 3.0 * (run[0] == "&")  # an escape is no text
+    start = text_cost(run) + 3.0 * (run[0] == "&") + 4.0 * sum(map(len, GONE.findall(run)))  # an escape is no text, a lost byte no question
     best, best_cost, best_path = run, start, ()
-    queue, seen, n = [(start, 0, run, ())], {hash(run)}, 0
-    while queue and n < most:
+    queue, seen = [(start, 0, run, ())], {hash(run)}
+    while queue:
         _, depth, text, path = heapq.heappop(queue)
-        n += 1
-        for other, name in _steps(text):
+        for other, name, _ in _steps(text, False):
             h = hash(other)
             if h in seen:
                 continue
@@ -114,15 +127,14 @@ def search_run(run: str, gain: float = 0.8, most: int = 400) -> tuple[str, tuple
             cost, via = text_cost(other), (*path, name)
             if cost + 0.1 * len(via) < best_cost + 0.1 * len(best_path) and cost <= start - gain and _final(other):
                 best, best_cost, best_path = other, cost, via
-            if depth < 4:
-                heapq.heappush(queue, (cost + 0.1 * len(via), depth + 1, other, via))
-    return best, best_path
+            heapq.heappush(queue, (cost + 0.1 * len(via), depth + 1, other, via))
+    return best, best_path, best_cost
 
 
-_RUNS: dict[str, tuple[str, tuple[str, ...]]] = {}
+_RUNS: dict[str, tuple[str, tuple[str, ...], float]] = {}
 
 
-def _run(run: str) -> tuple[str, tuple[str, ...]]:
+def _run(run: str) -> tuple[str, tuple[str, ...], float]:
     got = _RUNS.get(run)
     if got is None:
         if len(_RUNS) > 200_000:
@@ -131,44 +143,138 @@ def _run(run: str) -> tuple[str, tuple[str, ...]]:
     return got
 
 
-def repair_encoding(text: str | None) -> tuple[str | None, int, int, tuple[str, ...]]:
+# Runs as they are searched: with the question marks behind a lead byte whose other bytes had no character.
+RUNS = re.compile(f"[^\x00-\x7f]+(?:(?<=[{LEADS}])\\?+)?|&(?:#[0-9]{{2,6}}|#x[0-9A-Fa-f]{{2,5}}|[A-Za-z]{{2,8}}[0-9]?);")
+
+
+def repair_encoding(text: str | None, model: "LookalikeModel | None" = None) -> tuple[str | None, int, int, tuple[str, ...]]:
     """(text with its wrongly decoded runs restored, runs restored, runs beyond repair, operations used).
 
-    A replacement character or a C1 control that stays is a run beyond repair. Null gives null, 0, 0.
+    Each distinct run is searched once; then words with a sign or letter that is none of the languages' are read
+    again in other single-byte encodings (`reread`). Null gives null, 0, 0.
     """
-    if not text or not (UNUSUAL.search(text) or "&" in text):
+    if not text or not (UNUSUAL.search(text) or "&" in text or SIGN_IN_WORD.search(text)):
         return text, 0, 0, ()
     known = {}
-    for run in set(NON_ASCII.findall(text)):
-        if len(run) == 1:
-            continue
-        path = _run(run)[1]
-        if path and (run[0] == "&" or UNUSUAL.search(run)):
-            known[path] = True
-    if not known:
-        return text, 0, len(LOST.findall(text)) + len(HALF_SURE.findall(text)), ()
-    fixed = 0
+    for run in set(RUNS.findall(text)):
+        if len(run) > 1:
+            path = _run(run)[1]
+            if path and (run[0] == "&" or UNUSUAL.search(run)):
+                known[path] = True
+    fixed = lost = 0
 
     def put(m: re.Match) -> str:
-        nonlocal fixed
+        nonlocal fixed, lost
         run = m.group()
-        if len(run) == 1:
-            return run
-        out, path = _run(run)
-        if not path or path not in known and not UNUSUAL.search(run):
-            return run  # signs that occur by themselves count only beside others of the same wrong decoding
-        fixed += 1
-        return out
-
-    out = NON_ASCII.sub(put, text)
-    return out, fixed, len(LOST.findall(out)) + len(HALF.findall(out)), tuple(" ".join(p) for p in known)
+        out, path, cost = _run(run)
+        if path and len(run) > 1 and (path in known or UNUSUAL.search(run)):
+            fixed += 1
+            lost += len(LOST.findall(out))
+            return out
+        # signs that occur by themselves count only beside others of the same wrong decoding
+        if cost >= LOST_COST and (LOST.search(run) or known or _cut_off(text, m)):
+            lost += len(LOST.findall(run)) or 1
+        elif known and run[-1] in LEADS and m.end() == len(text):
+            lost += 1
+        return run
+
+    out = RUNS.sub(put, text)
+    paths = [" ".join(p) for p in known]
+    if SUSPECT.search(out):
+        out, n, more = _reread_words(out, model)
+        fixed += n
+        paths += sorted(more)
+    return out, fixed, lost, tuple(paths)
+
+
+def _cut_off(text: str, m: re.Match) -> bool:
+    """Do question marks behind a lead byte stand where no question ends: in a word or, after a quote's first byte, between blanks?"""
+    run, before, after = m.group(), text[m.start() - 1 : m.start()], text[m.end() : m.end() + 1]
+    if run == "â??":
+        return before in ("", " ", "\n") and after == " "
+    return run == "Ã?" and (before.isalpha() and before.islower() or after.isascii() and after.islower())
 
 
 LOST = re.compile("[\x80-\x84\x86-\x9f�]")
-# Beside restored runs: a lead character whose other byte had no character and became a question mark.
-HALF = re.compile(r"[ÃÂâÎÏ×]\?|[ÃÂâÎÏ×](?=\Z)")
 
-HALF_SURE = re.compile(r"(?<=[a-zñ])Ã\?|Ã\?(?=[a-z])|(?:^| )â\?\?(?= )", re.M)
+SPANISH = "áéíóúüñÁÉÍÓÚÜÑ"
+# What may be a letter read in another single-byte encoding: neither ASCII nor a letter, mark or blank of print,
+# or a capital of print or a fraction or sign inside a small-letter word.
+SIGN_IN_WORD = re.compile("(?<=[a-záéíóúüñ])[¼½¾¢§±¤¹²³ÁÉÍÓÚÜÑ]+(?=[a-záéíóúüñ])")
+SUSPECT = re.compile(f"[^\x00-\x7f{SPANISH}¿¡«»“”‘’—–…·•¬ºª°©¼½¾§±¤¹²³\xa0\xad\u0300-\u036f\u2000-\u200f\u2010-\u2012\u2028-\u202f\u205f-\u206f\u3000\ufeff\ufe00-\ufe0f\ufffd\x80-\x9f]|{SIGN_IN_WORD.pattern}")
+
+
+def _letter(c: str) -> bool:
+    return c.isalpha() or c in "¼½¾¢§±¤¹²³" or not c.isascii() and SUSPECT.match(c) is not None
+
+
+def _reread_words(text: str, model: "LookalikeModel | None") -> tuple[str, int, set[str]]:
+    out, end, n, paths = [], 0, 0, set()
+    for m in SUSPECT.finditer(text):
+        i = m.start()
+        if i < end:
+            continue
+        a, b = i, i + 1
+        while a > end and _letter(text[a - 1]):
+            a -= 1
+        while b < len(text) and _letter(text[b]):
+            b += 1
+        said = reread(text[a:b], model)
+        if said:
+            out += text[end:a], said[0]
+            paths.add(said[1])
+            n += 1
+        else:
+            out.append(text[end:b])
+        end = b
+    out.append(text[end:])
+    return "".join(out), n, paths
+
+
+_REREAD: dict[str, tuple[str, str] | None] = {}
+
+
+def reread(word: str, model: "LookalikeModel | None" = None, gain: float = 8.0, beyond: float = 6.0) -> tuple[str, str] | None:
+    """(word, operations) if a word is far likelier as its bytes read in other encodings, else None.
+
+    The same best-first search with the whole word as state and all pairs of encodings as edges; a path reads a word
+    again in another single-byte encoding at most once, so it ends. With a model the words are weighed by its character
+    bigrams, and the reading must also beat the word's look-alike reading; without one only a sign, a capital or a
+    letter of another script inside a small-letter word is read again, if it is no look-alike.
+    """
+    memo = _REREAD if model is None else model.reread
+    if word in memo:
+        return memo[word]
+    best, best_cost = None, math.inf
+    if sum(c.isascii() and c.isalpha() for c in word) >= 3:
+        if model is not None:
+            cost_of = lambda w: -model.word_score(w)
+            base, seen_as = cost_of(word) - gain, model.decode(word)
+            if seen_as != word:
+                base = min(base, cost_of(seen_as) - beyond)
+        else:
+            cost_of = text_cost
+            strange = [c for c in word if SUSPECT.match(c) or c in "¼½¾¢§±¤¹²³" or c.isupper()]
+            small = any(c.islower() and c.isascii() for c in word)
+            odd = strange and all(not c.isalpha() or small and c.isupper() or script(c) != "L" for c in strange) and not any(c in LOOKALIKE and not c.isascii() for c in strange)
+            base = text_cost(word) + 3.0 * len(strange) - 0.8 if odd and word[0].isascii() and not word[0].isupper() and word[-1].isascii() else -1.0
+        queue, seen = [(cost_of(word), word, (), True)], {hash((word, True))}
+        while queue:
+            _, text, path, free = heapq.heappop(queue)
+            for other, name, still in _steps(text, free):
+                h = hash((other, still))
+                if h in seen:
+                    continue
+                seen.add(h)
+                cost, via = cost_of(other), (*path, name)
+                heapq.heappush(queue, (cost, other, via, still))
+                plain = other.isalpha() and all(c.isascii() or c in SPANISH for c in other) and (other[1:].islower() or other.isupper())
+                if plain and cost <= base and cost < best_cost and (model is None or cost <= 4.5 * (len(other) + 1)):
+                    best, best_cost = (other, " ".join(via)), cost
+    if len(memo) < 500_000:
+        memo[word] = best
+    return best
+
 
 # Letters of other scripts by the Latin letter they look like.
 LOOKALIKE = dict(
@@ -217,7 +323,7 @@ class LookalikeModel:
     """
 
     def __init__(self, bigrams: dict[str, int], switch: float = 12.0):
-        self.switch, self.memo = switch, {}
+        self.switch, self.memo, self.reread = switch, {}, {}
         total: dict[str, int] = {}
         for pair, n in bigrams.items():
             total[pair[0]] = total.get(pair[0], 0) + n
@@ -228,6 +334,11 @@ class LookalikeModel:
         got = self.score.get(a + b)
         return got if got is not None else self.rare.get(a, -6.0)
 
+    def word_score(self, word: str) -> float:
+        """Log-likelihood of a word's characters."""
+        w = f"^{word.lower()}$"
+        return sum(map(self._p, w, w[1:]))
+
     def decode(self, token: str) -> str:
         """The likeliest reading of a word: each character stays or becomes the Latin letter it looks like."""
         got = self.memo.get(token)

@@ -46,7 +46,7 @@ def normalize(df: DataFrame, bigrams: dict[str, int], key: str, text: str, name:
 
     def fn(keys, texts):
         for k, t in zip(keys, texts, strict=True):
-            out, n = model.normalize(repair_encoding(t)[0])
+            out, n = model.normalize(repair_encoding(t, model)[0])
             if with_text:
                 yield name, k, n, out
             elif n:

@@ -69,11 +69,11 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return encoding.affected(table(spark, d, "page_quality")).select("page_id")
+    return encoding.affected(table(spark, d, "page_quality"), _bigrams(spark, d)).select("page_id")
 
 
 def p5_restored(spark: SparkSession, d: str) -> DataFrame:
-    return encoding.repair(table(spark, d, "page_quality"))
+    return encoding.repair(table(spark, d, "page_quality"), _bigrams(spark, d))
 
 
 def _p6(spark: SparkSession, d: str, with_text: bool) -> DataFrame:

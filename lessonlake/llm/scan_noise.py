@@ -553,7 +553,7 @@ def take_apart(pages: DataFrame, keys: DataFrame, titles: DataFrame | None, voca
     def head(title: str) -> str:
         got = state["h"].get(title)
         if got is None:
-            got = skeleton(model.normalize(repair_encoding(title)[0])[0].strip().rstrip("."))
+            got = skeleton(model.normalize(repair_encoding(title, model)[0])[0].strip().rstrip("."))
             if len(state["h"]) < 200_000:
                 state["h"][title] = got
         return got
