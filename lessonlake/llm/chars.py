@@ -398,11 +398,17 @@ class LookalikeModel:
 
 
 def word_bigrams(word: str, n: int, into: dict[str, int]) -> None:
-    """Adds a word's character bigrams if all its letters are of one script."""
-    kinds = {script(c) for c in word}
-    if len(kinds) != 1 or not word.isalpha():
+    """Adds a word's character bigrams if all its letters are of one of the scripts that look alike."""
+    if not word.isalpha():
         return
+    if not word.isascii() and not ORDINARY_WORD.fullmatch(word):
+        kinds = {script(c) for c in word}
+        if len(kinds) != 1 or "O" in kinds:
+            return
     w = f"^{word.lower()}$"
-    for i in range(len(w) - 1):
-        p = w[i : i + 2]
+    for a, b in zip(w, w[1:], strict=False):
+        p = a + b
         into[p] = into.get(p, 0) + n
+
+
+ORDINARY_WORD = re.compile("[A-Za-záéíóúüñÁÉÍÓÚÜÑ]+")

@@ -11,6 +11,7 @@ empty text gives itself and 0.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 from pyspark.sql import DataFrame
@@ -22,22 +23,40 @@ from .chars import LookalikeModel, repair_encoding, word_bigrams
 STRIP = " .,;:()[]¿?¡!“”«»\"'…|*•–—-_·©"
 
 
-def bigram_counts(texts: DataFrame, text: str = "text", most: int = 60_000) -> dict[str, int]:
-    """Character bigrams of all words of `texts`. `most` is far above what alphabets give; the most frequent stay."""
+# A word cut at a line's end, or behind blanks where lines ran together.
+JOIN = re.compile(r"[-¬](?<=[^\W\d_][-¬])(?:[ \t\r]*\n[ \t]*|(?<=¬) +)(?=[^\W\d_A-ZÁÉÍÓÚÑ])")
+
+
+def plain_tokens(text: str) -> list[str]:
+    """The lower-case blank-separated tokens of a text, its encoding restored and cut words joined."""
+    return JOIN.sub("", repair_encoding(text)[0].lower()).split()
+
+
+def token_bigrams(tokens: dict[str, int]) -> dict[str, int]:
+    """Character bigrams of counted tokens."""
+    pairs: dict[str, int] = {}
+    for w, n in tokens.items():
+        word_bigrams(w.strip(STRIP), n, pairs)
+    return pairs
+
+
+def bigram_counts(texts: DataFrame, text: str = "text") -> dict[str, int]:
+    """Character bigrams of all words of `texts`.
+
+    Only words of one of the scripts that look alike count (Latin, Greek, Cyrillic: under 1,700 letters, and no
+    pair across scripts), so what reaches the driver is bounded by their alphabets, not by the data.
+    """
 
     def fn(values):
         words: Counter = Counter()
         for t in values:
             if t:
-                words.update(t.split())
-        pairs: dict[str, int] = {}
-        for w, n in words.items():
-            word_bigrams(w.strip(STRIP), n, pairs)
+                words.update(plain_tokens(t))
+        pairs = token_bigrams(words)
         return [list(pairs), list(pairs.values())]
 
     counted = map_columns(texts.where(F.col(text).isNotNull()).select(text), "pair string, n bigint", fn)
-    rows = counted.groupBy("pair").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "pair").limit(most).collect()
-    return {r["pair"]: r["n"] for r in rows}
+    return {r["pair"]: r["n"] for r in counted.groupBy("pair").agg(F.sum("n").alias("n")).collect()}
 
 
 def normalize(df: DataFrame, bigrams: dict[str, int], key: str, text: str, name: str, with_text: bool = True) -> DataFrame:

@@ -10,9 +10,13 @@ from .base import cut, table
 from .tokens import token_counts
 
 
+def _texts(spark: SparkSession, d: str) -> DataFrame:
+    """What words and characters are counted over: page texts and lesson titles."""
+    return table(spark, d, "page_quality").select("text").unionAll(table(spark, d, "lesson_segments").select(F.col("expected_title").alias("text")))
+
+
 def _bigrams(spark: SparkSession, d: str) -> dict[str, int]:
-    texts = table(spark, d, "page_quality").select("text").unionAll(table(spark, d, "lesson_segments").select(F.col("expected_title").alias("text")))
-    return lookalikes.bigram_counts(texts)
+    return lookalikes.bigram_counts(_texts(spark, d))
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -42,7 +46,7 @@ def p2_clean_pages(spark: SparkSession, d: str) -> DataFrame:
 def _p3(spark: SparkSession, d: str) -> tuple:
     pages = table(spark, d, "page_quality")
     titles = table(spark, d, "lesson_segments").select("publication_id", F.col("expected_title").alias("title"), F.col("page_start").alias("first"), F.col("page_end").alias("last"))
-    bigrams, words, compounds = scan_noise.count_words(pages)
+    bigrams, words, compounds = scan_noise.count_words(_texts(spark, d))
     vectors = scan_noise.learn_vectors(pages, words)
     return pages, boilerplate.excess_keys(pages, bigrams), titles, (words, compounds, vectors), bigrams
 

@@ -1,12 +1,14 @@
 """Problem 3: noise in text from scanned pages.
 
-One pass counts words and hyphenated compounds over all texts, a second counts skip-gram pairs of the
-frequent words; only frequent words (at least `RATE` of all words, so at most 1 / RATE of them) and their
-pair counts with the `CONTEXTS` most frequent reach the driver, where skip-gram vectors with negative
-sampling are learned on those counts for every frequent word. A word that is not frequent is linked to
-frequent words through plausible glyph edits by walking a trie of the vocabulary; a frequent word that is
-one edit from a word 20 times as frequent counts as damaged too. At each place such a word stands, a
-neighbour is weighed by its count and by how much likelier its vector makes the words around; the best one
+One pass counts words, hyphenated compounds and character bigrams over all texts, a second counts skip-gram pairs of
+the frequent words; only frequent words (at least `RATE` of all words, so at most 1 / RATE of them) and their
+pair counts with the `CONTEXTS` most frequent (at least `PAIR_RATE` of all) reach the driver, where skip-gram
+vectors with negative sampling are learned on those counts for every frequent word.
+
+Words are linked to frequent neighbours with plausible glyph edits, found by walking a trie of the vocabulary. A
+frequent word is linked where the contexts it was seen with lie near the vector of a word many times as frequent; a word too rare for a vector is
+linked at each place by what its neighbours' vectors say of the words around. At each place the candidate is weighed
+by its count and by how much likelier its vector makes the words around; the best one
 is meant if it outweighs the word itself, else the word stays. Then furniture goes (repeated lines of problem 2, running titles, page numbers at the edges), cut
 words are joined and paragraphs reflowed.
 
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,9 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import map_columns, map_rows
+from .base import cut, map_columns, map_rows
 from .boilerplate import Matcher, fold_numbers, folded_lines, page_bucket, readable
-from .chars import LookalikeModel, repair_encoding, word_bigrams
+from .chars import LookalikeModel, repair_encoding
+from .lookalikes import JOIN, plain_tokens, token_bigrams
 
 #: A word is frequent from this share of all words (and five times) on.
 RATE = 2e-6
@@ -38,8 +42,15 @@ CONTEXTS = 2000
 WINDOW, NEGATIVE = 2, 5
 #: Chance pairs added to those of each word that is no context, so that few pairs say little.
 CHANCE = 20
-#: A frequent word is a damaged form only of a word this many times as frequent.
-RATIO = 20
+#: Pairs of words reach the driver from this share of all words (and two times) on.
+PAIR_RATE = 2e-8
+#: A word is a damaged form only of a word this many times as frequent; of a word FEW times as frequent if their vectors are LIKE.
+RATIO, FEW = 20, 3
+#: The mean log odds of a frequent word's contexts under the vector of another one from which the two are near (a word with a digit
+#: or sign in it is none by itself: from ODD on), and from which they are much alike.
+NEAR, ODD, LIKE = 0.0, -1.0, 1.0
+#: A word of two letters is meant only if it makes this share of all words.
+SHORT_RATE = 0.002
 
 # What print is misread as, and the letters meant.
 GLYPHS = {
@@ -53,7 +64,6 @@ WORD = re.compile(r"[^\W_]+(?:[@|][^\W_]*)*|[@|]+[^\W_]+(?:[@|][^\W_]*)*")
 CUT_END = re.compile(r"([^\W_]+(?:[@|][^\W_]*)*|[@|][^\W_]+(?:[@|][^\W_]*)*)([-¬])[ \t\r]*\Z")
 STARTS = re.compile(r"[ \t]*([^\W_]+(?:[@|][^\W_]*)*|[@|][^\W_]+(?:[@|][^\W_]*)*)")
 CUT_INSIDE = re.compile(r"([^\W\d_]+(?:[@|0-9][^\W_]*)*|[@|][^\W_]+)([-¬]) +([^\W\d_A-ZÁÉÍÓÚÑ][^\W_]*(?:[@|][^\W_]*)*|[@|0-9][^\W_]+)")
-JOIN = re.compile(r"[-¬](?<=[^\W\d_][-¬])(?:[ \t\r]*\n[ \t]*|(?<=¬) +)(?=[^\W\d_A-ZÁÉÍÓÚÑ])")
 COMPOUND = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)+")
 MIXED = re.compile(r"(?<![\w@|])(?=[0-9lO]*[0-9])(?=[0-9lO]*[lO])[0-9lO]+(?![\w@|])")
 ROMAN = re.compile(r"[ivxlc]+")
@@ -73,27 +83,52 @@ SKELETON = str.maketrans("@0j|1!65cqybfñíáéóúnt#", "aoiiiibsegvhtniaeount#
 
 
 class Vectors(dict):
-    """Unit vectors by word, and the fitted skip-gram vectors: `inner` of every word, `outer` of the contexts."""
+    """Unit vectors by word, and the fitted skip-gram vectors: `inner` of every word, `outer` of the contexts.
 
-    def __init__(self, unit: dict[str, np.ndarray] | None = None, inner: dict[str, np.ndarray] | None = None, outer: dict[str, np.ndarray] | None = None):
+    `seen` is the mean outer vector of the contexts that a word was seen with.
+    """
+
+    def __init__(self, unit: dict[str, np.ndarray] | None = None, inner: dict[str, np.ndarray] | None = None, outer: dict[str, np.ndarray] | None = None, seen: dict[str, np.ndarray] | None = None):
         super().__init__(unit or {})
-        self.inner, self.outer = inner or {}, outer or {}
+        self.inner, self.outer, self.seen = inner or {}, outer or {}, seen or {}
 
 
 class Vocabulary:
     """Frequent words with counts, compounds, vectors; decodes damaged words through glyph edits."""
 
-    def __init__(self, counts: dict[str, int], compounds: dict[str, int], vectors: dict[str, np.ndarray] | None = None):
+    def __init__(self, counts: dict[str, int], compounds: dict[str, int], vectors: dict[str, np.ndarray] | None = None, links: dict[str, list[str]] | None = None):
         self.counts, self.compounds, self.memo, self.told = counts, compounds, {}, {}
-        self.inner, self.outer = getattr(vectors, "inner", {}), getattr(vectors, "outer", {})
+        self.inner, self.outer, self.seen = (getattr(vectors, x, {}) for x in ("inner", "outer", "seen"))
+        self.short = SHORT_RATE * sum(counts.values())
         self.trie: dict = {}
         for w in counts:
             node = self.trie
             for c in w:
                 node = node.setdefault(c, {})
             node["$"] = w
-        bad = {w for w in counts if any(counts[v] >= RATIO * counts[w] for v in self._walk(w, 2))}
-        self.words = set(counts) - bad
+        self.links = self._link() if links is None else links
+        self.words = counts.keys() - self.links.keys()
+
+    def _link(self) -> dict[str, list[str]]:
+        """The frequent words that are damaged forms, with the words they may stand for: glyph neighbours near in vector space."""
+        out = {}
+        for w, n in self.counts.items():
+            if w in self.seen:
+                near = [v for v in self._walk(w, 2) if self.counts[v] >= FEW * n and self._near(w, v)]
+                if near:
+                    out[w] = near
+        return out
+
+    def _resolve(self, w: str) -> list[str]:
+        """The words that a linked word stands for in the end; each link leads to a more frequent word."""
+        return list(dict.fromkeys(x for v in self.links[w] for x in ([v] if v in self.words else self._resolve(v))))
+
+    def _near(self, w: str, v: str) -> bool:
+        """Would v make the words that w was seen with likelier than chance (or, if it is not much more frequent, much likelier)?"""
+        if v not in self.inner:
+            return False
+        odds = float(self.inner[v] @ self.seen[w]) + math.log(NEGATIVE)
+        return odds >= (NEAR if w.isalpha() else ODD) and self.counts[v] >= RATIO * self.counts[w] or odds >= LIKE and len(w) > 2
 
     def _walk(self, word: str, most: int) -> list[str]:
         """The frequent words that `word` may stand for by 1 to `most` glyph edits."""
@@ -127,10 +162,12 @@ class Vocabulary:
             return []
         got = self.memo.get(word)
         if got is None:
-            got = []
-            if 2 <= len(word) <= 40:
-                own = self.counts.get(word, 1)
-                got = [v for v in self._walk(word, min(4, 1 + len(word) // 2)) if v in self.words and self.counts[v] >= RATIO * own and (len(v) > 2 or self.counts[v] > 1e5 * own or not v.isascii())]
+            if word in self.links:
+                got = self._resolve(word)
+            else:
+                got = self._walk(word, min(4, 1 + len(word) // 2)) if len(word) > 1 else []
+                got = list(dict.fromkeys(x for v in got for x in ([v] if v in self.words else self._resolve(v)) if self.counts[x] >= RATIO))
+            got = [v for v in got if len(v) > 2 or self.counts[v] >= self.short or not v.isascii()]
             if len(self.memo) < 1_000_000:
                 self.memo[word] = got
         return got
@@ -162,13 +199,13 @@ class Vocabulary:
 
 
 def count_words(texts: DataFrame, text: str = "text") -> tuple[dict[str, int], dict[str, int], dict[str, int]]:
-    """(character bigrams of the frequent words, frequent words, compounds) over all texts, in one pass."""
+    """(character bigrams, frequent words, compounds) over all texts, in one pass. The bigrams are those of `lookalikes.bigram_counts`."""
 
     def fn(values):
         raw: Counter = Counter()
         for t in values:
             if t:
-                raw.update(JOIN.sub("", repair_encoding(t)[0].lower()).split())
+                raw.update(plain_tokens(t))
         words: dict[str, int] = {}
         compounds: dict[str, int] = {}
         for token, n in raw.items():  # each distinct token once
@@ -177,20 +214,16 @@ def count_words(texts: DataFrame, text: str = "text") -> tuple[dict[str, int], d
             if "-" in token:
                 for w in COMPOUND.findall(token):
                     compounds[w] = compounds.get(w, 0) + n
-        rows = [(k, w, n) for k, c in (("w", words), ("c", compounds)) for w, n in c.items() if len(w) <= 40]
+        rows = [(k, w, n) for k, c in (("w", words), ("c", compounds), ("b", token_bigrams(raw))) for w, n in c.items()]
         return [list(x) for x in zip(*rows, strict=True)] or [[], [], []]
 
-    each = map_columns(texts.where(F.col(text).isNotNull()).select(text), "kind string, word string, n bigint", fn).groupBy("kind", "word").agg(F.sum("n").alias("n")).persist()
+    each = cut(map_columns(texts.where(F.col(text).isNotNull()).select(text), "kind string, word string, n bigint", fn).groupBy("kind", "word").agg(F.sum("n").alias("n")))
     total = {r["kind"]: r["n"] for r in each.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
-    least = F.when(F.col("kind") == "w", max(5, RATE * total.get("w", 0))).otherwise(max(3, RATE * total.get("c", 0)))
-    out: dict[str, dict[str, int]] = {"w": {}, "c": {}}
+    least = F.when(F.col("kind") == "w", max(5, RATE * total.get("w", 0))).when(F.col("kind") == "c", max(3, RATE * total.get("c", 0))).otherwise(1)
+    out: dict[str, dict[str, int]] = {"b": {}, "w": {}, "c": {}}
     for r in each.where(F.col("n") >= least).collect():
         out[r["kind"]][r["word"]] = r["n"]
-    each.unpersist()
-    pairs: dict[str, int] = {}
-    for w, n in out["w"].items():
-        word_bigrams(w, n, pairs)
-    return pairs, out["w"], out["c"]
+    return out["b"], out["w"], out["c"]
 
 
 def learn_vectors(texts: DataFrame, counts: dict[str, int], text: str = "text", dims: int = 24, window: int = WINDOW, negative: int = NEGATIVE, steps: int = 120) -> Vectors:
@@ -239,7 +272,7 @@ def learn_vectors(texts: DataFrame, counts: dict[str, int], text: str = "text",
         found = np.flatnonzero(n)
         return [pa.array(found), pa.array(n[found])]
 
-    rows = map_columns(texts.where(F.col(text).isNotNull()).select(text), "pair bigint, n bigint", fn).groupBy("pair").agg(F.sum("n").alias("n")).where("n >= 2").toPandas()
+    rows = map_columns(texts.where(F.col(text).isNotNull()).select(text), "pair bigint, n bigint", fn).groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= max(2, PAIR_RATE * sum(counts.values()))).toPandas()
     own, other, n = rows.pair.to_numpy() // size, rows.pair.to_numpy() % size, rows.n.to_numpy()
     del rows
     m = np.zeros((size, size), dtype=np.float32)
@@ -274,7 +307,11 @@ def learn_vectors(texts: DataFrame, counts: dict[str, int], text: str = "text",
     del m, expected, both, g
     w = np.concatenate([w, *(_fit_to(c, share, own, other, n, lo, min(lo + 500, len(top)), negative, steps) for lo in range(size, len(top), 500))])
     v = w / (np.linalg.norm(w, axis=1, keepdims=True) + 1e-9)
-    return Vectors({word: v[i] for word, i in ids.items()}, {word: w[i] for word, i in ids.items()}, {word: c[i] for word, i in ids.items() if i < size})
+    back = own < size  # pairs of two contexts count for both
+    ends, far, times = np.concatenate([own, other[back]]), np.concatenate([other, own[back]]), np.concatenate([n, n[back]])
+    size_ = np.maximum(np.bincount(ends, weights=times, minlength=len(top)), 1)
+    seen = np.stack([np.bincount(ends, weights=times * c[far, k], minlength=len(top)) / size_ for k in range(dims)], axis=1)
+    return Vectors(*({word: x[i] for word, i in ids.items()} for x in (v, w)), {word: c[i] for word, i in ids.items() if i < size}, {word: seen[i] for word, i in ids.items()})
 
 
 def _fit_to(c: np.ndarray, share: np.ndarray, own: np.ndarray, other: np.ndarray, n: np.ndarray, lo: int, hi: int, negative: int, steps: int) -> np.ndarray:
@@ -545,34 +582,47 @@ def with_context(pages: DataFrame, keys: DataFrame, titles: DataFrame | None, bu
     return pages.select("page_id", "publication_id", "page_number", "text", at).join(side, ["publication_id", "bucket"], "left").select("page_id", "page_number", "text", "keys", "titles")
 
 
-def take_apart(pages: DataFrame, keys: DataFrame, titles: DataFrame | None, vocabulary: tuple, bigrams: dict[str, int], rows, schema: str) -> DataFrame:
-    """Maps rows(page_id, Page or None, text) over all pages."""
-    model = LookalikeModel(bigrams)
-    state: dict = {}
+#: What a worker process keeps of the last vocabularies it worked with, by their tokens.
+_STATES: dict[str, dict] = {}
 
-    def head(title: str) -> str:
-        got = state["h"].get(title)
-        if got is None:
-            got = skeleton(model.normalize(repair_encoding(title, model)[0])[0].strip().rstrip("."))
-            if len(state["h"]) < 200_000:
-                state["h"][title] = got
-        return got
+
+def take_apart(pages: DataFrame, keys: DataFrame, titles: DataFrame | None, vocabulary: tuple, bigrams: dict[str, int], rows, schema: str) -> DataFrame:
+    """Maps rows(page_id, Page or None, text) over all pages. The vocabulary is broadcast (its size is bounded by 1 / RATE words) and built once per worker."""
+    links = Vocabulary(*vocabulary).links
+    shared, token = pages.sparkSession.sparkContext.broadcast((*vocabulary, links, bigrams)), uuid.uuid4().hex
+
+    def start() -> dict:
+        if token not in _STATES:
+            *words, pairs = shared.value
+            v = Vocabulary(*words)
+            while len(_STATES) > 1:
+                _STATES.pop(next(iter(_STATES)))
+            _STATES[token] = {"v": v, "t": Tokens(v), "m": {}, "h": {}, "l": LookalikeModel(pairs)}
+        return _STATES[token]
 
     def fn(ids, numbers, texts, lists, names):
-        if not state:
-            v = Vocabulary(*vocabulary)
-            state.update(v=v, t=Tokens(v), m={}, h={})
+        state = start()
+        known, heads_, model = state["m"], state["h"], state["l"]
+
+        def head(title: str) -> str:
+            got = heads_.get(title)
+            if got is None:
+                got = skeleton(model.normalize(repair_encoding(title, model)[0])[0].strip().rstrip("."))
+                if len(heads_) < 200_000:
+                    heads_[title] = got
+            return got
+
         for k, n, t, ks, ts in zip(ids, numbers, texts, lists, names, strict=True):
             if not t:
                 yield from rows(k, None, t)
                 continue
             at = tuple(ks or ())
-            if at not in state["m"]:
-                if len(state["m"]) > 500:
-                    state["m"].clear()
-                state["m"][at] = Matcher(list(at))
+            if at not in known:
+                if len(known) > 500:
+                    known.clear()
+                known[at] = Matcher(list(at))
             heads = set(map(head, ts or ()))
-            yield from rows(k, Page(t, n, state["m"][at], heads, state["v"], model, state["t"]), t)
+            yield from rows(k, Page(t, n, known[at], heads, state["v"], model, state["t"]), t)
 
     return map_rows(with_context(pages, keys, titles), schema, fn)
 

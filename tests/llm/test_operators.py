@@ -171,9 +171,36 @@ def test_own_numbers_ranges_and_marks_stay(vocabulary):
     assert list(p.found()) == [(6, "hyphen")]
 
 
-def test_damaged_words_that_are_frequent(vocabulary):
-    v = scan_noise.Vocabulary({"gracia": 90_000, "gracja": 300, "casa": 90_000, "cosa": 80_000}, {})
-    assert v.candidates("gracja") == ["gracia"] and v.candidates("casa") == [] and v.candidates("cosa") == [] and v.candidates("xyzzy") == []
+def test_damaged_words_that_are_frequent():
+    counts = {"gracia": 90_000, "gracja": 300, "cara": 80_000, "eara": 900, "casa": 90_000, "cosa": 80_000, "mismo": 5_000, "mjsmo": 900}
+    assert scan_noise.Vocabulary(counts, {}).links == {}  # without vectors nothing tells damage from a word
+    import numpy as np
+
+    east, west = np.array([3.0, -3.0]), np.array([-3.0, 3.0])
+    inner = {w: west if w in ("cara", "casa") else east for w in counts}
+    v = scan_noise.Vocabulary(counts, {}, scan_noise.Vectors(inner, inner, {}, {w: x / 3 for w, x in inner.items()}))
+    assert v.candidates("gracja") == ["gracia"] and v.candidates("mjsmo") == ["mismo"]
+    assert all(v.candidates(w) == [] for w in ("casa", "cosa", "xyzzy", "gracia"))
+    away = scan_noise.Vocabulary(counts, {}, scan_noise.Vectors(inner, inner, {}, {w: west for w in counts}))
+    assert away.candidates("gracja") == [] and away.candidates("mjsmo") == []
+
+
+def test_links_follow_the_vectors(spark):
+    rng = random.Random(11)
+    a, b = "la modista corta la {} blanca y cose mangas largas", "un barco lleva {} hacia otro puerto con marineros"
+    rows = [(a.format("tela") + "\n" + b.format("otro"),) for _ in range(400)]
+    rows += [((a.format("fela") if rng.random() < 0.9 else b.format("otro")),) for _ in range(15)]  # damage keeps the company of what was meant
+    rows += [(b.format("fara"),) for _ in range(15)] + [(a.format("tara"),) for _ in range(400)]  # a word of its own
+    df = spark.createDataFrame(rows, "text string")
+    _, w, c = scan_noise.count_words(df)
+    v = scan_noise.Vocabulary(w, c, scan_noise.learn_vectors(df, w))
+    assert v.links.get("fela") == ["tela"] and "fara" not in v.links
+    assert scan_noise.Vocabulary(w, c).links == {}
+
+
+def test_one_character_model(spark):
+    df = spark.createDataFrame([("La congre-\ngación oraciÃ³n",), ("Бог любит θεός 中文 mañana",), (None,), ("",)], "text string")
+    assert scan_noise.count_words(df)[0] == lookalikes.bigram_counts(df)
 
 
 def test_scan_noise_over_tables(spark):
