@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
 import os
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.shared import materialize
+
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -24,28 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts lineage: the rows as a Parquet table in the cluster's shared folder (spark.checkpoint.dir).
-
-    Any executor can read it again, it is compressed, and its size is known to the planner. A temporary
-    folder is used only where the setting is absent, as in tests.
-    """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = _LOCAL.get("dir") or _LOCAL.setdefault("dir", tempfile.mkdtemp(prefix="lessonlake-"))
-    path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-_LOCAL: dict[str, str] = {}
-
-
-@atexit.register
-def _remove() -> None:
-    if "dir" in _LOCAL:
-        shutil.rmtree(_LOCAL["dir"], ignore_errors=True)
+cut = materialize  # cuts lineage with a table in the shared folder
 
 
 #: Rows that a map holds as Python objects at once.

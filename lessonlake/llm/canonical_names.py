@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .base import cut
 from .chars import LOOKALIKE
 
 BLANKS = "\xa0\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
@@ -110,10 +111,12 @@ def match(typed: DataFrame, entries: DataFrame, entry_id: str, names: list[str])
     words = variants.select("id", "name", "main", F.explode("words").alias("word"), F.size("words").alias("size"))
     size = entries.select(F.count_distinct(entry_id)).first()[0]
     vocabulary = words.groupBy("word").agg(F.count_distinct("id").alias("df"), F.max("main").alias("main")).select("word", "main", F.log(1 + size / F.col("df")).alias("w"))
-    names_ = typed.select("typed").where("typed is not null").distinct()
+    vocabulary = cut(vocabulary)
+    names_ = cut(typed.select("typed").where("typed is not null").distinct())
     said = names_.select("typed", F.array_distinct(F.filter(tokens(F.col("typed")), lambda t: ~t.isin(*AFTER))).alias("said"))
     letters = F.filter("said", lambda t: t.rlike("[a-z@]"))
     each = said.select("typed", F.element_at(F.concat(F.array(F.lit("")), letters), -1).alias("last"), F.size(letters).alias("n_words"), F.posexplode("said").alias("pos", "token"))
+    each = cut(each)  # each step below starts from one row per distinct name and token
     fixes = repairs(each.select("token").distinct(), vocabulary)
     each = each.join(vocabulary.select(F.col("word").alias("token"), F.col("w").alias("own")), "token", "left").withColumn("own", F.coalesce("own", F.lit(2.0)))
     weight = each.groupBy("typed").agg(F.sqrt(F.sum(F.col("own") ** 2)).alias("q"))
@@ -149,7 +152,7 @@ BOOK_NAMES = ["book_name", "book_standardized", "abbreviation"]
 
 def found(readings: DataFrame, books: DataFrame) -> DataFrame:
     """(reading_id, part_no, book_id) of every part that needs mapping; 0 where no book is meant."""
-    todo = cases(readings, books, BOOK_NAMES)
+    todo = cut(cases(readings, books, BOOK_NAMES))
     return todo.join(match(todo, books, "book_id", BOOK_NAMES), "typed").select("reading_id", "part_no", F.col("id").alias("book_id"))
 
 
@@ -168,6 +171,6 @@ def resolved(readings: DataFrame, books: DataFrame) -> DataFrame:
 
 def unmatched(readings: DataFrame, books: DataFrame) -> DataFrame:
     """(typed, n_parts): what names no listed book, with how often it was typed."""
-    todo = cases(readings, books, BOOK_NAMES)
+    todo = cut(cases(readings, books, BOOK_NAMES))
     missing = match(todo, books, "book_id", BOOK_NAMES).where("id = 0").select("typed")
     return todo.join(missing, "typed", "left_semi").groupBy("typed").agg(F.count("*").alias("n_parts"))

@@ -10,8 +10,8 @@ The total is by default the tokens that the listed sources have, one epoch's wor
 its share of it gives all its texts max_repeats times, and the rest is spread over the other sources by
 weight, as is the weight of sources without documents; `shares` reports what is reached. With total="exact"
 the total is the largest at which every source that has documents meets its target. Running sums within a
-source are taken in two levels (sums of hash buckets, then within buckets), so a source with a third of all
-rows is spread over its buckets. Unlisted sources, null sources and texts without tokens are not used.
+source are taken in two levels (sums of hash buckets, then within buckets of about `bucket_rows`), so a source with a
+third of all rows is spread over its buckets. Unlisted sources, null sources and texts without tokens are not used.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
+#: Rows per bucket of a running sum; the number of buckets grows with the data.
+BUCKET_ROWS = 50_000
 #: How far the steepest source's weight departs from its target at either end.
 STEEPNESS = 0.5
 
@@ -47,12 +48,17 @@ def demands(available: dict[str, int], weights: dict[str, tuple[float, int]], to
     return out
 
 
-def slopes(taken: dict[str, float], weights: dict[str, tuple[float, int]], steepness: float = STEEPNESS) -> dict[str, float]:
-    """Sources that may be repeated more come later; the slopes cancel under the weights."""
+def slopes(taken: dict[str, float], weights: dict[str, tuple[float, int]], steepness: float = STEEPNESS, schedule: dict[str, float] | None = None) -> dict[str, float]:
+    """How the weight of each source changes over training; the slopes cancel under the weights.
+
+    schedule: the wish of each source, higher for later (0 where it has none). By default sources that may be repeated
+    more come later. `steepness`, below 1, is the slope of the source that changes most.
+    """
+    wish = {s: float(weights[s][1] if schedule is None else schedule.get(s, 0.0)) for s in taken}
     total = sum(taken.values()) or 1.0
-    mean = sum(n * weights[s][1] for s, n in taken.items()) / total
-    most = max((abs(weights[s][1] - mean) for s in taken), default=0.0)
-    return {s: steepness * (weights[s][1] - mean) / most if most else 0.0 for s in taken}
+    mean = sum(n * wish[s] for s, n in taken.items()) / total
+    most = max((abs(x - mean) for x in wish.values()), default=0.0)
+    return {s: steepness * (x - mean) / most if most else 0.0 for s, x in wish.items()}
 
 
 def invert(y: Column, a: Column) -> Column:
@@ -61,7 +67,7 @@ def invert(y: Column, a: Column) -> Column:
     return F.when(F.abs(a) < 1e-9, y).otherwise((F.sqrt(b * b + 4 * a * y) - b) / (2 * a))
 
 
-def mix(sizes: DataFrame, weights: DataFrame, total: float | str | None = None, buckets: int = BUCKETS, key: str = "doc_id") -> DataFrame:
+def mix(sizes: DataFrame, weights: DataFrame, total: float | str | None = None, bucket_rows: int = BUCKET_ROWS, key: str = "doc_id", schedule: dict[str, float] | None = None, steepness: float = STEEPNESS) -> DataFrame:
     """(key, source, repeat_no, position, n_tokens), sorted by position. sizes: key, source, n_tokens.
 
     weights is a short fixed list of sources; per listed source one row of sums reaches the driver.
@@ -69,9 +75,10 @@ def mix(sizes: DataFrame, weights: DataFrame, total: float | str | None = None,
     spark = sizes.sparkSession
     listed = {r["source"]: (float(r["target_weight"]), int(r["max_repeats"])) for r in weights.where("source is not null and target_weight is not null and max_repeats is not null").collect()}
     used = sizes.where("n_tokens > 0").join(F.broadcast(weights.select("source").distinct()), "source")
-    available = {r["source"]: r["n"] for r in used.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}
+    sums = used.groupBy("source").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("rows")).collect()
+    available, buckets = {r["source"]: r["n"] for r in sums}, -(-max((r["rows"] for r in sums), default=1) // bucket_rows)
     taken = demands(available, listed, total)
-    slope = slopes(taken, listed)
+    slope = slopes(taken, listed, steepness, schedule)
     plan = spark.createDataFrame([(s, float(n), float(available[s]), float(slope[s])) for s, n in taken.items()], "source string, demand double, available double, a double")
     ordered = used.select(key, "source", "n_tokens", F.xxhash64(key, F.lit(11)).alias("h")).withColumn("bucket", F.pmod(F.shiftrightunsigned("h", 20), F.lit(buckets)))
     sums = ordered.groupBy("source", "bucket").agg(F.sum("n_tokens").alias("n"))

@@ -6,7 +6,7 @@ on. An item that fits nowhere opens a bin; when all are open, the fullest closes
 
 Items are (id, size) rows only. They are spread by a hash of the id over as many shards as the total size
 asks for, so a shard's size is bounded (about `shard_tokens`) whatever the sources are, and shards run in
-parallel; only a shard's last open bins stay partly empty. An item larger than the capacity is cut into
+parallel, row by row; only a shard's last open bins stay partly empty. An item larger than the capacity is cut into
 full containers and a rest, which is packed like any item; no other item is split. Items without tokens
 (null or empty texts) need no container. Equal ids are equal items: each row is packed.
 """
@@ -23,58 +23,83 @@ OPEN_BINS = 256
 SHARD_TOKENS = 8_000_000
 
 
-def best_fit(items: Iterable[tuple[object, int]], capacity: int, open_bins: int = OPEN_BINS) -> Iterator[tuple[int, object, int, int, int]]:
-    """(bin, id, piece number, first token, tokens) of every piece, in order of arrival."""
-    bits, at, n_open, made = 0, {}, 0, 0
-    for key, size in items:
+class Bins:
+    """The open containers of one capacity."""
+
+    def __init__(self, capacity: int, open_bins: int = OPEN_BINS):
+        self.capacity, self.open_bins = capacity, open_bins
+        self.bits, self.at, self.n_open, self.made = 0, {}, 0, 0
+
+    def put(self, size: int) -> Iterator[tuple[int, int, int, int]]:
+        """(bin, piece number, first token, tokens) of each piece of the next item."""
         piece, start = 1, 0
-        while size > capacity:
-            yield made, key, piece, start, capacity
-            made, piece, start, size = made + 1, piece + 1, start + capacity, size - capacity
+        while size > self.capacity:
+            yield self.made, piece, start, self.capacity
+            self.made, piece, start, size = self.made + 1, piece + 1, start + self.capacity, size - self.capacity
         if size <= 0:
-            continue
-        fits = bits >> size
+            return
+        fits = self.bits >> size
         if fits:
             free = size + (fits & -fits).bit_length() - 1
-            bin_ = at[free].pop()
-            if not at[free]:
-                bits ^= 1 << free
-            n_open -= 1
+            bin_ = self._take(free, -1)
         else:
-            if n_open >= open_bins:
-                full = (bits & -bits).bit_length() - 1  # the fullest closes
-                at[full].pop(0)
-                if not at[full]:
-                    bits ^= 1 << full
-                n_open -= 1
-            bin_, free, made = made, capacity, made + 1
-        yield bin_, key, piece, start, size
+            if self.n_open >= self.open_bins:
+                self._take((self.bits & -self.bits).bit_length() - 1, 0)  # the fullest closes
+            bin_, free, self.made = self.made, self.capacity, self.made + 1
+        yield bin_, piece, start, size
         free -= size
         if free:
-            at.setdefault(free, []).append(bin_)
-            bits |= 1 << free
-            n_open += 1
+            self.at.setdefault(free, []).append(bin_)
+            self.bits |= 1 << free
+            self.n_open += 1
+
+    def _take(self, free: int, which: int) -> int:
+        bin_ = self.at[free].pop(which)
+        if not self.at[free]:
+            self.bits ^= 1 << free
+        self.n_open -= 1
+        return bin_
+
+
+def best_fit(items: Iterable[tuple[object, int]], capacity: int, open_bins: int = OPEN_BINS) -> Iterator[tuple[int, object, int, int, int]]:
+    """(bin, id, piece number, first token, tokens) of every piece, in order of arrival."""
+    bins = Bins(capacity, open_bins)
+    for key, size in items:
+        for bin_, *piece in bins.put(size):
+            yield bin_, key, *piece
 
 
 def pack(sizes: DataFrame, capacities: list[tuple[int, int]], key: str = "doc_id", open_bins: int = OPEN_BINS, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """(capacity_id, container_id, key, piece_no, start_token, n_tokens) of all pieces, for each capacity.
 
-    sizes: key, n_tokens. capacities: (id, tokens), a short list.
+    sizes: key, n_tokens. capacities: (id, tokens), a short list. A shard's rows come sorted and are packed as they
+    come, so a task holds its open bins and a batch of rows, however many items the shard has.
     """
     kind = sizes.schema[key].dataType.simpleString()
-    items = sizes.where("n_tokens > 0").select(key, "n_tokens")
+    items = sizes.where("n_tokens > 0").select(F.col(key).alias("k"), "n_tokens")
     total = items.agg(F.sum("n_tokens").alias("n")).first()["n"] or 0
     shards = max(1, -(-total // shard_tokens))
-    items = items.withColumn("h", F.xxhash64(key)).withColumn("shard", F.pmod(F.shiftrightunsigned("h", 7), F.lit(shards)))
+    items = items.withColumn("h", F.xxhash64("k")).withColumn("shard", F.pmod(F.shiftrightunsigned("h", 7), F.lit(shards)))
+    fields = f"capacity_id int, container_id bigint, `{key}` {kind}, piece_no int, start_token bigint, n_tokens bigint"
+    ordered = items.repartition("shard").sortWithinPartitions("shard", "h", "k").select("shard", "k", "n_tokens")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["h", key], kind="stable")
-        shard = int(pdf["shard"].iloc[0])
-        rows = list(zip(pdf[key].tolist(), pdf["n_tokens"].tolist(), strict=True))
-        out = [(i, (shard << 32) + b, k, p, s, n) for i, c in capacities for b, k, p, s, n in best_fit(rows, c, open_bins)]
-        return pd.DataFrame(out, columns=["capacity_id", "container_id", key, "piece_no", "start_token", "n_tokens"])
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shard, bins, rows = None, [], []
+        for pdf in frames:
+            for s, k, n in zip(pdf["shard"].tolist(), pdf["k"].tolist(), pdf["n_tokens"].tolist(), strict=True):
+                if s != shard:
+                    shard, bins = s, [(i, Bins(c, open_bins)) for i, c in capacities]
+                for i, b in bins:
+                    for bin_, piece, start, size in b.put(n):
+                        rows.append((i, (s << 32) + bin_, k, piece, start, size))
+                        if len(rows) >= 50_000:
+                            yield pd.DataFrame(rows, columns=NAMES)
+                            rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=NAMES)
 
-    return items.groupBy("shard").applyInPandas(run, f"capacity_id int, container_id bigint, {key} {kind}, piece_no int, start_token bigint, n_tokens bigint")
+    NAMES = ["capacity_id", "container_id", key, "piece_no", "start_token", "n_tokens"]
+    return ordered.mapInPandas(run, fields)
 
 
 def fill(packed: DataFrame, capacities: DataFrame) -> DataFrame:

@@ -339,6 +339,9 @@ def test_packing_table(spark):
     sums = {r["capacity_id"]: r["n"] for r in out.groupBy("capacity_id").agg({"n_tokens": "sum"}).withColumnRenamed("sum(n_tokens)", "n").collect()}
     assert sums == {1: 62, 2: 62} and out.groupBy("capacity_id", "container_id").sum("n_tokens").where("capacity_id = 1 and `sum(n_tokens)` > 10").count() == 0
     assert packing.pack(df.limit(0), [(1, 10)]).count() == 0
+    many = spark.range(60_000).selectExpr("id as doc_id", "id % 7 as n_tokens")  # one shard in several batches
+    got = packing.pack(many, [(1, 16)], shard_tokens=10**9)
+    assert got.groupBy("container_id").sum("n_tokens").where("`sum(n_tokens)` > 16").count() == 0 and got.selectExpr("sum(n_tokens)").first()[0] == many.selectExpr("sum(n_tokens)").first()[0]
 
 
 @pytest.mark.skipif(not __import__("os").path.exists(TOKENIZER), reason="no tokenizer files")
@@ -383,6 +386,15 @@ def test_curriculum_inverts_its_demand(spark):
     assert abs(sum(taken[k] * sl[k] for k in taken)) < 1e-9 and sl["y"] > 0 > sl["x"]
 
 
+def test_schedule_is_a_parameter(spark):
+    sizes = spark.createDataFrame([(i, "ab"[i % 2], 10) for i in range(4000)], "doc_id bigint, source string, n_tokens bigint")
+    weights = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_weight double, max_repeats int")
+    for wish in ({"a": 1.0}, {"b": 1.0}):
+        m = mixing.mix(sizes, weights, schedule=wish, steepness=0.9, bucket_rows=100).collect()
+        late = [r["source"] for r in m if r["position"] > 0.8]
+        assert len(m) == 4000 and late.count(next(iter(wish))) > 0.7 * len(late)
+
+
 # ---- 9
 
 
