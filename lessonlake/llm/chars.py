@@ -200,7 +200,7 @@ LOST = re.compile("[\x80-\x84\x86-\x9f�]")
 SPANISH = "áéíóúüñÁÉÍÓÚÜÑ"
 # What may be a letter read in another single-byte encoding: neither ASCII nor a letter, mark or blank of print,
 # or a capital of print or a fraction or sign inside a small-letter word.
-SIGN_IN_WORD = re.compile("(?<=[a-záéíóúüñ])[¼½¾¢§±¤¹²³ÁÉÍÓÚÜÑ]+(?=[a-záéíóúüñ])")
+SIGN_IN_WORD = re.compile("[¼½¾¢§±¤¹²³ÁÉÍÓÚÜÑ](?<=[a-záéíóúüñ].)(?=[a-záéíóúüñ])")
 SUSPECT = re.compile(f"[^\x00-\x7f{SPANISH}¿¡«»“”‘’—–…·•¬ºª°©¼½¾§±¤¹²³\xa0\xad\u0300-\u036f\u2000-\u200f\u2010-\u2012\u2028-\u202f\u205f-\u206f\u3000\ufeff\ufe00-\ufe0f\ufffd\x80-\x9f]|{SIGN_IN_WORD.pattern}")
 
 
