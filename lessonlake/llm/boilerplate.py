@@ -62,8 +62,8 @@ def _g2(k1: Column, n1: Column, k2: Column, n2: Column) -> Column:
     return F.when((k1 / n1 > k2 / F.greatest(n2, F.lit(1))) & (p < 1), 2 * (ll(k1, n1, p) + F.when(n2 > 0, ll(k2, n2, p)).otherwise(0.0))).when(p >= 1, 1e6).otherwise(0.0)
 
 
-#: Bits of the filter that spares most lines a join; a power of two, so its 2 MB do not grow with the data.
-FILTER = 1 << 24
+#: Slots of the filter that spares most pages a look; it is broadcast, and its rows are bounded by this number.
+SLOTS = 1 << 16
 
 
 def key_hash(key: str) -> int:
@@ -71,65 +71,70 @@ def key_hash(key: str) -> int:
     return xxhash.xxh64_intdigest(key, 42)
 
 
-def filter_bits(names: DataFrame) -> bytes:
-    """A bitmap of FILTER bits with those of all hashes h set; at most FILTER / 32,768 rows of 4 KB reach the driver."""
-    at = F.col("h").bitwiseAND(F.lit(FILTER - 1))
-    rows = names.select(at.alias("at")).groupBy(F.shiftright("at", 15).alias("part")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position((at & 32767) + 1))").alias("bits")).collect()
-    out = bytearray(FILTER // 8)
-    for r in rows:
-        out[r["part"] * 4096 : (r["part"] + 1) * 4096] = r["bits"]
-    return bytes(out)
+def line_keys(text: str, model: LookalikeModel) -> set[str]:
+    """The distinct keys of a text that may be repeated lines: more than one character, with a letter."""
+    return {k for k in page_keys(text, model) if len(k) > 1 and k.islower()}
 
 
-def excess_keys(pages: DataFrame, bigrams: dict[str, int], source: str = "publication_id", number: str = "page_number", text: str = "text", share: float = 0.08, fdr: float = 0.01) -> DataFrame:
-    """(source, key, copies, share, g2) of the line keys in significant excess within their source; share is of its page numbers."""
-    model = LookalikeModel(bigrams)
+def hashes(values) -> np.ndarray:
+    return np.fromiter(map(key_hash, values), np.uint64).view(np.int64)
+
+
+def filled_pages(pages: DataFrame, source: str, number: str, text: str) -> DataFrame:
+    return pages.where(F.col(text).isNotNull()).select(source, text, F.coalesce(F.col(number).cast("bigint"), F.lit(-1)).alias("number"))
+
+
+def line_rows(pages: DataFrame, model: LookalikeModel, source: str = "publication_id", number: str = "page_number", text: str = "text") -> DataFrame:
+    """(s, h, number, n): one row for each distinct key of each page, as hashes of source and key; n is 1."""
+
+    def rows(sources, texts, numbers):
+        each = [hashes(line_keys(t, model)) for t in texts]
+        size = [len(x) for x in each]
+        h = np.concatenate(each) if each else np.empty(0, np.int64)
+        return [pa.array(np.repeat(hashes(sources), size)), pa.array(h), pa.array(np.repeat(np.array(numbers, np.int64), size)), pa.array(np.ones(len(h), np.int64))]
+
+    return map_columns(filled_pages(pages, source, number, text).where(F.col(source).isNotNull()), "s bigint, h bigint, number bigint, n bigint", rows)
+
+
+def count_rows(rows: DataFrame) -> DataFrame:
+    """(s, h, c, number): hashes only, the source's too; small rows, combined before the shuffle."""
+    return cut(rows.groupBy("s", "h").agg(F.sum("n").alias("c"), F.max("number").alias("number")))
 
-    def keys_of(text):
-        return [k for k in set(page_keys(text, model)) if len(k) > 1 and k.islower()]
-
-    def count(sources, texts, numbers):
-        hashes, ends = [], [0]
-        for t in texts:
-            hashes += map(key_hash, keys_of(t))
-            ends.append(len(hashes))
-        values = pa.array(np.array(hashes, dtype=np.uint64).view(np.int64))
-        sources = pa.array(np.array(list(map(key_hash, sources)), dtype=np.uint64).view(np.int64))
-        return [sources, numbers, pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), values)]
-
-    filled = pages.where(F.col(source).isNotNull() & F.col(text).isNotNull()).select(source, text, F.coalesce(F.col(number).cast("bigint"), F.lit(-1)).alias("number"))
-    lines = map_columns(filled, "s bigint, number bigint, hs array<bigint>", count).select("s", "number", F.explode("hs").alias("h"))
-    # hashes only, the source's too: small rows, combined before the shuffle
-    counts = cut(lines.groupBy("s", "h").agg(F.count("*").alias("c"), F.max("number").alias("number")))
-    sizes = pages.where(F.col(source).isNotNull()).groupBy(source).agg(F.count_distinct(F.coalesce(F.col(number).cast("bigint"), F.lit(-1))).alias("n1"), F.count("*").alias("rows")).withColumn("s", F.xxhash64(source))
+
+def excess_keys(pages: DataFrame, bigrams: dict[str, int], source: str = "publication_id", number: str = "page_number", text: str = "text", share: float = 0.08, fdr: float = 0.01, counts: DataFrame | None = None) -> DataFrame:
+    """(source, key, copies, share, g2) of the line keys in significant excess within their source; share is of its page numbers.
+
+    counts: those of `count_rows`, where they are known.
+    """
+    model = LookalikeModel(bigrams)
+    if counts is None:
+        counts = count_rows(line_rows(pages, model, source, number, text))
+    sizes = cut(pages.where(F.col(source).isNotNull()).groupBy(source).agg(F.count_distinct(F.coalesce(F.col(number).cast("bigint"), F.lit(-1))).alias("n1"), F.count("*").alias("rows")).withColumn("s", F.xxhash64(source)))
     again = counts.where("c > 1")
     total = counts.join(again.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.sum("c").alias("k"))
-    rows_all = pages.where(F.col(source).isNotNull()).count()
+    rows_all = sizes.agg(F.sum("rows")).first()[0] or 0
     c = F.col("c")
     tested = cut(again.join(sizes, "s").join(total, "h").withColumn("g2", _g2(c, F.col("rows"), F.col("k") - c, F.lit(rows_all) - F.col("rows"))))
     threshold = excess_threshold(tested, fdr)
-    often = cut(tested.where((F.col("g2") >= threshold) & (c > share * F.col("n1"))))
+    often = tested.where((F.col("g2") >= threshold) & (c > share * F.col("n1")))
 
-    def lines_at(places: DataFrame) -> DataFrame:
-        """(source, number, key, h) of all lines of the given (source, number) places; others cost a look at a bit each."""
-        bits = filter_bits(places.select(F.xxhash64(F.concat_ws("\n", source, F.col("number").cast("string"))).alias("h")))
-
-        def named(sources, texts, numbers):
-            for s, t, n in zip(sources, texts, numbers, strict=True):
-                at = key_hash(f"{s}\n{n}") % FILTER
-                if bits[at >> 3] >> (at & 7) & 1:
-                    for k in keys_of(t):
-                        yield s, n, k
+    # the key itself, from one page that has it
+    slot = F.pmod(F.xxhash64(source, "number"), F.lit(SLOTS)).alias("slot")
+    slots = F.broadcast(often.select(slot).distinct())  # at most SLOTS rows
+    some = filled_pages(pages, source, number, text).where(F.col(source).isNotNull()).withColumn("slot", slot).join(slots, "slot", "left_semi").drop("slot")
 
-        return map_rows(filled, f"{source} string, number bigint, key string", named).withColumn("h", F.xxhash64("key"))
+    def named(sources, texts, numbers):
+        for s, t, n in zip(sources, texts, numbers, strict=True):
+            for k in line_keys(t, model):
+                yield s, n, k
 
-    # the key itself, from one page that has it
-    names = lines_at(often.select(source, "number")).join(often.select(source, "h", "number"), [source, "h", "number"]).groupBy(source, "h").agg(F.max("key").alias("key"))
+    lines = map_rows(some, f"{source} string, number bigint, key string", named).withColumn("h", F.xxhash64("key"))
+    names = lines.join(often.select(source, "h", "number"), [source, "h", "number"]).groupBy(source, "h").agg(F.max("key").alias("key"))
     scored = cut(often.drop("number", "s").join(names, [source, "h"]).select(source, "key", "h", "n1", "rows", "c", (c / F.col("n1")).alias("share"), "g2"))
     # a page extracted twice counts once: where that could decide, page numbers are told apart
     unsure = scored.where(c - (F.col("rows") - F.col("n1")) <= F.greatest(share * F.col("n1"), F.lit(1.0))).select(source, "h")
     if not unsure.isEmpty():
-        apart = lines.join(unsure.select(F.xxhash64(source).alias("s"), "h"), ["s", "h"], "left_semi").groupBy("s", "h", "number").count().groupBy("s", "h").agg(F.count("*").alias("apart"))
+        apart = line_rows(pages, model, source, number, text).join(unsure.select(F.xxhash64(source).alias("s"), "h"), ["s", "h"], "left_semi").groupBy("s", "h", "number").count().groupBy("s", "h").agg(F.count("*").alias("apart"))
         scored = cut(scored.withColumn("s", F.xxhash64(source)).join(apart, ["s", "h"], "left").drop("s").withColumn("share", F.coalesce(F.col("apart") / F.col("n1"), "share")).drop("apart"))
     return scored.where((F.col("share") > share) & (F.col("share") * F.col("n1") > 1.5)).select(source, "key", c.alias("copies"), "share", "g2")
 
@@ -211,6 +216,10 @@ class Matcher:
         # damage may leave no word of a short key whole: lines of its length are compared outright
         self.short = [(k, m, pieces(k, m)) for k, m, n in self.keys if n <= 3]
         self.reach = max((len(k) + m for k, m, _ in self.short), default=0)
+        self.of_length: list[list[tuple[str, int, list[str]]]] = [[] for _ in range(self.reach + 1)]
+        for k, m, parts in self.short:
+            for n in range(max(0, len(k) - m), len(k) + m + 1):
+                self.of_length[n].append((k, m, parts))
         self.least = min((len(k) - m for k, m, _ in self.keys), default=1)
         self.most = max((len(k) + m for k, m, _ in self.keys), default=0)
 
@@ -223,18 +232,15 @@ class Matcher:
         if not self.least <= len(key) <= self.most:
             return None
         if len(key) <= self.reach:
-            for k, m, parts in self.short:
-                if -m <= len(k) - len(key) <= m:
-                    for part in parts:
-                        if part in key:
-                            if within(k, key, m):
-                                return k
-                            break
-        if self.telling.isdisjoint(words):
-            return None
+            for k, m, parts in self.of_length[len(key)]:
+                for part in parts:
+                    if part in key:
+                        if within(k, key, m):
+                            return k
+                        break
         shared: dict[int, int] = {}
-        for w in set(words):
-            for i in self.words.get(w, ()):
+        for w in self.telling.intersection(words):
+            for i in self.words[w]:
                 shared[i] = shared.get(i, 0) + 1
         for i, n in shared.items():
             k, most, size = self.keys[i]

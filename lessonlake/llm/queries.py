@@ -47,8 +47,8 @@ def _p3(spark: SparkSession, d: str) -> tuple:
     pages = table(spark, d, "page_quality")
     titles = table(spark, d, "lesson_segments").select("publication_id", F.col("expected_title").alias("title"), F.col("page_start").alias("first"), F.col("page_end").alias("last"))
     bigrams, words, compounds = scan_noise.count_words(_texts(spark, d))
-    vectors = scan_noise.learn_vectors(pages, words)
-    return pages, boilerplate.excess_keys(pages, bigrams), titles, (words, compounds, vectors), bigrams
+    counts, vectors = scan_noise.count_lines_and_pairs(pages, bigrams, words)
+    return pages, boilerplate.excess_keys(pages, bigrams, counts=counts), titles, (words, compounds, vectors), bigrams
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:

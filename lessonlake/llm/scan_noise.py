@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import cut, map_columns, map_rows
-from .boilerplate import Matcher, fold_numbers, folded_lines, page_bucket, readable
+from .boilerplate import Matcher, count_rows, filled_pages, fold_numbers, folded_lines, hashes, page_bucket, readable
 from .chars import LookalikeModel, repair_encoding
 from .lookalikes import JOIN, plain_tokens, token_bigrams
 
@@ -226,55 +226,93 @@ def count_words(texts: DataFrame, text: str = "text") -> tuple[dict[str, int], d
     return out["b"], out["w"], out["c"]
 
 
-def learn_vectors(texts: DataFrame, counts: dict[str, int], text: str = "text", dims: int = 24, window: int = WINDOW, negative: int = NEGATIVE, steps: int = 120) -> Vectors:
-    """Skip-gram vectors with negative sampling of all frequent words, fitted on the pair counts of all texts.
+class Pairs:
+    """Counts the skip-gram pairs of texts: each pair is one number, a word's rank times the number of contexts and the context's rank."""
+
+    def __init__(self, counts: dict[str, int], window: int = WINDOW):
+        self.top = sorted(counts, key=lambda w: (-counts[w], w))
+        self.size, self.window, self.least = min(CONTEXTS, len(self.top)), window, max(2, PAIR_RATE * sum(counts.values()))
+        self.known = Ids({w: i for i, w in enumerate(self.top)})
+
+    def count(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(pairs, how often) in the lower-case texts."""
+        gap, known, parts, size = np.full(self.window, -1, dtype=np.int64), self.known.__getitem__, [], self.size
+        for t in texts:
+            tokens = t.split()
+            parts += np.fromiter(map(known, tokens), np.int64, len(tokens)), gap
+        keys = [np.empty(0, dtype=np.int64)]
+        if parts:
+            a = np.concatenate(parts)
+            for d in range(1, self.window + 1):
+                x, y = a[:-d], a[d:]
+                keep = (x >= 0) & (y >= 0) & ((x < size) | (y < size))
+                x, y = x[keep], y[keep]
+                keys.append(np.where(y < size, x * size + y, y * size + x))  # the context is below size
+        keys = np.concatenate(keys)
+        if len(self.top) * size > 16_000_000:  # too many counters for a batch
+            return np.unique(keys, return_counts=True)
+        n = np.bincount(keys, minlength=1)
+        found = np.flatnonzero(n)
+        return found, n[found]
 
-    The most frequent words are fitted together; each other word then to their context vectors, which are kept.
-    """
-    top = sorted(counts, key=lambda w: (-counts[w], w))
-    ids, size = {w: i for i, w in enumerate(top)}, min(CONTEXTS, len(top))
-    if size < 2:
-        return Vectors()
 
-    class Ids(dict):
-        """Of a token with its marks: the id of the word in it, -1 if it has none or several."""
+class Ids(dict):
+    """Of a token with its marks: the id of the word in it, -1 if it has none or several."""
 
-        def __missing__(self, token: str) -> int:
-            found = WORD.findall(token)
-            out = ids.get(found[0], -1) if len(found) == 1 else -1
-            if len(self) < 500_000:
-                self[token] = out
-            return out
+    def __init__(self, ids: dict[str, int]):
+        super().__init__()
+        self.ids = ids
+
+    def __missing__(self, token: str) -> int:
+        found = WORD.findall(token)
+        out = self.ids.get(found[0], -1) if len(found) == 1 else -1
+        if len(self) < 500_000:
+            self[token] = out
+        return out
 
-    known = Ids()
+
+def learn_vectors(texts: DataFrame, counts: dict[str, int], text: str = "text", dims: int = 24, steps: int = 120) -> Vectors:
+    """Skip-gram vectors of all frequent words, fitted on the pair counts of all texts."""
+    pairs = Pairs(counts)
 
     def fn(values):
-        gap = np.full(window, -1, dtype=np.int64)
-        parts = []
-        for t in values:
-            if t:
-                tokens = t.lower().split()
-                parts += np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens)), gap
-        if not parts:
-            return [[], []]
-        a = np.concatenate(parts)
-        keys = []
-        for d in range(1, window + 1):
-            x, y = a[:-d], a[d:]
-            keep = (x >= 0) & (y >= 0) & ((x < size) | (y < size))
-            x, y = x[keep], y[keep]
-            keys.append(np.where(y < size, x * size + y, y * size + x))  # the context is below size
-        keys = np.concatenate(keys)
-        if len(ids) * size > 16_000_000:  # too many counters for a batch
-            found, n = np.unique(keys, return_counts=True)
-            return [pa.array(found), pa.array(n)]
-        n = np.bincount(keys, minlength=1)
-        found = np.flatnonzero(n)
-        return [pa.array(found), pa.array(n[found])]
+        return list(map(pa.array, pairs.count([t.lower() for t in values])))
+
+    rows = map_columns(texts.where(F.col(text).isNotNull()).select(text), "pair bigint, n bigint", fn).groupBy("pair").agg(F.sum("n").alias("n"))
+    return fit_vectors(rows.where(F.col("n") >= pairs.least).toPandas(), pairs, dims, steps)
+
+
+def count_lines_and_pairs(pages: DataFrame, bigrams: dict[str, int], counts: dict[str, int]) -> tuple[DataFrame, Vectors]:
+    """(line counts for `boilerplate.excess_keys`, vectors), both counted in one pass over the texts."""
+    model, pairs = LookalikeModel(bigrams), Pairs(counts)
+
+    def fn(sources, texts, numbers):
+        low = [readable(t, model).lower() for t in texts]
+        each = [hashes({k for k in folded_lines(t) if len(k) > 1 and k.islower()} if s is not None else ()) for s, t in zip(sources, low, strict=True)]
+        size = [len(x) for x in each]
+        keys, n = pairs.count(low)
+        none = np.zeros(len(keys), np.int64)
+        of = np.repeat(hashes([s or "" for s in sources]), size)
+        return [
+            pa.array(np.concatenate([of, none]), mask=np.concatenate([np.zeros(len(of), bool), np.ones(len(keys), bool)])),  # pairs have no source
+            pa.array(np.concatenate([*each, keys])), pa.array(np.concatenate([np.repeat(np.array(numbers, np.int64), size), none])), pa.array(np.concatenate([np.ones(len(of), np.int64), n])),
+        ]
+
+    both = count_rows(map_columns(filled_pages(pages, "publication_id", "page_number", "text"), "s bigint, h bigint, number bigint, n bigint", fn))
+    rows = both.where("s is null").where(F.col("c") >= pairs.least).select(F.col("h").alias("pair"), F.col("c").alias("n")).toPandas()
+    return both.where("s is not null"), fit_vectors(rows, pairs)
+
 
-    rows = map_columns(texts.where(F.col(text).isNotNull()).select(text), "pair bigint, n bigint", fn).groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= max(2, PAIR_RATE * sum(counts.values()))).toPandas()
+def fit_vectors(rows, pairs: Pairs, dims: int = 24, steps: int = 120, negative: int = NEGATIVE) -> Vectors:
+    """Skip-gram vectors with negative sampling, fitted on pair counts.
+
+    The most frequent words are fitted together; each other word then to their context vectors, which are kept.
+    """
+    top, size = pairs.top, pairs.size
+    if size < 2:
+        return Vectors()
+    ids = {w: i for i, w in enumerate(top)}
     own, other, n = rows.pair.to_numpy() // size, rows.pair.to_numpy() % size, rows.n.to_numpy()
-    del rows
     m = np.zeros((size, size), dtype=np.float32)
     m[own[own < size], other[own < size]] = n[own < size]
     m += m.T
@@ -356,6 +394,7 @@ class Page:
         low = whole.lower()
         self.low = low.split("\n")
         self.cuts = "-" in low or "¬" in low
+        self.gaps = self.cuts and ("- " in low or "¬ " in low)
         if len(self.low) != len(self.lines):  # lower() never makes lines, but be safe
             self.low = [x.lower() for x in self.lines]
         self.keys = folded_lines(low)
@@ -407,7 +446,7 @@ class Page:
 
     def _words(self) -> None:
         v, skip = self.v, set()
-        inside = any("- " in x or "¬ " in x for x in self.low) if self.cuts else False
+        inside = self.gaps
         for k, i in enumerate(self.own if self.cuts else ()):
             line = self.low[i]
             if self.said[i][-1][-1] in "-¬" and k + 1 < len(self.own):
@@ -432,15 +471,17 @@ class Page:
                         if w:
                             self.fixes.setdefault(i, []).append((m.start(1), m.end(3), w))
         strange = self.tokens.__getitem__
-        for i in self.own:
-            if not any(map(strange, self.said[i])):
+        odd_tokens = frozenset(filter(strange, set().union(*map(self.said.__getitem__, self.own))))
+        for i in self.own if odd_tokens else ():
+            if odd_tokens.isdisjoint(self.said[i]):
                 continue
             low = self.low[i]
             tokens = list(WORD.finditer(low))
             hits = []
             for k, m in enumerate(tokens):
-                if (i, m.start()) not in skip and m.group() not in v.words and v.candidates(m.group()):
-                    w = v.meant(m.group(), [x.group() for x in tokens[max(0, k - WINDOW) : k] + tokens[k + 1 : k + 1 + WINDOW]])
+                word = m.group()
+                if word not in v.words and v.candidates(word) and (i, m.start()) not in skip:
+                    w = v.meant(word, [x.group() for x in tokens[max(0, k - WINDOW) : k] + tokens[k + 1 : k + 1 + WINDOW]])
                     if w:
                         hits.append((m, w))
             odd = list(MIXED.finditer(self.lines[i]))
