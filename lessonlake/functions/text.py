@@ -99,7 +99,7 @@ def replacement_chars(c: Column) -> Column:
     return F.length(c) - F.length(F.replace(c, F.lit("�"), F.lit("")))
 
 
-CITED = "|".join(b.replace("_", " ") for b in CITED_BOOKS)
+CITED = "|".join(CITED_BOOKS)
 _WS = f"[{SPACE}]"
 # A word (with its number, if any), a chapter, a wrong separator or none, and a verse that may hold letters.
 LIKE_CITATION = f"(?iu)(?<![\\p{{L}}\\p{{N}}_])(?:[1-3]{_WS}*+)?((?:Song of )?\\p{{L}}++){_WS}++\\d{{1,3}}{_WS}*(?:[;.{SPACE}]|:[lIoO]){_WS}*[lIoO0-9]{{1,3}}(?:{_WS}*-{_WS}*[lIoO0-9]{{1,3}})?(?![\\p{{L}}\\p{{N}}_])"
@@ -145,8 +145,24 @@ def contains_any(folded: Column, labels: tuple[str, ...] | list[str]) -> Column:
     return out
 
 
+def may_start_with(c: Column, labels: tuple[str, ...]) -> Column:
+    """Can the folded text start with a label? A look at its first letter, which spares most lines the folding."""
+    first = "".join(sorted({x[0] for x in labels}))
+    return c.rlike(f"^[{SPACE}\\p{{Mn}}]*+(?:[{first}{first.upper()}]|[^\\x00-\\x7f])")
+
+
+def starts_folded(c: Column, labels: tuple[str, ...]) -> Column:
+    """Does the folded text start with one of the labels?"""
+    return F.when(may_start_with(c, labels), starts_with_any(fold(c), labels)).otherwise(False)
+
+
+def is_word(c: Column, words: tuple[str, ...]) -> Column:
+    """Is the folded text one of the words? Texts with a blank inside are none."""
+    return F.when(strip(c).rlike(f"[{SPACE}]"), False).otherwise(fold(c).isin(*words))
+
+
 def is_section_label(line: Column) -> Column:
-    return starts_with_any(F.rtrim(fold(line), F.lit(":")), SECTION_LABELS)
+    return starts_folded(line, SECTION_LABELS)
 
 
 def is_citation_only(line: Column) -> Column:
@@ -159,11 +175,11 @@ def is_structural(line: Column) -> Column:
     out = s == ""
     for p in STRUCTURAL:
         out = out | s.rlike(p)
-    return out | is_section_label(s) | fold(s).isin(*STANDALONE) | is_citation_only(s)
+    return out | is_citation_only(s) | is_section_label(s) | is_word(s, STANDALONE)
 
 
 def is_contents_label(line: Column) -> Column:
-    return fold(line).isin(*CONTENTS_LABELS)
+    return is_word(line, CONTENTS_LABELS)
 
 
 def join_hyphens(c: Column) -> Column:
@@ -172,11 +188,60 @@ def join_hyphens(c: Column) -> Column:
 
 
 def tidy(c: Column) -> Column:
-    """Line ends, cut words and blanks put right, before paragraphs are reflowed."""
-    joined = join_hyphens(unix_lines(c))
+    """Composed form, line ends, cut words and blanks put right, before paragraphs are reflowed."""
+    joined = join_hyphens(unix_lines(nfc(c)))
     return F.array_join(F.transform(F.split(F.regexp_replace(joined, "[ \t]+", " "), "\n"), rstrip), "\n")
 
 
+# What Unicode's composition may change: marks, letters that are no more than another one, the parts of Hangul syllables.
+COMPOSABLE = "[\\p{M}\\u0374\\u037e\\u0387\\u1f71-\\u1ffd\\u2000\\u2001\\u2126\\u212a\\u212b\\u2329\\u232a\\u1100-\\u11ff\\uf900-\\ufaff]"
+
+
+def _composer():
+    from pyspark.sql.functions import pandas_udf
+
+    def compose(texts):  # pickled by value, so workers need no package
+        import unicodedata
+
+        return texts.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
+
+    import pandas as pd
+
+    compose.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+    return pandas_udf(compose, "string")
+
+
+def nfc(c: Column) -> Column:
+    """The composed form. Spark has no function for it, so texts that it may change (few) go through Python, the rest does not."""
+    return F.coalesce(_composer()(F.when(c.rlike(COMPOSABLE), c)), c)
+
+
+def reflow_lines(lines: Column) -> Column:
+    """The paragraphs of an array of lines: (first_line from 1, text) each; neighbouring lines are joined unless a structural or blank one parts them."""
+    marked = F.transform(lines, lambda x: F.struct(strip(x).alias("s"), is_structural(x).alias("stands")))
+
+    def paragraphs(m: Column) -> Column:
+        def piece(x: Column, i: Column) -> Column:
+            before = F.when(i > 0, F.try_element_at(m, i)["stands"]).otherwise(True)
+            said = F.when(x["stands"], x["s"]).otherwise(F.regexp_replace(x["s"], f"[{SPACE}]+", " "))
+            return F.struct((x["stands"] | before).alias("starts"), (i + 1).alias("line"), said.alias("s"))
+
+        pieces = F.transform(m, piece)
+        text = F.array_join(F.transform(pieces, lambda p, i: F.concat(F.when(i == 0, "").when(p["starts"], "\n").otherwise(" "), p["s"])), "")
+        firsts = F.transform(F.filter(pieces, lambda p: p["starts"]), lambda p: p["line"])
+        return F.arrays_zip(firsts.alias("first_line"), F.split(text, "\n").alias("text"))
+
+    return F.element_at(F.transform(F.array(marked), paragraphs), 1)
+
+
+def normalize(c: Column) -> Column:
+    """A text as later steps read it: composed, line ends and cut words and blanks put right, paragraphs reflowed,
+    stripped with one final line end; '' if nothing is left. Lines are those between line feeds."""
+    paragraphs = reflow_lines(F.split(tidy(c), "\n"))
+    text = strip(F.array_join(F.transform(paragraphs, lambda p: p["text"]), "\n"))
+    return F.when(text == "", "").when(text.isNotNull(), F.concat(text, F.lit("\n")))
+
+
 def clean_title(c: Column) -> Column:
     """Dot leaders off, blanks collapsed."""
     return F.trim(F.regexp_replace(F.regexp_replace(c, "\\.{2,}", " "), f"[{SPACE}]+", " "), F.lit(" ."))
@@ -193,3 +258,30 @@ def item_kind(c: Column) -> Column:
         .when(s.startswith("¿") | s.endswith("?"), "question")
         .otherwise("paragraph")
     )
+
+
+def page_header(number: Column) -> Column:
+    """The marker line of a page."""
+    return F.concat(F.lit("===== PDF_PAGE "), number.cast("string"), F.lit(" ====="))
+
+
+def expected_path(publication: Column, folder: str, suffix: str) -> Column:
+    """Where a publication's text (`.txt`) or log (`.json`) stands."""
+    return F.concat(F.lit(folder.rstrip("/") + "/"), publication, F.lit(suffix))
+
+
+def relative_path(path: Column, root: str) -> Column:
+    """A path below the root as seen from there; any other one as it is."""
+    top = root.rstrip("/") + "/"
+    return F.when(F.startswith(path, F.lit(top)), F.substring(path, F.lit(len(top) + 1), F.length(path))).otherwise(path)
+
+
+def runtime_path(path: Column, root: str) -> Column:
+    """As relative_path, but of a path outside only its last part, marked as external."""
+    inside = relative_path(path, root)
+    return F.when(inside == path, F.concat(F.lit("external:"), F.element_at(F.split(path, "/"), -1))).otherwise(inside)
+
+
+def classified_path(publication: Column, family: Column, path: Column) -> Column:
+    """A path below its family's folder."""
+    return F.when(publication.isNotNull(), F.concat(family, F.lit("/"), path))

@@ -11,6 +11,9 @@ from ..functions import text as T
 
 CYCLE, LANGUAGE, SCHEMA_VERSION = "C1", "es", "1.0.0"
 PENDING = "1970-01-01T00:00:00+00:00"
+# Fixed value: the digest of a source file that is not there.
+NO_FILE = "pending-source-file-verification"
+TRACED = ("biblical_reading", "lesson_outline", "teacher_notes", "summary_application")
 REFERENCE = "struct<testament:string,book_standardized:string,chapter:int,verse_start:int,verse_end:int>"
 
 
@@ -29,12 +32,13 @@ def or_tbd(items: Column) -> Column:
     return F.when(items.isNull() | (F.size(kept) == 0), F.array(F.lit("TBD"))).otherwise(kept)
 
 
-def draft_lessons(segments: DataFrame, readings: DataFrame, items: DataFrame, year: int = 2024, imported_at: str | None = None, previous: DataFrame | None = None) -> DataFrame:
+def draft_lessons(segments: DataFrame, readings: DataFrame, items: DataFrame, year: int = 2024, imported_at: str | None = None, previous: DataFrame | None = None, traces: DataFrame | None = None, digests: DataFrame | None = None) -> DataFrame:
     """One nested lesson per segment.
 
     readings: publication_id, lesson_number, reference_display, canonical_references.
     items: publication_id, lesson_number, section, items (array). previous: lesson key and imported_at of an
-    earlier snapshot, which wins over the default but not over imported_at.
+    earlier snapshot, which wins over the default but not over imported_at. traces: lesson key, section, line_start,
+    line_end, page_start, page_end. digests: publication_id and sha256 of its source file.
     """
     key = ["publication_id", "lesson_number"]
     wide = items.groupBy(*key).pivot("section", ["lesson_outline", "teacher_notes", "summary_application"]).agg(F.first("items"))
@@ -45,6 +49,16 @@ def draft_lessons(segments: DataFrame, readings: DataFrame, items: DataFrame, ye
         x = x.join(previous.select(*key, F.col("imported_at").alias("kept_at")), key, "left")
     else:
         x = x.withColumn("kept_at", F.lit(None).cast("string"))
+    trace = "struct<line_start:int,line_end:int,page_start:int,page_end:int>"
+    if traces is not None:
+        t = traces.groupBy(*key).pivot("section", list(TRACED)).agg(F.first(F.struct("line_start", "line_end", "page_start", "page_end").cast(trace)))
+        x = x.join(t.select(*key, *[F.col(n).alias(f"trace_{n}") for n in TRACED]), key, "left")
+    else:
+        x = x.withColumns({f"trace_{n}": F.lit(None).cast(trace) for n in TRACED})
+    if digests is not None:
+        x = x.join(digests.groupBy("publication_id").agg(F.max("sha256").alias("sha256")), "publication_id", "left")
+    else:
+        x = x.withColumn("sha256", F.lit(None).cast("string"))
     stamp = F.coalesce(F.lit(imported_at).cast("string"), "kept_at", F.lit(PENDING))
     start = F.coalesce(F.nullif("page_start", F.lit(0)), F.nullif("expected_page_start", F.lit(0)), F.lit(0))
     end = F.coalesce(F.nullif("page_end", F.lit(0)), F.greatest(start, F.coalesce(F.col("following"), start + 1) - 1))
@@ -87,9 +101,9 @@ def draft_lessons(segments: DataFrame, readings: DataFrame, items: DataFrame, ye
             F.lit("pending-human-review").alias("reviewed_by"),
             F.when(used, "automated_unreviewed").otherwise("pending").alias("review_status"),
         ).alias("processing_audit"),
-        s(pdf.alias("original_filename"), F.lit("pending-source-hash").alias("sha256"), stamp.alias("imported_at"), F.lit("pending-human-review").alias("source_scan_quality")).alias("source_integrity"),
+        s(pdf.alias("original_filename"), F.coalesce("sha256", F.lit(NO_FILE)).alias("sha256"), stamp.alias("imported_at"), F.lit("pending-human-review").alias("source_scan_quality")).alias("source_integrity"),
         s(*[F.lit(v).alias(k) for k, v in zip(NESTED_FIELDS["processing_status"], (True, True, True, False, False, True, False), strict=True)]).alias("processing_status"),
-        s(pdf.alias("source_pdf"), start.alias("page_start"), end.alias("page_end"), F.coalesce("start_line", F.lit(0)).alias("line_start"), F.coalesce("end_line", F.lit(0)).alias("line_end"), F.col("publication_id").alias("extraction_block")).alias("source_trace"),
+        s(pdf.alias("source_pdf"), start.alias("page_start"), end.alias("page_end"), F.coalesce("start_line", F.lit(0)).alias("line_start"), F.coalesce("end_line", F.lit(0)).alias("line_end"), F.col("publication_id").alias("extraction_block"), s(*[F.col(f"trace_{n}").alias(n) for n in TRACED]).alias("section_traces")).alias("source_trace"),
         s(F.array(F.lit("TBD")).alias("doctrinal_categories"), F.array(F.lit("TBD")).alias("theological_themes"), F.lit("adult").alias("educational_level"), F.lit("adult").alias("intended_audience")).alias("semantic_metadata"),
     )
 
@@ -145,19 +159,25 @@ def reading_errors(lessons: DataFrame, key: list[str]) -> DataFrame:
 
 
 def string_leaves(schema: X.DataType, path: str = "") -> list[tuple[str, str]]:
-    """(path, 'one' or 'many') of every string in a nested type, arrays of structs included."""
-    out: list[tuple[str, str]] = []
-    if isinstance(schema, X.StructType):
-        for f in schema.fields:
-            out += string_leaves(f.dataType, f"{path}.{f.name}" if path else f.name)
-    elif isinstance(schema, X.StringType):
-        out.append((path, "one"))
-    elif isinstance(schema, X.ArrayType):
-        if isinstance(schema.elementType, X.StringType):
-            out.append((path, "many"))
-        elif isinstance(schema.elementType, X.StructType):
-            out += [(f"{path}.{f.name}", "many") for f in schema.elementType.fields if isinstance(f.dataType, X.StringType)]
-    return out
+    """(path, 'one' or 'many') of every string in a nested type: in structs, arrays of any depth and the values of maps."""
+    return [(p, kind) for p, kind, _ in _leaves(schema, path)]
+
+
+def _leaves(kind: X.DataType, path: str):
+    """(path, 'one' or 'many', function of the value at the path's start to the array of its strings)."""
+    if isinstance(kind, X.StringType):
+        return [(path, "one", lambda c: F.array(c))]
+    if isinstance(kind, X.StructType):
+        out = []
+        for f in kind.fields:
+            for p, n, fn in _leaves(f.dataType, f"{path}.{f.name}" if path else f.name):
+                out.append((p, n, lambda c, fn=fn, name=f.name: fn(c.getField(name) if path else F.col(f"`{name}`"))))
+        return out
+    if isinstance(kind, X.ArrayType):
+        return [(p, "many", lambda c, fn=fn: F.flatten(F.transform(c, lambda v: fn(v)))) for p, _, fn in _leaves(kind.elementType, path)]
+    if isinstance(kind, X.MapType):
+        return [(p, "many", lambda c, fn=fn: F.flatten(F.transform(F.map_values(c), lambda v: fn(v)))) for p, _, fn in _leaves(kind.valueType, path)]
+    return []
 
 
 def is_placeholder(c: Column) -> Column:
@@ -170,11 +190,12 @@ def is_placeholder(c: Column) -> Column:
 def placeholders(lessons: DataFrame, key: list[str]) -> DataFrame:
     """(key, path, value) of every string that only holds a place, anywhere in the document."""
 
-    def leaf(path: str, kind: str) -> Column:
-        values = F.col(path) if kind == "many" else F.array(F.col(path))
-        return F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v: F.struct(F.lit(path).alias("path"), v.alias("value")))
+    none = F.array().cast("array<string>")
 
-    leaves = [leaf(path, kind) for path, kind in string_leaves(lessons.schema)]
+    def leaf(path: str, values: Column) -> Column:
+        return F.transform(F.coalesce(values, none), lambda v: F.struct(F.lit(path).alias("path"), v.alias("value")))
+
+    leaves = [leaf(path, fn(None)) for path, _, fn in _leaves(lessons.schema, "")]
     flat = lessons.select(*key, F.explode(F.concat(*leaves)).alias("leaf")).select(*key, "leaf.*")
     return flat.where(F.col("value").isNotNull() & is_placeholder(F.col("value")))
 
@@ -188,6 +209,12 @@ def first_error(lessons: DataFrame, key: list[str]) -> DataFrame:
     return lessons.select(*key).join(per, key, "left")
 
 
+def gate(lessons: DataFrame, key: list[str]) -> DataFrame:
+    """One row (n_lessons, n_invalid, may_index): official indexes are only built when every lesson is valid."""
+    x = first_error(lessons, key).agg(F.count("*").alias("n_lessons"), F.count("error").alias("n_invalid"))
+    return x.withColumn("may_index", F.col("n_invalid") == 0)
+
+
 def all_valid(lessons: DataFrame, key: list[str]) -> bool:
     """The gate before reviewed indexes: no lesson has an error."""
     return first_error(lessons, key).where("error is not null").isEmpty()
@@ -199,3 +226,11 @@ def draft_paths(lessons: DataFrame) -> DataFrame:
 
 def duplicate_paths(lessons: DataFrame) -> DataFrame:
     return draft_paths(lessons).groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
+
+
+def with_paths(lessons: DataFrame) -> DataFrame:
+    """Lessons with their draft path; two of one path are an error, since one would overwrite the other."""
+    twice = duplicate_paths(lessons).orderBy("path").first()
+    if twice:
+        raise ValueError(f"{twice['n']} lessons have the draft path {twice['path']}")
+    return lessons.withColumn("path", F.format_string("%s/%d/%s/%s.yaml", "publication_id", "year", "cycle", "lesson_id"))

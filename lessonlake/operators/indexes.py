@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from . import sections
+from . import documents, sections
 
 SECTIONS = ("lesson_outline", "teacher_notes", "summary_application")
 
@@ -26,13 +26,27 @@ def item_table(lessons: DataFrame) -> DataFrame:
     return x.select("publication_id", "lesson_id", "lesson_number", "section", "item_order", F.format_string("%s-%s-%03d", "lesson_id", "slug", "item_order").alias("item_id"), T.item_kind(F.col("text")).alias("kind"), "text")
 
 
+ITEM = "struct<item_id:string,order:int,kind:string,text:string,source_trace_ref:string>"
+
+
+def indexed_sections(lessons: DataFrame) -> DataFrame:
+    """Per lesson and section (of all three): item_count, its items in order and its source trace, null where there is none."""
+    key = ["publication_id", "lesson_number"]
+    parts = F.array(*[F.struct(F.lit(s).alias("section"), F.col(f"source_trace.section_traces.{s}").alias("source_trace")) for s in SECTIONS])
+    every = lessons.select(*key, "lesson_id", F.explode(parts).alias("p")).select(*key, "lesson_id", "p.*")
+    item = F.struct(F.col("item_order").alias("order"), "item_id", "kind", "text")
+    lists = item_table(lessons).groupBy(*key, "section").agg(F.array_sort(F.collect_list(item)).alias("x"))
+    ref = F.when(F.col("source_trace").isNotNull(), F.col("section"))
+    items = F.transform(F.coalesce("x", F.array().cast("array<struct<order:int,item_id:string,kind:string,text:string>>")), lambda i: F.struct(i["item_id"].alias("item_id"), i["order"].alias("order"), i["kind"].alias("kind"), i["text"].alias("text"), ref.alias("source_trace_ref")))
+    return every.join(lists, [*key, "section"], "left").withColumn("items", items).select(*key, "lesson_id", "section", F.size("items").alias("item_count"), "items", "source_trace")
+
+
 def lessons_index(lessons: DataFrame) -> DataFrame:
-    """The detailed view: lesson, reading, profile and item counts."""
-    counts = item_table(lessons).groupBy("publication_id", "lesson_number").pivot("section", list(SECTIONS)).count()
-    x = compact_index(lessons).join(counts, ["publication_id", "lesson_number"], "left").fillna(0, list(SECTIONS))
-    for s in SECTIONS:
-        x = x.withColumnRenamed(s, f"{s}_items")
-    return x
+    """The detailed view: lesson, reading, profile and each section with its items and trace."""
+    key = ["publication_id", "lesson_number"]
+    wide = indexed_sections(lessons).groupBy(*key).pivot("section", list(SECTIONS)).agg(F.first(F.struct("item_count", "items", "source_trace")))
+    strategy = lessons.select(*key, F.col("lesson_sections.biblical_reading.replacement_policy.strategy").alias("replacement_strategy"))
+    return compact_index(lessons).join(strategy, key).join(wide, key)
 
 
 def compact_index(lessons: DataFrame) -> DataFrame:
@@ -43,10 +57,8 @@ def compact_index(lessons: DataFrame) -> DataFrame:
 
 
 def section_outline_index(lessons: DataFrame) -> DataFrame:
-    """One row per lesson and section with its item count and first item."""
-    all_ = lessons.select("publication_id", "lesson_number", "lesson_id", F.explode(F.array(*map(F.lit, SECTIONS))).alias("section"))
-    n = item_table(lessons).groupBy("publication_id", "lesson_number", "section").agg(F.count("*").alias("item_count"), F.min_by("text", "item_order").alias("first_text"))
-    return all_.join(n, ["publication_id", "lesson_number", "section"], "left").fillna(0, ["item_count"])
+    """One row per lesson and section with its items, its trace and the lesson's profile."""
+    return indexed_sections(lessons).join(sections.profile_metadata(lessons), "publication_id")
 
 
 def translation_index(lessons: DataFrame, target: str = "pending") -> DataFrame:
@@ -67,3 +79,19 @@ def family_counts(lessons: DataFrame) -> DataFrame:
 def write_by_family(view: DataFrame, path: str) -> None:
     """A view as one folder per family."""
     view.withColumn("classification", sections.classification(F.col("publication_id"))).write.mode("overwrite").partitionBy("classification").parquet(path)
+
+
+def write_views(lessons: DataFrame, folder: str, scope: str = "canonical_reviewed", key: tuple[str, ...] = ("publication_id", "lesson_number")) -> list[str]:
+    """Writes all views below `folder`, three of them by family too, and gives their names.
+
+    Views of reviewed lessons are written only if every lesson is valid; else ValueError and nothing is written.
+    """
+    if scope == "canonical_reviewed" and not documents.all_valid(lessons, list(key)):
+        raise ValueError("an invalid lesson keeps the index from being written")
+    views = {"detailed_lessons": lessons_index, "compact_lessons": compact_index, "section_outline": section_outline_index, "translation_alignment": translation_index, "scripture": scripture_index}
+    for name, view in views.items():
+        header(lessons, name, scope).write.mode("overwrite").json(f"{folder}/{name}/header")
+        view(lessons).write.mode("overwrite").parquet(f"{folder}/{name}/all")
+        if name in ("compact_lessons", "section_outline", "translation_alignment"):
+            write_by_family(view(lessons).drop("classification"), f"{folder}/{name}/by_family")
+    return list(views)

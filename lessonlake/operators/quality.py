@@ -116,14 +116,22 @@ def edge_keys(pages: DataFrame, n: int = 3) -> DataFrame:
     return pages.where("text is not null").select("publication_id", "page_number", "page_id", F.explode(F.array_distinct(keys)).alias("key"))
 
 
+def repeated(keys: DataFrame, least: int = 3) -> DataFrame:
+    """(publication_id, key, n_pages) of edge keys on at least `least` page numbers."""
+    return keys.groupBy("publication_id", "key").agg(F.count_distinct("page_number").alias("n_pages")).where(F.col("n_pages") >= least)
+
+
 def repeated_edges(pages: DataFrame, least: int = 3, n: int = 3) -> DataFrame:
-    """(publication_id, key, n_pages) of edge lines on at least `least` page numbers."""
-    return edge_keys(pages, n).groupBy("publication_id", "key").agg(F.count_distinct("page_number").alias("n_pages")).where(F.col("n_pages") >= least)
+    return repeated(edge_keys(pages, n), least)
+
 
+def gate_with_edges(gated: DataFrame, least: int = 3, n: int = 3, keys: DataFrame | None = None) -> DataFrame:
+    """The gate with repeated edges: adds the issue, lowers PASS to WARNING and takes 10 off the score.
 
-def gate_with_edges(gated: DataFrame, least: int = 3, n: int = 3) -> DataFrame:
-    """The gate with repeated edges: adds the issue, lowers PASS to WARNING and takes 10 off the score."""
-    hit = edge_keys(gated, n).join(repeated_edges(gated, least, n), ["publication_id", "key"], "left_semi").select("page_id").distinct()
+    keys: the pages' `edge_keys` as a table, so that texts are read for them once.
+    """
+    keys = edge_keys(gated, n) if keys is None else keys
+    hit = keys.join(repeated(keys, least), ["publication_id", "key"], "left_semi").select("page_id").distinct()
     marked = gated.join(hit.withColumn("repeated", F.lit(True)), "page_id", "left").withColumn("repeated", F.coalesce("repeated", F.lit(False)))
     return (
         marked.withColumn("gate_issues", F.when(F.col("repeated"), F.array_distinct(F.concat("gate_issues", F.array(F.lit("repeated_header_footer"))))).otherwise(F.col("gate_issues")))
@@ -189,17 +197,26 @@ def publication_report(gated: DataFrame, waivers: DataFrame, waive_review: bool
 
 
 def extraction_summary(gated: DataFrame) -> DataFrame:
-    """Per publication: pages by source and whether anything needs attention."""
+    """Per publication: pages whose embedded text was weak, OCR was used for or people must look at, and whether they must at all."""
+    weak, review = ~is_ocr() & (F.col("gate_status") == "NEEDS_OCR"), F.col("gate_status") == "NEEDS_HUMAN_REVIEW"
+    used = is_ocr()
     return gated.groupBy("publication_id").agg(
-        F.count("*").alias("total_pages"),
-        F.count_if(is_ocr()).alias("ocr_pages"),
-        F.count_if(F.col("words") == 0).alias("zero_text_pages"),
-        F.sum(F.col("words").cast("bigint")).alias("total_words"),
-        F.min("gate_score").alias("min_score"),
-        F.bool_or(F.col("gate_status").isin("NEEDS_OCR", "NEEDS_HUMAN_REVIEW")).alias("needs_attention"),
+        _pages_where(weak).alias("weak_direct_text_pages"),
+        _pages_where(used).alias("ocr_fallback_pages"),
+        F.count_distinct(F.when(used, F.col("page_number"))).alias("ocr_fallback_page_count"),
+        _pages_where(review).alias("human_review_pages"),
+        F.count_distinct(F.when(review, F.col("page_number"))).alias("human_review_page_count"),
+        F.bool_or(weak | review).alias("manual_review_required"),
     )
 
 
+def ocr_reports(gated: DataFrame, waivers: DataFrame) -> DataFrame:
+    """(source, status, page_count, issue_counts) of each publication's report, the counts as `issue=n` in order."""
+    counts = issue_counts(gated).groupBy("publication_id").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", "issue", F.col("n").cast("string")))), ",").alias("issue_counts"))
+    report = publication_report(gated, waivers).select("publication_id", "status", "page_count")
+    return report.join(counts, "publication_id", "left").select(F.col("publication_id").alias("source"), "status", "page_count", F.coalesce("issue_counts", F.lit("")).alias("issue_counts"))
+
+
 def page_log(gated: DataFrame, prefix: str = "") -> DataFrame:
     """The flat log entry of each page; ratios with four places, half to even."""
     return gated.select(

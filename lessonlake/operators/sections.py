@@ -1,6 +1,7 @@
 """Sections of a lesson: label search, blocks, outlines, prose merging, traces.
 
-Lines meet their segments by publication and interval; aliases come from family profiles, a fixed table.
+Labels and the lines that end a block are found by as-of joins over the few lines that hold them; only the lines of
+the blocks themselves then meet their segments, in an interval join. Aliases come from family profiles, a short table.
 All windows are per (publication, segment, section), so one long publication is spread over its lessons.
 """
 
@@ -24,83 +25,102 @@ def classification(publication: Column) -> Column:
     return F.when(p.contains("maestro"), "maestro").when(p.contains("alumno"), "alumno").otherwise("unclassified")
 
 
-def profiles(spark) -> DataFrame:
-    return spark.createDataFrame([(k, v["version"]) for k, v in PROFILES.items()], "profile_id string, profile_version string")
+def profiles(spark, known: dict = PROFILES) -> DataFrame:
+    return spark.createDataFrame([(k, v["version"]) for k, v in known.items()], "profile_id string, profile_version string")
 
 
-def profile_sections(spark) -> DataFrame:
+def profile_sections(spark, known: dict = PROFILES) -> DataFrame:
     """(profile_id, section, aliases) of every family (fixed size)."""
-    return spark.createDataFrame([(k, s, a) for k, v in PROFILES.items() for s, a in v["sections"].items()], "profile_id string, section string, aliases array<string>")
+    return spark.createDataFrame([(k, s, a) for k, v in known.items() for s, a in v["sections"].items()], "profile_id string, section string, aliases array<string>")
 
 
-def profile_metadata(publications: DataFrame) -> DataFrame:
+def profile_metadata(publications: DataFrame, known: dict = PROFILES) -> DataFrame:
     """publication_id with its family, profile and version."""
     x = publications.select("publication_id").distinct().withColumn("classification", classification(F.col("publication_id")))
-    return x.join(F.broadcast(profiles(publications.sparkSession)).withColumnRenamed("profile_id", "classification"), "classification", "left").select("publication_id", "classification", F.col("classification").alias("profile_id"), F.coalesce("profile_version", F.lit("0.0.0")).alias("profile_version"))
+    return x.join(F.broadcast(profiles(publications.sparkSession, known)).withColumnRenamed("profile_id", "classification"), "classification", "left").select("publication_id", "classification", F.col("classification").alias("profile_id"), F.coalesce("profile_version", F.lit("0.0.0")).alias("profile_version"))
 
 
-def segment_lines(lines: DataFrame, segments: DataFrame) -> DataFrame:
-    """Each line of each segment with its active page: an interval join within the publication."""
-    paged = structure.with_active_page(lines)
-    s = segments.select("publication_id", "lesson_number", F.greatest("start_line", F.lit(1)).alias("first"), "start_line", F.coalesce("end_line", F.lit(2**31 - 1)).alias("last"))
-    return paged.join(s, "publication_id").where((F.col("line_number") >= F.col("first")) & (F.col("line_number") <= F.col("last"))).drop("first", "last").withColumn("s", T.strip(F.col("line"))).withColumn("folded", T.fold_label(F.col("line")))
+def body_lines(lines: DataFrame) -> DataFrame:
+    """Lines with their active page, stripped (s) and folded; what the functions below start from."""
+    return structure.with_active_page(lines).withColumn("s", T.strip(F.col("line"))).withColumn("folded", T.fold_label(F.col("line")))
 
 
-def labels(body: DataFrame) -> DataFrame:
-    """(key, label_line): the first line of a segment that contains one of a section's aliases."""
-    spark = body.sparkSession
-    x = body.withColumn("profile_id", classification(F.col("publication_id"))).join(F.broadcast(profile_sections(spark)), "profile_id")
-    hit = F.exists("aliases", lambda a: F.contains(F.col("folded"), a))
-    return x.where(hit).groupBy(*KEY).agg(F.min("line_number").alias("label_line"))
+def labels(body: DataFrame, segments: DataFrame, known: dict = PROFILES) -> DataFrame:
+    """(key, label_line, last): the first line of a segment that contains one of a section's aliases, and the segment's end."""
+    family = F.broadcast(profile_sections(body.sparkSession, known)).withColumnRenamed("profile_id", "family")
+    any_alias = T.contains_any(F.col("folded"), sorted({x for v in known.values() for names in v["sections"].values() for x in names}))
+    x = body.where(any_alias).select("publication_id", "line_number", "folded").join(family, classification(F.col("publication_id")) == F.col("family"))
+    hits = x.where(F.exists("aliases", lambda a: F.contains(F.col("folded"), a))).select("publication_id", "section", "line_number")
+    points = segments.join(family, classification(F.col("publication_id")) == F.col("family")).select("publication_id", "section", F.greatest("start_line", F.lit(1)).alias("line_number"), "lesson_number", "start_line", F.coalesce("end_line", F.lit(2**31 - 1)).alias("last")).distinct()
+    out = structure.next_line(points, hits, ["publication_id", "section"], "label_line")
+    return out.where("label_line <= last").select(*KEY, "label_line", "last")
 
 
 def stops(folded: Column, but: tuple[str, ...] = ()) -> Column:
     return T.starts_with_any(folded, tuple(x for x in STOP_LABELS if x not in but))
 
 
-def _after(body: DataFrame, found: DataFrame) -> DataFrame:
-    return body.join(found, ["publication_id", "lesson_number", "start_line"])
+def _at_label(body: DataFrame, found: DataFrame) -> DataFrame:
+    return body.join(found.withColumnRenamed("label_line", "line_number"), ["publication_id", "line_number"]).withColumn("label_line", F.col("line_number"))
+
+
+def _next(found: DataFrame, targets: DataFrame, at: str, name: str, add: int = 0) -> DataFrame:
+    """Adds the first target line from `at` + add on; null if there is none or nothing to start from."""
+    cols = found.columns
+    points = found.where(F.col(at).isNotNull()).withColumn("line_number", F.col(at) + add)
+    return found.join(structure.next_line(points, targets, ["publication_id"], name).select(*KEY, name), KEY, "left").select(*cols, name)
 
 
 def readings(body: DataFrame, found: DataFrame) -> DataFrame:
     """(publication_id, lesson_number, start_line, line_number, reference_display) after the reading's label."""
-    x = _after(body, found.where("section = 'biblical_reading'")).where("line_number = label_line")
+    x = _at_label(body, found.where("section = 'biblical_reading'"))
     ref = T.strip(F.regexp_extract("s", READING, 1))
     return x.withColumn("reference_display", ref).where("reference_display <> ''").select("publication_id", "lesson_number", "start_line", "line_number", "reference_display")
 
 
+def _marker() -> Column:
+    return F.col("s").rlike(T.PAGE_MARKER)
+
+
+def _skipped() -> Column:
+    return F.col("s").rlike("^\\d{1,4}$") | F.col("folded").isin("maestro", "alumno")
+
+
 def blocks(body: DataFrame, found: DataFrame) -> DataFrame:
     """Items of list sections other than outlines: what follows the label on its line, then lines up to a stop label."""
-    x = _after(body, found.where("section not in ('biblical_reading', 'lesson_outline')"))
+    lists = found.where("section not in ('biblical_reading', 'lesson_outline')")
     summary = F.col("section") == "summary_application"
-    rest = F.when(summary, F.element_at(F.split(F.col("s"), SUMMARY, -1), 2)).when(F.col("s").contains(":"), F.substring_index("s", ":", -1))
-    rest = F.when(~summary & F.col("s").contains(":"), F.substring(F.col("s"), F.instr("s", ":") + 1, F.length("s"))).otherwise(F.try_element_at(F.split(F.col("s"), SUMMARY, -1), F.lit(2)))
-    head = x.where("line_number = label_line").withColumn("text", T.strip(rest)).where("text <> ''")
-    stop = stops(F.col("folded")) | T.contains_any(F.col("folded"), ["vocabulario", "aplicacion del maestro"])
-    marker = F.col("s").rlike(T.PAGE_MARKER)
-    later = x.where("line_number > label_line and s <> ''").withColumn("stop", stop & ~marker)
-    first = later.where("stop").groupBy(*KEY).agg(F.min("line_number").alias("stop_line"))
-    kept = later.join(first, KEY, "left").where(F.col("stop_line").isNull() | (F.col("line_number") < F.col("stop_line")))
-    kept = kept.where(~marker & ~F.col("s").rlike("^\\d{1,4}$") & ~F.col("folded").isin("maestro", "alumno")).withColumn("text", F.col("s"))
+    rest = F.when(summary, F.try_element_at(F.split(F.col("s"), SUMMARY, -1), F.lit(2))).when(F.col("s").contains(":"), F.substring(F.col("s"), F.instr("s", ":") + 1, F.length("s")))
+    head = _at_label(body, lists).withColumn("text", T.strip(rest)).where("text <> ''")
+    stop = body.where((stops(F.col("folded")) | T.contains_any(F.col("folded"), ["vocabulario", "aplicacion del maestro"])) & ~_marker()).select("publication_id", "line_number")
+    ends = _next(lists, stop, "label_line", "stop_line", 1)
+    spans = ends.withColumn("low", F.col("label_line") + 1).withColumn("high", F.least("last", F.coalesce(F.col("stop_line") - 1, "last"))).drop("last", "stop_line")
+    kept = structure.lines_within(body.where((F.col("s") != "") & ~_marker() & ~_skipped()), spans).withColumn("text", F.col("s"))
     cols = [*KEY, "label_line", "line_number", "active_page", "text"]
     return head.select(*cols).unionByName(kept.select(*cols))
 
 
 def outlines(body: DataFrame, found: DataFrame) -> DataFrame:
-    """Items of outlines: outline rows and, once one was seen, short lines; ends at the first line that fits neither."""
-    x = _after(body, found.where("section = 'lesson_outline'")).where("line_number > label_line and s <> ''")
+    """Items of outlines: outline rows and, once one was seen, short lines; ends at the first line that fits neither.
+
+    An outline begins with its first item and ends at the next page, so it holds few lines.
+    """
+    lists = found.where("section = 'lesson_outline'")
+    hard = ~_marker() & ((F.col("folded").contains("resumen") & F.col("folded").contains("aplicacion")) | stops(F.col("folded"), ("resumen y aplicacion practica",)))
+    is_item = ~_marker() & ~hard & ~_skipped() & F.col("s").rlike(OUTLINE)
+    at = lambda c: body.where(c).select("publication_id", "line_number")
+    x = _next(lists, at((F.col("s") != "") & hard), "label_line", "hard_line", 1)
+    x = _next(x, at(is_item), "label_line", "item_line", 1)
+    x = _next(x, at(_marker()), "item_line", "marker_line")
+    high = F.least("last", F.coalesce(F.col("hard_line") - 1, "last"), F.coalesce(F.col("marker_line") - 1, "last"))
+    spans = x.where("item_line is not null").withColumn("low", F.col("item_line")).withColumn("high", high).select(*KEY, "label_line", "low", "high")
+    y = structure.lines_within(body.where("s <> ''"), spans).withColumn("item", is_item)
     w = Window.partitionBy(*KEY).orderBy("line_number")
-    is_item = F.col("s").rlike(OUTLINE)
-    marker = F.col("s").rlike(T.PAGE_MARKER)
-    skipped = F.col("s").rlike("^\\d{1,4}$") | F.col("folded").isin("maestro", "alumno")
-    hard = ~marker & ((F.col("folded").contains("resumen") & F.col("folded").contains("aplicacion")) | stops(F.col("folded"), ("resumen y aplicacion practica",)))
-    x = x.withColumn("marker", marker).withColumn("item", ~marker & ~hard & ~skipped & is_item).withColumn("seen", F.coalesce(F.max(F.col("item").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) > 0)
-    ends = hard | (F.col("seen") & F.col("marker")) | (F.col("seen") & ~F.col("item") & ~skipped & (F.length("s") >= 120))
+    before, upto = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.unboundedPreceding, 0)
     closing = F.col("item") & T.starts_with_any(F.lower("s"), ("iv. resumen", "resumen y aplicacion"))
-    x = x.withColumn("ends", ends).withColumn("after_close", F.coalesce(F.max(closing.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) > 0)
-    x = x.withColumn("ended", F.max(F.col("ends").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)) > 0)
-    kept = x.where(~F.col("ended") & ~F.col("after_close") & ~F.col("marker") & ~skipped & (F.col("item") | F.col("seen")))
-    return kept.select(*KEY, "label_line", "line_number", "active_page", F.col("s").alias("text"))
+    y = y.withColumn("after_close", F.coalesce(F.max(closing.cast("int")).over(before), F.lit(0)) > 0)
+    y = y.withColumn("ended", F.max((~F.col("item") & ~_skipped() & (F.length("s") >= 120)).cast("int")).over(upto) > 0)
+    return y.where(~F.col("ended") & ~F.col("after_close") & ~_skipped()).select(*KEY, "label_line", "line_number", "active_page", F.col("s").alias("text"))
 
 
 def merge_prose(items: DataFrame, keys: list[str] = KEY) -> DataFrame:
@@ -129,6 +149,12 @@ def traces(section_lines: DataFrame) -> DataFrame:
     )
 
 
+def present(reading: DataFrame, blocks_: DataFrame, outlines_: DataFrame) -> DataFrame:
+    """(publication_id, lesson_number, section) of the sections that have content."""
+    key = ["publication_id", "lesson_number", "section"]
+    return reading.withColumn("section", F.lit("biblical_reading")).select(*key).unionByName(blocks_.select(*key)).unionByName(outlines_.select(*key)).distinct()
+
+
 def missing(present: DataFrame, lessons: DataFrame, required: tuple[str, ...]) -> DataFrame:
     """Required sections a lesson lacks."""
     need = lessons.select("publication_id", "lesson_number").distinct().withColumn("section", F.explode(F.array(*map(F.lit, required))))

@@ -1,34 +1,63 @@
 """Source lines, active page, structure markers and the table of contents.
 
-`lines` tables have publication_id, line_number (from 1) and line. Windows run per publication and are
-ordered by line_number; line numbers are assigned from page-level running sums, so numbering never moves texts
-of a whole publication through one task.
+`lines` tables have publication_id, line_number (from 1) and line. No window holds the lines of a whole publication:
+numbers and pages are carried on page-level rows without text, in buckets and then over buckets, and the windows over
+lines are per bucket of `BUCKET` lines or per page.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..dictionaries import MARKER_LABELS
 from ..functions import text as T
 
-def order() -> WindowSpec:
-    return Window.partitionBy("publication_id").orderBy("line_number")
+#: Lines per bucket of windows and interval joins, pages per bucket of running sums.
+BUCKET, PAGES = 1024, 256
 
 
 def latest_pages(pages: DataFrame) -> DataFrame:
-    """One extraction of each page: the one with the largest page_id."""
-    return pages.groupBy("publication_id", "page_number").agg(F.max_by("text", "page_id").alias("text"), F.max("page_id").alias("page_id"))
+    """One extraction of each page: the one with the largest page_id. Ids are picked first, so only kept texts move."""
+    kept = pages.groupBy("publication_id", "page_number").agg(F.max("page_id").alias("page_id")).select("page_id")
+    return pages.join(kept, "page_id", "left_semi").select("publication_id", "page_number", "text", "page_id")
+
+
+def page_of(line: Column) -> Column:
+    """The number on a page marker line, else null."""
+    return F.nullif(F.regexp_extract(T.strip(line), T.PAGE_MARKER, 1), F.lit("")).try_cast("int")
+
+
+def marker_page() -> Column:
+    return page_of(F.col("line"))
 
 
 def lines_of_pages(pages: DataFrame) -> DataFrame:
-    """The lines of each publication as one text: a page marker line, then the page's lines."""
-    marked = pages.select("publication_id", "page_number", F.concat(F.array(F.format_string("===== PDF_PAGE %d =====", "page_number")), F.coalesce(T.lines(F.col("text")), F.array().cast("array<string>"))).alias("page_lines"))
-    sizes = marked.select("publication_id", "page_number", F.size("page_lines").alias("n"))
-    w = Window.partitionBy("publication_id").orderBy("page_number").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("publication_id", "page_number", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("before"))
-    return marked.join(starts, ["publication_id", "page_number"]).select("publication_id", F.posexplode("page_lines").alias("pos", "line"), "before").select("publication_id", (F.col("before") + F.col("pos") + 1).cast("int").alias("line_number"), "line")
+    """The lines of each publication as one text: per page its marker line, then the lines of its latest extraction.
+
+    Adds active_page, the page of the last marker up to a line, and page_before, that of the line before. Pages
+    without a number come first and have no page. Texts move once, to meet their page's line number.
+    """
+    header = F.coalesce(T.page_header(F.col("page_number")), F.lit("===== PDF_PAGE null ====="))
+    x = pages.select("page_id", "publication_id", "page_number", F.concat(F.array(header), F.coalesce(T.lines(F.col("text")), F.array().cast("array<string>"))).alias("page_lines"))
+    seen = F.filter(F.transform("page_lines", lambda v, i: F.struct(i.alias("i"), page_of(F.when(v.startswith("=") | v.rlike(f"^[{T.SPACE}]"), v)).alias("page"))), lambda m: m["page"].isNotNull())
+    x = x.withColumn("marks", seen)
+    last = F.try_element_at("marks", F.lit(-1))["page"]
+    at = F.coalesce("page_number", F.lit(-(2**31)))
+    sizes = x.select("page_id", "publication_id", at.alias("at"), F.size("page_lines").alias("n"), last.alias("page"))
+    sizes = sizes.groupBy("publication_id", "at").agg(F.max_by(F.struct("page_id", "n", "page"), "page_id").alias("x")).select("publication_id", "at", "x.*", F.floor(F.col("at") / PAGES).alias("bucket"))
+    earlier = Window.partitionBy("publication_id", "bucket").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    pages_ = sizes.withColumn("inside", F.coalesce(F.sum("n").over(earlier), F.lit(0))).withColumn("page_inside", F.last("page", True).over(earlier))
+    buckets = sizes.groupBy("publication_id", "bucket").agg(F.sum("n").alias("total"), F.max_by("page", F.when(F.col("page").isNotNull(), F.col("at"))).alias("page"))
+    before = Window.partitionBy("publication_id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = buckets.select(F.col("publication_id").alias("p"), F.col("bucket").alias("b"), F.coalesce(F.sum("total").over(before), F.lit(0)).alias("outside"), F.last("page", True).over(before).alias("page_outside"))
+    starts = pages_.join(buckets, F.col("publication_id").eqNullSafe(F.col("p")) & (F.col("bucket") == F.col("b"))).select("page_id", (F.col("inside") + F.col("outside")).alias("before"), F.coalesce("page_inside", "page_outside").alias("carried"))
+    rows = x.join(starts, "page_id").select("publication_id", "page_number", "before", "carried", "marks", F.posexplode("page_lines").alias("pos", "line"))
+
+    def page_at(pos: Column) -> Column:
+        return F.coalesce(F.try_element_at(F.filter("marks", lambda m: m["i"] <= pos), F.lit(-1))["page"], "carried")
+
+    return rows.select("publication_id", "page_number", (F.col("before") + F.col("pos") + 1).cast("int").alias("line_number"), "line", page_at(F.col("pos")).alias("active_page"), page_at(F.col("pos") - 1).alias("page_before"))
 
 
 def lines_of_texts(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -36,13 +65,52 @@ def lines_of_texts(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     return texts.select(F.col(key).alias("publication_id"), F.posexplode(T.lines(F.col(text))).alias("pos", "line")).select("publication_id", (F.col("pos") + 1).alias("line_number"), "line")
 
 
-def marker_page() -> Column:
-    return F.nullif(F.regexp_extract(T.strip(F.col("line")), T.PAGE_MARKER, 1), F.lit("")).try_cast("int")
+def bucket(column: str = "line_number") -> Column:
+    return F.floor(F.col(column) / BUCKET).alias("bucket")
 
 
 def with_active_page(lines: DataFrame) -> DataFrame:
-    """Adds the page a line stands on: that of the last page marker up to it."""
-    return lines.withColumn("active_page", F.last(marker_page(), True).over(order().rowsBetween(Window.unboundedPreceding, 0)))
+    """Adds active_page, the page of the last marker up to a line, and page_before, that of the line before, where they are not there yet."""
+    if "active_page" in lines.columns:
+        return lines
+    x = lines.withColumn("marked", marker_page()).withColumn("bucket", bucket())
+    upto = Window.partitionBy("publication_id", "bucket").orderBy("line_number").rowsBetween(Window.unboundedPreceding, 0)
+    ends = x.where("marked is not null").groupBy("publication_id", "bucket").agg(F.max_by("marked", "line_number").alias("page"))
+    buckets = x.select("publication_id", "bucket").distinct().join(ends, ["publication_id", "bucket"], "left")
+    before = Window.partitionBy("publication_id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = buckets.select("publication_id", "bucket", F.last("page", True).over(before).alias("carried"))
+    x = x.withColumn("inside", F.last("marked", True).over(upto)).withColumn("inside_before", F.last("marked", True).over(upto.rowsBetween(Window.unboundedPreceding, -1)))
+    return x.join(buckets, ["publication_id", "bucket"]).select(*lines.columns, F.coalesce("inside", "carried").alias("active_page"), F.coalesce("inside_before", "carried").alias("page_before"))
+
+
+def next_line(points: DataFrame, targets: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Adds to each point (keys, line_number, more) as `name` the smallest line_number of the targets of equal keys that is not before it.
+
+    An as-of join: within buckets of lines by a window, then over buckets by one of at most one row per bucket.
+    """
+    more = [c for c in points.columns if c not in (*keys, "line_number")]
+    kind = "struct<" + ",".join(f"`{c}`:{points.schema[c].dataType.simpleString()}" for c in more) + ">"
+    own = points.select(*keys, "line_number", F.lit(1).alias("kind"), F.struct(*more).alias("more")) if more else points.select(*keys, "line_number", F.lit(1).alias("kind"), F.lit(None).cast("struct<x:int>").alias("more"))
+    both = own.unionByName(targets.select(*keys, "line_number").distinct().select(*keys, "line_number", F.lit(0).alias("kind"), F.lit(None).cast(kind if more else "struct<x:int>").alias("more"))).withColumn("bucket", bucket())
+    behind = Window.partitionBy(*keys, "bucket").orderBy(F.desc("line_number"), "kind").rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("inside", F.last(F.when(F.col("kind") == 0, F.col("line_number")), True).over(behind))
+    buckets = both.groupBy(*keys, "bucket").agg(F.min(F.when(F.col("kind") == 0, F.col("line_number"))).alias("first"))
+    later = Window.partitionBy(*keys).orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    buckets = buckets.select(*keys, "bucket", F.last("first", True).over(later).alias("outside"))
+    out = both.where("kind = 1").join(buckets, [*keys, "bucket"])
+    return out.select(*keys, "line_number", *[F.col(f"more.`{c}`").alias(c) for c in more], F.coalesce("inside", "outside").alias(name))
+
+
+def lines_within(lines: DataFrame, intervals: DataFrame, low: str = "low", high: str = "high") -> DataFrame:
+    """Each line (publication_id, line_number, more) with each interval (publication_id, low, high, more) it lies in.
+
+    An equi-join on publication and bucket of lines; its size is that of the result, up to a bucket at either end.
+    An interval without end, or with one behind the text, ends with the publication.
+    """
+    ends = lines.groupBy("publication_id").agg(F.max("line_number").alias("end"))
+    x = intervals.join(ends, "publication_id").withColumn(high, F.least(F.coalesce(F.col(high), F.col("end")), F.col("end"))).drop("end").where(F.col(low) <= F.col(high))
+    x = x.withColumn("bucket", F.explode(F.sequence(F.floor(F.col(low) / BUCKET), F.floor(F.col(high) / BUCKET))))
+    return lines.withColumn("bucket", bucket()).join(x, ["publication_id", "bucket"]).where((F.col("line_number") >= F.col(low)) & (F.col("line_number") <= F.col(high))).drop("bucket")
 
 
 LESSON_HEADER = "(?iu)^\\s*LECCI[OÓ]N\\s+(\\d+)(?![\\p{L}\\p{N}_])"
@@ -50,14 +118,12 @@ LESSON_HEADER = "(?iu)^\\s*LECCI[OÓ]N\\s+(\\d+)(?![\\p{L}\\p{N}_])"
 
 def markers(lines: DataFrame) -> DataFrame:
     """(publication_id, line_number, marker_type, text): page markers where the page changes, lesson headers, labels."""
-    paged = with_active_page(lines)
-    before = F.lag("active_page").over(order())
     kind = (
-        F.when(F.col("active_page").isNotNull() & (before.isNull() | (F.col("active_page") != before)), "page_marker")
+        F.when(F.col("active_page").isNotNull() & (F.col("page_before").isNull() | (F.col("active_page") != F.col("page_before"))), "page_marker")
         .when(F.col("line").rlike(LESSON_HEADER), "lesson_header")
-        .when(T.starts_with_any(T.fold(F.col("line")), MARKER_LABELS), "section_label")
+        .when(T.starts_folded(F.col("line"), MARKER_LABELS), "section_label")
     )
-    return paged.withColumn("marker_type", kind).where("marker_type is not null").select("publication_id", "line_number", "marker_type", T.strip(F.col("line")).alias("text"))
+    return with_active_page(lines).withColumn("marker_type", kind).where("marker_type is not null").select("publication_id", "line_number", "marker_type", T.strip(F.col("line")).alias("text"))
 
 
 ENTRY = "^(\\d{1,3})\\.\\s*(.+)$"
@@ -124,15 +190,16 @@ def contents_index(rows: DataFrame) -> DataFrame:
     return rows.join(best, ["publication_id", "rank"]).select("publication_id", "contents_page", "line_number", "lesson_number", "title", "page_start", "lesson_date")
 
 
-def reflow(lines: DataFrame) -> DataFrame:
-    """(publication_id, paragraph, first_line, text): neighbouring lines joined unless a structural line parts them."""
-    s = T.strip(F.col("line"))
-    stands = T.is_structural(F.col("line"))
-    x = lines.withColumn("s", s).withColumn("stands", stands)
-    breaks = F.when(F.col("stands") | F.coalesce(F.lag("stands").over(order()), F.lit(True)), 1).otherwise(0)
-    x = x.withColumn("b", breaks).withColumn("paragraph", F.sum("b").over(order().rowsBetween(Window.unboundedPreceding, 0)))
-    return (
-        x.groupBy("publication_id", "paragraph")
-        .agg(F.min("line_number").alias("first_line"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_number", "s"))), lambda r: r["s"]), " ").alias("text"))
-        .where("text <> ''")
-    )
+def reflow(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """(key, paragraph, first_line, text) of each text: neighbouring lines joined unless a structural or blank line parts them.
+
+    Page markers are structural, so the paragraphs of a publication are those of its pages and a page is the unit.
+    Blank paragraphs count but are left out.
+    """
+    x = texts.select(key, F.posexplode(T.reflow_lines(T.lines(F.col(text)))).alias("pos", "p"))
+    return x.select(key, (F.col("pos") + 1).cast("bigint").alias("paragraph"), F.col("p.first_line").alias("first_line"), F.col("p.text").alias("text")).where("text <> ''")
+
+
+def normalized_pages(pages: DataFrame) -> DataFrame:
+    """(publication_id, page_number, page_id, text): the normalized text of each page's latest extraction."""
+    return latest_pages(pages).withColumn("text", T.normalize(F.col("text")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from ..dictionaries import BOOKS, CITED_BOOKS, CONTENTS_LABELS, CRITICAL_SECTIONS, LESSON_SECTIONS, MARKER_LABELS, NESTED_FIELDS, NUMBER_WORDS, PENALTIES, PROFILES, PUNCTUATION, REQUIRED_SECTIONS, ROOT_FIELDS, SECTION_LABELS, STANDALONE, STOP_LABELS
+from ..dictionaries import BOOK_ALIASES, CITED_BOOKS, CONTENTS_LABELS, CRITICAL_SECTIONS, LESSON_SECTIONS, MARKER_LABELS, NESTED_FIELDS, NUMBER_WORDS, PENALTIES, PROFILES, PUNCTUATION, REQUIRED_SECTIONS, ROOT_FIELDS, SECTION_LABELS, STANDALONE, STOP_LABELS
 from ..functions.text import CITATION_ONLY, DATE, LINE_END, SPACE, WORD
 
 ORACLES: dict[str, str] = {}
@@ -54,7 +54,7 @@ def quoted(values) -> str:
 
 # A sign behind every character that is no word's part, so that a match can look behind without lookbehind.
 MARK = "⟦"
-_cited = "|".join(b.replace("_", f"[ ]{MARK}") for b in CITED_BOOKS)
+_cited = "|".join(b.replace(" ", f"[ ]{MARK}") for b in CITED_BOOKS)
 _w = f"(?:{WS}{MARK})"
 MALFORMED = f"{MARK}(?:[1-3]{_w}*)?(?:{_cited}){_w}+\\d{{1,3}}{_w}*(?:[;.{SPACE}]{MARK}|:{MARK}[lIoO]){_w}*[lIoO0-9]{{1,3}}(?:{_w}*-{MARK}{_w}*[lIoO0-9]{{1,3}})?(?:[^\\p{{L}}\\p{{N}}_]|$)"
 VALID = re.sub(r"([\[\]\-&\\^])", r"\\\1", PUNCTUATION).replace("'", "''")
@@ -123,11 +123,15 @@ select publication_id, count(*) page_count, case when bool_or(status in ('NEEDS_
  count(*) filter (where status = 'PASS') n_pass, count(*) filter (where status = 'WARNING') n_warning, count(*) filter (where status = 'NEEDS_OCR') n_needs_ocr, count(*) filter (where status = 'NEEDS_HUMAN_REVIEW') n_review,
  count(*) filter (where words = 0) n_zero_text, count(*) filter (where words = 0 and waived) n_waived_zero_text, {_list("words = 0")} zero_text_pages, {_list("words > 0 and words < 25")} low_word_pages,
  {_list("status = 'NEEDS_OCR'")} needs_ocr_pages, {_list("status = 'NEEDS_HUMAN_REVIEW'")} review_pages, {_list("is_ocr")} ocr_pages from p group by publication_id"""
-ORACLES["extraction_summary"] = f"""with {GATE} select publication_id, count(*) total_pages, count(*) filter (where is_ocr) ocr_pages, count(*) filter (where words = 0) zero_text_pages, sum(words)::bigint total_words,
- min(score) min_score, bool_or(status in ('NEEDS_OCR', 'NEEDS_HUMAN_REVIEW')) needs_attention from g group by all"""
+_weak, _review = "(not is_ocr and status = 'NEEDS_OCR')", "(status = 'NEEDS_HUMAN_REVIEW')"
+ORACLES["extraction_summary"] = f"""with {GATE} select publication_id, {_list(_weak)} weak_direct_text_pages, {_list("is_ocr")} ocr_fallback_pages, count(distinct page_number) filter (where is_ocr) ocr_fallback_page_count,
+ {_list(_review)} human_review_pages, count(distinct page_number) filter (where {_review}) human_review_page_count, bool_or({_weak} or {_review}) manual_review_required from g group by all"""
+ORACLES["ocr_audit"] = f"""with {ORACLES["publication_quality_report"].removeprefix("with ").replace("select publication_id, count(*) page_count", ", rep as (select publication_id, count(*) page_count", 1)}),
+ic as (select publication_id, array_to_string(list_sort(list(issue || '=' || n)), ',') issue_counts from (select publication_id, issue, count(*) n from (select publication_id, unnest(issues) issue from g) group by all) group by 1)
+select rep.publication_id source, status, page_count, coalesce(issue_counts, '') issue_counts from rep left join ic on ic.publication_id = rep.publication_id"""
 
 ORACLES["fold_text"] = f"select segment_id, {fold('expected_title')} folded, {fold_label('expected_title')} as label, {slug('expected_title')} slug from lesson_segments where expected_title is not null"
-TIDY = f"array_to_string(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(text, '\r\n?', '\n', 'g'), '([\\p{{L}}\\p{{N}}_])-\n([\\p{{L}}\\p{{N}}_])', '\\1\\2', 'g'), '[ \t]+', ' ', 'g'), '\n'), lambda z: {rstrip('z')}), '\n')"
+TIDY = f"array_to_string(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(nfc_normalize(text), '\r\n?', '\n', 'g'), '([\\p{{L}}\\p{{N}}_])-\n([\\p{{L}}\\p{{N}}_])', '\\1\\2', 'g'), '[ \t]+', ' ', 'g'), '\n'), lambda z: {rstrip('z')}), '\n')"
 ORACLES["tidy_text"] = f"select page_id, md5({TIDY}) digest, length({TIDY})::int n_chars from page_quality where text is not null"
 
 PAGES = f"""
@@ -153,10 +157,21 @@ def structural(s: str) -> str:
 
 
 ORACLES["structural_line_flags"] = f"with {PAGES}, s as (select *, {strip('line')} s from ln) select publication_id, line_number, {structural('s')} structural, {citation_only('s')} citation_only, {is_label('line')} as label from s"
-ORACLES["reflow_paragraphs"] = f"""with a as (select page_id, {lines('text')} ls from page_quality where text is not null), b as (select page_id, i::int line_number, {strip('ls[i]')} s from (select page_id, ls, unnest(range(1, len(ls) + 1)) i from a)),
-c as (select *, {structural('s')} stands from b), d as (select *, case when stands or coalesce(lag(stands) over w, true) then 1 else 0 end br from c window w as (partition by page_id order by line_number)),
-e as (select *, sum(br) over (partition by page_id order by line_number)::bigint paragraph from d)
-select page_id, paragraph, min(line_number) first_line, string_agg(s, ' ' order by line_number) as text from e group by page_id, paragraph having string_agg(s, ' ' order by line_number) <> ''"""
+
+
+def reflowed(split: str, source: str) -> str:
+    """CTEs up to `pp` (page_id, paragraph, first_line, text) of the texts of a source (page_id, text) split into lines."""
+    return f"""ra as (select page_id, {split} ls from {source}), rb as (select page_id, i::int line_number, {strip('ls[i]')} s from (select page_id, ls, unnest(range(1, len(ls) + 1)) i from ra)),
+rc as (select *, {structural('s')} stands from rb), rd_ as (select *, case when stands or coalesce(lag(stands) over w, true) then 1 else 0 end br from rc window w as (partition by page_id order by line_number)),
+re_ as (select *, sum(br) over (partition by page_id order by line_number)::bigint paragraph from rd_),
+pp as (select page_id, paragraph, min(line_number) first_line, string_agg(case when stands then s else regexp_replace(s, '{WS}+', ' ', 'g') end, ' ' order by line_number) as text from re_ group by page_id, paragraph)"""
+
+
+ORACLES["reflow_paragraphs"] = f"with t as (select page_id, text from page_quality where text is not null), {reflowed(lines('text'), 't')} select page_id, paragraph, first_line, text from pp where text <> ''"
+LATEST = "lx as (select p.* from page_quality p join (select publication_id, page_number, max(page_id) page_id from page_quality group by all) k on p.page_id = k.page_id)"
+NORMAL = f"{LATEST}, t as (select page_id, text from lx where text is not null), {reflowed(f"string_split({TIDY}, chr(10))", 't')}, nt0 as (select page_id, {strip("string_agg(text, chr(10) order by paragraph)")} as text from pp group by 1), nt as (select page_id, case when text = '' then '' else text || chr(10) end as text from nt0)"
+ORACLES["normalized_text"] = f"with {NORMAL} select page_id, md5(text) digest, length(text)::int n_chars from nt"
+ORACLES["output_sizes"] = f"with {NORMAL} select 'raw_text' part, count(*) n, coalesce(sum(strlen(text)), 0)::bigint bytes from lx union all select 'normalized_text', (select count(*) from lx), coalesce(sum(strlen(text)), 0)::bigint from nt union all select 'documents', count(*), coalesce(sum(strlen(text)), 0)::bigint from documents"
 
 _b, _e = "(?:^|[^\\p{L}\\p{N}_])", "(?:[^\\p{L}\\p{N}_]|$)"
 
@@ -165,12 +180,13 @@ def _vol(p: str) -> str:
     return f"nullif(regexp_extract(t, '{_b}{p}{_e}', 1), '')"
 
 
-ORACLES["rename_proposals"] = f"""with a as (select publication_id, arg_max(text, {{'a': page_number, 'b': page_id}}) as text from page_quality where page_number <= 5 and text is not null group by all),
+ORACLES["rename_proposals"] = f"""with {LATEST}, a0 as (select publication_id, string_agg(coalesce(text, ''), chr(10) order by page_number) as text from lx where page_number <= 5 group by 1),
+a as (select distinct p.publication_id, a0.text from page_quality p left join a0 on a0.publication_id = p.publication_id),
 b as (select publication_id stem, {slug("concat_ws(chr(10), publication_id, text)")} t from a),
 c as (select *, coalesce({_vol('vol(?:umen)?\\.?\\s*(?:no\\.?\\s*)?(\\d{1,3})')}::int, {_vol('volume\\s*(?:no\\.?\\s*)?(\\d{1,3})')}::int, {_vol('lecc(?:ion|iones)?\\s*(\\d{1,3})')}::int, {_vol('lecc(\\d{1,3})')}::int,
  case regexp_extract(t, '{_b}vol(?:umen)?\\s+([a-z]+){_e}', 1) {" ".join(f"when '{k}' then {v}" for k, v in NUMBER_WORDS.items())} end) volume from b),
 d as (select stem, volume, case when volume is null then 'expositor-guia-maestro-' || stem || '.pdf' else format('expositor-guia-maestro-volumen-{{:02d}}.pdf', volume) end target,
- case when t like '%expositor%' and t like '%maestro%' then 'matched publication and family' when t like '%maestro%' then 'matched family; used default' else 'used default' end reason from c)
+ case when t like '%expositor%' and t like '%maestro%' then 'matched publication and family' when t like '%maestro%' then 'matched family; used default' else 'used default' end || case when volume is null then '; volume number not found' else '; volume ' || volume || ' found' end reason from c)
 select *, count(*) over (partition by target) n_same_target from d"""
 
 
@@ -217,7 +233,8 @@ cd0 as (select publication_id, active_page page, bool_or({fold('line')} in ({quo
  from ac where active_page is not null and not is_marker group by all),
 cd as (select publication_id, page, signals, row_number() over (partition by publication_id order by signals desc, page) rank from cd0 where labelled)
 """
-ORACLES["contents_candidates"] = f"with {SOURCE}, {CAND} select publication_id, page, signals, rank from cd"
+ORACLES["composed_contents_candidates"] = f"with {SOURCE}, {CAND} select publication_id, page, signals, rank from cd"
+ORACLES["contents_candidates"] = f"with {PAGES}, src as (select * from ln), {CAND} select publication_id, page, signals, rank from cd"
 _clean = f"trim(regexp_replace(regexp_replace(regexp_extract(said, '^(.*?)(\\d{{1,4}})\\s*$', 1), '\\.{{2,}}', ' ', 'g'), '{WS}+', ' ', 'g'), ' .')"
 CONTENTS = f"""{SOURCE}, {CAND},
 c0 as (select ac.publication_id, active_page, rank, line_number, {strip('line')} s from ac join cd on ac.publication_id = cd.publication_id and active_page = page where not is_marker),
@@ -231,22 +248,31 @@ c6 as (select *, max(case when is_date then line_number end) over (partition by
 c7 as (select a.*, case when a.pl is null or a.dl > a.pl then b.s end lesson_date from c6 a left join c6 b on a.publication_id = b.publication_id and a.active_page = b.active_page and b.line_number = a.dl where a.completes),
 co as (select publication_id, active_page contents_page, line_number, number::int lesson_number, title, regexp_extract(said, '^(.*?)(\\d{{1,4}})\\s*$', 2)::int page_start, lesson_date from c7 qualify rank = min(rank) over (partition by publication_id))
 """
-ORACLES["contents_entries"] = f"with {CONTENTS} select * from co"
-SEGMENTS = f"""{CONTENTS}, mk as {marks('src')},
+ORACLES["composed_contents_entries"] = f"with {CONTENTS} select * from co"
+
+
+def cut(src: str) -> str:
+    """CTEs up to `sg`, the segments, from contents (`co`) and the lines of `src`."""
+    return f"""mk as {marks(src)},
 pg as (select publication_id, regexp_extract(text, 'PDF_PAGE\\s+(\\d+)', 1)::int page, max(line_number) line_number from mk where marker_type = 'page_marker' group by all),
-tt as (select a.publication_id, a.total_lines, b.total_pages from (select publication_id, max(line_number) total_lines from src group by 1) a left join (select publication_id, max(page) total_pages from pg group by 1) b on a.publication_id = b.publication_id),
+tt as (select a.publication_id, a.total_lines, b.total_pages from (select publication_id, max(line_number) total_lines from {src} group by 1) a left join (select publication_id, max(page) total_pages from pg group by 1) b on a.publication_id = b.publication_id),
 sg0 as (select co.*, lead(page_start) over (partition by publication_id order by line_number) nxt from co),
 sg1 as (select sg0.*, tt.total_lines, case when nxt is not null then greatest(page_start, nxt - 1) else tt.total_pages end page_end from sg0 left join tt on sg0.publication_id = tt.publication_id),
 sg as (select x.publication_id, lesson_number, coalesce(a.line_number, 0) start_line, 'Contenido' marker, case when b.line_number is not null then greatest(0, b.line_number - 1) else total_lines end end_line, page_start, page_end, title expected_title, page_start expected_page_start, lesson_date
  from sg1 x left join pg a on a.publication_id = x.publication_id and a.page = x.page_start left join pg b on b.publication_id = x.publication_id and b.page = x.page_end + 1
  union all select publication_id, regexp_extract(text, '(\\d+)', 1)::int, line_number, text, null, null, null, null, null, null from mk where marker_type = 'lesson_header' and publication_id not in (select publication_id from co))
 """
-ORACLES["lesson_segments"] = f"with {SEGMENTS} select * from sg"
+
+
+REAL = f"{PAGES}, {LESSONS}, co as (select publication_id, null::int contents_page, lesson_number line_number, lesson_number, expected_title title, page_start, lesson_date from s1 where page_start is not null), {cut('ln')}"
+ORACLES["composed_lesson_segments"] = f"with {CONTENTS}, {cut('src')} select * from sg"
+ORACLES["lesson_segments"] = f"with {REAL} select * from sg"
 HEADERS = f"{PAGES}, hm as {marks('ln')}, hd as (select publication_id, try_cast(regexp_extract(text, '(\\d+)', 1) as int) lesson_number, line_number start_line, text marker from hm where marker_type = 'lesson_header' and try_cast(regexp_extract(text, '(\\d+)', 1) as int) is not null), ob as (select publication_id, lesson_number, array_to_string(list_sort(list(start_line)), ',') header_lines, count(*) n from hd group by 1, 2)"
 ORACLES["header_fallback_segments"] = f"with {HEADERS} select * from hd"
 ORACLES["duplicate_headers"] = f"with {HEADERS} select * from ob where n > 1"
 _nums = "array_to_string(list_sort(list(distinct lesson_number)), ',') lesson_numbers"
-MESSAGES = f"""{SEGMENTS}, {HEADERS}, pubs as (select distinct publication_id from page_quality), ms as (
+_observed = "hd as (select publication_id, try_cast(regexp_extract(text, '(\\d+)', 1) as int) lesson_number, line_number start_line, text marker from mk where marker_type = 'lesson_header' and try_cast(regexp_extract(text, '(\\d+)', 1) as int) is not null), ob as (select publication_id, lesson_number, array_to_string(list_sort(list(start_line)), ',') header_lines, count(*) n from hd group by 1, 2)"
+MESSAGES = f"""{REAL}, {_observed}, pubs as (select distinct publication_id from page_quality), ms as (
 select publication_id, 'warning' severity, 'CONTENT_INDEX_MISSING' code, '' lesson_numbers from pubs where publication_id not in (select publication_id from co)
 union all select publication_id, 'warning', 'LESSON_HEADERS_MISSING_FOR_CONTENT_INDEX', {_nums} from (select distinct publication_id, lesson_number from sg) x where not exists (select 1 from ob where ob.publication_id = x.publication_id and ob.lesson_number = x.lesson_number) group by 1
 union all select publication_id, 'warning', 'UNEXPECTED_LESSON_HEADERS', {_nums} from ob x where not exists (select 1 from sg where sg.publication_id = x.publication_id and sg.lesson_number = x.lesson_number) group by 1
@@ -259,24 +285,28 @@ ORACLES["segment_status"] = f"""with {MESSAGES}, c as (select p.publication_id,
 select *, case when n_errors > 0 then 'error' when n_warnings > 0 then 'warning' else 'pass' end status from c"""
 
 PROFILE_SECTIONS = "(values " + ", ".join(f"('{k}', '{s}', [{quoted(a)}])" for k, v in PROFILES.items() for s, a in v["sections"].items()) + ") ps(profile_id, section, aliases)"
-SECTIONS = f"""{SOURCE}, mk as {marks('src')},
-hs as (select publication_id, regexp_extract(text, '(\\d+)', 1)::int lesson_number, line_number start_line, line_number + 17 end_line from mk where marker_type = 'lesson_header'),
-bd as (select a.publication_id, lesson_number, start_line, line_number, line, active_page, {strip('line')} s, {fold_label('line')} folded from ({ACTIVE} src) a join hs on hs.publication_id = a.publication_id and line_number between greatest(start_line, 1) and end_line),
+
+
+def labelled(src: str) -> str:
+    """CTEs up to `af`, the lines of each segment (`hs`) with each section it has a label of."""
+    return f"""
+bd as (select a.publication_id, lesson_number, start_line, line_number, line, active_page, {strip('line')} s, {fold_label('line')} folded from ({ACTIVE} {src}) a join hs on hs.publication_id = a.publication_id and line_number between greatest(start_line, 1) and coalesce(end_line, 2147483647)),
 lb as (select publication_id, lesson_number, start_line, section, min(line_number) label_line from bd join {PROFILE_SECTIONS} on ps.profile_id = {family('publication_id')} where len(list_filter(aliases, lambda z: contains(folded, z))) > 0 group by all),
 af as (select bd.*, lb.section, lb.label_line from bd join lb on bd.publication_id = lb.publication_id and bd.lesson_number = lb.lesson_number and bd.start_line = lb.start_line)
 """
-ORACLES["section_labels"] = f"with {SECTIONS} select * from lb"
-ORACLES["biblical_reading"] = f"with {SECTIONS} select publication_id, lesson_number, start_line, line_number, {strip("regexp_extract(s, '(?i)(?:^|.*?[^\\p{L}\\p{N}_])Lectura\\s+B[ií]blica:\\s*(.+)', 1)")} reference_display from af where section = 'biblical_reading' and line_number = label_line and {strip("regexp_extract(s, '(?i)(?:^|.*?[^\\p{L}\\p{N}_])Lectura\\s+B[ií]blica:\\s*(.+)', 1)")} <> ''"
+
+
+_reading = strip("regexp_extract(s, '(?i)(?:^|.*?[^\\p{L}\\p{N}_])Lectura\\s+B[ií]blica:\\s*(.+)', 1)")
+READINGS = f"br as (select publication_id, lesson_number, start_line, line_number, {_reading} reference_display from af where section = 'biblical_reading' and line_number = label_line and {_reading} <> '')"
 _isstop = f"({any_start('folded', STOP_LABELS)} or contains(folded, 'vocabulario') or contains(folded, 'aplicacion del maestro'))"
 _sum = "(?:iv\\.\\s*)?resumen(?: y aplicaci[oó]n pr[aá]ctica)?:?"
-BLOCKS = f"""{SECTIONS},
+BLOCKS = f"""
 k0 as (select *, {_isstop} and not regexp_matches(s, '{MARKER}') stop from af where section not in ('biblical_reading', 'lesson_outline')),
 k1 as (select publication_id, lesson_number, start_line, section, label_line, line_number, active_page, {strip(f"case when section = 'summary_application' then string_split_regex(s, '(?i){_sum}')[2] when contains(s, ':') then s[strpos(s, ':') + 1:] end")} as text from k0 where line_number = label_line),
 k2 as (select *, min(case when stop and line_number > label_line then line_number end) over (partition by publication_id, lesson_number, start_line, section) stop_line from k0),
 bk as (select * from k1 where text <> '' union all select publication_id, lesson_number, start_line, section, label_line, line_number, active_page, s from k2 where line_number > label_line and s <> '' and (stop_line is null or line_number < stop_line)
  and not regexp_matches(s, '{MARKER}') and not regexp_matches(s, '^\\d{{1,4}}$') and folded not in ('maestro', 'alumno'))
 """
-ORACLES["section_blocks"] = f"with {BLOCKS} select publication_id, lesson_number, start_line, section, line_number, text from bk"
 _out = "(?i)^(?:[IVXLCDM]+\\.|[A-Z]\\.)\\s+"
 _part = "partition by publication_id, lesson_number, start_line, section order by line_number"
 OUTLINES = f"""
@@ -286,19 +316,29 @@ o2 as (select *, coalesce(bool_or(item) over ({_part} rows between unbounded pre
 o3 as (select *, bool_or(hard and not is_m or seen and is_m or seen and not item and not skip and length(s) >= 120) over ({_part}) ended from o2),
 ol as (select publication_id, lesson_number, start_line, section, label_line, line_number, active_page, s as text from o3 where not ended and not closed and not is_m and not skip and (item or seen))
 """
-ORACLES["outline_blocks"] = f"with {SECTIONS}, {OUTLINES} select publication_id, lesson_number, start_line, section, line_number, text from ol"
-ORACLES["merged_prose"] = f"""with {BLOCKS}, p0 as (select *, regexp_matches(text, '{_out}') or regexp_matches(text, '^\\(.+\\)$') or {fold_label('text')} in ('maestro', 'alumno') st from bk),
+MERGED = f"""p0 as (select *, regexp_matches(text, '{_out}') or regexp_matches(text, '^\\(.+\\)$') or {fold_label('text')} in ('maestro', 'alumno') st from bk),
 p1 as (select *, lag(text) over w pt, lag(st) over w pst from p0 window w as ({_part})),
 p2 as (select *, case when pt is not null and not regexp_matches(pt, '[.?!:;)\\]]$') and not pst and not st and regexp_matches(text, '^\\p{{Ll}}') then 0 else 1 end starts from p1),
-p3 as (select *, sum(starts) over ({_part})::bigint item_no from p2) select publication_id, lesson_number, start_line, section, item_no, string_agg(text, ' ' order by line_number) as text from p3 group by all"""
-ORACLES["section_traces"] = f"with {BLOCKS}, {OUTLINES}, u as (select * from bk union all select * from ol) select publication_id, lesson_number, start_line, section, min(label_line) line_start, max(line_number) line_end, arg_min(active_page, line_number) page_start, arg_max(active_page, line_number) page_end from u group by all"
+p3 as (select *, sum(starts) over ({_part})::bigint item_no from p2), mp as (select publication_id, lesson_number, start_line, section, item_no, string_agg(text, ' ' order by line_number) as text from p3 group by all)"""
+TRACES = "tr as (select publication_id, lesson_number, start_line, section, min(label_line) line_start, max(line_number) line_end, arg_min(active_page, line_number) page_start, arg_max(active_page, line_number) page_end from (select * from bk union all select * from ol) group by all)"
+COMPOSED_SECTIONS = f"{SOURCE}, mk as {marks('src')}, hs as (select publication_id, regexp_extract(text, '(\\d+)', 1)::int lesson_number, line_number start_line, line_number + 17 end_line from mk where marker_type = 'lesson_header'), {labelled('src')}"
+REAL_SECTIONS = f"{REAL}, hs as (select * from sg), {labelled('ln')}"
+for _prefix, _base in (("", REAL_SECTIONS), ("composed_", COMPOSED_SECTIONS)):
+    ORACLES[f"{_prefix}section_labels"] = f"with {_base} select * from lb"
+    ORACLES[f"{_prefix}biblical_reading"] = f"with {_base}, {READINGS} select * from br"
+    ORACLES[f"{_prefix}section_blocks"] = f"with {_base}, {BLOCKS} select publication_id, lesson_number, start_line, section, line_number, text from bk"
+    ORACLES[f"{_prefix}outline_blocks"] = f"with {_base}, {OUTLINES} select publication_id, lesson_number, start_line, section, line_number, text from ol"
+    ORACLES[f"{_prefix}merged_prose"] = f"with {_base}, {BLOCKS}, {MERGED} select * from mp"
+    ORACLES[f"{_prefix}section_traces"] = f"with {_base}, {BLOCKS}, {OUTLINES}, {TRACES} select * from tr"
+ALL_SECTIONS = f"{REAL_SECTIONS}, {READINGS}, {BLOCKS}, {OUTLINES}, {MERGED}, {TRACES}"
 
 _name = "[A-Za-zÁÉÍÓÚÜÑáéíóúüñ]+"
 _verses = "\\d+(?:-\\d+)?(?:\\s*,\\s*\\d+(?:-\\d+)?)*"
 _cit = f"((?:(?:[123]|I{{1,3}})\\s*)?{_name}(?:\\s+{_name})*)\\s+(\\d+):({_verses})"
 _con = f"(\\d+):({_verses})"
 PARTS = f"""
-bo(alias, testament, book_standardized) as (values {", ".join(f"('{a}', '{t}', '{b}')" for a, t, b in BOOKS)}),
+bo0 as (select {strip(f"regexp_replace(lower({bare('book_name')}), '{WS}+', ' ', 'g')")} alias, testament, book_standardized from bible_books),
+bo as (select * from bo0 {" ".join(f"union all select '{a}', testament, book_standardized from bo0 where alias = '{b}'" for a, b in BOOK_ALIASES.items())}),
 q0 as (select reading_id, i - 1 part_no, {strip(f"trim({strip('ps[i]')}, '.')")} part from (select reading_id, ps, unnest(range(1, len(ps) + 1)) i from (select reading_id, string_split(reference_display, ';') ps from biblical_readings where reference_display is not null))),
 q1 as (select *, nullif(regexp_extract(part, '{_cit}', 1), '') book, {strip(f"regexp_replace(lower({bare(f"regexp_extract(part, '{_cit}', 1)")}), '{WS}+', ' ', 'g')")} al from q0 where part <> ''),
 q2 as (select *, regexp_replace(regexp_replace(regexp_replace(al, '^iii( |$)', '3\\1'), '^ii( |$)', '2\\1'), '^i( |$)', '1\\1') alias from q1),
@@ -319,22 +359,38 @@ d0 as (select s1.*, rd.reference_display, rd.canonical_references, yr.year, lead
 d1 as (select *, coalesce(nullif(page_start, 0), 0) ps, coalesce(expected_title, '') et from d0),
 dr as (select publication_id, lesson_number, format('LES-{{}}-C1-{{:03d}}', year, lesson_number) lesson_id, year, coalesce(nullif(expected_title, ''), 'Lesson ' || lesson_number) title, ps page_start, greatest(ps, coalesce(nxt, ps + 1) - 1) page_end,
  coalesce(nullif({strip('reference_display')}, ''), 'TBD') reference_display, case when len(canonical_references) > 0 then canonical_references else {_tbd} end refs,
- ['I. ' || et, 'A. punto', '(Juan 3:16)'] outline_, [1, 2, 4] outline_no,
- case when lesson_number % 2 = 0 then list_filter([{strip('et')}, '¿' || et || '?'], lambda z: z <> '') else ['TBD'] end notes, case when lesson_number % 3 = 0 then ['Resumen final'] else ['TBD'] end summary, coalesce(lesson_date, 'TBD') lesson_date from d1)
+ ['I. ' || et, 'A. punto', '(Juan 3:16)'] outline_, list_filter([{strip('et')}, '¿' || et || '?'], lambda z: z <> '') notes, ['TBD'] summary, coalesce(lesson_date, 'TBD') lesson_date, page_start trace_page from d1)
+"""
+NO_FILE = "pending-source-file-verification"
+ORACLES["composed_draft_lessons"] = f"with {DRAFTS} select publication_id, lesson_number, lesson_id, year, title, page_start, page_end, reference_display, len(refs)::int n_references, array_to_string(notes, '|') teacher_notes, md5('TBD') summary_digest, 1 summary_items, null::int summary_line, null::int summary_end, 'automated_unreviewed' review_status, '{NO_FILE}' sha256 from dr"
+REAL_DRAFTS = f"""{ALL_SECTIONS},
+it_ as (select publication_id, lesson_number, section, item_no, text from mp union all select publication_id, lesson_number, section, row_number() over ({_part}), text from ol),
+li as (select publication_id, lesson_number, section, list(text order by item_no) items from it_ group by 1, 2, 3),
+rl as (select r0.publication_id, r0.lesson_number, b.reference_display, b.canonical_references from r0 join biblical_readings b on b.reading_id = r0.last_id),
+x0 as (select sg.*, rl.reference_display, rl.canonical_references, coalesce(nullif(page_start, 0), nullif(expected_page_start, 0), 0) ps, lead(expected_page_start) over (partition by sg.publication_id order by sg.lesson_number, start_line) nxt from sg left join rl on rl.publication_id = sg.publication_id and rl.lesson_number = sg.lesson_number),
+x1 as (select x0.*, o.items oi, n.items ni, u.items ui, t.line_start tl, t.line_end te from x0 left join li o on o.publication_id = x0.publication_id and o.lesson_number = x0.lesson_number and o.section = 'lesson_outline'
+ left join li n on n.publication_id = x0.publication_id and n.lesson_number = x0.lesson_number and n.section = 'teacher_notes' left join li u on u.publication_id = x0.publication_id and u.lesson_number = x0.lesson_number and u.section = 'summary_application'
+ left join tr t on t.publication_id = x0.publication_id and t.lesson_number = x0.lesson_number and t.section = 'summary_application'),
+rdr as (select publication_id, lesson_number, format('LES-2024-C1-{{:03d}}', lesson_number) lesson_id, 2024 as year, coalesce(nullif(expected_title, ''), 'Lesson ' || lesson_number) title, ps page_start, coalesce(nullif(page_end, 0), greatest(ps, coalesce(nxt, ps + 1) - 1)) page_end,
+ coalesce(nullif({strip('reference_display')}, ''), 'TBD') reference_display, case when len(canonical_references) > 0 then canonical_references else {_tbd} end refs, coalesce(oi, ['TBD']) outline_, coalesce(ni, ['TBD']) notes, coalesce(ui, ['TBD']) summary, tl, te,
+ case when reference_display is not null or oi is not null or ni is not null or ui is not null then 'automated_unreviewed' else 'pending' end review_status from x1)
 """
-ORACLES["draft_lessons"] = f"with {DRAFTS} select publication_id, lesson_number, lesson_id, year, title, page_start, page_end, reference_display, len(refs)::int n_references, array_to_string(notes, '|') teacher_notes, 'automated_unreviewed' review_status from dr"
+ORACLES["draft_lessons"] = f"with {REAL_DRAFTS} select publication_id, lesson_number, lesson_id, year, title, page_start, page_end, reference_display, len(refs)::int n_references, array_to_string(notes, '|') teacher_notes, md5(array_to_string(summary, '|')) summary_digest, len(summary)::int summary_items, tl summary_line, te summary_end, review_status, '{NO_FILE}' sha256 from rdr"
 _paths = [("root", f) for f in ROOT_FIELDS] + [("nested", f"{p}.{f}") for p, fs in NESTED_FIELDS.items() for f in fs] + [("section", f"lesson_sections.{n}.{f}") for n, fs in LESSON_SECTIONS.items() for f in fs]
-_broken = {"title": "lesson_number % 7 = 0", "language": "lesson_number % 11 = 0", "source_trace.source_pdf": "lesson_number % 5 = 0"}
-MISSING = " union all ".join(f"select publication_id, lesson_number, {i} as pos, '{r}' as rule, '{p}' as path from dr where {_broken[p]}" for i, (r, p) in enumerate(_paths) if p in _broken)
-ORACLES["missing_fields"] = f"with {DRAFTS}, mf as ({MISSING}) select publication_id, lesson_number, rule, path from mf"
-READ_ERRORS = """select publication_id, lesson_number, 0 as position, 'provider' as error from dr where lesson_number % 6 = 0
- union all select publication_id, lesson_number, 4, 'reference_fields' from dr where len(list_filter(refs, lambda z: z.testament is null or trim(z.testament) = '' or z.book_standardized is null or trim(z.book_standardized) = '')) > 0
- union all select publication_id, lesson_number, 5, 'positive_integers' from dr where len(list_filter(refs, lambda z: coalesce(z.chapter, 0) <= 0)) > 0
- union all select publication_id, lesson_number, 6, 'positive_integers' from dr where len(list_filter(refs, lambda z: coalesce(z.verse_start, 0) <= 0 or coalesce(z.verse_end, 0) <= 0)) > 0"""
-ORACLES["reading_policy_errors"] = f"with {DRAFTS}, re as ({READ_ERRORS}) select * from re"
+DELIVERED = f"{LESSONS}, rl as (select r0.publication_id, r0.lesson_number, b.reference_display, b.canonical_references refs from r0 join biblical_readings b on b.reading_id = r0.last_id), dl as (select s1.publication_id, s1.lesson_number, expected_title, lesson_date, rl.reference_display, rl.refs from s1 left join rl on rl.publication_id = s1.publication_id and rl.lesson_number = s1.lesson_number)"
+_blank = lambda c: f"({c} is null or {strip(c)} = '')"
+_broken = {"title": _blank("expected_title"), "lesson_sections.title.text": _blank("expected_title"), "lesson_sections.biblical_reading.reference_display": _blank("reference_display"), "lesson_sections.biblical_reading.canonical_references": "(refs is null or len(refs) = 0)"}
+MISSING = " union all ".join(f"select publication_id, lesson_number, {i} as pos, '{r}' as rule, '{p}' as path from dl where {_broken[p]}" for i, (r, p) in enumerate(_paths) if p in _broken)
+ORACLES["missing_fields"] = f"with {DELIVERED}, mf as ({MISSING}) select publication_id, lesson_number, rule, path from mf"
+READ_ERRORS = """select publication_id, lesson_number, 3 as position, 'canonical_references' as error from dl where refs is null or len(refs) = 0
+ union all select publication_id, lesson_number, 4, 'reference_fields' from dl where len(list_filter(refs, lambda z: z.testament is null or trim(z.testament) = '' or z.book_standardized is null or trim(z.book_standardized) = '')) > 0
+ union all select publication_id, lesson_number, 5, 'positive_integers' from dl where len(list_filter(refs, lambda z: coalesce(z.chapter, 0) <= 0)) > 0
+ union all select publication_id, lesson_number, 6, 'positive_integers' from dl where len(list_filter(refs, lambda z: coalesce(z.verse_start, 0) <= 0 or coalesce(z.verse_end, 0) <= 0)) > 0"""
+ORACLES["reading_policy_errors"] = f"with {DELIVERED}, re as ({READ_ERRORS}) select * from re"
+ORACLES["index_gate"] = f"with {DELIVERED} select count(*) n_lessons, count(*) n_invalid, false may_index from dl"
 _fixed = {
     "processing_audit.ocr_engine_version": "'pending-version-capture'", "processing_audit.extraction_confidence": "'automated-unreviewed'", "processing_audit.reviewed_by": "'pending-human-review'", "processing_audit.review_status": "'automated_unreviewed'",
-    "source_integrity.sha256": "'pending-source-hash'", "source_integrity.source_scan_quality": "'pending-human-review'", "semantic_metadata.doctrinal_categories": "'TBD'", "semantic_metadata.theological_themes": "'TBD'",
+    "source_integrity.sha256": f"'{NO_FILE}'", "source_integrity.source_scan_quality": "'pending-human-review'", "semantic_metadata.doctrinal_categories": "'TBD'", "semantic_metadata.theological_themes": "'TBD'",
     "title": "title", "lesson_sections.title.text": "title", "lesson_sections.lesson_header.lesson_date": "lesson_date", "lesson_sections.biblical_reading.reference_display": "reference_display",
     "lesson_sections.biblical_reading.canonical_references.testament": "unnest(list_transform(refs, lambda z: z.testament))", "lesson_sections.biblical_reading.canonical_references.book_standardized": "unnest(list_transform(refs, lambda z: z.book_standardized))",
     "lesson_sections.lesson_outline.items": "unnest(outline_)", "lesson_sections.teacher_notes.items": "unnest(notes)", "lesson_sections.summary_application.items": "unnest(summary)",
@@ -342,34 +398,62 @@ _fixed = {
 LEAVES = " union all ".join(f"select publication_id, lesson_number, '{p}' as path, {v} as value from dr" for p, v in _fixed.items())
 _hold = "value in ('TBD', 'pending', 'automated_unreviewed', 'automated-unreviewed') or lower(value) like 'pending-%' or lower(value) like 'placeholder-%'"
 ORACLES["placeholder_leaves"] = f"with {DRAFTS}, lv as ({LEAVES}) select * from lv where {_hold}"
-ORACLES["first_error"] = f"""with {DRAFTS}, mf as ({MISSING}), re as ({READ_ERRORS}), u as (select publication_id, lesson_number, pos, 'missing ' || path error from mf union all select publication_id, lesson_number, position + 10000, 'reading ' || error from re union all select publication_id, lesson_number, 20000, 'placeholder value' from dr)
+ORACLES["first_error"] = f"""with {DELIVERED}, mf as ({MISSING}), re as ({READ_ERRORS}), u as (select publication_id, lesson_number, pos, 'missing ' || path error from mf union all select publication_id, lesson_number, position + 10000, 'reading ' || error from re union all select publication_id, lesson_number, 20000, 'placeholder value' from dl)
 select publication_id, lesson_number, arg_min(error, pos) error from u group by all"""
+ORACLES["duplicate_draft_paths"] = f"with {DRAFTS} select 'all/' || year || '/C1/' || lesson_id || '.yaml' as path, count(*) n from dr group by 1 having count(*) > 1"
 ORACLES["draft_paths"] = f"with {DRAFTS} select publication_id, lesson_number, publication_id || '/' || year || '/C1/' || lesson_id || '.yaml' as path from dr"
 
 KIND = f"""case when upper(text) = 'TBD' then 'placeholder' when regexp_matches(text, '(?i)^[IVXLCDM]+\\.\\s+') then 'roman_heading' when regexp_matches(text, '^[A-Z]\\.\\s+') then 'letter_subpoint'
  when starts_with(text, '(') and ends_with(text, ')') then 'scripture_reference' when starts_with(text, '¿') or ends_with(text, '?') then 'question' else 'paragraph' end"""
-ITEMS = f"""{DRAFTS}, it0 as (select publication_id, lesson_id, lesson_number, 'lesson_outline' section, i item_order, {strip('outline_[i]')} as text from (select *, unnest(range(1, len(outline_) + 1)) i from dr)
- union all select publication_id, lesson_id, lesson_number, 'teacher_notes', i, {strip('notes[i]')} from (select *, unnest(range(1, len(notes) + 1)) i from dr)
- union all select publication_id, lesson_id, lesson_number, 'summary_application', i, {strip('summary[i]')} from (select *, unnest(range(1, len(summary) + 1)) i from dr)),
-it as (select *, format('{{}}-{{}}-{{:03d}}', lesson_id, replace(section, '_', '-'), item_order) item_id, {KIND} kind from it0 where text <> '')"""
+
+
+def items(of: str, name: str) -> str:
+    """CTE `name`: every section item of the drafts `of`."""
+    parts = " union all ".join(f"select publication_id, lesson_id, lesson_number, '{s}' section, i item_order, {strip(f'{c}[i]')} as text from (select *, unnest(range(1, len({c}) + 1)) i from {of})" for s, c in (("lesson_outline", "outline_"), ("teacher_notes", "notes"), ("summary_application", "summary")))
+    return f"{name}0 as ({parts}), {name} as (select *, format('{{}}-{{}}-{{:03d}}', lesson_id, replace(section, '_', '-'), item_order) item_id, {KIND} kind from {name}0 where text <> '')"
+
+
+COMPOSED_OUTLINE = "['I. ' || et, 'A. punto', ' ', '(Juan 3:16)']"
+ITEMS = f"{DRAFTS}, {items('dr', 'it')}"
 ORACLES["index_items"] = f"with {ITEMS} select * from it"
 ORACLES["index_header"] = f"with {DRAFTS} select '1.0.0' schema_version, 'provisional_unreviewed' index_scope, 'compact_lessons' index_view, array_to_string(list_sort(list(distinct {family('publication_id')} || ' ' || {VERSION})), ',') profiles, null::varchar source_archive, 'Index built from unreviewed lessons; not official.' warning from dr"
 COMPACT = f"select publication_id, lesson_number, lesson_id, 'adult' collection_type, year, 'C1' cycle, title, reference_display, 'api.bible' replacement_provider, {family('publication_id')} classification, {family('publication_id')} profile_id, {VERSION} profile_version from dr"
 ORACLES["compact_index"] = f"with {DRAFTS} {COMPACT}"
-ORACLES["lessons_index"] = f"with {ITEMS}, c as ({COMPACT}), n as (select publication_id, lesson_number, " + ", ".join(f"count(*) filter (where section = '{s}') {s}_items" for s in ("lesson_outline", "teacher_notes", "summary_application")) + " from it group by all) select c.*, n.* exclude (publication_id, lesson_number) from c join n on c.publication_id = n.publication_id and c.lesson_number = n.lesson_number"
-ORACLES["section_outline_index"] = f"with {ITEMS} select d.publication_id, d.lesson_number, d.lesson_id, s.section, count(it.text) item_count, arg_min(it.text, it.item_order) first_text from dr d cross join (values ('lesson_outline'), ('teacher_notes'), ('summary_application')) s(section) left join it on it.publication_id = d.publication_id and it.lesson_number = d.lesson_number and it.section = s.section group by all"
+_said = "coalesce(string_agg(item_id || '|' || item_order || '|' || kind || '|' || it.text || '|' || {ref}, '¶' order by item_order), '')"
+_secs = ("lesson_outline", "teacher_notes", "summary_application")
+ORACLES["lessons_index"] = f"with {ITEMS}, c as ({COMPACT}), " + ", ".join(f"{x}_ as (select publication_id, lesson_number, count(*)::int n, {_said.format(ref=repr(x if x == 'lesson_outline' else ''))} t from it where section = '{x}' group by 1, 2)" for x in _secs) + " select c.*, 'replace_by_canonical_reference' replacement_strategy, " + ", ".join(f"coalesce({x}_.n, 0) {x}_count, coalesce({x}_.t, '') {x}_items, {'c.lesson_number * 10' if x == 'lesson_outline' else 'null::int'} {x}_line" for x in _secs) + " from c " + " ".join(f"left join {x}_ on {x}_.publication_id = c.publication_id and {x}_.lesson_number = c.lesson_number" for x in _secs)
+ORACLES["section_outline_index"] = f"""with {REAL_DRAFTS}, {items('rdr', 'it')}, dd as (select d.publication_id, d.lesson_number, d.lesson_id, s.section, t.line_start, t.page_end, case when t.line_start is not null then s.section else '' end ref from rdr d cross join (values ('lesson_outline'), ('teacher_notes'), ('summary_application')) s(section)
+ left join tr t on t.publication_id = d.publication_id and t.lesson_number = d.lesson_number and t.section = s.section)
+select dd.publication_id, dd.lesson_number, dd.lesson_id, dd.section, {family('dd.publication_id')} profile_id, {VERSION.replace('publication_id', 'dd.publication_id')} profile_version, count(it.text)::int item_count, md5({_said.format(ref='dd.ref')}) items_digest, dd.line_start, dd.page_end
+ from dd left join it on it.publication_id = dd.publication_id and it.lesson_number = dd.lesson_number and it.section = dd.section group by all"""
 ORACLES["translation_alignment_index"] = f"with {ITEMS} select publication_id, item_id, section, item_order, kind, text source_text, 'es' source_language, 'pending' target_language, null::varchar target_text from it"
 ORACLES["scripture_index"] = f"with {DRAFTS} select publication_id, lesson_number, lesson_id, reference_display, i ref_no, refs[i].testament testament, refs[i].book_standardized book_standardized, refs[i].chapter chapter, refs[i].verse_start verse_start, refs[i].verse_end verse_end from (select *, unnest(range(1, len(refs) + 1)) i from dr)"
 ORACLES["family_counts"] = f"with {DRAFTS} select {family('publication_id')} classification, count(*) n_lessons from dr group by 1"
-ORACLES["listing_sync"] = """with a as (select 'f' || p_partkey || '.pdf' as name, p_size::bigint as size from part where p_partkey % 7 <> 0), b as (select 'f' || p_partkey || '.pdf' as name, (p_size + case when p_partkey % 13 = 0 then 1 else 0 end)::bigint as size from part where p_partkey % 11 <> 0 and p_partkey % 17 <> 0)
-select coalesce(a.name, b.name) as name, a.size local_size, b.size remote_size, case when a.size is null then 'missing_local' when b.size is null then 'missing_remote' when a.size <> b.size then 'size_mismatch' else 'match' end outcome from a full outer join b on a.name = b.name"""
-GONE = f"""{SECTIONS}, ms as (select le.publication_id, le.lesson_number, s.section, le.page_start, null::int page_end, s.section in ({quoted(CRITICAL_SECTIONS)}) critical from le cross join (values {", ".join(f"('{s}')" for s in REQUIRED_SECTIONS)}) s(section)
- where not exists (select 1 from lb where lb.publication_id = le.publication_id and lb.lesson_number = le.lesson_number and lb.section = s.section and (lb.lesson_number % 4 <> 0 or lb.section = 'biblical_reading')))"""
+ORACLES["family_views"] = f"with {DRAFTS} select {family('publication_id')} classification, count(*) n_lessons, count(distinct publication_id) n_publications from dr group by 1"
+ORACLES["listing_sync"] = """with a as (select publication_id || '.pdf' as name, max(page_number)::bigint as size from page_quality group by 1), s as (select publication_id || '.pdf' as name, max(page_end)::bigint as size from lesson_segments group by 1),
+b as (select coalesce(s.name, d.name) as name, coalesce(s.size, 0) as size from s full outer join (select distinct publication_id || '.pdf' as name from documents where publication_id is not null) d on d.name = s.name)
+select coalesce(a.name, b.name) as name, a.size local_size, b.size remote_size, case when a.name is null then 'missing_local' when b.name is null then 'missing_remote' when a.size <> b.size then 'size_mismatch' else 'match' end outcome from a full outer join b on a.name = b.name"""
+GONE = f"""{ALL_SECTIONS}, pr as (select publication_id, lesson_number, 'biblical_reading' section from br union select publication_id, lesson_number, section from bk union select publication_id, lesson_number, section from ol),
+le_ as (select publication_id, lesson_number, min(page_start) page_start, max(page_end) page_end from sg group by 1, 2), ms as (select le_.publication_id, le_.lesson_number, s.section, le_.page_start, le_.page_end, s.section in ({quoted(CRITICAL_SECTIONS)}) critical from le_ cross join (values {", ".join(f"('{s}')" for s in REQUIRED_SECTIONS)}) s(section)
+ where not exists (select 1 from pr where pr.publication_id = le_.publication_id and pr.lesson_number = le_.lesson_number and pr.section = s.section))"""
 ORACLES["missing_sections"] = f"with {GONE} select * from ms"
 ORACLES["missing_totals"] = f"with {GONE} select count(*) total_missing, count(*) filter (where critical) critical_missing, coalesce(bool_or(critical), false) has_critical from ms"
+_titles = f"select publication_id, lesson_number, count(distinct {fold_label('expected_title')}) n_titles from lesson_segments where expected_title is not null group by 1, 2 having count(distinct {fold_label('expected_title')}) > 1"
+ORACLES["title_inconsistencies"] = _titles
+ORACLES["content_audits"] = f"with {GONE}, {PARTS}, ti as ({_titles}) select (select count(*) from ms) total_missing, (select count(*) from ms where critical) critical_missing, (select count(*) from ti) inconsistent_titles, (select count(distinct reading_id) from q where chapter = '' or cur is null or cur = '?') low_confidence_scripture, (select count(*) from ms where critical) > 0 has_critical"
 _expect = ", ".join(f"('{k}', '{s}')" for k, v in PROFILES.items() for s in v["sections"] if s != "biblical_reading")
-ORACLES["profile_completeness"] = f"""with {DRAFTS} select {family('publication_id')} classification, section, count(*) n_missing from dr join (values {_expect}) x(profile_id, section) on profile_id = {family('publication_id')}
- where not coalesce(case section when 'lesson_outline' then true when 'teacher_notes' then len(list_filter(notes, lambda z: z <> 'TBD')) > 0 when 'summary_application' then lesson_number % 3 = 0 end, false) group by all"""
+ORACLES["profile_completeness"] = f"""with {DRAFTS} select {family('publication_id')} classification, section, count(*) n_missing from dr join (values {_expect}) x(profile_id, section) on profile_id = {family('publication_id')} where section not in ('lesson_outline', 'teacher_notes') group by all"""
+_known = quoted(["maestro", "alumno", "joven", "adolescente", "nino", "parvulo", "unclassified"])
+ORACLES["normalized_audit"] = f"""with p as (select concat_ws('/', section_key, publication_id || '.txt') as path from documents where publication_id is not null), x as (select path, string_split(path, '/')[1] family, contains(path, '/') below from p), f as (select family, count(*) n from x group by 1)
+select 'txt_file_count' part, '' as name, count(*) n from x union all select 'by_family', family, n from f union all select 'root_level_file', path, 1 from x where not below union all select 'unknown_family', family, 1 from f where family not in ({_known})
+ union all select 'warning', 'text at the root level', 1 where exists (select 1 from x where not below) union all select 'warning', 'unknown family folder: ' || family, 1 from f where family not in ({_known})"""
+ORACLES["yaml_audit"] = f"""with {DRAFTS} select 'draft_count' part, '' as name, count(*) n from dr union all select 'canonical_count', '', 0 union all select 'review_status', 'automated_unreviewed', count(*) from dr union all select 'profile', {family('publication_id')}, count(*) from dr group by 2
+ union all select 'missing_section', section, count(*) from dr join (values {_expect}) x(profile_id, section) on profile_id = {family('publication_id')} where section not in ('lesson_outline', 'teacher_notes', 'summary_application') group by 2 union all select 'warning', 'no reviewed lesson exists', 1 union all select 'warning', 'drafts remain unreviewed', 1 from (select 1 from dr limit 1)"""
+ORACLES["indexing_audit"] = f"""with {DRAFTS} select 'view' part, 'detailed_lessons' as name, count(*) n from dr union all select 'view', 'compact_lessons', count(*) from dr union all select 'view', 'section_outline', 3 * count(*) from dr union all select 'view', 'scripture', sum(len(refs))::bigint from dr
+ union all select distinct 'family_folder', {family('publication_id')}, 1 from dr union all select 'warning', 'the scope is not that of unreviewed drafts', 1 union all select 'warning', 'translation_alignment is missing', 1"""
+ORACLES["publication_paths"] = f"select distinct publication_id, '/archive/raw/' || publication_id || '.txt' raw_path, '/archive/logs/' || publication_id || '.json' log_path, 'raw/' || publication_id || '.txt' relative, 'external:' || publication_id || '.txt' runtime, {family('publication_id')} || '/' || publication_id || '.txt' classified from page_quality"
+ORACLES["id_audit"] = """select 'reading' kind, format('-C1-{:03d}', lesson_number) by_path, lesson_id by_content from biblical_readings where lesson_id is not null and not contains(lesson_id, format('-C1-{:03d}', lesson_number))
+ union all select 'document', publication_id, source from documents where publication_id is not null and source is not null and publication_id <> source"""
 ORACLES["review_statuses"] = f"with {DRAFTS} select 'automated_unreviewed' review_status, count(*) n from dr group by 1"
 ORACLES["id_consistency"] = "with x as (select reading_id, lesson_id, format('-C1-{:03d}', lesson_number) as tail from biblical_readings) select * from x where not coalesce(contains(lesson_id, tail), false)"
 ORACLES["pipeline_summary"] = f"with {ITEMS} select 'lessons' as view, count(*) n from dr union all select 'section_outline', 3 * count(*) from dr union all select 'items', count(*) from it union all select 'scripture', sum(len(refs))::bigint from dr"

@@ -7,8 +7,12 @@ import time
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..sources.shared import materialize
 
 
 @dataclass(frozen=True)
@@ -34,6 +38,30 @@ class RunLog:
         return json.dumps({"generated_at": self.generated_at, "total_elapsed_seconds": self.total_elapsed_seconds, "steps": self.steps}, ensure_ascii=False, indent=2)
 
 
+def write_log(log: RunLog, folder: str) -> Path:
+    """The log as a JSON file named by its time."""
+    target = Path(folder, f"pipeline-run-{datetime.now(UTC).strftime('%Y%m%dT%H%M%SZ')}.json")
+    target.parent.mkdir(parents=True, exist_ok=True)
+    target.write_text(log.to_json(), encoding="utf-8")
+    return target
+
+
+def load_steps(path: str, known: Iterable[Step] | None = None) -> list[Step]:
+    """The steps of a JSON file {"steps": [{"name", "tags", "optional"}]} in its order; their code is that of the known steps."""
+    data = json.loads(Path(path).read_text(encoding="utf-8"))
+    steps = data.get("steps") if isinstance(data, dict) else None
+    if not isinstance(steps, list):
+        raise ValueError(f"{path}: steps must be a list")
+    code = {s.name: s for s in (default_steps() if known is None else known)}
+    out = []
+    for x in steps:
+        if x.get("name") not in code:
+            raise ValueError(f"{path}: there is no step {x.get('name')}")
+        own = code[x["name"]]
+        out.append(Step(own.name, own.run, tuple(x.get("tags", own.tags)), bool(x.get("optional", own.optional))))
+    return out
+
+
 def select_steps(steps: Iterable[Step], run: Iterable[str] = (), skip: Iterable[str] = ("indexing",)) -> list[Step]:
     """Steps with a tag or name in `run` (all if empty) and none in `skip`; skip wins."""
     wanted, unwanted = set(run), set(skip)
@@ -70,18 +98,48 @@ def run_steps(spark: SparkSession, steps: Iterable[Step], tables: dict[str, Data
 
 
 def default_steps() -> list[Step]:
-    """Pages to validated drafts and indexes. Tables needed: pages, waivers, contents_lines (publication lines)."""
-    from ..operators import quality, segments, sections, structure
+    """Pages to drafts, their validation, index views and audits. Tables needed: pages, waivers, books.
+
+    The index views of unreviewed drafts have the tag `indexing`, which `select_steps` skips by default.
+    """
+    from ..operators import audits, documents, indexes, quality, references, sections, segments, structure
+
+    key = ["publication_id", "lesson_number"]
+
+    def contents(s, t):
+        return structure.contents_index(structure.contents_rows(t["lines"], structure.contents_candidates(t["lines"])))
+
+    def drafts(s, t):
+        said = t["readings"].withColumn("reading_no", F.monotonically_increasing_id())
+        said = materialize(said)
+        refs = references.parse(said, t["books"], ["reading_no"]).groupBy("reading_no").agg(F.array_sort(F.collect_list(F.struct("ref_no", "testament", "book_standardized", "chapter", "verse_start", "verse_end"))).alias("x"))
+        refs = refs.select("reading_no", F.transform("x", lambda r: F.struct(*[r[c].alias(c) for c in ("testament", "book_standardized", "chapter", "verse_start", "verse_end")])).alias("canonical_references"))
+        readings = said.join(refs, "reading_no", "left").dropDuplicates(key)
+        items = t["items"].groupBy(*key, "section").agg(F.array_sort(F.collect_list(F.struct("item_no", "text"))).alias("x")).select(*key, "section", F.transform("x", lambda r: r["text"]).alias("items"))
+        return documents.with_paths(documents.draft_lessons(t["segments"], readings, items, traces=t["traces"]))
+
+    def audit(s, t):
+        return audits.content_audits(t["missing"], audits.title_inconsistencies(t["segments"].select(*key, F.col("expected_title").alias("title"))), t["validation"].where("error like 'reading%'"))
 
     return [
         Step("gate", lambda s, t: quality.gate(t["pages"]), ("quality",)),
         Step("report", lambda s, t: quality.publication_report(t["gate"], t["waivers"]), ("quality",)),
-        Step("lines", lambda s, t: structure.lines_of_pages(structure.latest_pages(t["pages"])), ("structure",)),
+        Step("normalized", lambda s, t: structure.normalized_pages(t["pages"]), ("structure",)),
+        Step("lines", lambda s, t: sections.body_lines(structure.lines_of_pages(t["normalized"])), ("structure",)),
         Step("markers", lambda s, t: structure.markers(t["lines"]), ("structure",)),
-        Step("contents", lambda s, t: structure.contents_index(structure.contents_rows(t["lines"], structure.contents_candidates(t["lines"]))), ("structure",)),
+        Step("contents", contents, ("structure",)),
         Step("segments", lambda s, t: segments.segments(t["contents"], t["markers"], t["lines"]), ("segmentation",)),
-        Step("labels", lambda s, t: sections.labels(sections.segment_lines(t["lines"], t["segments"])), ("sections",)),
-        Step("blocks", lambda s, t: sections.blocks(sections.segment_lines(t["lines"], t["segments"]), t["labels"]), ("sections",), optional=True),
-        Step("outlines", lambda s, t: sections.outlines(sections.segment_lines(t["lines"], t["segments"]), t["labels"]), ("sections",), optional=True),
-        Step("items", lambda s, t: sections.items(t["blocks"], t["outlines"]), ("indexing",), optional=True),
+        Step("labels", lambda s, t: sections.labels(t["lines"], t["segments"]), ("sections",)),
+        Step("readings", lambda s, t: sections.readings(t["lines"], t["labels"]), ("sections",)),
+        Step("blocks", lambda s, t: sections.blocks(t["lines"], t["labels"]), ("sections",)),
+        Step("outlines", lambda s, t: sections.outlines(t["lines"], t["labels"]), ("sections",)),
+        Step("items", lambda s, t: sections.items(t["blocks"], t["outlines"]), ("sections",)),
+        Step("traces", lambda s, t: sections.traces(t["blocks"].unionByName(t["outlines"])), ("sections",)),
+        Step("missing", lambda s, t: audits.missing_sections(sections.present(t["readings"], t["blocks"], t["outlines"]), t["segments"]), ("audit",), optional=True),
+        Step("drafts", drafts, ("drafts",)),
+        Step("validation", lambda s, t: documents.first_error(t["drafts"].drop("path"), key), ("drafts",)),
+        Step("lessons_index", lambda s, t: indexes.lessons_index(t["drafts"]), ("indexing",), optional=True),
+        Step("section_outline", lambda s, t: indexes.section_outline_index(t["drafts"]), ("indexing",), optional=True),
+        Step("scripture", lambda s, t: indexes.scripture_index(t["drafts"]), ("indexing",), optional=True),
+        Step("audit", audit, ("audit",), optional=True),
     ]

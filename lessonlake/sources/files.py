@@ -90,9 +90,32 @@ def yaml_documents(spark: SparkSession, folder: str, schema: str, tolerant: bool
 
 
 def waivers(spark: SparkSession, path: str) -> DataFrame:
-    """The waivers of a JSON file {"waivers": [...]}; none if the file is missing."""
-    x = json_documents(spark, path, f"waivers array<struct<{','.join(':'.join(c.split()) for c in WAIVERS.split(','))}>>", tolerant=True)
-    return x.select(F.explode("waivers").alias("w")).select("w.*")
+    """The waivers of a JSON file {"waivers": [...]}; none if the file is missing, an error if it holds no list of them."""
+    raw = json_documents(spark, path, "waivers string", tolerant=True)
+    fields = f"array<struct<{','.join(':'.join(c.split()) for c in WAIVERS.split(','))}>>"
+    said = F.coalesce("waivers", F.lit("[]"))
+    checked = F.when(said.startswith("["), said).otherwise(F.raise_error(F.concat("path", F.lit(": waivers must be a list"))))
+    return raw.select(F.explode(F.from_json(checked, fields)).alias("w")).select("w.*")
+
+
+PROFILE = "profile_id string, profile_version string, expected_sections array<string>, section_aliases map<string,array<string>>"
+
+
+def profiles(spark: SparkSession, folder: str, known: tuple[str, ...] = ("maestro", "alumno", "joven", "adolescente", "nino", "parvulo")) -> dict[str, dict]:
+    """The family profiles of a folder of YAML files, in the form of `dictionaries.PROFILES`; a few short files.
+
+    A known family without a file is an error; a missing profile of the unclassified is an empty one.
+    """
+    rows = yaml_documents(spark, folder, PROFILE).select(F.regexp_extract("path", "([^/]+?)\\.[^./]*$", 1).alias("family"), "document.*").collect()
+    found = {r["family"]: r for r in rows}
+    missing = [f for f in known if f not in found]
+    if missing:
+        raise FileNotFoundError(f"no profile of {', '.join(missing)} in {folder}")
+    out = {"unclassified": {"version": "0.0.0", "sections": {}}}
+    for family, r in found.items():
+        aliases = r["section_aliases"] or {}
+        out[family] = {"version": r["profile_version"] or "0.0.0", "sections": {s: list(aliases.get(s) or []) for s in dict.fromkeys([*(r["expected_sections"] or []), *aliases])}}
+    return out
 
 
 def logged_pages(logs: DataFrame) -> DataFrame:
@@ -108,44 +131,63 @@ def section_metadata(documents: DataFrame) -> DataFrame:
     return x.groupBy("publication_id", F.col("l.lesson_number").alias("lesson_number")).agg(F.max_by("l.sections", "pos").alias("sections"))
 
 
-def pdf_pages(spark: SparkSession, folder: str, page_limit: int | None = None, language: str | None = None) -> DataFrame:
-    """(publication_id, page_number, text, ocr_text, ocr_confidence) of PDFs.
+def pdf_pages(spark: SparkSession, folder: str, page_limit: int | None = None, language: str | None = None, dpi: int = 300) -> DataFrame:
+    """(publication_id, title, page_number, text, ocr_text, ocr_confidence) of PDFs.
 
-    Needs PyMuPDF in the workers, and pytesseract for a language's OCR; without them the call fails at once.
+    Needs PyMuPDF in the workers, and pytesseract for a language's OCR; without them the call fails at once. A page's
+    OCR is a second extraction: `extractions` makes rows of both and `quality.best_source` chooses.
     """
     try:
         import fitz  # noqa: F401
     except ImportError as e:
         raise RuntimeError("reading PDF pages needs PyMuPDF") from e
+    if language and not ocr_available():
+        raise RuntimeError("OCR needs pytesseract and Pillow")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").option("recursiveFileLookup", "true").load(folder)
 
+    def recognise(page) -> tuple[str | None, float | None]:
+        """The OCR of a page with the mean of the words' confidences (those of 0 and more)."""
+        if not language:
+            return None, None
+        import io
+
+        import pytesseract
+        from PIL import Image
+
+        image = Image.open(io.BytesIO(page.get_pixmap(dpi=dpi).tobytes("png")))
+        data = pytesseract.image_to_data(image, lang=language, output_type=pytesseract.Output.DICT)
+        sure = [float(c) for c in data["conf"] if float(c) >= 0]
+        return pytesseract.image_to_string(image, lang=language), sum(sure) / len(sure) if sure else None
+
     def run(batches: Iterator) -> Iterator:
         import fitz
         import pandas as pd
 
+        names = ["publication_id", "title", "page_number", "text", "ocr_text", "ocr_confidence"]
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"], strict=True):
-                rows = []
+                rows, stem = [], path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
                 with fitz.open(stream=content, filetype="pdf") as doc:
+                    title = (doc.metadata or {}).get("title") or None
                     for n, page in enumerate(doc, 1):
                         if page_limit and n > page_limit:
                             break
-                        rows.append((path.rsplit("/", 1)[-1].rsplit(".", 1)[0], n, page.get_text(), *_recognise(page, language)))
-                yield pd.DataFrame(rows, columns=["publication_id", "page_number", "text", "ocr_text", "ocr_confidence"])
+                        rows.append((stem, title, n, page.get_text("text"), *recognise(page)))
+                yield pd.DataFrame(rows, columns=names).astype({"page_number": "int32", "ocr_confidence": "float64"})
+
+    return files.select("path", "content").mapInPandas(run, "publication_id string, title string, page_number int, text string, ocr_text string, ocr_confidence double")
 
-    return files.select("path", "content").mapInPandas(run, "publication_id string, page_number int, text string, ocr_text string, ocr_confidence double")
 
+def ocr_available() -> bool:
+    """Are the OCR libraries there?"""
+    import importlib.util
 
-def _recognise(page, language: str | None) -> tuple[str | None, float | None]:
-    """OCR of a page at 300 dpi with the mean of the words' confidences (those of 0 and more)."""
-    if not language:
-        return None, None
-    import io
+    return all(importlib.util.find_spec(name) for name in ("pytesseract", "PIL"))
 
-    import pytesseract
-    from PIL import Image
 
-    image = Image.open(io.BytesIO(page.get_pixmap(dpi=300).tobytes("png")))
-    data = pytesseract.image_to_data(image, lang=language, output_type=pytesseract.Output.DICT)
-    sure = [float(c) for c in data["conf"] if float(c) >= 0]
-    return pytesseract.image_to_string(image, lang=language), sum(sure) / len(sure) if sure else None
+def extractions(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The embedded and the OCR text of each page as rows for the gate."""
+    keep = ["publication_id", "page_number"]
+    embedded = pages.select(*keep, F.lit("embedded").alias("source"), "text", F.lit(None).cast("double").alias("ocr_confidence"))
+    ocr = pages.where("ocr_text is not null").select(*keep, F.lit("ocr").alias("source"), F.col("ocr_text").alias("text"), "ocr_confidence")
+    return embedded, ocr

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from ..operators import sections
 
 
-def write_once(df: DataFrame, path: str) -> None:
-    """Fails if the target exists, as raw extractions are never overwritten."""
+def write_once(df: DataFrame, path: str, log: DataFrame | None = None, log_path: str | None = None) -> None:
+    """Fails if the target exists, as raw extractions are never overwritten. The processing log is written beside it."""
     df.write.mode("errorifexists").parquet(path)
+    if log is not None:
+        write_json(log, log_path or f"{path}-log")
 
 
 def write_classified(df: DataFrame, path: str) -> None:
@@ -26,6 +28,11 @@ def write_json(df: DataFrame, path: str) -> None:
     df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.mode("overwrite").text(path)
 
 
+def write_json_by(df: DataFrame, path: str, key: str = "publication_id") -> None:
+    """Every row as one JSON object, in a folder for each value of the key."""
+    df.select(key, F.to_json(F.struct(*df.columns)).alias("value")).repartition(key).write.mode("overwrite").partitionBy(key).text(path)
+
+
 def write_yaml(df: DataFrame, folder: str, path_column: str = "path") -> None:
     """Every row as a YAML document at its own path below `folder`, a folder all executors share."""
     names = [c for c in df.columns if c != path_column]
@@ -57,8 +64,10 @@ def epoch_timestamp(seconds: int | None) -> str | None:
 
 
 def markdown(title: str, table: DataFrame, most: int = 1000) -> str:
-    """A small table as Markdown for people; a report of aggregates, at most `most` rows."""
-    rows = table.limit(most).collect()
+    """A report of aggregates as Markdown for people; a table of more than `most` rows is none and an error."""
+    rows = table.take(most + 1)
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows are no report; aggregate them or write a table")
     head = table.columns
     lines = [f"# {title}", "", "| " + " | ".join(head) + " |", "|" + " --- |" * len(head)]
     return "\n".join(lines + ["| " + " | ".join("" if r[c] is None else str(r[c]) for c in head) + " |" for r in rows]) + "\n"

@@ -94,3 +94,13 @@ def test_scores_stay_in_range_whatever_the_partitions(spark):
     a = {r["page_id"]: (r["gate_status"], r["gate_score"]) for r in quality.gate(df.repartition(7)).collect()}
     b = {r["page_id"]: (r["gate_status"], r["gate_score"]) for r in quality.gate(df.coalesce(1)).collect()}
     assert a == b and all(0 <= s <= 100 for _, s in a.values())
+
+
+def test_extraction_summary(spark):
+    df = quality.gate(spark.createDataFrame([(1, "a", 1, "embedded", CLEAN, None), (2, "a", 2, "embedded", "", None), (3, "a", 3, "ocr", "", 20.0), (4, "b", 1, "ocr", CLEAN, 95.0)], PAGE))
+    r = {x["publication_id"]: x for x in quality.extraction_summary(df).collect()}
+    assert (r["a"]["weak_direct_text_pages"], r["a"]["ocr_fallback_pages"], r["a"]["human_review_pages"], r["a"]["manual_review_required"]) == ("2", "3", "3", True)
+    assert (r["b"]["ocr_fallback_page_count"], r["b"]["manual_review_required"]) == (1, False)
+    w = spark.createDataFrame([], "publication_id string, pdf_page int, issue_code string")
+    o = {x["source"]: (x["status"], x["page_count"], x["issue_counts"]) for x in quality.ocr_reports(df, w).collect()}
+    assert o["b"] == ("PASS", 1, "") and o["a"][:2] == ("BLOCKED", 3) and "zero_text=2" in o["a"][2]

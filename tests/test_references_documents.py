@@ -1,17 +1,23 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from lessonlake.operators import audits, documents, indexes, references
 
 
+BOOKS = [("Éxodo", "old", "Exodus"), ("Salmos", "old", "Psalms"), ("Mateo", "new", "Matthew"), ("Lucas", "new", "Luke"), ("Juan", "new", "John"), ("1 Corintios", "new", "1 Corinthians")]
+
+
 def parse(spark, display):
     df = spark.createDataFrame([(1, display)], "id int, reference_display string")
-    return [(r["book_standardized"], r["chapter"], r["verse_start"], r["verse_end"]) for r in references.parse(df, ["id"]).orderBy("ref_no").collect()]
+    books = spark.createDataFrame(BOOKS, "book_name string, testament string, book_standardized string")
+    return [(r["book_standardized"], r["chapter"], r["verse_start"], r["verse_end"]) for r in references.parse(df, books, ["id"]).orderBy("ref_no").collect()]
 
 
 def test_citations(spark):
     assert parse(spark, "Exodo 30:14-15; Mateo 17:24-27; 22:17, 19-21") == [("Exodus", 30, 14, 15), ("Matthew", 17, 24, 27), ("Matthew", 22, 17, 17), ("Matthew", 22, 19, 21)]
+    assert parse(spark, "Salmo 3:1; SALMOS 4:2") == [("Psalms", 3, 1, 1), ("Psalms", 4, 2, 2)]
     assert parse(spark, "I Corintios 3:10-19") == [("1 Corinthians", 3, 10, 19)]
 
 
@@ -92,3 +98,62 @@ def test_missing_sections_and_ids(spark):
     assert (t["total_missing"], t["critical_missing"], t["has_critical"]) == (2, 2, True)
     ids = spark.createDataFrame([("a", "a"), ("a", "b"), ("a", None), ("a", "xay")], "x string, y string")
     assert audits.id_mismatches(ids, "x", "y").count() == 3 and audits.id_mismatches(ids, "x", "y", contains=True).count() == 2
+
+
+def test_reference_texts_take_the_first_pages_in_order(spark):
+    stems = spark.createDataFrame([("a", "Título"), ("b", None)], "stem string, title string")
+    pages = spark.createDataFrame([("a", 2, "volumen 7"), ("a", 1, "portada"), ("a", 6, "volumen 9"), ("a", 3, None)], "publication_id string, page_number int, text string")
+    texts = audits.reference_texts(stems, pages)
+    assert {r["stem"]: r["reference_text"] for r in texts.collect()} == {"a": "a\nTítulo\nportada\nvolumen 7\n", "b": "b"}
+    reasons = {r["stem"]: r["reason"] for r in audits.rename_proposals(texts).collect()}
+    assert reasons == {"a": "used default; volume 7 found", "b": "used default; volume number not found"}
+
+
+def test_strings_are_found_at_any_depth(spark):
+    df = spark.createDataFrame([(1, {"k": "TBD"}, [[("pending-x", ["ok", "TBD"])]], "x")], "id int, m map<string,string>, n array<array<struct<a:string,b:array<string>>>>, s string")
+    assert sorted(documents.string_leaves(df.schema)) == [("m", "many"), ("n.a", "many"), ("n.b", "many"), ("s", "one")]
+    assert sorted((r["path"], r["value"]) for r in documents.placeholders(df, ["id"]).collect()) == [("m", "TBD"), ("n.a", "pending-x"), ("n.b", "TBD")]
+
+
+def test_digests_traces_and_paths(spark):
+    seg, reads, items = lessons(spark)
+    digests = spark.createDataFrame([("x-maestro", "ab" * 32)], "publication_id string, sha256 string")
+    traces = spark.createDataFrame([("x-maestro", 1, "lesson_outline", 12, 15, 1, 2)], "publication_id string, lesson_number int, section string, line_start int, line_end int, page_start int, page_end int")
+    d = documents.draft_lessons(seg, reads, items, digests=digests, traces=traces)
+    assert {r["source_integrity"]["sha256"] for r in d.collect()} == {"ab" * 32}
+    assert documents.draft_lessons(seg, reads, items).first()["source_integrity"]["sha256"] == documents.NO_FILE
+    one = indexes.lessons_index(d).where("lesson_number = 1").first()
+    assert one["lesson_outline"]["item_count"] == 3 and one["lesson_outline"]["items"][0]["source_trace_ref"] == "lesson_outline" and one["lesson_outline"]["source_trace"]["line_end"] == 15
+    assert one["teacher_notes"]["source_trace"] is None and one["teacher_notes"]["items"][0]["source_trace_ref"] is None and one["replacement_strategy"] == "replace_by_canonical_reference"
+    assert documents.with_paths(d).count() == 3
+    with pytest.raises(ValueError, match="draft path"):
+        documents.with_paths(d.unionByName(d))
+
+
+def test_index_gate(spark, tmp_path):
+    seg, reads, items = lessons(spark)
+    d = documents.draft_lessons(seg, reads, items)
+    assert tuple(documents.gate(d, KEY).first()) == (3, 3, False) and tuple(documents.gate(valid(spark), KEY).first()) == (1, 0, True)
+    with pytest.raises(ValueError, match="invalid lesson"):
+        indexes.write_views(d, str(tmp_path / "no"))
+    assert not (tmp_path / "no").exists()
+    indexes.write_views(d, str(tmp_path / "draft"), scope="automated_unreviewed_draft")
+    indexes.write_views(valid(spark), str(tmp_path / "good"))
+    assert spark.read.parquet(str(tmp_path / "good" / "detailed_lessons" / "all")).count() == 1
+    assert (tmp_path / "draft" / "compact_lessons" / "by_family" / "classification=maestro").exists()
+
+
+def test_audits_in_one_list(spark):
+    paths = spark.createDataFrame([("maestro/a.txt",), ("b.txt",), ("c.txt",), ("extra/d.txt",), (None,)], "path string")
+    got = [tuple(r) for r in audits.normalized_audit(paths).collect()]
+    assert ("txt_file_count", "", 4) in got and ("by_family", "maestro", 1) in got and ("unknown_family", "extra", 1) in got
+    assert [r[1] for r in got if r[0] == "warning" and "root" in r[1]] == ["text at the root level"]  # the first only
+    d = documents.draft_lessons(*lessons(spark))
+    y = {tuple(r) for r in audits.yaml_audit(d, d.limit(0)).collect()}
+    assert {("draft_count", "", 3), ("canonical_count", "", 0), ("warning", "no reviewed lesson exists", 1), ("warning", "drafts remain unreviewed", 1), ("profile", "maestro", 3)} <= y
+    x = {tuple(r) for r in audits.indexing_audit({"compact_lessons": indexes.compact_index(d)}, indexes.header(d, "compact_lessons", scope="automated_unreviewed_draft"), indexes.compact_index(d)).collect()}
+    assert ("view", "compact_lessons", 3) in x and ("family_folder", "maestro", 1) in x and {r[1] for r in x if r[0] == "warning"} == {"section_outline is missing", "translation_alignment is missing"}
+    ids = spark.createDataFrame([("a", "a"), ("a", "b"), ("a", None)], "x string, y string")
+    assert [tuple(r) for r in audits.id_audit({"draft": (ids, "x", "y", False)}).collect()] == [("draft", "a", "b")]
+    sizes = {r["part"]: (r["n"], r["bytes"]) for r in audits.output_sizes({"t": ids.select("x"), "u": spark.createDataFrame([("ñ",)], "x string")}).collect()}
+    assert sizes == {"t": (3, 3), "u": (1, 2)}

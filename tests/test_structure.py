@@ -72,17 +72,21 @@ def test_markers_only_where_the_page_changes(spark):
     assert got == [(1, "page_marker"), (2, "lesson_header"), (4, "section_label"), (6, "page_marker")]
 
 
+def as_text(spark, rows):
+    return spark.createDataFrame([(1, "\n".join(rows))], "k int, text string")
+
+
 def test_reflow_joins_prose_and_keeps_structure(spark):
     rows = ["I. Primer punto", "Una frase que", "sigue aquí", "", "¿Pregunta", "otra línea", "Juan 3:16", "fin"]
-    got = [r["text"] for r in structure.reflow(as_lines(spark, rows)).orderBy("paragraph").collect()]
+    got = [r["text"] for r in structure.reflow(as_text(spark, rows), "k").orderBy("paragraph").collect()]
     assert got == ["I. Primer punto", "Una frase que sigue aquí", "¿Pregunta", "otra línea", "Juan 3:16", "fin"]
 
 
 def test_reflow_is_idempotent(spark):
     rows = ["Una frase que", "sigue aquí", "", "A. Punto", "más texto"]
-    once = [r["text"] for r in structure.reflow(as_lines(spark, rows)).orderBy("paragraph").collect()]
+    once = [r["text"] for r in structure.reflow(as_text(spark, rows), "k").orderBy("paragraph").collect()]
     spaced = [x for t in once for x in (t, "")]
-    assert [r["text"] for r in structure.reflow(as_lines(spark, spaced)).orderBy("paragraph").collect()] == once
+    assert [r["text"] for r in structure.reflow(as_text(spark, spaced), "k").orderBy("paragraph").collect()] == once
 
 
 def test_segments_from_contents_and_headers(spark):
@@ -109,8 +113,8 @@ LESSON = [
 def test_sections_of_a_lesson(spark):
     lines = as_lines(spark, LESSON)
     seg = segments.from_headers(structure.markers(lines)).withColumn("end_line", F.lit(13))
-    body = sections.segment_lines(lines, seg)
-    found = sections.labels(body)
+    body = sections.body_lines(lines)
+    found = sections.labels(body, seg)
     assert sections.readings(body, found).first()["reference_display"] == "Isaías 53:4-6; Mateo 8:17"
     got = {}
     for r in sections.items(sections.blocks(body, found), sections.outlines(body, found)).orderBy("section", "item_no").collect():
@@ -126,7 +130,58 @@ def test_item_kinds(spark):
 
 def test_nulls_and_empty_tables(spark):
     pages = spark.createDataFrame([("p", 1, None, 1), ("p", 2, "", 2), (None, 3, "x", 3)], "publication_id string, page_number int, text string, page_id bigint")
-    got = structure.lines_of_pages(structure.latest_pages(pages)).where("publication_id = 'p'").orderBy("line_number").collect()
-    assert [r["line"] for r in got] == ["===== PDF_PAGE 1 =====", "===== PDF_PAGE 2 ====="]
+    got = structure.lines_of_pages(pages).orderBy("publication_id", "line_number").collect()
+    assert [r["line"] for r in got] == ["===== PDF_PAGE 3 =====", "x", "===== PDF_PAGE 1 =====", "===== PDF_PAGE 2 ====="]
     empty = as_lines(spark, [])
-    assert structure.markers(empty).count() == structure.reflow(empty).count() == structure.contents_candidates(empty).count() == 0
+    assert structure.markers(empty).count() == structure.reflow(as_text(spark, []), "k").count() == structure.contents_candidates(empty).count() == 0
+
+
+def test_lines_and_active_pages_equal_the_sequential_scan(spark, monkeypatch):
+    monkeypatch.setattr(structure, "PAGES", 3)
+    monkeypatch.setattr(structure, "BUCKET", 4)
+    rng = random.Random(3)
+    pages, want = [], []
+    for pub in ("a", "b"):
+        active, at = None, 0
+        for number in [None, *sorted(rng.sample(range(40), 14))]:
+            texts = ["\n".join(rng.choice(["uno", "", "===== PDF_PAGE 99 =====", "Lección 4", "dos"]) for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(1, 2))]
+            pages += [(len(pages) + k, pub, number, t) for k, t in enumerate(texts)]
+            header = "===== PDF_PAGE null =====" if number is None else f"===== PDF_PAGE {number} ====="
+            for line in [header, *texts[-1].splitlines()]:
+                before, at = active, at + 1
+                if line.startswith("=====") and "null" not in line:
+                    active = int(line.split()[2])
+                want.append((pub, at, line, active, before))
+    df = spark.createDataFrame([(i, *p[1:]) for i, p in enumerate(pages)], "page_id bigint, publication_id string, page_number int, text string")
+    lines = structure.lines_of_pages(df)
+    got = sorted((r["publication_id"], r["line_number"], r["line"], r["active_page"], r["page_before"]) for r in lines.collect())
+    assert got == want
+    plain = structure.with_active_page(lines.select("publication_id", "line_number", "line"))
+    assert sorted((r["publication_id"], r["line_number"], r["line"], r["active_page"], r["page_before"]) for r in plain.collect()) == want
+
+
+def test_next_line_and_intervals_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(structure, "BUCKET", 5)
+    rng = random.Random(4)
+    points = [(rng.choice("ab"), rng.randint(1, 60), i) for i in range(50)]
+    targets = [(rng.choice("ab"), rng.randint(1, 50)) for _ in range(12)]
+    p = spark.createDataFrame(points, "k string, line_number int, id int")
+    got = {r["id"]: r["t"] for r in structure.next_line(p, spark.createDataFrame(targets, "k string, line_number int"), ["k"], "t").collect()}
+    assert got == {i: min((x for q, x in targets if q == k and x >= n), default=None) for k, n, i in points}
+    lines = [(k, n) for k in "ab" for n in range(1, 41)]
+    spans = [(rng.choice("ab"), rng.randint(1, 45), rng.choice([None, rng.randint(1, 60)]), i) for i in range(40)]
+    x = structure.lines_within(spark.createDataFrame(lines, "publication_id string, line_number int"), spark.createDataFrame(spans, "publication_id string, low int, high int, id int"))
+    assert sorted((r["id"], r["line_number"]) for r in x.collect()) == sorted((i, n) for k, lo, hi, i in spans for q, n in lines if q == k and lo <= n <= (40 if hi is None else hi))
+
+
+def test_normalized_text(spark):
+    rows = ["Cafe\u0301 \t uno  \r\nque si-\nguio\u0301  aquí\n\nI. Punto\nmás\u2003texto", " \n \n", "", None]
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, t string")
+    got = [r["n"] for r in df.select("i", T.normalize(F.col("t")).alias("n")).orderBy("i").collect()]
+    assert got == ["Café uno que siguió aquí\n\nI. Punto\nmás texto\n", "", "", None]
+
+
+def test_paths(spark):
+    x = spark.createDataFrame([("p", "/top/raw/p.txt", "/other/q.txt")], "p string, a string, b string")
+    r = x.select(T.expected_path(F.col("p"), "/top/raw/", ".txt"), T.relative_path(F.col("a"), "/top"), T.relative_path(F.col("b"), "/top"), T.runtime_path(F.col("b"), "/top"), T.runtime_path(F.col("a"), "/top"), T.page_header(F.lit(3))).first()
+    assert list(r) == ["/top/raw/p.txt", "raw/p.txt", "/other/q.txt", "external:q.txt", "raw/p.txt", "===== PDF_PAGE 3 ====="]
