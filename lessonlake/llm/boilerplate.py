@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -63,12 +64,11 @@ def _g2(k1: Column, n1: Column, k2: Column, n2: Column) -> Column:
 
 
 #: Slots of the filter that spares most pages a look; it is broadcast, and its rows are bounded by this number.
-SLOTS = 1 << 16
+SLOTS = 1 << 18
 
 
-def key_hash(key: str) -> int:
-    """Spark's xxhash64 of a string, without its sign."""
-    return xxhash.xxh64_intdigest(key, 42)
+#: Spark's xxhash64 of a string, without its sign.
+key_hash = partial(xxhash.xxh64_intdigest, seed=42)
 
 
 def line_keys(text: str, model: LookalikeModel) -> set[str]:

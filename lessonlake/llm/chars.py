@@ -147,13 +147,13 @@ def _run(run: str) -> tuple[str, tuple[str, ...], float]:
 RUNS = re.compile(f"[^\x00-\x7f]+(?:(?<=[{LEADS}])\\?+)?|&(?:#[0-9]{{2,6}}|#x[0-9A-Fa-f]{{2,5}}|[A-Za-z]{{2,8}}[0-9]?);")
 
 
-def repair_encoding(text: str | None, model: "LookalikeModel | None" = None) -> tuple[str | None, int, int, tuple[str, ...]]:
+def repair_encoding(text: str | None, model: "LookalikeModel | None" = None, words: bool = True) -> tuple[str | None, int, int, tuple[str, ...]]:
     """(text with its wrongly decoded runs restored, runs restored, runs beyond repair, operations used).
 
     Each distinct run is searched once; then words with a sign or letter that is none of the languages' are read
-    again in other single-byte encodings (`reread`). Null gives null, 0, 0.
+    again in other single-byte encodings (`reread`), unless `words` is false. Null gives null, 0, 0.
     """
-    if not text or not (UNUSUAL.search(text) or "&" in text or SIGN_IN_WORD.search(text)):
+    if not text or not (UNUSUAL.search(text) or "&" in text or words and SIGN_IN_WORD.search(text)):
         return text, 0, 0, ()
     known = {}
     for run in set(RUNS.findall(text)):
@@ -180,7 +180,7 @@ def repair_encoding(text: str | None, model: "LookalikeModel | None" = None) ->
 
     out = RUNS.sub(put, text)
     paths = [" ".join(p) for p in known]
-    if SUSPECT.search(out):
+    if words and SUSPECT.search(out):
         out, n, more = _reread_words(out, model)
         fixed += n
         paths += sorted(more)

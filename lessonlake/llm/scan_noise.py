@@ -447,19 +447,22 @@ class Page:
     def _words(self) -> None:
         v, skip = self.v, set()
         inside = self.gaps
-        for k, i in enumerate(self.own if self.cuts else ()):
+        own, said = self.own, self.said
+        for k in [k for k, i in enumerate(own[:-1]) if said[i][-1][-1] in "-¬"] if self.cuts else ():
+            i = own[k]
+            line = self.low[i]
+            m = CUT_END.search(line)
+            j = self.own[k + 1]
+            n = STARTS.match(self.low[j])
+            if m and n and not m.group(1).isdigit():
+                first = self.lines[j].strip()[:1]
+                if (first.islower() or first in "@|0156" or self.lines[i].isupper()) and self._is_cut(m.group(1), n.group(1), m.group(2)):
+                    self.joins[i] = j
+                skip.add((i, m.start(1)))
+                skip.add((j, n.start(1)))
+                self._joined(i, m, j, n)
+        for i in own if inside else ():
             line = self.low[i]
-            if self.said[i][-1][-1] in "-¬" and k + 1 < len(self.own):
-                m = CUT_END.search(line)
-                j = self.own[k + 1]
-                n = STARTS.match(self.low[j])
-                if m and n and not m.group(1).isdigit():
-                    first = self.lines[j].strip()[:1]
-                    if (first.islower() or first in "@|0156" or self.lines[i].isupper()) and self._is_cut(m.group(1), n.group(1), m.group(2)):
-                        self.joins[i] = j
-                    skip.add((i, m.start(1)))
-                    skip.add((j, n.start(1)))
-                    self._joined(i, m, j, n)
             if inside and ("- " in line or "¬ " in line):
                 for m in CUT_INSIDE.finditer(line):
                     if self._is_cut(m.group(1), m.group(3), m.group(2)):
@@ -472,9 +475,8 @@ class Page:
                             self.fixes.setdefault(i, []).append((m.start(1), m.end(3), w))
         strange = self.tokens.__getitem__
         odd_tokens = frozenset(filter(strange, set().union(*map(self.said.__getitem__, self.own))))
-        for i in self.own if odd_tokens else ():
-            if odd_tokens.isdisjoint(self.said[i]):
-                continue
+        apart = odd_tokens.isdisjoint
+        for i in [i for i in own if not apart(said[i])] if odd_tokens else ():
             low = self.low[i]
             tokens = list(WORD.finditer(low))
             hits = []
