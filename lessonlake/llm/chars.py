@@ -155,12 +155,12 @@ def repair_encoding(text: str | None, model: "LookalikeModel | None" = None, wor
     """
     if not text or not (UNUSUAL.search(text) or "&" in text or words and SIGN_IN_WORD.search(text)):
         return text, 0, 0, ()
-    known = {}
+    known, odd = {}, False
     for run in set(RUNS.findall(text)):
-        if len(run) > 1:
-            path = _run(run)[1]
-            if path and (run[0] == "&" or UNUSUAL.search(run)):
-                known[path] = True
+        _, path, cost = _run(run)
+        odd = odd or bool(path) or cost >= LOST_COST
+        if path and len(run) > 1 and (run[0] == "&" or UNUSUAL.search(run)):
+            known[path] = True
     fixed = lost = 0
 
     def put(m: re.Match) -> str:
@@ -178,7 +178,7 @@ def repair_encoding(text: str | None, model: "LookalikeModel | None" = None, wor
             lost += 1
         return run
 
-    out = RUNS.sub(put, text)
+    out = RUNS.sub(put, text) if odd or known else text
     paths = [" ".join(p) for p in known]
     if words and SUSPECT.search(out):
         out, n, more = _reread_words(out, model)
@@ -231,6 +231,8 @@ def _reread_words(text: str, model: "LookalikeModel | None") -> tuple[str, int,
     return "".join(out), n, paths
 
 
+# What may be a character of several bytes that was read byte by byte.
+SEQUENCE = re.compile("[^\x00-\x7f]{2}")
 _REREAD: dict[str, tuple[str, str] | None] = {}
 
 
@@ -267,7 +269,8 @@ def reread(word: str, model: "LookalikeModel | None" = None, gain: float = 8.0,
                     continue
                 seen.add(h)
                 cost, via = cost_of(other), (*path, name)
-                heapq.heappush(queue, (cost, other, via, still))
+                if still or SEQUENCE.search(other):  # else no step is left
+                    heapq.heappush(queue, (cost, other, via, still))
                 plain = other.isalpha() and all(c.isascii() or c in SPANISH for c in other) and (other[1:].islower() or other.isupper())
                 if plain and cost <= base and cost < best_cost and (model is None or cost <= 4.5 * (len(other) + 1)):
                     best, best_cost = (other, " ".join(via)), cost
@@ -298,6 +301,7 @@ HYPHENS = re.compile("[‐‑‒−﹣－]")
 KEPT = set("ªº²³¹½¼¾…´¨¯¸µ™ⁿ⅓⅔⅛") | {chr(c) for c in range(0x2070, 0x209D)} | {chr(c) for c in range(0x2150, 0x2190)} | {"″", "‴", "№"}
 COMPAT = re.compile("[ſĲĳĿŀŉǄ-ǌʰ-ʸ․-…₨℀-⅏Ⅰ-ⅿ①-⓿㈀-㏿ﬀ-ﬆ︰-﹯！-～￠-￮\U0001d400-\U0001d7ff]")
 OTHER_SCRIPT = re.compile("[ıɑɡͰ-ϿЀ-ԯԱ-֏ἀ-῿]")
+MARK = re.compile("[\u0300-\u036f]")
 LATIN_MARK = re.compile("[A-Za-zÀ-ɏ][̀-ͯ]+")
 
 
@@ -373,8 +377,9 @@ class LookalikeModel:
         n += k
         text, k = COMPAT.subn(lambda m: m.group() if m.group() in KEPT else unicodedata.normalize("NFKC", m.group()), text)
         n += k - sum(map(text.count, "…™№")) if k else 0
-        text, k = LATIN_MARK.subn(lambda m: unicodedata.normalize("NFC", m.group()), text)
-        n += k
+        if MARK.search(text):
+            text, k = LATIN_MARK.subn(lambda m: unicodedata.normalize("NFC", m.group()), text)
+            n += k
         if OTHER_SCRIPT.search(text):
             out, end, changed = [], 0, 0
             for m in OTHER_SCRIPT.finditer(text):
