@@ -41,7 +41,8 @@ def rstrip(c: Column) -> Column:
 
 
 def strip_accents(c: Column) -> Column:
-    return F.regexp_replace(F.translate(c, ACCENTED, BASES), "\\p{Mn}", "")
+    bare = F.regexp_replace(F.translate(c, ACCENTED, BASES), "\\p{Mn}", "")
+    return F.when(c.rlike("[^\\x00-\\x7f]"), bare).otherwise(c)  # plain text has none, and most lines are plain
 
 
 def fold(c: Column) -> Column:
@@ -51,7 +52,9 @@ def fold(c: Column) -> Column:
 
 def fold_label(c: Column) -> Column:
     """fold, with white space collapsed and trailing colons off."""
-    return F.rtrim(strip(F.regexp_replace(F.lower(strip_accents(c)), f"[{SPACE}]+", " ")), F.lit(":"))
+    x = F.lower(strip_accents(c))
+    spaced = F.when(x.rlike(f"[{SPACE}]{{2}}|[{SPACE[:5]}{SPACE[5:].replace(' ', '')}]"), F.regexp_replace(x, f"[{SPACE}]+", " ")).otherwise(x)
+    return F.rtrim(strip(spaced), F.lit(":"))
 
 
 def fold_slug(c: Column) -> Column:

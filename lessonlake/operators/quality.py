@@ -113,7 +113,7 @@ def best_source(embedded: DataFrame, ocr: DataFrame, limits: Thresholds = Thresh
 def edge_keys(pages: DataFrame, n: int = 3) -> DataFrame:
     """(publication_id, page_number, page_id, key): the comparable first and last lines of each page."""
     keys = F.filter(F.transform(T.edge_lines(F.col("text"), n), T.edge_key), lambda x: x.isNotNull())
-    return pages.where("text is not null").select("publication_id", "page_number", "page_id", F.explode(F.array_distinct(keys)).alias("key"))
+    return pages.where("text is not null").select("publication_id", "page_number", "page_id", F.explode_outer(F.array_distinct(keys)).alias("key")).where("key is not null")
 
 
 def repeated(keys: DataFrame, least: int = 3) -> DataFrame:

@@ -52,7 +52,8 @@ def lines_of_pages(pages: DataFrame) -> DataFrame:
     before = Window.partitionBy("publication_id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = buckets.select(F.col("publication_id").alias("p"), F.col("bucket").alias("b"), F.coalesce(F.sum("total").over(before), F.lit(0)).alias("outside"), F.last("page", True).over(before).alias("page_outside"))
     starts = pages_.join(buckets, F.col("publication_id").eqNullSafe(F.col("p")) & (F.col("bucket") == F.col("b"))).select("page_id", (F.col("inside") + F.col("outside")).alias("before"), F.coalesce("page_inside", "page_outside").alias("carried"))
-    rows = x.join(starts, "page_id").select("publication_id", "page_number", "before", "carried", "marks", F.posexplode("page_lines").alias("pos", "line"))
+    # texts are never the side that is broadcast or sorted; the outer explode spares a filter that would split each text once more
+    rows = x.join(starts.hint("shuffle_hash"), "page_id").select("publication_id", "page_number", "before", "carried", "marks", F.posexplode_outer("page_lines").alias("pos", "line"))
 
     def page_at(pos: Column) -> Column:
         return F.coalesce(F.try_element_at(F.filter("marks", lambda m: m["i"] <= pos), F.lit(-1))["page"], "carried")
@@ -62,7 +63,8 @@ def lines_of_pages(pages: DataFrame) -> DataFrame:
 
 def lines_of_texts(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     """The lines of whole texts, keyed as publications."""
-    return texts.select(F.col(key).alias("publication_id"), F.posexplode(T.lines(F.col(text))).alias("pos", "line")).select("publication_id", (F.col("pos") + 1).alias("line_number"), "line")
+    each = texts.select(F.col(key).alias("publication_id"), F.posexplode_outer(T.lines(F.col(text))).alias("pos", "line"))
+    return each.where("pos is not null").select("publication_id", (F.col("pos") + 1).alias("line_number"), "line")
 
 
 def bucket(column: str = "line_number") -> Column:
@@ -196,7 +198,7 @@ def reflow(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     Page markers are structural, so the paragraphs of a publication are those of its pages and a page is the unit.
     Blank paragraphs count but are left out.
     """
-    x = texts.select(key, F.posexplode(T.reflow_lines(T.lines(F.col(text)))).alias("pos", "p"))
+    x = texts.select(key, F.posexplode_outer(T.reflow_lines(T.lines(F.col(text)))).alias("pos", "p"))
     return x.select(key, (F.col("pos") + 1).cast("bigint").alias("paragraph"), F.col("p.first_line").alias("first_line"), F.col("p.text").alias("text")).where("text <> ''")
 
 

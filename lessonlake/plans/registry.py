@@ -25,7 +25,10 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def pages(spark, d) -> DataFrame:
-    return table(spark, d, "page_quality").select("page_id", "publication_id", "page_number", "source", "text", "ocr_confidence")
+    """The pages; where a file has fewer parts than there are cores, they are spread, since each text costs work."""
+    x = table(spark, d, "page_quality").select("page_id", "publication_id", "page_number", "source", "text", "ocr_confidence")
+    cores = spark.sparkContext.defaultParallelism
+    return x.repartition(cores) if x.rdd.getNumPartitions() < cores else x
 
 
 def gated(spark, d) -> DataFrame:
