@@ -98,3 +98,12 @@ def shares(mixture: DataFrame, sizes: DataFrame, weights: DataFrame) -> DataFram
     out = weights.join(used, "source", "left").join(have, "source", "left").fillna(0, ["used_tokens", "used_texts", "most_uses", "available_tokens"])
     total = mixture.agg(F.sum("n_tokens")).first()[0] or 0
     return out.select("source", "target_weight", (F.col("used_tokens") / max(1, total)).alias("reached_share"), "used_tokens", "available_tokens", "used_texts", "most_uses", "max_repeats")
+
+
+def checks(mixture: DataFrame, sizes: DataFrame, weights: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(source, max_repeats, n_available, n_too_often, n_outside) per listed source: texts with tokens, texts used more often
+    than allowed, uses placed outside the training time; the last two must be 0."""
+    have = sizes.where("n_tokens > 0").groupBy("source").agg(F.count("*").alias("n_available"))
+    times = mixture.groupBy("source", key).agg(F.count("*").alias("uses"), F.count_if((F.col("position") < 0) | (F.col("position") >= 1)).alias("outside"))
+    used = times.join(weights.select("source", "max_repeats"), "source").groupBy("source").agg(F.count_if(F.col("uses") > F.col("max_repeats")).alias("n_too_often"), F.sum("outside").alias("n_outside"))
+    return weights.join(have, "source", "left").join(used, "source", "left").fillna(0, ["n_available", "n_too_often", "n_outside"]).select("source", "max_repeats", "n_available", "n_too_often", "n_outside")

@@ -109,3 +109,15 @@ def fill(packed: DataFrame, capacities: DataFrame) -> DataFrame:
     return per.join(capacities, "capacity_id").select(
         "capacity_id", "capacity_tokens", "n_containers", "n_tokens", F.ceil(F.col("n_tokens") / F.col("capacity_tokens")).alias("least_containers"), (F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens"))).alias("fill_ratio")
     )
+
+
+def checks(packed: DataFrame, sizes: DataFrame, capacities: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(capacity_id, capacity_tokens, n_items, n_over, n_cut, n_incomplete) per capacity: items packed, containers over their
+    capacity, items cut though they fit, items whose pieces are not the whole; all but the first must be 0."""
+    bins = packed.groupBy("capacity_id", "container_id").agg(F.sum("n_tokens").alias("n")).join(capacities, "capacity_id")
+    over = bins.groupBy("capacity_id").agg(F.count_if(F.col("n") > F.col("capacity_tokens")).alias("n_over"))
+    each = packed.groupBy("capacity_id", key).agg(F.count("*").alias("pieces"), F.sum("n_tokens").alias("got")).join(sizes.select(key, F.col("n_tokens").alias("size")), key).join(capacities, "capacity_id")
+    items = each.groupBy("capacity_id").agg(
+        F.count("*").alias("n_items"), F.count_if((F.col("pieces") > 1) & (F.col("size") <= F.col("capacity_tokens"))).alias("n_cut"), F.count_if(F.col("got") != F.col("size")).alias("n_incomplete")
+    )
+    return capacities.join(items, "capacity_id").join(over, "capacity_id").select("capacity_id", "capacity_tokens", "n_items", "n_over", "n_cut", "n_incomplete")

@@ -94,24 +94,43 @@ def p6_normalized(spark: SparkSession, d: str) -> DataFrame:
     return _p6(spark, d, True)
 
 
-def p7_packed(spark: SparkSession, d: str) -> DataFrame:
+def _packed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     capacities = [(r["capacity_id"], r["capacity_tokens"]) for r in table(spark, d, "pack_capacity").collect()]
-    return packing.pack(cut(token_counts(table(spark, d, "documents"))), capacities)
+    sizes = cut(token_counts(table(spark, d, "documents")))
+    return packing.pack(sizes, capacities), sizes
+
+
+def p7_packed(spark: SparkSession, d: str) -> DataFrame:
+    return _packed(spark, d)[0]
 
 
 def p7_fill(spark: SparkSession, d: str) -> DataFrame:
-    return packing.fill(p7_packed(spark, d), table(spark, d, "pack_capacity"))
+    return packing.fill(_packed(spark, d)[0], table(spark, d, "pack_capacity"))
 
 
-def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
-    sizes = cut(token_counts(table(spark, d, "documents"), keep=("source",)))
-    return mixing.mix(sizes, table(spark, d, "source_weights"))
+def p7_checks(spark: SparkSession, d: str) -> DataFrame:
+    packed, sizes = _packed(spark, d)
+    return packing.checks(cut(packed), sizes, table(spark, d, "pack_capacity"))
 
 
-def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     sizes = cut(token_counts(table(spark, d, "documents"), keep=("source",)))
     weights = table(spark, d, "source_weights")
-    return mixing.shares(cut(mixing.mix(sizes, weights)), sizes, weights)
+    return mixing.mix(sizes, weights), sizes, weights
+
+
+def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d)[0]
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    mixture, sizes, weights = _mixed(spark, d)
+    return mixing.shares(cut(mixture), sizes, weights)
+
+
+def p8_checks(spark: SparkSession, d: str) -> DataFrame:
+    mixture, sizes, weights = _mixed(spark, d)
+    return mixing.checks(cut(mixture), sizes, weights)
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
@@ -130,4 +149,4 @@ def p9_coverage(spark: SparkSession, d: str) -> DataFrame:
     return shared_spans.coverage(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_resolved, p1_unmatched, p2_found, p2_clean_pages, p3_found, p3_repaired_pages, p4_found, p4_page_kinds, p4_figures, p5_found, p5_restored, p6_found, p6_normalized, p7_packed, p7_fill, p8_mixture, p8_shares, p9_found, p9_class_pairs, p9_spans, p9_coverage)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_resolved, p1_unmatched, p2_found, p2_clean_pages, p3_found, p3_repaired_pages, p4_found, p4_page_kinds, p4_figures, p5_found, p5_restored, p6_found, p6_normalized, p7_packed, p7_fill, p7_checks, p8_mixture, p8_shares, p8_checks, p9_found, p9_class_pairs, p9_spans, p9_coverage)}

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from lessonlake.llm import chars
 from lessonlake.llm.chars import LookalikeModel, repair_encoding, word_bigrams
 
 TEXT = "Según el relato, la niñez lee «así»; ¿qué enseña el camino? — ½ hora, 2.º día…"
@@ -73,3 +74,33 @@ def test_nulls_and_long_texts(model):
     long = " ".join(rng.choice(["рero", "gracia", "λόγος", "ｍｉｓｍａ"]) for _ in range(50_000))
     out, n = model.normalize(long)
     assert n > 0 and "р" not in out and "ｍ" not in out and len(out.split()) == 50_000
+
+
+def spanish_model():
+    words = "la canción nueva también enseñanza enseña señor oración corazón lección atención nación región misión visión camión según niño mañana pequeño común jardín razón comprensión sección función condición tradición"
+    pairs = {}
+    for w in words.split():
+        chars.word_bigrams(w, 500, pairs)
+    return chars.LookalikeModel(pairs)
+
+
+@pytest.mark.parametrize("read", ["mac_roman", "cp437", "cp850", "cp1251"])
+@pytest.mark.parametrize("word", ["canción", "también"])
+def test_words_read_in_another_single_byte_encoding(read, word):
+    wrong = f"la {word.encode('latin-1').decode(read)} nueva"
+    out, fixed, lost, ops = chars.repair_encoding(wrong, spanish_model())
+    assert out == f"la {word} nueva" and (fixed, lost) == (1, 0) and any(o.startswith(f"{read}>") for o in ops)
+
+
+@pytest.mark.parametrize("text", ["façade and São Paulo", "muу bien", "sí—no", "3½ libros", "n.º 7", "Ação de graças", "θεός y Бог"])
+def test_words_of_their_own_are_not_reread(text):
+    assert chars.repair_encoding(text, spanish_model())[:3] == (text, 0, 0)
+    assert chars.repair_encoding(text)[:3] == (text, 0, 0)
+
+
+def test_lost_bytes_are_states_that_reach_no_text():
+    assert chars.search_run("Ã³")[:2] == ("ó", ("cp1252>utf-8",)) and chars.search_run("�")[2] >= chars.LOST_COST
+    assert chars.repair_encoding("canci�n")[1:3] == (0, 1) and chars.repair_encoding("canciÃ?n")[1:3] == (0, 1)
+    assert chars.repair_encoding("¿QUÃ? DICE")[1:3] == (0, 0)  # a name with a question mark, as far as one can tell
+    assert chars.repair_encoding("oraciÃ³n de QUÃ? DICE")[1:3] == (1, 1)  # beside a restored run it is a lost byte
+    assert chars.repair_encoding("Ã‚Â¡" * 3 + "ya")[0].endswith("ya")
