@@ -111,7 +111,7 @@ def excess_keys(pages: DataFrame, bigrams: dict[str, int], source: str = "public
         counts = count_rows(line_rows(pages, model, source, number, text))
     sizes = cut(pages.where(F.col(source).isNotNull()).groupBy(source).agg(F.count_distinct(F.coalesce(F.col(number).cast("bigint"), F.lit(-1))).alias("n1"), F.count("*").alias("rows")).withColumn("s", F.xxhash64(source)))
     again = counts.where("c > 1")
-    total = counts.join(again.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.sum("c").alias("k"))
+    total = counts.groupBy("h").agg(F.sum("c").alias("k"), F.max("c").alias("most")).where("most > 1").drop("most")
     rows_all = sizes.agg(F.sum("rows")).first()[0] or 0
     c = F.col("c")
     tested = cut(again.join(sizes, "s").join(total, "h").withColumn("g2", _g2(c, F.col("rows"), F.col("k") - c, F.lit(rows_all) - F.col("rows"))))
