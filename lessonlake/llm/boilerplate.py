@@ -274,7 +274,7 @@ def with_keys(pages: DataFrame, keys: DataFrame, source: str = "publication_id",
     at = page_bucket(number, bucket).alias("bucket")
     by = keys.groupBy(source).agg(F.sort_array(F.collect_list("key")).alias("keys"))
     places = pages.where(F.col(source).isNotNull()).select(source, at).distinct().join(by, source)
-    return pages.withColumn("bucket", at).join(places, [source, "bucket"], "left").drop("bucket")
+    return pages.withColumn("bucket", at).join(places.hint("shuffle_hash"), [source, "bucket"], "left").drop("bucket")  # texts are not sorted
 
 
 def copies(pages: DataFrame, keys: DataFrame, bigrams: dict[str, int], key: str = "page_id", source: str = "publication_id", number: str = "page_number", text: str = "text") -> DataFrame:

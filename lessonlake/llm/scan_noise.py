@@ -600,7 +600,7 @@ def with_context(pages: DataFrame, keys: DataFrame, titles: DataFrame | None, bu
     """Pages with their source's repeated-line keys and the titles of the lessons around the page.
 
     The join is on (publication, page_number / bucket), so a hot publication is spread over its buckets and
-    each joined list is short. titles: publication_id, title, first, last (page numbers).
+    each joined list is short. Texts are not sorted for it: the short side, a row per bucket, is hashed. titles: publication_id, title, first, last (page numbers).
     """
     at = page_bucket("page_number", bucket).alias("bucket")
     places = pages.where("publication_id is not null").select("publication_id", at).distinct()
@@ -622,7 +622,7 @@ def with_context(pages: DataFrame, keys: DataFrame, titles: DataFrame | None, bu
         side = side.join(spread, ["publication_id", "bucket"], "left")
     else:
         side = side.withColumn("titles", F.lit(None).cast("array<string>"))
-    return pages.select("page_id", "publication_id", "page_number", "text", at).join(side, ["publication_id", "bucket"], "left").select("page_id", "page_number", "text", "keys", "titles")
+    return pages.select("page_id", "publication_id", "page_number", "text", at).join(side.hint("shuffle_hash"), ["publication_id", "bucket"], "left").select("page_id", "page_number", "text", "keys", "titles")
 
 
 #: What a worker process keeps of the last vocabularies it worked with, by their tokens.
