@@ -142,13 +142,17 @@ def contents_candidates(lines: DataFrame) -> DataFrame:
 
 
 ENTRY_END = "^(.*?)(\\d{1,4})\\s*$"
+#: What `.` does not match, so that a text that holds it has no ENTRY_END, and what is left of a title by clean_title.
+BREAK, NAMED = "[\n\r\x85\u2028\u2029]", f"[^{T.SPACE}.]"
 
 
 def contents_rows(lines: DataFrame, candidates: DataFrame) -> DataFrame:
     """Lessons parsed from every candidate page.
 
     An entry starts at `n. rest` and ends at the first line on which the text so far ends in a page number;
-    it takes the last date line since the entry before. Lines after its end are ignored until the next start.
+    it takes the last date line since the entry before. Lines after its end are ignored until the next start, and
+    there may be any number of them (numbers above 999 start no entry), so where an entry ends is told from each line
+    alone and from two flags of the lines before, and only texts of entries that end are put together, once.
     """
     s = T.strip(F.col("line"))
     rows = (
@@ -163,33 +167,41 @@ def contents_rows(lines: DataFrame, candidates: DataFrame) -> DataFrame:
     rows = rows.withColumn("is_date", is_date).withColumn("is_start", ~F.col("is_date") & F.col("s").rlike(ENTRY))
     rows = rows.withColumn("entry", F.sum(F.col("is_start").cast("int")).over(page))
     body = F.when(F.col("is_start"), F.regexp_extract("s", ENTRY, 2)).when(~F.col("is_date"), F.col("s"))
-    within = Window.partitionBy("publication_id", "active_page", "entry").orderBy("line_number").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("said", F.array_join(F.collect_list(body).over(within), " "))
-    title = T.clean_title(F.regexp_extract("said", ENTRY_END, 1))
-    rows = rows.withColumn("title", title).withColumn("done", (F.col("entry") > 0) & ~F.col("is_date") & F.col("said").rlike(ENTRY_END) & (F.col("title") != ""))
+    rows = rows.withColumn("body", body)
+    within = Window.partitionBy("publication_id", "active_page", "entry").orderBy("line_number")
+    broken = F.max(F.col("body").rlike(BREAK)).over(within.rowsBetween(Window.unboundedPreceding, 0))
+    named = F.max(F.col("body").rlike(NAMED)).over(within.rowsBetween(Window.unboundedPreceding, -1))
+    ends = F.col("body").rlike(ENTRY_END) & (F.coalesce(named, F.lit(False)) | F.regexp_extract("body", ENTRY_END, 1).rlike(NAMED))
+    rows = rows.withColumn("done", (F.col("entry") > 0) & ~F.col("is_date") & ~broken & ends)
     first = F.min(F.when(F.col("done"), F.col("line_number"))).over(Window.partitionBy("publication_id", "active_page", "entry"))
-    number = F.first(F.when(F.col("is_start"), F.regexp_extract("s", ENTRY, 1)), True).over(within)
-    rows = rows.withColumn("first", first).withColumn("number", number).withColumn("completes", F.col("done") & (F.col("line_number") == F.col("first")))
+    rows = rows.withColumn("first", first).withColumn("completes", F.col("done") & (F.col("line_number") == F.col("first")))
     earlier = Window.partitionBy("publication_id", "active_page").orderBy("line_number").rowsBetween(Window.unboundedPreceding, -1)
     last_date = F.last(F.when(F.col("is_date"), F.struct("line_number", "s")), True).over(page)
     last_done = F.last(F.when(F.col("completes"), F.col("line_number")), True).over(earlier)
-    out = rows.withColumn("d", last_date).withColumn("p", last_done).where("completes")
+    rows = rows.withColumn("d", last_date).withColumn("p", last_done).where("line_number <= first")
+    said = F.array_sort(F.collect_list(F.when(F.col("body").isNotNull(), F.struct("line_number", "body"))))
+    out = rows.groupBy("publication_id", "active_page", "rank", "entry").agg(
+        F.max("line_number").alias("line_number"),
+        F.max(F.when(F.col("is_start"), F.regexp_extract("s", ENTRY, 1))).alias("number"),
+        F.array_join(F.transform(said, lambda x: x["body"]), " ").alias("said"),
+        F.max_by(F.struct("d", "p"), "line_number").alias("at"),
+    )
     return out.select(
         "publication_id",
         F.col("active_page").alias("contents_page"),
         "rank",
         "line_number",
         F.col("number").try_cast("int").alias("lesson_number"),
-        "title",
+        T.clean_title(F.regexp_extract("said", ENTRY_END, 1)).alias("title"),
         F.regexp_extract("said", ENTRY_END, 2).try_cast("int").alias("page_start"),
-        F.when(F.col("p").isNull() | (F.col("d.line_number") > F.col("p")), F.col("d.s")).alias("lesson_date"),
+        F.when(F.col("at.p").isNull() | (F.col("at.d.line_number") > F.col("at.p")), F.col("at.d.s")).alias("lesson_date"),
     )
 
 
 def contents_index(rows: DataFrame) -> DataFrame:
     """The rows of each publication's first candidate page that has any."""
-    best = rows.groupBy("publication_id").agg(F.min("rank").alias("rank"))
-    return rows.join(best, ["publication_id", "rank"]).select("publication_id", "contents_page", "line_number", "lesson_number", "title", "page_start", "lesson_date")
+    best = F.min("rank").over(Window.partitionBy("publication_id"))
+    return rows.withColumn("best", best).where("rank = best").select("publication_id", "contents_page", "line_number", "lesson_number", "title", "page_start", "lesson_date")
 
 
 def reflow(texts: DataFrame, key: str, text: str = "text") -> DataFrame:

@@ -240,7 +240,7 @@ def source_lines(spark, d) -> DataFrame:
 
 
 def _composed_structure(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
-    lines = materialize(source_lines(spark, d))  # the rest reads it several times
+    lines = materialize(structure.with_active_page(materialize(source_lines(spark, d))))  # the rest reads it several times
     return lines, materialize(structure.markers(lines)), materialize(structure.contents_index(structure.contents_rows(lines, structure.contents_candidates(lines))))
 
 

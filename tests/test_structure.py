@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import threading
 
 from pyspark.sql import functions as F
 
@@ -66,6 +67,31 @@ def test_contents_equal_the_sequential_parse(spark):
         assert contents(spark, rows) == sequential(rows), rows
 
 
+def test_contents_of_odd_lines_equal_the_sequential_parse(spark):
+    """Dots, numbers or line ends alone or inside, and entries that never end; all at once, one publication each."""
+    rng = random.Random(6)
+    pool = ["03/mar/24", "10/abr/24", "1. Uno", "2. 7", "3. .. 9", "4. ...", "5.Cinco 12345", "1000. Mil 8", "....", ". 6", "5", "12345", "sigue", "a\nb 3", "a\nb", "y 7", "6. x\u00a0.\u00a04", "\u00a0"]
+    texts = {f"m-{i}": [rng.choice(pool) for _ in range(rng.randint(1, 14))] for i in range(400)}
+    rows = [(p, i, x) for p, said in texts.items() for i, x in enumerate(["===== PDF_PAGE 2 =====", "CONTENIDO", *said], 1)]
+    lines = spark.createDataFrame(rows, "publication_id string, line_number int, line string")
+    got = {p: [] for p in texts}
+    for r in structure.contents_index(structure.contents_rows(lines, structure.contents_candidates(lines))).orderBy("line_number").collect():
+        got[r["publication_id"]].append((r["lesson_number"], r["title"], r["page_start"], r["lesson_date"]))
+    for p, said in texts.items():
+        assert got[p] == sequential([x.strip() for x in said if x.strip()]), said
+
+
+def test_contents_with_many_lines_behind_the_last_entry(spark):
+    """Numbers above 999 start no entry, so all lines from there on lie behind the last one: the work must not be their square."""
+    rows = [x for n in range(990, 7000) for x in ("03/mar/24", f"{n}. El llamado a una vida de servicio", "..... 7")]
+    stop = threading.Timer(60, spark.sparkContext.cancelAllJobs)
+    stop.start()
+    try:
+        assert contents(spark, rows) == sequential(rows) == [(n, "El llamado a una vida de servicio", 7, "03/mar/24") for n in range(990, 1000)]
+    finally:
+        stop.cancel()
+
+
 def test_markers_only_where_the_page_changes(spark):
     lines = as_lines(spark, ["===== PDF_PAGE 1 =====", "Lección 3 hoy", "===== PDF_PAGE 1 =====", "Título:", "texto", "===== PDF_PAGE 2 ====="])
     got = [(r["line_number"], r["marker_type"]) for r in structure.markers(lines).orderBy("line_number").collect()]
