@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lessonlake.functions import text as T
 from lessonlake.operators import sections, segments, structure
+from lessonlake.plans.registry import QUERIES
 
 
 def as_lines(spark, rows, publication="m-maestro"):
@@ -130,6 +131,25 @@ def test_segments_from_contents_and_headers(spark):
     assert [(r["lesson_number"], r["start_line"], r["end_line"]) for r in f] == [(7, 1, None)]
 
 
+def test_composed_segments_of_a_publication_with_thousands_of_lessons(spark, tmp_path):
+    """The contents hold lessons 1 to 999, the rest is behind them; segments must come in time all the same."""
+    n, title = 6000, "El llamado a una vida de servicio"
+    rows = spark.range(1, n + 1).select(F.lit("m-maestro").alias("publication_id"), F.col("id").cast("int").alias("lesson_number"), "id")
+    rows.select("publication_id", "lesson_number", F.col("id").alias("segment_id"), F.lit(title).alias("expected_title"), (F.col("lesson_number") * 4).alias("page_start"), F.lit("03/mar/24").alias("lesson_date")).write.parquet(f"{tmp_path}/lesson_segments.parquet")
+    rows.select("publication_id", "lesson_number", F.col("id").alias("reading_id"), F.lit("Juan 3:16").alias("reference_display")).write.parquet(f"{tmp_path}/biblical_readings.parquet")
+    head, body = 2 + 3 * n, 19  # lines of the contents page, and of each lesson's page
+    # no entry follows the last one, so it goes on to the end of the text
+    want = [(k, head + body * (k - 1) + 1, head + body * k, 4 * k, 4 * k + 3) for k in range(1, 999)] + [(999, head + body * 998 + 1, head + body * n, 3996, 4 * n)]
+    stop = threading.Timer(90, spark.sparkContext.cancelAllJobs)
+    stop.start()
+    try:
+        got = QUERIES["composed_lesson_segments"](spark, str(tmp_path)).orderBy("lesson_number").collect()
+    finally:
+        stop.cancel()
+    assert [tuple(r[c] for c in ("lesson_number", "start_line", "end_line", "page_start", "page_end")) for r in got] == want
+    assert {(r["marker"], r["expected_title"], r["lesson_date"]) for r in got} == {("Contenido", title, "03/mar/24")}
+
+
 LESSON = [
     "LECCIÓN 1", "La fe", "Lectura Bíblica: Isaías 53:4-6; Mateo 8:17", "Bosquejo de la lección", "I. La promesa", "A. Su alcance",
     "Notas para el maestro: ¿De qué aprovechará si alguno dice que", "tiene fe, pero no tiene obras?", "12", "Maestro", "Vocabulario", "Resumen y aplicación práctica: viva lo aprendido", "Lecturas diarias",
