@@ -149,14 +149,14 @@ def contains_any(folded: Column, labels: tuple[str, ...] | list[str]) -> Column:
 
 
 def may_start_with(c: Column, labels: tuple[str, ...]) -> Column:
-    """Can the folded text start with a label? A look at its first letter, which spares most lines the folding."""
-    first = "".join(sorted({x[0] for x in labels}))
-    return c.rlike(f"^[{SPACE}\\p{{Mn}}]*+(?:[{first}{first.upper()}]|[^\\x00-\\x7f])")
+    """Can the folded text start with a label? A look at its first two letters, which spares most lines the folding."""
+    first, two = "".join(sorted({x[0] for x in labels})), "|".join(sorted({re.escape(x[:2]) for x in labels}))
+    return c.rlike(f"^[{SPACE}\\p{{Mn}}]*+(?:[{first}{first.upper()}]?[^\\x00-\\x7f]|(?i:{two}))")
 
 
 def starts_folded(c: Column, labels: tuple[str, ...]) -> Column:
-    """Does the folded text start with one of the labels?"""
-    return F.when(may_start_with(c, labels), starts_with_any(fold(c), labels)).otherwise(False)
+    """Does the folded text start with one of the labels? In one pattern, since every mention of the folded text folds it again."""
+    return F.when(may_start_with(c, labels), fold(c).rlike("^(?:" + "|".join(map(re.escape, labels)) + ")")).otherwise(False)
 
 
 def is_word(c: Column, words: tuple[str, ...]) -> Column:
@@ -182,7 +182,7 @@ def is_structural(line: Column) -> Column:
 
 
 def is_contents_label(line: Column) -> Column:
-    return is_word(line, CONTENTS_LABELS)
+    return F.when(may_start_with(line, CONTENTS_LABELS), is_word(line, CONTENTS_LABELS)).otherwise(False)
 
 
 def join_hyphens(c: Column) -> Column:

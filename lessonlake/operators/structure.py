@@ -24,14 +24,44 @@ def latest_pages(pages: DataFrame) -> DataFrame:
 
 
 def page_of(line: Column) -> Column:
-    """The number on a page marker line, else null."""
-    return F.nullif(F.regexp_extract(T.strip(line), T.PAGE_MARKER, 1), F.lit("")).try_cast("int")
+    """The number on a page marker line, else null. A look at its first character spares most lines the rest."""
+    may_be = F.when(line.rlike(f"^[{T.SPACE}]*+="), line)
+    return F.nullif(F.regexp_extract(T.strip(may_be), T.PAGE_MARKER, 1), F.lit("")).try_cast("int")
 
 
 def marker_page() -> Column:
     return page_of(F.col("line"))
 
 
+def page_marks(lines: Column) -> Column:
+    """(i, page) of the page markers in an array of lines."""
+    return marks_of_pages(F.transform(lines, page_of))
+
+
+def marks_of_pages(pages: Column) -> Column:
+    """The same from what page_of gives for each line."""
+    return F.filter(F.transform(pages, lambda v, i: F.struct(i.alias("i"), v.alias("page"))), lambda m: m["page"].isNotNull())
+
+
+def last_page(marks: Column) -> Column:
+    return F.try_element_at(marks, F.lit(-1))["page"]
+
+
+def numbered_lines(blocks: DataFrame, *keys: str) -> DataFrame:
+    """The lines of blocks (keys, before, carried, marks, block_lines), which have some: `before` counts the lines before a block, `carried` is the page they end with.
+
+    The outer explode spares a filter that would build each array once more.
+    """
+    rows = blocks.select(*keys, "before", "carried", "marks", F.posexplode_outer("block_lines").alias("pos", "line"))
+
+    def page_at(pos: Column) -> Column:
+        # most blocks have one marker, their first line: no search there
+        found = F.when(F.size("marks") == 1, F.when(F.col("marks")[0]["i"] <= pos, F.col("marks")[0]["page"])).when(F.size("marks") > 1, last_page(F.filter("marks", lambda m: m["i"] <= pos)))
+        return F.coalesce(found, "carried")
+
+    return rows.select(*keys, (F.col("before") + F.col("pos") + 1).cast("int").alias("line_number"), "line", page_at(F.col("pos")).alias("active_page"), page_at(F.col("pos") - 1).alias("page_before"))
+
+
 def lines_of_pages(pages: DataFrame) -> DataFrame:
     """The lines of each publication as one text: per page its marker line, then the lines of its latest extraction.
 
@@ -39,12 +69,11 @@ def lines_of_pages(pages: DataFrame) -> DataFrame:
     without a number come first and have no page. Texts move once, to meet their page's line number.
     """
     header = F.coalesce(T.page_header(F.col("page_number")), F.lit("===== PDF_PAGE null ====="))
-    x = pages.select("page_id", "publication_id", "page_number", F.concat(F.array(header), F.coalesce(T.lines(F.col("text")), F.array().cast("array<string>"))).alias("page_lines"))
-    seen = F.filter(F.transform("page_lines", lambda v, i: F.struct(i.alias("i"), page_of(F.when(v.startswith("=") | v.rlike(f"^[{T.SPACE}]"), v)).alias("page"))), lambda m: m["page"].isNotNull())
-    x = x.withColumn("marks", seen)
-    last = F.try_element_at("marks", F.lit(-1))["page"]
+    x = pages.select("page_id", "publication_id", "page_number", F.concat(F.array(header), F.coalesce(T.lines(F.col("text")), F.array().cast("array<string>"))).alias("block_lines"))
+    x = x.withColumn("marks", page_marks(F.col("block_lines")))
+    last = last_page(F.col("marks"))
     at = F.coalesce("page_number", F.lit(-(2**31)))
-    sizes = x.select("page_id", "publication_id", at.alias("at"), F.size("page_lines").alias("n"), last.alias("page"))
+    sizes = x.select("page_id", "publication_id", at.alias("at"), F.size("block_lines").alias("n"), last.alias("page"))
     sizes = sizes.groupBy("publication_id", "at").agg(F.max_by(F.struct("page_id", "n", "page"), "page_id").alias("x")).select("publication_id", "at", "x.*", F.floor(F.col("at") / PAGES).alias("bucket"))
     earlier = Window.partitionBy("publication_id", "bucket").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     pages_ = sizes.withColumn("inside", F.coalesce(F.sum("n").over(earlier), F.lit(0))).withColumn("page_inside", F.last("page", True).over(earlier))
@@ -52,13 +81,8 @@ def lines_of_pages(pages: DataFrame) -> DataFrame:
     before = Window.partitionBy("publication_id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = buckets.select(F.col("publication_id").alias("p"), F.col("bucket").alias("b"), F.coalesce(F.sum("total").over(before), F.lit(0)).alias("outside"), F.last("page", True).over(before).alias("page_outside"))
     starts = pages_.join(buckets, F.col("publication_id").eqNullSafe(F.col("p")) & (F.col("bucket") == F.col("b"))).select("page_id", (F.col("inside") + F.col("outside")).alias("before"), F.coalesce("page_inside", "page_outside").alias("carried"))
-    # texts are never the side that is broadcast or sorted; the outer explode spares a filter that would split each text once more
-    rows = x.join(starts.hint("shuffle_hash"), "page_id").select("publication_id", "page_number", "before", "carried", "marks", F.posexplode_outer("page_lines").alias("pos", "line"))
-
-    def page_at(pos: Column) -> Column:
-        return F.coalesce(F.try_element_at(F.filter("marks", lambda m: m["i"] <= pos), F.lit(-1))["page"], "carried")
-
-    return rows.select("publication_id", "page_number", (F.col("before") + F.col("pos") + 1).cast("int").alias("line_number"), "line", page_at(F.col("pos")).alias("active_page"), page_at(F.col("pos") - 1).alias("page_before"))
+    # texts are never the side that is broadcast or sorted
+    return numbered_lines(x.join(starts.hint("shuffle_hash"), "page_id"), "publication_id", "page_number")
 
 
 def lines_of_texts(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -135,7 +159,7 @@ def contents_candidates(lines: DataFrame) -> DataFrame:
     """(publication_id, page, signals, rank): pages with a contents label, most table-like first."""
     s = T.strip(F.col("line"))
     paged = with_active_page(lines).where(F.col("active_page").isNotNull() & marker_page().isNull())
-    signal = F.when((s != "") & (s.rlike(T.DATE) | s.rlike(ENTRY)), 1).otherwise(0)
+    signal = F.when(F.col("line").rlike(f"^[{T.SPACE}]*+\\d") & (s.rlike(T.DATE) | s.rlike(ENTRY)), 1).otherwise(0)
     per = paged.groupBy("publication_id", F.col("active_page").alias("page")).agg(F.bool_or(T.is_contents_label(F.col("line"))).alias("labelled"), F.sum(signal).alias("signals"))
     w = Window.partitionBy("publication_id").orderBy(F.desc("signals"), "page")
     return per.where("labelled").select("publication_id", "page", "signals", F.row_number().over(w).alias("rank"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -203,12 +203,12 @@ def lessons(spark, d) -> DataFrame:
 
 
 def source_lines(spark, d) -> DataFrame:
-    """A publication's text: a contents page, then each lesson's page."""
+    """A publication's text: a contents page, then each lesson's page. Numbers and pages come from running sums of lessons, not of lines."""
     x = lessons(spark, d)
     title = F.coalesce("expected_title", F.lit("Sin título"))
     n = F.col("lesson_number").cast("string")
-    entry = F.array(F.col("lesson_date"), F.concat(n, F.lit(". "), title), F.concat(F.lit("..... "), F.coalesce(F.col("page_start").cast("string"), F.lit("7"))))
-    body = F.array(
+    entry = (F.col("lesson_date"), F.concat(n, F.lit(". "), title), F.concat(F.lit("..... "), F.coalesce(F.col("page_start").cast("string"), F.lit("7"))))
+    body = (
         F.concat(F.lit("===== PDF_PAGE "), (F.col("lesson_number") * 4).cast("string"), F.lit(" =====")),
         F.concat(F.lit("LECCIÓN "), n),
         title,
@@ -229,19 +229,38 @@ def source_lines(spark, d) -> DataFrame:
         F.lit("lo aprendido."),
         F.lit("Lecturas diarias"),
     )
-    head = x.select("publication_id").distinct().select("publication_id", F.lit(0).alias("block"), F.lit(0).alias("lesson_number"), F.posexplode(F.array(F.lit("===== PDF_PAGE 1 ====="), F.lit("CONTENIDO"))).alias("pos", "line"))
-    rows = head
-    for block, lines in ((1, entry), (2, body)):
-        rows = rows.unionByName(x.select("publication_id", F.lit(block).alias("block"), "lesson_number", F.posexplode(lines).alias("pos", "line")).where("line is not null"))
-    from pyspark.sql import Window
+    # counts and pages of each lesson's lines, from the columns they are made of: literals cost nothing here
+    n_entry, n_body = (sum((c.isNotNull().cast("int") for c in lines), F.lit(0)) for lines in (entry, body))
+    in_entry, in_body = (F.coalesce(*[structure.page_of(c) for c in reversed(lines)]) for lines in (entry, body))
+    x = x.select("*", n_entry.alias("n_entry"), n_body.alias("n_body"), in_entry.alias("in_entry"), in_body.alias("in_body"))
+    order = Window.partitionBy("publication_id").orderBy("lesson_number")
+    earlier, all_ = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    x = x.select(
+        *x.columns[:-4],
+        (F.row_number().over(order) == 1).alias("is_first"),
+        F.coalesce(F.sum("n_entry").over(earlier), F.lit(0)).alias("entries_before"),
+        F.sum("n_entry").over(all_).alias("entries"),
+        F.coalesce(F.sum("n_body").over(earlier), F.lit(0)).alias("bodies_before"),
+        F.last("in_entry", True).over(earlier).alias("entry_page"),
+        F.coalesce(F.last("in_body", True).over(earlier), F.last("in_entry", True).over(all_)).alias("body_page"),
+    )
+    first = F.col("is_first")
+    head = (F.when(first, "===== PDF_PAGE 1 ====="), F.when(first, "CONTENIDO"))
+
+    def block(before, carried, lines):
+        each = F.array(*[F.struct(c.alias("line"), structure.page_of(c).alias("page")) for c in lines])
+        return F.struct(before.alias("before"), carried.alias("carried"), F.filter(each, lambda v: v["line"].isNotNull()).alias("lines"))
 
-    order = Window.partitionBy("publication_id").orderBy("block", "lesson_number", "pos")
-    return rows.select("publication_id", F.row_number().over(order).alias("line_number"), "line")
+    at_entry = block(F.when(first, 0).otherwise(F.col("entries_before") + 2), F.when(~first, F.coalesce("entry_page", F.lit(1))), (*head, *entry))
+    at_body = block(F.col("entries") + 2 + F.col("bodies_before"), F.coalesce("body_page", F.lit(1)), body)
+    blocks = x.select("publication_id", F.array(at_entry, at_body).alias("b")).select("publication_id", F.explode_outer("b").alias("b")).select("publication_id", "b.*")
+    return structure.numbered_lines(blocks.select("publication_id", "before", "carried", F.col("lines.line").alias("block_lines"), structure.marks_of_pages(F.col("lines.page")).alias("marks")), "publication_id")
 
 
 def _composed_structure(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
-    lines = materialize(structure.with_active_page(materialize(source_lines(spark, d))))  # the rest reads it several times
-    return lines, materialize(structure.markers(lines)), materialize(structure.contents_index(structure.contents_rows(lines, structure.contents_candidates(lines))))
+    lines = materialize(source_lines(spark, d))  # the rest reads it several times
+    candidates = materialize(structure.contents_candidates(lines))  # a few pages, of known size to the join with their lines
+    return lines, materialize(structure.markers(lines)), materialize(structure.contents_index(structure.contents_rows(lines, candidates)))
 
 
 def _structure(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -1,12 +1,15 @@
 from __future__ import annotations
 
 import random
+import re
 import threading
 
 from pyspark.sql import functions as F
 
+from lessonlake.dictionaries import MARKER_LABELS
 from lessonlake.functions import text as T
 from lessonlake.operators import sections, segments, structure
+from lessonlake.plans import registry
 from lessonlake.plans.registry import QUERIES
 
 
@@ -150,6 +153,51 @@ def test_composed_segments_of_a_publication_with_thousands_of_lessons(spark, tmp
     assert {(r["marker"], r["expected_title"], r["lesson_date"]) for r in got} == {("Contenido", title, "03/mar/24")}
 
 
+def test_composed_lines_carry_the_numbers_and_pages_of_a_sequential_scan(spark, tmp_path):
+    """Titles, dates and readings may be null or page markers themselves, numbers null; no step goes over the lines again to number them."""
+    marker, big = "===== PDF_PAGE 77 =====", "===== PDF_PAGE 99999999999 ====="
+    given = [("b", 2, "Dos", 8, None, "Juan 3:16"), ("b", 1, marker, None, "03/mar/24", None), ("b", 10, f" {marker}\t", 40, marker, "Rut 1:1"), ("b", None, "Nada", 3, "10/mar/24", "Rut 2:2"), ("a", 5, None, 20, big, "Lucas 1:1"), (None, 4, "Sin casa", 1, None, "Judas 3"), ("a", 6, big, 24, marker, "Lucas 2:2")]
+    kinds = "publication_id string, lesson_number int, expected_title string, page_start int, lesson_date string, reference_display string, segment_id long, reading_id long"
+    df = spark.createDataFrame([(*g, i, i) for i, g in enumerate(given)], kinds)
+    df.drop("reference_display", "reading_id").write.parquet(f"{tmp_path}/lesson_segments.parquet")
+    df.select("publication_id", "lesson_number", "reading_id", "reference_display").write.parquet(f"{tmp_path}/biblical_readings.parquet")
+
+    def page(line):
+        m = re.fullmatch(r"===== PDF_PAGE (\d+) =====", line.strip())
+        return int(m[1]) if m and int(m[1]) < 2**31 else None
+
+    want = []
+    for pub in (None, "a", "b"):
+        own = sorted((g for g in given if g[0] == pub), key=lambda g: (g[1] is not None, g[1] or 0))
+        lines = ["===== PDF_PAGE 1 =====", "CONTENIDO"]
+        for _, n, title, start, date, _ in own:
+            lines += [date, n and f"{n}. {title or 'Sin título'}", f"..... {7 if start is None else start}"]
+        for _, n, title, _, _, read in own:
+            read, t = read if pub and n else None, title or "Sin título"  # readings meet lessons by publication and number
+            lines += [n and f"===== PDF_PAGE {4 * n} =====", n and f"LECCIÓN {n}", t, read and f"Lectura Bíblica: {read}", "Bosquejo de la lección", f"I. {t}", "A. primer punto", read and f"({read})", "sigue el punto", "12"]
+            lines += ["Notas para el maestro: lea con la clase", "el pasaje de hoy.", f"¿{t}?", "Maestro", "repase la lección anterior", "y ore.", "Resumen y aplicación práctica: viva", "lo aprendido.", "Lecturas diarias"]
+        active = None
+        for at, line in enumerate((x for x in lines if x is not None), 1):
+            before, active = active, active if page(line) is None else page(line)
+            want.append((pub, at, line, active, before))
+    got = registry.source_lines(spark, str(tmp_path))
+    columns = ["publication_id", "line_number", "line", "active_page", "page_before"]
+    rows = sorted((tuple(r[c] for c in columns) for r in got.collect()), key=lambda r: (r[0] or "", r[1]))
+    assert rows == want
+    plain = structure.with_active_page(got.where("publication_id is not null").select(*columns[:3]))
+    assert sorted(tuple(r[c] for c in columns) for r in plain.collect()) == [w for w in want if w[0]]
+
+
+def test_section_labels_are_found_behind_any_first_letters(spark):
+    texts = ["TÍTULO", "T\u0301itulo", "\u0301\u2003Lectura Bíblica: x", "lecturas", "L", "", "Ĺectura bíblica", "Bosquejo", "Bosquejo de la lección 2", "resumen y aplicacion practica", "la lectura biblica", "Título", "Contenidos"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = [r["x"] for r in df.select("i", T.starts_folded(F.col("t"), MARKER_LABELS).alias("x")).orderBy("i").collect()]
+    assert got == [r["x"] for r in df.select("i", T.starts_with_any(T.fold(F.col("t")), MARKER_LABELS).alias("x")).orderBy("i").collect()]
+    assert got == [True, True, True, False, False, False, True, False, True, True, False, True, True]
+    words = ["CONTENIDO", " Índice\t", "I\u0301ndice", "Contenido y más", "", "contenido:", "Inicio"]
+    assert [r["x"] for r in spark.createDataFrame(list(enumerate(words)), "i int, t string").select("i", T.is_contents_label(F.col("t")).alias("x")).orderBy("i").collect()] == [True, True, True, False, False, False, False]
+
+
 LESSON = [
     "LECCIÓN 1", "La fe", "Lectura Bíblica: Isaías 53:4-6; Mateo 8:17", "Bosquejo de la lección", "I. La promesa", "A. Su alcance",
     "Notas para el maestro: ¿De qué aprovechará si alguno dice que", "tiene fe, pero no tiene obras?", "12", "Maestro", "Vocabulario", "Resumen y aplicación práctica: viva lo aprendido", "Lecturas diarias",
