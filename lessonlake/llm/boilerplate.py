@@ -18,6 +18,7 @@ letter are never removed. In `clean` the lines of pages without a page_id stay,
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from functools import partial
 
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .base import cut, map_columns, map_rows
-from .chars import SIGN_IN_WORD, UNUSUAL, LookalikeModel, repair_encoding
+from .chars import STRANGE, LookalikeModel, repair_encoding
 
 def fold_numbers(text: str) -> str:
     """Every run of ASCII digits as one #."""
@@ -191,6 +192,23 @@ def within(a: str, b: str, most: int) -> bool:
     return row[len(b)] <= most
 
 
+def letters(key: str) -> list[tuple[str, int]]:
+    """The characters of a key with their counts."""
+    return list(Counter(key).items())
+
+
+def lacks(text: str, counted: list[tuple[str, int]], most: int) -> bool:
+    """Does a text lack more than `most` of the counted characters? Then it is more edits than that away."""
+    lost = 0
+    for c, n in counted:
+        n -= text.count(c)
+        if n > 0:
+            lost += n
+            if lost > most:
+                return True
+    return False
+
+
 def pieces(key: str, most: int) -> list[str]:
     """most + 1 parts of a key: a text with at most `most` edits holds one of them whole."""
     n = most + 1
@@ -216,6 +234,7 @@ class Matcher:
         # damage may leave no word of a short key whole: lines of its length are compared outright
         self.short = [(k, m, pieces(k, m)) for k, m, n in self.keys if n <= 3]
         self.reach = max((len(k) + m for k, m, _ in self.short), default=0)
+        self.letters = {k: letters(k) for k in keys}
         self.of_length: list[list[tuple[str, int, list[str]]]] = [[] for _ in range(self.reach + 1)]
         for k, m, parts in self.short:
             for n in range(max(0, len(k) - m), len(k) + m + 1):
@@ -235,7 +254,7 @@ class Matcher:
             for k, m, parts in self.of_length[len(key)]:
                 for part in parts:
                     if part in key:
-                        if within(k, key, m):
+                        if not lacks(key, self.letters[k], m) and within(k, key, m):
                             return k
                         break
         shared: dict[int, int] = {}
@@ -244,14 +263,14 @@ class Matcher:
                 shared[i] = shared.get(i, 0) + 1
         for i, n in shared.items():
             k, most, size = self.keys[i]
-            if n * 4 >= size and abs(len(k) - len(key)) <= most and within(k, key, most):
+            if n * 4 >= size and abs(len(k) - len(key)) <= most and not lacks(key, self.letters[k], most) and within(k, key, most):
                 return k
         return None
 
 
 def readable(text: str, model: LookalikeModel) -> str:
     """The text with encoding and look-alikes repaired; its lines stay where they are."""
-    return model.normalize(repair_encoding(text, model)[0])[0] if UNUSUAL.search(text) or SIGN_IN_WORD.search(text) else text
+    return model.normalize(repair_encoding(text, model)[0])[0] if STRANGE.search(text) else text
 
 
 def repeated_lines(text: str, matcher: Matcher, model: LookalikeModel) -> list[tuple[int, str]]:

@@ -11,6 +11,7 @@ import html
 import math
 import re
 import unicodedata
+from functools import cache
 
 # Characters that ordinary Spanish, Portuguese or English print uses besides ASCII.
 ORDINARY = "áéíóúüñÁÉÍÓÚÜÑ¿¡«»“”‘’—–…·ºª°§©²³¹½¼¾¬•¤±"
@@ -144,7 +145,8 @@ def _run(run: str) -> tuple[str, tuple[str, ...], float]:
 
 
 # Runs as they are searched: with the question marks behind a lead byte whose other bytes had no character.
-RUNS = re.compile(f"[^\x00-\x7f]+(?:(?<=[{LEADS}])\\?+)?|&(?:#[0-9]{{2,6}}|#x[0-9A-Fa-f]{{2,5}}|[A-Za-z]{{2,8}}[0-9]?);")
+BARE_RUNS = re.compile(f"[^\x00-\x7f]+(?:(?<=[{LEADS}])\\?+)?")
+RUNS = re.compile(f"{BARE_RUNS.pattern}|&(?:#[0-9]{{2,6}}|#x[0-9A-Fa-f]{{2,5}}|[A-Za-z]{{2,8}}[0-9]?);")
 
 
 def repair_encoding(text: str | None, model: "LookalikeModel | None" = None, words: bool = True) -> tuple[str | None, int, int, tuple[str, ...]]:
@@ -155,8 +157,8 @@ def repair_encoding(text: str | None, model: "LookalikeModel | None" = None, wor
     """
     if not text or not (UNUSUAL.search(text) or "&" in text or words and SIGN_IN_WORD.search(text)):
         return text, 0, 0, ()
-    known, odd = {}, False
-    for run in set(RUNS.findall(text)):
+    known, odd, runs = {}, False, RUNS if "&" in text else BARE_RUNS
+    for run in set(runs.findall(text)):
         _, path, cost = _run(run)
         odd = odd or bool(path) or cost >= LOST_COST
         if path and len(run) > 1 and (run[0] == "&" or UNUSUAL.search(run)):
@@ -178,7 +180,7 @@ def repair_encoding(text: str | None, model: "LookalikeModel | None" = None, wor
             lost += 1
         return run
 
-    out = RUNS.sub(put, text) if odd or known else text
+    out = runs.sub(put, text) if odd or known else text
     paths = [" ".join(p) for p in known]
     if words and SUSPECT.search(out):
         out, n, more = _reread_words(out, model)
@@ -200,8 +202,12 @@ LOST = re.compile("[\x80-\x84\x86-\x9f�]")
 SPANISH = "áéíóúüñÁÉÍÓÚÜÑ"
 # What may be a letter read in another single-byte encoding: neither ASCII nor a letter, mark or blank of print,
 # or a capital of print or a fraction or sign inside a small-letter word.
-SIGN_IN_WORD = re.compile("[¼½¾¢§±¤¹²³ÁÉÍÓÚÜÑ](?<=[a-záéíóúüñ].)(?=[a-záéíóúüñ])")
-SUSPECT = re.compile(f"[^\x00-\x7f{SPANISH}¿¡«»“”‘’—–…·•¬ºª°©¼½¾§±¤¹²³\xa0\xad\u0300-\u036f\u2000-\u200f\u2010-\u2012\u2028-\u202f\u205f-\u206f\u3000\ufeff\ufe00-\ufe0f\ufffd\x80-\x9f]|{SIGN_IN_WORD.pattern}")
+SIGNS, IN_WORD = "¼½¾§±¤¹²³ÁÉÍÓÚÜÑ", "(?<=[a-záéíóúüñ].)(?=[a-záéíóúüñ])"
+SIGN_IN_WORD = re.compile(f"[¢{SIGNS}]{IN_WORD}")
+# What begins with one set of characters is searched several times as fast as alternatives are.
+NO_SIGN_OR_IN_WORD = f"(?:(?<![{SIGNS}])|{IN_WORD})"
+STRANGE = re.compile(f"[^\x00-\x7f{''.join(c for c in ORDINARY if c not in SIGNS)}]{NO_SIGN_OR_IN_WORD}")  # UNUSUAL or SIGN_IN_WORD
+SUSPECT = re.compile(f"[^\x00-\x7fáéíóúüñ¿¡«»“”‘’—–…·•¬ºª°©\xa0\xad\u0300-\u036f\u2000-\u200f\u2010-\u2012\u2028-\u202f\u205f-\u206f\u3000\ufeff\ufe00-\ufe0f\ufffd\x80-\x9f]{NO_SIGN_OR_IN_WORD}")
 
 
 def _letter(c: str) -> bool:
@@ -305,6 +311,12 @@ MARK = re.compile("[\u0300-\u036f]")
 LATIN_MARK = re.compile("[A-Za-zÀ-ɏ][̀-ͯ]+")
 
 
+@cache
+def _kinds(c: str) -> tuple[re.Pattern, ...]:
+    """What a character is that is none of ordinary print (… is COMPAT and stays as it is)."""
+    return tuple(x for x in (IGNORABLE, SPACES, HYPHENS, COMPAT, MARK, OTHER_SCRIPT) if x.match(c))
+
+
 def _in_word(c: str) -> bool:
     return c.isalpha() or "\u0300" <= c <= "\u036f"
 
@@ -366,21 +378,22 @@ class LookalikeModel:
 
     def normalize(self, text: str | None) -> tuple[str | None, int]:
         """(one consistent form of the text, how many characters only looked like it or were invisible)."""
-        if not text or not UNUSUAL.search(text):
+        unusual = set(UNUSUAL.findall(text)) if text else ()
+        if not unusual:
             return text, 0
-        n = 0
-        text, k = IGNORABLE.subn("", text)
-        n += k
-        text, k = SPACES.subn(" ", text)
-        n += k
-        text, k = HYPHENS.subn("-", text)
-        n += k
-        text, k = COMPAT.subn(lambda m: m.group() if m.group() in KEPT else unicodedata.normalize("NFKC", m.group()), text)
-        n += k - sum(map(text.count, "…™№")) if k else 0
-        if MARK.search(text):
+        n, kinds = 0, set().union(*map(_kinds, unusual))  # only what the text holds is looked for
+        for kind, plain in ((IGNORABLE, ""), (SPACES, " "), (HYPHENS, "-")):
+            if kind in kinds:
+                text, k = kind.subn(plain, text)
+                n += k
+        if COMPAT in kinds:
+            text, k = COMPAT.subn(lambda m: m.group() if m.group() in KEPT else unicodedata.normalize("NFKC", m.group()), text)
+            n += k - sum(map(text.count, "…™№"))
+            kinds |= {x for x in (MARK, OTHER_SCRIPT) if x.search(text)}
+        if MARK in kinds:
             text, k = LATIN_MARK.subn(lambda m: unicodedata.normalize("NFC", m.group()), text)
             n += k
-        if OTHER_SCRIPT.search(text):
+        if OTHER_SCRIPT in kinds:
             out, end, changed = [], 0, 0
             for m in OTHER_SCRIPT.finditer(text):
                 i = m.start()

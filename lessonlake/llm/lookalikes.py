@@ -29,7 +29,8 @@ JOIN = re.compile(r"[-¬](?<=[^\W\d_][-¬])(?:[ \t\r]*\n[ \t]*|(?<=¬) +)(?=[^\W
 
 def plain_tokens(text: str) -> list[str]:
     """The lower-case blank-separated tokens of a text, its encoding restored and cut words joined."""
-    return JOIN.sub("", repair_encoding(text, words=False)[0].lower()).split()
+    low = repair_encoding(text, words=False)[0].lower()
+    return (JOIN.sub("", low) if "-" in low or "¬" in low else low).split()
 
 
 def token_bigrams(tokens: dict[str, int]) -> dict[str, int]:

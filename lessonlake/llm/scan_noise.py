@@ -21,8 +21,10 @@ from __future__ import annotations
 import math
 import re
 import uuid
+from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import accumulate, chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -76,10 +78,13 @@ def skeleton(text: str) -> str:
     s = fold_numbers(" ".join(text.lower().split()))
     for a, b in (("lvl", "m"), ("rn", "m"), ("ri", "n"), ("cl", "d"), ("ci", "d"), ("ii", "u"), ("fi", "ñ")):
         s = s.replace(a, b)
-    return s.translate(SKELETON)
+    for a, b in SKELETON:
+        s = s.replace(a, b)
+    return s
 
 
-SKELETON = str.maketrans("@0j|1!65cqybfñíáéóúnt#", "aoiiiibsegvhtniaeount#") | {ord("l"): "i", ord("#"): "#"}
+# In this order: a letter meant is no other one misread further down.
+SKELETON = tuple(zip("b6@0j|1!5cqyfñíáéóúl", "hbaoiiiisegvtniaeoui", strict=True))
 
 
 class Vectors(dict):
@@ -236,18 +241,18 @@ class Pairs:
 
     def count(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(pairs, how often) in the lower-case texts."""
-        gap, known, parts, size = np.full(self.window, -1, dtype=np.int64), self.known.__getitem__, [], self.size
-        for t in texts:
-            tokens = t.split()
-            parts += np.fromiter(map(known, tokens), np.int64, len(tokens)), gap
-        keys = [np.empty(0, dtype=np.int64)]
-        if parts:
-            a = np.concatenate(parts)
-            for d in range(1, self.window + 1):
-                x, y = a[:-d], a[d:]
-                keep = (x >= 0) & (y >= 0) & ((x < size) | (y < size))
-                x, y = x[keep], y[keep]
-                keys.append(np.where(y < size, x * size + y, y * size + x))  # the context is below size
+        gap, size = [""] * self.window, self.size  # what is no word has no id
+        kind = np.int32 if len(self.top) * size < 2**31 else np.int64
+        a = np.fromiter(map(self.known.__getitem__, chain.from_iterable(chain(t.split(), gap) for t in texts)), kind)
+        keys = [np.empty(0, dtype=kind)]
+        for d in range(1, self.window + 1):
+            x, y = a[:-d], a[d:]
+            less = np.minimum(x, y)
+            keep = (less >= 0) & (less < size)
+            x, y = x[keep], y[keep]
+            key, far = x * kind(size) + y, np.flatnonzero(y >= size)  # the context is below size
+            key[far] = y[far] * kind(size) + x[far]
+            keys.append(key)
         keys = np.concatenate(keys)
         if len(self.top) * size > 16_000_000:  # too many counters for a batch
             return np.unique(keys, return_counts=True)
@@ -371,17 +376,28 @@ def _fit_to(c: np.ndarray, share: np.ndarray, own: np.ndarray, other: np.ndarray
 
 
 class Tokens(dict):
-    """Of a blank-separated lower-case token: whether a word in it may be misread. Each distinct token is looked at once."""
+    """Of a blank-separated lower-case token in which something may be misread: whether digits and letters are mixed in it.
 
-    def __init__(self, vocabulary: "Vocabulary"):
-        self.v = vocabulary
+    Each distinct token is looked at once; those with nothing misread are `plain`.
+    """
 
-    def __missing__(self, token: str) -> bool:
-        v = self.v
-        out = any(w not in v.words and v.candidates(w) for w in WORD.findall(token)) or MIXED.search(token.replace("o", "O")) is not None
-        if len(self) < 1_000_000:
-            self[token] = bool(out)
-        return bool(out)
+    def __init__(self, vocabulary: "Vocabulary"):
+        super().__init__()
+        self.v, self.plain = vocabulary, set()
+
+    def odd(self, tokens: Iterable[str]) -> dict[str, bool]:
+        """Those of the tokens in which something may be misread."""
+        return {x: mixed for x in set(filterfalse(self.plain.__contains__, tokens)) if (mixed := self[x]) is not None}
+
+    def __missing__(self, token: str) -> bool | None:
+        mixed = MIXED.search(token.replace("o", "O")) is not None
+        some = mixed or any(w not in self.v.words and self.v.candidates(w) for w in WORD.findall(token))
+        if len(self) + len(self.plain) < 1_000_000:
+            if some:
+                self[token] = mixed
+            else:
+                self.plain.add(token)
+        return mixed if some else None
 
 
 class Page:
@@ -397,8 +413,9 @@ class Page:
         self.gaps = self.cuts and ("- " in low or "¬ " in low)
         if len(self.low) != len(self.lines):  # lower() never makes lines, but be safe
             self.low = [x.lower() for x in self.lines]
+            low = "\n".join(self.low)
         self.keys = folded_lines(low)
-        self.said = [x.split() for x in self.low]
+        self.text, self.said = low, [x.split() for x in self.low]
         self.furniture = self._furniture(number, matcher, titles)
         self.own = [i for i, x in enumerate(self.keys) if x and i not in self.furniture]
         self.fixes: dict[int, list[tuple[int, int, str]]] = {}
@@ -406,6 +423,18 @@ class Page:
         self.inside: set[int] = set()
         self._words()
 
+    def _lines_with(self, parts: Iterable[str]) -> set[int]:
+        """The lines that hold one of the texts, be it inside a word."""
+        find, out = self.text.find, set()
+        ends = [n + i for i, n in enumerate(accumulate(map(len, self.low)))]
+        for x in parts:
+            at = find(x)
+            while at >= 0:
+                i = bisect_right(ends, at)
+                out.add(i)
+                at = find(x, ends[i])
+        return out
+
     def _furniture(self, number: int | None, matcher: Matcher, titles: set[str]) -> set[int]:
         filled = [i for i, x in enumerate(self.keys) if x]
         keys, said, exact, near, reach, apart = self.keys, self.said, matcher.exact, matcher.near, matcher.reach, matcher.telling.isdisjoint
@@ -445,55 +474,57 @@ class Page:
         return bool(titles) and skeleton(line.strip().rstrip(".")) in titles
 
     def _words(self) -> None:
-        v, skip = self.v, set()
-        inside = self.gaps
-        own, said = self.own, self.said
-        for k in [k for k, i in enumerate(own[:-1]) if said[i][-1][-1] in "-¬"] if self.cuts else ():
+        v, skip = self.v, {}  # of a line: where words start that are seen to as cut ones
+        own = self.own
+        for k in [k for k, i in enumerate(own[:-1]) if self.said[i][-1][-1] in "-¬"] if self.cuts else ():
             i = own[k]
             line = self.low[i]
-            m = CUT_END.search(line)
+            m = CUT_END.search(line, line.rindex(self.said[i][-1]))
             j = self.own[k + 1]
             n = STARTS.match(self.low[j])
             if m and n and not m.group(1).isdigit():
                 first = self.lines[j].strip()[:1]
                 if (first.islower() or first in "@|0156" or self.lines[i].isupper()) and self._is_cut(m.group(1), n.group(1), m.group(2)):
                     self.joins[i] = j
-                skip.add((i, m.start(1)))
-                skip.add((j, n.start(1)))
+                skip.setdefault(i, set()).add(m.start(1))
+                skip.setdefault(j, set()).add(n.start(1))
                 self._joined(i, m, j, n)
-        for i in own if inside else ():
+        for i in own if self.gaps else ():
             line = self.low[i]
-            if inside and ("- " in line or "¬ " in line):
+            if "- " in line or "¬ " in line:
                 for m in CUT_INSIDE.finditer(line):
                     if self._is_cut(m.group(1), m.group(3), m.group(2)):
                         self.inside.add(i)
-                        skip.add((i, m.start(1)))
-                        skip.add((i, m.start(3)))
+                        skip.setdefault(i, set()).update((m.start(1), m.start(3)))
                         whole = m.group(1) + m.group(3)
                         w = None if v.known(whole) else v.meant(whole, self._around(i, m.start(1), m.end(3)))
                         if w:
                             self.fixes.setdefault(i, []).append((m.start(1), m.end(3), w))
-        strange = self.tokens.__getitem__
-        odd_tokens = frozenset(filter(strange, set().union(*map(self.said.__getitem__, self.own))))
-        apart = odd_tokens.isdisjoint
-        for i in [i for i in own if not apart(said[i])] if odd_tokens else ():
-            low = self.low[i]
-            tokens = list(WORD.finditer(low))
+        odd_tokens = self.tokens.odd(chain.from_iterable(map(self.said.__getitem__, own)))
+        if not odd_tokens:
+            return
+        mixed = [x for x in odd_tokens if odd_tokens[x]]
+        known, lines, digits = v.words, self._lines_with(odd_tokens), self._lines_with(mixed) if mixed else ()
+        for i in [i for i in own if i in lines]:
+            said, cut = WORD.findall(self.low[i]), skip.get(i, ())
+            spans = [m.span() for m in WORD.finditer(self.low[i])] if cut else []
             hits = []
-            for k, m in enumerate(tokens):
-                word = m.group()
-                if word not in v.words and v.candidates(word) and (i, m.start()) not in skip:
-                    w = v.meant(word, [x.group() for x in tokens[max(0, k - WINDOW) : k] + tokens[k + 1 : k + 1 + WINDOW]])
+            for k in [k for k, word in enumerate(said) if word not in known]:
+                if v.candidates(said[k]) and not (cut and spans[k][0] in cut):
+                    w = v.meant(said[k], said[max(0, k - WINDOW) : k] + said[k + 1 : k + 1 + WINDOW])
                     if w:
-                        hits.append((m, w))
-            odd = list(MIXED.finditer(self.lines[i]))
+                        hits.append((k, w))
+            odd = list(MIXED.finditer(self.lines[i])) if i in digits else []
             if not hits and not odd:
                 continue
-            good = sum(v.known(m.group()) or (i, m.start()) in skip for m in tokens) + len(hits)
-            if good * 2 < len(tokens) or len(self.lines[i]) > 3 * sum(m.end() - m.start() for m in tokens) + 60 and len(tokens) < 3:
+            good = sum(map(known.__contains__, said)) + len(hits)
+            if good * 2 < len(said):
+                good += sum(x not in known and (x.isdigit() or bool(cut) and spans[k][0] in cut) for k, x in enumerate(said))
+            if good * 2 < len(said) or len(said) < 3 and len(self.lines[i]) > 3 * sum(map(len, said)) + 60:
                 continue
-            for m, w in hits:
-                self.fixes.setdefault(i, []).append((m.start(), m.end(), w))
+            if hits:
+                spans = spans or [m.span() for m in WORD.finditer(self.low[i])]
+                self.fixes.setdefault(i, []).extend((*spans[k], w) for k, w in hits)
             for m in odd:
                 before, after = self.lines[i][: m.start()][-1:], self.lines[i][m.end() :][:1]
                 if before in ":.-" and before or after == ":" or after == "-":

@@ -104,3 +104,18 @@ def test_lost_bytes_are_states_that_reach_no_text():
     assert chars.repair_encoding("¿QUÃ? DICE")[1:3] == (0, 0)  # a name with a question mark, as far as one can tell
     assert chars.repair_encoding("oraciÃ³n de QUÃ? DICE")[1:3] == (1, 1)  # beside a restored run it is a lost byte
     assert chars.repair_encoding("Ã‚Â¡" * 3 + "ya")[0].endswith("ya")
+
+
+def test_one_search_finds_what_two_do():
+    rng = random.Random(11)
+    some = "abñáÑÉ¼½§²¢¬…“”™ﬁοа\u0301\xa0 \nÃ©"
+    for _ in range(5000):
+        text = "".join(rng.choices(some, k=rng.randint(1, 9)))
+        assert bool(chars.STRANGE.search(text)) == bool(chars.UNUSUAL.search(text) or chars.SIGN_IN_WORD.search(text))
+
+
+def test_normal_forms_of_several_kinds_at_once():
+    model = LookalikeModel({})
+    assert model.normalize("Así… ½ n.º “é”") == ("Así… ½ n.º “é”", 0)
+    assert model.normalize("\ufb01n…\xa0ca\u200bsa \u2010 ma\u0301s\u2122 \uff41\u0301") == ("fin… casa - más™ á", 7)
+    assert {x for c in "\u200b\xa0" for x in chars._kinds(c)} == {chars.IGNORABLE, chars.SPACES}

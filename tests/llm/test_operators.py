@@ -144,6 +144,21 @@ def test_edit_distance_bound(a, b, d):
     assert boilerplate.within(a, b, d) and (d == 0 or not boilerplate.within(a, b, d - 1))
 
 
+def test_lines_of_other_letters_are_not_measured(monkeypatch):
+    """A line that lacks more letters of a key than edits are allowed costs no edit distance; copies are found as before."""
+    key, tried, within = "cuaderno # de la colección", [], boilerplate.within
+    monkeypatch.setattr(boilerplate, "within", lambda a, b, most: tried.append(b) or within(a, b, most))
+    matcher = boilerplate.Matcher([key])
+    assert matcher.resolve("cuademo # de la co1ección") == key and tried
+    tried.clear()
+    assert matcher.resolve("cua" + "x" * (len(key) - 3)) is None and not tried
+    rng = random.Random(3)
+    for _ in range(2000):
+        a, b = ("".join(rng.choices("abcé", k=rng.randint(1, 12))) for _ in range(2))
+        most = rng.randint(0, 5)
+        assert not (boilerplate.lacks(b, boilerplate.letters(a), most) and within(a, b, most))
+
+
 # ---- 3
 
 
@@ -166,6 +181,14 @@ def test_glyphs_hyphens_and_furniture(vocabulary):
     assert "casa de la niñez que congregación" in out and "reunión" in out and "3:16" in out and "Cuademo" not in out
 
 
+def test_plain_tokens_are_looked_at_once(vocabulary):
+    tokens = scan_noise.Tokens(vocabulary)
+    for _ in range(2):
+        p = scan_noise.Page("la casa\nla casa el carnino\nla casa 3:l6 la", 1, boilerplate.Matcher([]), set(), vocabulary, LookalikeModel({}), tokens)
+        assert list(p.found()) == [(2, "glyph"), (3, "glyph")]
+    assert tokens.plain == {"la", "casa", "el"} and tokens == {"carnino": False, "3:l6": True}
+
+
 def test_own_numbers_ranges_and_marks_stay(vocabulary):
     p = page("la casa\n77\nel camino de 3-\n5 la gracia\nla casa art. 5b\nel mo¬\ndo de la casa", vocabulary)
     assert list(p.found()) == [(6, "hyphen")]
