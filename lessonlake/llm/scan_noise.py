@@ -23,7 +23,7 @@ import re
 import uuid
 from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import accumulate, chain, filterfalse
 
 import numpy as np
@@ -276,6 +276,19 @@ class Ids(dict):
         return out
 
 
+#: What a worker process keeps of the last passes it worked for, by their tokens.
+_STATES: dict[str, object] = {}
+
+
+def kept(token: str, make: Callable[[], object]):
+    """What a pass keeps in this worker process from task to task: words and tokens once looked at stay known."""
+    if token not in _STATES:
+        while len(_STATES) > 1:
+            _STATES.pop(next(iter(_STATES)))
+        _STATES[token] = make()
+    return _STATES[token]
+
+
 def learn_vectors(texts: DataFrame, counts: dict[str, int], text: str = "text", dims: int = 24, steps: int = 120) -> Vectors:
     """Skip-gram vectors of all frequent words, fitted on the pair counts of all texts."""
     pairs = Pairs(counts)
@@ -289,9 +302,10 @@ def learn_vectors(texts: DataFrame, counts: dict[str, int], text: str = "text",
 
 def count_lines_and_pairs(pages: DataFrame, bigrams: dict[str, int], counts: dict[str, int]) -> tuple[DataFrame, Vectors]:
     """(line counts for `boilerplate.excess_keys`, vectors), both counted in one pass over the texts."""
-    model, pairs = LookalikeModel(bigrams), Pairs(counts)
+    own, token = (LookalikeModel(bigrams), pairs := Pairs(counts)), uuid.uuid4().hex
 
     def fn(sources, texts, numbers):
+        model, pairs = kept(token, lambda: own)
         low = [readable(t, model).lower() for t in texts]
         each = [hashes({k for k in folded_lines(t) if len(k) > 1 and k.islower()} if s is not None else ()) for s, t in zip(sources, low, strict=True)]
         size = [len(x) for x in each]
@@ -656,26 +670,18 @@ def with_context(pages: DataFrame, keys: DataFrame, titles: DataFrame | None, bu
     return pages.select("page_id", "publication_id", "page_number", "text", at).join(side, ["publication_id", "bucket"], "left").select("page_id", "page_number", "text", "keys", "titles")
 
 
-#: What a worker process keeps of the last vocabularies it worked with, by their tokens.
-_STATES: dict[str, dict] = {}
-
-
 def take_apart(pages: DataFrame, keys: DataFrame, titles: DataFrame | None, vocabulary: tuple, bigrams: dict[str, int], rows, schema: str) -> DataFrame:
     """Maps rows(page_id, Page or None, text) over all pages. The vocabulary is broadcast (its size is bounded by 1 / RATE words) and built once per worker."""
     links = Vocabulary(*vocabulary).links
     shared, token = pages.sparkSession.sparkContext.broadcast((*vocabulary, links, bigrams)), uuid.uuid4().hex
 
     def start() -> dict:
-        if token not in _STATES:
-            *words, pairs = shared.value
-            v = Vocabulary(*words)
-            while len(_STATES) > 1:
-                _STATES.pop(next(iter(_STATES)))
-            _STATES[token] = {"v": v, "t": Tokens(v), "m": {}, "h": {}, "l": LookalikeModel(pairs)}
-        return _STATES[token]
+        *words, pairs = shared.value
+        v = Vocabulary(*words)
+        return {"v": v, "t": Tokens(v), "m": {}, "h": {}, "l": LookalikeModel(pairs)}
 
     def fn(ids, numbers, texts, lists, names):
-        state = start()
+        state = kept(token, start)
         known, heads_, model = state["m"], state["h"], state["l"]
 
         def head(title: str) -> str:

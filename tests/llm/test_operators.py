@@ -189,6 +189,15 @@ def test_plain_tokens_are_looked_at_once(vocabulary):
     assert tokens.plain == {"la", "casa", "el"} and tokens == {"carnino": False, "3:l6": True}
 
 
+def test_tasks_of_one_worker_share_what_they_learned(monkeypatch):
+    monkeypatch.setattr(scan_noise, "_STATES", {})
+    made = []
+    for token in "aabacca":
+        assert scan_noise.kept(token, lambda: made.append(token) or [token]) == [token]
+        assert len(scan_noise._STATES) < 3
+    assert made == ["a", "b", "c", "a"]
+
+
 def test_own_numbers_ranges_and_marks_stay(vocabulary):
     p = page("la casa\n77\nel camino de 3-\n5 la gracia\nla casa art. 5b\nel mo¬\ndo de la casa", vocabulary)
     assert list(p.found()) == [(6, "hyphen")]
